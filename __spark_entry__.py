@@ -714,3 +714,358 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+# ===================================================== decode / encode (D-*)
+def _text_orders(spark, sf_dir):
+    """Orders as a text extract: odd names, blanks and junk values."""
+    o = spark.read.parquet(table_path(sf_dir, "orders"))
+    amount = (F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(""))
+              .when((F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "5-LOW"), F.lit("x"))
+              .otherwise(F.col("o_totalprice").cast("string")))
+    won = (F.when(F.col("o_orderstatus") == "O", F.lit("TRUE"))
+           .when(F.col("o_orderstatus") == "F", F.lit("false")).otherwise(F.lit("yes")))
+    return o.select(F.col("o_orderkey").cast("string").alias("ID"), amount.alias("amount"),
+                    F.date_format("o_orderdate", "yyyy-MM-dd").alias("Close Date"), won.alias("IsWon"),
+                    F.concat(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(".123456Z"))
+                    .alias("LastModifiedDate"),
+                    F.col("o_orderpriority").alias("Priority"), F.lit("junk").alias("Unknown"))
+
+
+_TEXT_SCHEMA = T.StructType([
+    T.StructField("Id", T.LongType(), False), T.StructField("Amount", T.DoubleType()),
+    T.StructField("Close_Date", T.DateType()), T.StructField("IsWon", T.BooleanType()),
+    T.StructField("LastModifiedDate", T.TimestampType()), T.StructField("Missing", T.StringType())])
+
+
+def _ntz(df: DataFrame) -> DataFrame:
+    """Instants shown as UTC wall-clock time (session zone is UTC)."""
+    return df.withColumns({f.name: F.col(f.name).cast("timestamp_ntz") for f in df.schema.fields
+                           if isinstance(f.dataType, T.TimestampType)})
+
+
+@register("d01_typed_decode", """
+SELECT o_orderkey AS Id,
+  CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL
+       WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN NULL ELSE o_totalprice END AS Amount,
+  CAST(o_orderdate AS DATE) AS Close_Date, (o_orderstatus = 'O') AS IsWon,
+  o_orderdate + INTERVAL 123 MILLISECOND AS LastModifiedDate, CAST(NULL AS VARCHAR) AS Missing
+FROM orders""")
+def d01_typed_decode(spark, sf_dir):
+    from objectlake.operators.codec import decode
+    return _ntz(decode(_text_orders(spark, sf_dir), _TEXT_SCHEMA, strict=False))
+
+
+_CONF_SCHEMA = T.StructType(list(_TEXT_SCHEMA.fields) + [
+    T.StructField("Priority", T.LongType()), T.StructField("Blob", T.BinaryType())])
+
+
+@register("d07_conformance_report", """
+WITH t AS (SELECT o_orderkey, o_orderstatus, o_orderpriority,
+  CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN ''
+       WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN 'x' ELSE 'v' END AS amount FROM orders),
+n AS (SELECT COUNT(*) AS c FROM orders)
+SELECT 'Id' AS field, 'bigint' AS expected_type, (SELECT c FROM n) AS "rows", 0::BIGINT AS nulls,
+       0::BIGINT AS blanks, 0::BIGINT AS bad_values, 'ok' AS verdict
+UNION ALL SELECT 'Amount', 'double', (SELECT c FROM n), 0, (SELECT COUNT(*) FROM t WHERE amount = ''),
+       (SELECT COUNT(*) FROM t WHERE amount = 'x'), 'type mismatch'
+UNION ALL SELECT 'Close_Date', 'date', (SELECT c FROM n), 0, 0, 0, 'ok'
+UNION ALL SELECT 'IsWon', 'boolean', (SELECT c FROM n), 0, 0, 0, 'ok'
+UNION ALL SELECT 'LastModifiedDate', 'timestamp', (SELECT c FROM n), 0, 0, 0, 'ok'
+UNION ALL SELECT 'Missing', 'string', (SELECT c FROM n), NULL, NULL, NULL, 'missing'
+UNION ALL SELECT 'Priority', 'bigint', (SELECT c FROM n), 0, 0, (SELECT c FROM n), 'type mismatch'
+UNION ALL SELECT 'Blob', 'binary', (SELECT c FROM n), NULL, NULL, NULL, 'missing'""")
+def d07_conformance_report(spark, sf_dir):
+    from objectlake.operators.codec import conformance
+    return conformance(_text_orders(spark, sf_dir), _CONF_SCHEMA)
+
+
+_FRAC = "(microsecond(ts) % 1000000)"
+
+
+@register("d03_encode", f"""
+SELECT event_id AS Id, CAST(value AS VARCHAR) AS Value,
+  CASE WHEN {_FRAC} // 1000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
+       ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.') || lpad(CAST({_FRAC} // 1000 AS VARCHAR), 3, '0') || 'Z' END AS Instant,
+  CASE WHEN {_FRAC} = 0 THEN CASE WHEN second(ts) = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M')
+                                  ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END
+       WHEN {_FRAC} % 1000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.') || lpad(CAST({_FRAC} // 1000 AS VARCHAR), 3, '0')
+       ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END AS Local,
+  strftime(CAST(ts AS DATE), '%Y-%m-%d') AS Day,
+  strftime(ts, '%H:%M:%S.') || lpad(CAST({_FRAC} // 1000 AS VARCHAR), 3, '0') || 'Z' AS TimeMicros,
+  CASE WHEN {_FRAC} // 1000 = 0 THEN CASE WHEN second(ts) = 0 THEN strftime(ts, '%H:%M') ELSE strftime(ts, '%H:%M:%S') END
+       ELSE strftime(ts, '%H:%M:%S.') || lpad(CAST({_FRAC} // 1000 AS VARCHAR), 3, '0') END AS TimeMillis,
+  CAST(event_type = 'click' AS VARCHAR) AS Flag, CAST(NULL AS VARCHAR) AS Nothing, CAST(user_id AS VARCHAR) AS UserId
+FROM events""")
+def d03_encode(spark, sf_dir):
+    from objectlake.operators.codec import TIME_MILLIS, encode, time_field
+    ev = spark.read.parquet(table_path(sf_dir, "events"))
+    micros_of_day = (F.unix_micros(F.col("ts").cast("timestamp"))
+                     - F.unix_micros(F.date_trunc("day", F.col("ts").cast("timestamp"))))
+    typed = ev.select(F.col("event_id").alias("Id"), F.col("value").alias("Value"),
+                      F.col("ts").cast("timestamp").alias("Instant"), F.col("ts").alias("Local"),
+                      F.to_date("ts").alias("Day"), micros_of_day.alias("TimeMicros"),
+                      F.floor(micros_of_day / 1000).cast("long").alias("TimeMillis"),
+                      (F.col("event_type") == "click").alias("Flag"), F.lit(None).cast("string").alias("Nothing"),
+                      F.col("user_id").alias("UserId"))
+    fields = [time_field("TimeMicros") if f.name == "TimeMicros" else
+              time_field("TimeMillis", TIME_MILLIS) if f.name == "TimeMillis" else f
+              for f in typed.schema.fields]
+    return encode(typed.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in fields]))
+
+
+def _documents_files(spark, sf_dir):
+    from objectlake.operators.codec import split_attachments
+    docs = spark.read.parquet(table_path(sf_dir, "documents"))
+    rows = docs.select(F.col("doc_id").alias("Id"), F.concat(F.lit("doc_"), F.col("doc_id"), F.lit(".txt"))
+                       .alias("Name"), F.base64(F.encode("text", "UTF-8")).alias("Body"))
+    return split_attachments(rows, "Attachment", order_by="Id")
+
+
+@register("d06_file_rows", """
+SELECT doc_id AS Id, 'doc_' || doc_id || '.txt' AS Name,
+       '#' || row_number() OVER (ORDER BY doc_id) || '_doc_' || doc_id || '.txt' AS Body FROM documents""")
+def d06_file_rows(spark, sf_dir):
+    return _documents_files(spark, sf_dir)[0]
+
+
+@register("d06_file_payloads", """
+SELECT row_number() OVER (ORDER BY doc_id) || '_doc_' || doc_id || '.txt' AS key,
+       CAST(strlen(text) AS INTEGER) AS size, md5(text) AS digest FROM documents""")
+def d06_file_payloads(spark, sf_dir):
+    files = _documents_files(spark, sf_dir)[1]
+    return files.select("key", F.col("size").cast("int").alias("size"), F.md5("content").alias("digest"))
+
+
+# ============================================================= sinks (W-*)
+_OPP_COLS = "Id, AccountId, StageName, Amount, CloseDate, Priority, LastModifiedDate, IsDeleted"
+
+
+def _opp_all(spark, sf_dir):
+    return _cat(spark, sf_dir).table("Opportunity")
+
+
+@register("w01_insert", f"""
+SELECT {_OPP_COLS} FROM {OPP} WHERE CloseDate < DATE '1998-01-01'
+UNION ALL
+SELECT Id, AccountId, StageName, Amount, NULL, NULL, NULL, NULL FROM {OPP} WHERE CloseDate >= DATE '1998-01-01'""")
+def w01_insert(spark, sf_dir):
+    from objectlake.sinks.write import apply_write, validate_write
+    opp = _opp_all(spark, sf_dir)
+    target = opp.filter(F.col("CloseDate") < F.lit(dt.date(1998, 1, 1)))
+    inp = opp.filter(F.col("CloseDate") >= F.lit(dt.date(1998, 1, 1))).select(
+        F.col("Id").alias("ID"), F.col("AccountId").alias("accountid"), F.col("StageName").alias("STAGENAME"),
+        F.col("Amount").alias("amount"))
+    assert not validate_write(target.schema, inp.schema.__class__(
+        [f for f in inp.schema.fields if f.name != "ID"]), "insert")
+    return apply_write(target, inp, "insert").table
+
+
+_UPD_INPUT = f"""inp AS (
+  SELECT Id, Amount + 1000 AS Amount, CASE WHEN Priority = '1-URGENT' THEN NULL ELSE Priority END AS Priority
+  FROM {OPP} WHERE CloseDate >= DATE '1998-07-01'
+  UNION ALL SELECT Id, Amount, Priority FROM {OPP} WHERE CloseDate = DATE '1998-07-01'
+  UNION ALL SELECT Id + 100000000, Amount, Priority FROM {OPP} WHERE CloseDate >= DATE '2001-01-01'),
+good AS (SELECT * FROM inp WHERE Id IN (SELECT Id FROM inp GROUP BY Id HAVING COUNT(*) = 1)
+                               AND Id IN (SELECT Id FROM {OPP}))"""
+
+
+def _update_input(opp):
+    late = opp.filter(F.col("CloseDate") >= F.lit(dt.date(1998, 7, 1)))
+    changed = late.select("Id", (F.col("Amount") + 1000).alias("Amount"),
+                          F.when(F.col("Priority") == "1-URGENT", F.lit(None)).otherwise(F.col("Priority"))
+                          .alias("Priority"))
+    dups = opp.filter(F.col("CloseDate") == F.lit(dt.date(1998, 7, 1))).select("Id", "Amount", "Priority")
+    unknown = opp.filter(F.col("CloseDate") >= F.lit(dt.date(2001, 1, 1))).select(
+        (F.col("Id") + 100000000).alias("Id"), "Amount", "Priority")
+    return changed.unionByName(dups).unionByName(unknown)
+
+
+@register("w02_update", f"""
+WITH {_UPD_INPUT}
+SELECT t.Id, t.AccountId, t.StageName, CASE WHEN g.Id IS NOT NULL THEN g.Amount ELSE t.Amount END AS Amount,
+       t.CloseDate, CASE WHEN g.Id IS NOT NULL THEN g.Priority ELSE t.Priority END AS Priority,
+       t.LastModifiedDate, t.IsDeleted
+FROM {OPP} t LEFT JOIN good g ON t.Id = g.Id""")
+def w02_update(spark, sf_dir):
+    from objectlake.sinks.write import write
+    cat = _cat(spark, sf_dir)
+    return write(cat, "Opportunity", _update_input(_opp_all(spark, sf_dir)), "update", on_error="skip").table
+
+
+@register("w09_rejected_rows", f"""
+WITH {_UPD_INPUT}
+SELECT Id, Amount, Priority,
+  CASE WHEN Id IN (SELECT Id FROM inp GROUP BY Id HAVING COUNT(*) > 1) THEN 'Duplicate Id in the input'
+       ELSE 'Id does not exist' END AS error
+FROM inp WHERE Id NOT IN (SELECT Id FROM good)""")
+def w09_rejected_rows(spark, sf_dir):
+    from objectlake.sinks.write import write
+    cat = _cat(spark, sf_dir)
+    return write(cat, "Opportunity", _update_input(_opp_all(spark, sf_dir)), "update", on_error="skip").rejected
+
+
+@register("w03_upsert", f"""
+WITH up AS (SELECT Id, Amount + 1 AS Amount FROM {OPP} WHERE CloseDate >= DATE '2000-01-01'),
+ins AS (SELECT AccountId, 'N' AS StageName, Amount FROM {OPP} WHERE CloseDate >= DATE '2001-06-01')
+SELECT t.Id, t.AccountId, t.StageName, COALESCE(u.Amount, t.Amount) AS Amount, t.CloseDate, t.Priority,
+       t.LastModifiedDate, t.IsDeleted
+FROM {OPP} t LEFT JOIN up u ON t.Id = u.Id
+UNION ALL
+SELECT NULL, AccountId, StageName, Amount, NULL, NULL, NULL, NULL FROM ins""")
+def w03_upsert(spark, sf_dir):
+    from objectlake.sinks.write import write
+    opp = _opp_all(spark, sf_dir)
+    up = opp.filter(F.col("CloseDate") >= F.lit(dt.date(2000, 1, 1))).select(
+        "Id", F.lit(None).cast("long").alias("AccountId"), F.lit(None).cast("string").alias("StageName"),
+        (F.col("Amount") + 1).alias("Amount"))
+    ins = opp.filter(F.col("CloseDate") >= F.lit(dt.date(2001, 6, 1))).select(
+        F.lit(None).cast("long").alias("Id"), "AccountId", F.lit("N").alias("StageName"), "Amount")
+    # an update row supplies only Id and Amount; a new row has no Id
+    res_up = write(_cat(spark, sf_dir), "Opportunity", up.select("Id", "Amount"), "upsert", key="Id")
+    cat2 = _cat(spark, sf_dir)
+    cat2.register("Opportunity", lambda: res_up.table, None, deleted_field="IsDeleted")
+    return write(cat2, "Opportunity", ins, "upsert", key="Id").table
+
+
+@register("w06_pack_by_records", f"""
+SELECT Id, CAST((row_number() OVER (ORDER BY Id) - 1) // 1000 AS BIGINT) AS batch_id FROM {OPP}""")
+def w06_pack_by_records(spark, sf_dir):
+    from objectlake.operators.packing import pack_batches
+    return pack_batches(_opp_all(spark, sf_dir).select("Id"), max_records=1000, order_by=["Id"])
+
+
+@register("w06_pack_by_bytes")
+def w06_pack_by_bytes(spark, sf_dir):
+    from objectlake.operators.packing import pack_batches
+    return pack_batches(_opp_all(spark, sf_dir).select("Id", "StageName", "Amount"), max_records=5000,
+                        max_bytes=20_000, order_by=["Id"])
+
+
+@register("w08_result_check", f"""
+SELECT Id, 'false' AS Success, 'false' AS Created, 'missing priority' AS Error FROM {OPP}
+WHERE StageName = 'P' AND Priority IS NULL""")
+def w08_result_check(spark, sf_dir):
+    from objectlake.sinks.csvbatch import check_results
+    opp = _opp_all(spark, sf_dir)
+    failed = (F.col("StageName") == "P") & F.col("Priority").isNull()
+    results = opp.select("Id", F.when(failed, F.lit("false")).otherwise(F.lit("TRUE")).alias("Success"),
+                         F.lit("false").alias("Created"),
+                         F.when(failed, F.lit("missing priority")).otherwise(F.lit("")).alias("Error"))
+    return check_results(results, on_error="skip")[1]
+
+
+# ============================================== bulk CSV round trip (S-07, W-07)
+def _bulk_roundtrip(spark, sf_dir, df, schema, order):
+    from objectlake.operators.packing import pack_batches
+    from objectlake.session import scratch_path
+    from objectlake.sinks.csvbatch import write_csv_batches
+    from objectlake.sources.bulkcsv import read_bulk_results
+    path = scratch_path(spark, "bulk")
+    write_csv_batches(pack_batches(df, max_records=2000, order_by=order), path)
+    return read_bulk_results(spark, path, schema)
+
+
+@register("s07_bulk_csv_roundtrip", f"SELECT Id, StageName, Amount, CloseDate, Priority FROM {OPP_LIVE}")
+def s07_bulk_csv_roundtrip(spark, sf_dir):
+    q = ObjectQuery(_cat(spark, sf_dir), "Opportunity").select("Id", "StageName", "Amount", "CloseDate", "Priority")
+    schema = T.StructType([T.StructField("Id", T.LongType(), False), T.StructField("StageName", T.StringType()),
+                           T.StructField("Amount", T.DoubleType()), T.StructField("CloseDate", T.DateType()),
+                           T.StructField("Priority", T.StringType())])
+    return _bulk_roundtrip(spark, sf_dir, q.to_df(), schema, ["Id"])
+
+
+@register("s07_bulk_csv_multiline_text", "SELECT doc_id, lang, md5(text) AS digest FROM documents")
+def s07_bulk_csv_multiline_text(spark, sf_dir):
+    docs = spark.read.parquet(table_path(sf_dir, "documents")).select("doc_id", "lang", "text")
+    schema = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("lang", T.StringType()),
+                           T.StructField("text", T.StringType())])
+    back = _bulk_roundtrip(spark, sf_dir, docs, schema, ["doc_id"])
+    return back.select("doc_id", "lang", F.md5("text").alias("digest"))
+
+
+# ====================================================== change streams (T-*)
+_OP = ("CASE event_type WHEN 'signup' THEN 'created' WHEN 'error' THEN 'deleted' ELSE 'updated' END")
+
+
+def _change_messages(spark, sf_dir, broken: bool = False) -> DataFrame:
+    """One JSON change message per event: the user's record changed."""
+    ev = spark.read.parquet(table_path(sf_dir, "events"))
+    op = (F.when(F.col("event_type") == "signup", "created").when(F.col("event_type") == "error", "deleted")
+          .otherwise("updated"))
+    changed = (F.when(F.col("event_type") == "click", F.array(F.lit("Value")))
+               .when(F.col("event_type") == "view", F.array(F.lit("LastModifiedDate")))
+               .when(F.col("event_type") == "purchase", F.array(F.lit("Value"), F.lit("type"))))
+    msg = F.to_json(F.struct(
+        F.struct(op.alias("type"), F.col("event_id").alias("replayId")).alias("event"),
+        F.struct(F.col("user_id").alias("Id"), F.col("event_type").alias("type"), F.col("value").alias("Value"),
+                 F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("LastModifiedDate"),
+                 F.from_json("props", "map<string,int>").alias("Props")).alias("sobject"),
+        changed.alias("changedFields")))
+    if broken:
+        msg = F.when(F.col("event_type") == "error", F.concat(F.lit("broken:"), F.col("event_id"))).otherwise(msg)
+    return ev.select(msg.alias("value"))
+
+
+_CHANGE_SCHEMA = T.StructType([T.StructField("Id", T.LongType()), T.StructField("Type", T.StringType()),
+                               T.StructField("Value", T.DoubleType()),
+                               T.StructField("LastModifiedDate", T.TimestampType())])
+
+
+@register("t01_decode_changes", f"""
+SELECT user_id AS Id, event_type AS Type, value AS Value, date_trunc('millisecond', ts) AS LastModifiedDate,
+       {_OP} AS op, event_id AS replay_id FROM events""")
+def t01_decode_changes(spark, sf_dir):
+    from objectlake.streaming.changes import decode_changes
+    out = decode_changes(_change_messages(spark, sf_dir), _CHANGE_SCHEMA)
+    return _ntz(out.select("Id", "Type", "Value", "LastModifiedDate", F.col("_op").alias("op"),
+                           F.col("_replay_id").alias("replay_id")))
+
+
+@register("t02_operation_filter", """
+SELECT user_id AS Id, event_id AS replay_id FROM events WHERE event_type <> 'error'""")
+def t02_operation_filter(spark, sf_dir):
+    from objectlake.streaming.changes import decode_changes, notify
+    out = notify(decode_changes(_change_messages(spark, sf_dir), _CHANGE_SCHEMA), delete=False)
+    return out.select("Id", F.col("_replay_id").alias("replay_id"))
+
+
+@register("t03_referenced_fields", """
+SELECT user_id AS Id, event_id AS replay_id FROM events
+WHERE value > 20 AND event_type IN ('signup', 'error', 'click', 'purchase')""")
+def t03_referenced_fields(spark, sf_dir):
+    from objectlake.streaming.changes import decode_changes, notify_for_fields
+    rows = decode_changes(_change_messages(spark, sf_dir), _CHANGE_SCHEMA)
+    out = notify_for_fields(rows, "Referenced", select_fields=["Type"], where_fields=["Value"],
+                            cond=F.col("Value") > 20)
+    return out.select("Id", F.col("_replay_id").alias("replay_id"))
+
+
+@register("t03_select_fields", """
+SELECT user_id AS Id, event_id AS replay_id FROM events
+WHERE event_type IN ('signup', 'error', 'view')""")
+def t03_select_fields(spark, sf_dir):
+    from objectlake.streaming.changes import decode_changes, notify_for_fields
+    rows = decode_changes(_change_messages(spark, sf_dir), _CHANGE_SCHEMA)
+    out = notify_for_fields(rows, "Select", select_fields=["lastmodifieddate"])
+    return out.select("Id", F.col("_replay_id").alias("replay_id"))
+
+
+@register("t04_stream_query_projection", """
+SELECT user_id AS Id, value AS Value FROM events WHERE event_type = 'purchase' AND value >= 40""")
+def t04_stream_query_projection(spark, sf_dir):
+    from objectlake.streaming.changes import decode_changes
+    rows = decode_changes(_change_messages(spark, sf_dir), _CHANGE_SCHEMA, keep_event=False)
+    cat = _cat(spark, sf_dir)
+    cat.register("UserState", rows, id_field="Id")
+    q = (ObjectQuery(cat, "UserState").select("Id", "Value")
+         .where((fld("Type") == "purchase") & (fld("Value") >= 40)))
+    return q.over(rows)
+
+
+@register("t07_quarantine", """
+SELECT 'broken:' || event_id AS message FROM events WHERE event_type = 'error'""")
+def t07_quarantine(spark, sf_dir):
+    from objectlake.streaming.changes import decode_changes
+    _, bad = decode_changes(_change_messages(spark, sf_dir, broken=True), _CHANGE_SCHEMA, on_error="quarantine")
+    return bad

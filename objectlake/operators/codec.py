@@ -90,7 +90,7 @@ def decode_value(c: Column, f: T.StructField, strict: bool = True, src_type: T.D
             out = v.cast(dt) if strict else v.try_cast(dt)
         elif isinstance(dt, T.DateType):
             as_instant = (v.cast("timestamp") if strict else v.try_cast("timestamp"))
-            as_day = F.to_date(v, "yyyy-MM-dd") if strict else F.try_to_date(v, F.lit("yyyy-MM-dd"))
+            as_day = F.to_date(v, "yyyy-MM-dd") if strict else F.try_to_date(v, "yyyy-MM-dd")
             out = F.when(v.contains("T"), F.to_date(as_instant)).otherwise(as_day)
         elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
             ts = v.cast("timestamp") if strict else v.try_cast("timestamp")

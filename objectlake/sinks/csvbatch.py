@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import CatalogError
-from ..operators.codec import encode
+from ..naming import quote
+from ..operators.codec import encode_value
 
 
 def write_csv_batches(df: DataFrame, path: str, batch_col: str = "batch_id",
@@ -15,12 +16,14 @@ def write_csv_batches(df: DataFrame, path: str, batch_col: str = "batch_id",
     (D-03), shuffled so each batch lands in one task, and written under
     ``<batch_col>=<id>/``.  ``serial`` sorts each task's batches so they are
     written one after another in batch order; the default writes in parallel."""
-    body = encode(df.drop(batch_col)).withColumn(batch_col, F.col(batch_col))
+    body = df.select(*[encode_value(F.col(quote(f.name)), f).alias(f.name)
+                       for f in df.schema.fields if f.name != batch_col], F.col(quote(batch_col)))
     out = body.repartition(batch_col)
     if serial:
         out = out.sortWithinPartitions(batch_col)
     (out.write.mode("errorifexists").partitionBy(batch_col)
      .option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .option("encoding", "UTF-8").csv(path))
 
 
