@@ -784,7 +784,7 @@ _FRAC = "(microsecond(ts) % 1000000)"
 
 
 @register("d03_encode", f"""
-SELECT event_id AS Id, CAST(value AS VARCHAR) AS Value,
+SELECT CAST(event_id AS VARCHAR) AS Id, CAST(value AS VARCHAR) AS Value,
   CASE WHEN {_FRAC} // 1000 = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
        ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.') || lpad(CAST({_FRAC} // 1000 AS VARCHAR), 3, '0') || 'Z' END AS Instant,
   CASE WHEN {_FRAC} = 0 THEN CASE WHEN second(ts) = 0 THEN strftime(ts, '%Y-%m-%dT%H:%M')

@@ -250,6 +250,15 @@ def fld(path: str) -> FieldRef:
     return FieldRef(path)
 
 
+def param(name: str) -> Expr:
+    """F-15: a named placeholder, bound with ``ObjectQuery.bind(name=value)``."""
+    def build(r):
+        if name not in r.params:
+            raise KeyError(f"Parameter '${{{name}}}' is not bound")
+        return F.lit(r.params[name])
+    return Expr(f"${{{name}}}", build)
+
+
 def lit(value) -> Expr:
     """F-12/F-14 literals: str, int, float, bool, date, datetime (or ISO text)."""
     if isinstance(value, Expr):
@@ -272,6 +281,8 @@ def as_expr(v) -> Expr:
 def as_item(v) -> Expr:
     """Selection items: a string is a field path, anything else an expression."""
     if isinstance(v, str):
+        if v.strip() == "*" or v.strip().endswith(".*"):
+            raise ValueError("'*' is not allowed in a field list; name the fields")
         return fld(v)
     return as_expr(v)
 

@@ -192,17 +192,21 @@ def flatten(df: DataFrame, fields, children: dict | None = None) -> DataFrame:
         out.append(_walk(F.col(quote(path.split(".")[0])), path.split(".")[1:]).alias(
             alias or normalize_name(path)))
     for rel, sub in (children or {}).items():
-        def elem(x, sub=sub):
-            cols = []
-            for item in sub:
-                path, alias = (item if isinstance(item, tuple) else (item, None))
-                parts = path.split(".")
-                cols.append(_walk(x[parts[0]], parts[1:]).alias(alias or normalize_name(path)))
-            return F.struct(*cols)
-        out.append(F.coalesce(F.transform(F.col(quote(rel)), elem), F.array()).alias(rel))
+        out.append(F.coalesce(F.transform(F.col(quote(rel)), _element_flattener(sub)), F.array()).alias(rel))
     return df.select(*out)
 
 
+def _element_flattener(sub):
+    def elem(x):
+        cols = []
+        for item in sub:
+            path, alias = (item if isinstance(item, tuple) else (item, None))
+            parts = path.split(".")
+            cols.append(_walk(x[parts[0]], parts[1:]).alias(alias or normalize_name(path)))
+        return F.struct(*cols)
+    return elem
+
+
 def _walk(c: Column, rest: list[str]) -> Column:
     for p in rest:
         c = c[p]

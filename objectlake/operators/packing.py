@@ -72,27 +72,40 @@ def _check_limits(max_records: int, max_bytes: int | None) -> None:
         raise ValueError(f"max_bytes must be between 1 and {MAX_BYTES_PER_BATCH}")
 
 
-def greedy_batches(rec_bytes: np.ndarray, file_bytes: np.ndarray, header: int,
-                   max_records: int, max_bytes: int) -> np.ndarray:
-    """Batch number of each record, closing a batch before a record when
-    buffer + record + batch files + record file > max_bytes, or the batch
-    already holds max_records.  The first record of an empty batch is checked
-    without the header and always enters the batch."""
-    out = np.empty(len(rec_bytes), dtype=np.int64)
-    batch, buf, count, files = 0, 0, 0, 0
-    for i in range(len(rec_bytes)):
-        b, f = int(rec_bytes[i]), int(file_bytes[i])
-        if f > max_bytes:
-            raise ValueError("File Size exceeded the limit of maximum bytes per batch")
-        if count > 0 and (buf + b + files + f > max_bytes or count >= max_records):
-            batch, buf, count, files = batch + 1, 0, 0, 0
-        if count == 0:
-            buf = header
-        buf += b
-        count += 1
-        files += f
-        out[i] = batch
-    return out
+class GreedyPacker:
+    """Sequential batch packing with the writer's rule: before a record,
+    close the batch when buffer + record + batch files + record file >
+    max_bytes, or when the batch already holds max_records.  The check for
+    the first record of an empty batch leaves out the header, and that
+    record always enters the batch.  State carries across calls, so one
+    packer serves all Arrow chunks of a task."""
+
+    def __init__(self, header: int, max_records: int, max_bytes: int):
+        self.header, self.max_records, self.max_bytes = header, max_records, max_bytes
+        self.batch = self.buf = self.count = self.files = 0
+
+    def feed(self, rec_bytes: np.ndarray, file_bytes: np.ndarray) -> np.ndarray:
+        out = np.empty(len(rec_bytes), dtype=np.int64)
+        batch, buf, count, files = self.batch, self.buf, self.count, self.files
+        for i in range(len(rec_bytes)):
+            b, f = int(rec_bytes[i]), int(file_bytes[i])
+            if f > self.max_bytes:
+                raise ValueError("File Size exceeded the limit of maximum bytes per batch")
+            if count > 0 and (buf + b + files + f > self.max_bytes or count >= self.max_records):
+                batch, buf, count, files = batch + 1, 0, 0, 0
+            if count == 0:
+                buf = self.header
+            buf += b
+            count += 1
+            files += f
+            out[i] = batch
+        self.batch, self.buf, self.count, self.files = batch, buf, count, files
+        return out
+
+
+def greedy_batches(rec_bytes, file_bytes, header: int, max_records: int, max_bytes: int) -> np.ndarray:
+    """Batch number of each record of one task (see :class:`GreedyPacker`)."""
+    return GreedyPacker(header, max_records, max_bytes).feed(np.asarray(rec_bytes), np.asarray(file_bytes))
 
 
 def pack_batches(df: DataFrame, max_records: int = MAX_RECORDS_PER_BATCH,
@@ -127,25 +140,9 @@ def pack_batches(df: DataFrame, max_records: int = MAX_RECORDS_PER_BATCH,
     out_schema = T.StructType(staged.schema.fields + [T.StructField(name, T.LongType(), False)])
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # one running state per task: batches continue across Arrow chunks
-        state = {"batch": 0, "buf": 0, "count": 0, "files": 0}
+        packer = GreedyPacker(header, max_records, limit)
         for pdf in batches:
-            ids = np.empty(len(pdf), dtype=np.int64)
-            rb, fb = pdf["__rb"].to_numpy(), pdf["__fb"].to_numpy()
-            batch, buf, count, files = state["batch"], state["buf"], state["count"], state["files"]
-            for i in range(len(pdf)):
-                b, f = int(rb[i]), int(fb[i])
-                if f > limit:
-                    raise ValueError("File Size exceeded the limit of maximum bytes per batch")
-                if count > 0 and (buf + b + files + f > limit or count >= max_records):
-                    batch, buf, count, files = batch + 1, 0, 0, 0
-                if count == 0:
-                    buf = header
-                buf += b
-                count += 1
-                files += f
-                ids[i] = batch
-            state.update(batch=batch, buf=buf, count=count, files=files)
+            ids = packer.feed(pdf["__rb"].to_numpy(), pdf["__fb"].to_numpy())
             pid = pdf["__pid"].to_numpy().astype(np.int64)
             yield pdf.assign(**{name: (pid << 32) + ids})
 

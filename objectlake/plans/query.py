@@ -77,6 +77,7 @@ class _Resolver:
         self.catalog = query.catalog
         self.df = df
         self.substitutes: dict[str, Column] = {}
+        self.params = dict(getattr(query, "_params", {}))
 
     # path → (tuple of relationship names in catalog case, field name)
     def split(self, path: str) -> tuple[tuple[str, ...], str]:
@@ -169,12 +170,20 @@ class ObjectQuery:
         self._scopes: list[str] = []
         self._categories: list[tuple[str, str, list[str]]] = []
         self._children: list[ChildSpec] = []
+        self._params: dict = {}
 
     def _copy(self) -> ObjectQuery:
         q = copy.copy(self)
         for a in ("_select", "_where", "_group", "_order", "_scopes", "_categories", "_children"):
             setattr(q, a, list(getattr(self, a)))
         q._time = dict(self._time)
+        q._params = dict(self._params)
+        return q
+
+    def bind(self, **values) -> ObjectQuery:
+        """F-15: values for ``param(name)`` placeholders."""
+        q = self._copy()
+        q._params.update(values)
         return q
 
     # ------------------------------------------------------------ builders

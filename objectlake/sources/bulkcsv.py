@@ -4,7 +4,6 @@ each, read as one typed rowset."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..catalog import CatalogError
@@ -21,11 +20,22 @@ def read_bulk_results(spark: SparkSession, paths: str | list[str], schema: T.Str
     empty file is an error; quoted newlines, commas and doubled quotes are
     kept) and decode them to ``schema`` (D-01)."""
     paths = [paths] if isinstance(paths, str) else list(paths)
-    empty = (spark.read.format("binaryFile").load(paths).filter(F.col("length") == 0)
-             .select("path").limit(1).collect())
-    if empty:
-        raise CatalogError(f"Result file '{empty[0]['path']}' has no header")
     raw = (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
            .option("escape", '"').option("mode", "FAILFAST").option("nullValue", _NO_NULL)
            .option("encoding", "UTF-8").option("enforceSchema", False).csv(paths))
+    empty = _empty_files(spark, raw.inputFiles())
+    if empty:
+        raise CatalogError(f"Result file '{empty[0]}' has no header")
     return decode(raw, schema, strict)
+
+
+def _empty_files(spark: SparkSession, files: list[str]) -> list[str]:
+    """Zero-length files among ``files`` (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for f in files:
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        if p.getFileSystem(conf).getFileStatus(p).getLen() == 0:
+            out.append(f)
+    return out
