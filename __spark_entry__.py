@@ -22,6 +22,7 @@ from objectlake.functions import (avg_, calendar_month, calendar_quarter, calend
                                   fiscal_year, grouping_, hour_in_day, max_, min_, sum_,
                                   week_in_month, week_in_year)
 from objectlake.sampledata import sample_catalog, table_path
+from objectlake.session import tune
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -31,7 +32,12 @@ _SQL: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        _QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune(spark)   # UTC session zone and AQE, whatever session runs it
+            return fn(spark, sf_dir)
+        run.__name__ = run.__qualname__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        _QUERIES[name] = run
         if sql is not None:
             _SQL[name] = sql.strip()
         return fn
@@ -364,17 +370,15 @@ _REL = [
 
 
 def _rel_counts(spark, sf_dir):
+    """Rows inside each relative range: one scan, one flag per literal."""
     cat = _cat(spark, sf_dir)
-    parts = []
-    for lit_, op, _ in _REL:
-        q = (ObjectQuery(cat, "Opportunity").select("Id")
-             .where(fld("CloseDate").within(lit_, as_of="1998-05-20", op=op, week_start=1, fy_start=4)))
-        parts.append(q.to_df().agg(F.count(F.lit(1)).alias("n"))
-                     .select(F.lit(f"{op} {lit_}").alias("literal"), "n"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    flags = [fld("CloseDate").within(lit_, as_of="1998-05-20", op=op, week_start=1, fy_start=4).alias(f"f{i}")
+             for i, (lit_, op, _) in enumerate(_REL)]
+    rows = ObjectQuery(cat, "Opportunity").select("Id", *flags).to_df()
+    counts = rows.agg(*[F.count_if(F.col(f"f{i}")).alias(f"f{i}") for i in range(len(_REL))])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(f"{op} {lit_}").alias("literal"), F.col(f"f{i}").alias("n"))
+        for i, (lit_, op, _) in enumerate(_REL)])))
 
 
 register("f13_relative_dates", "\nUNION ALL\n".join(
@@ -988,6 +992,21 @@ def s07_bulk_csv_multiline_text(spark, sf_dir):
 _OP = ("CASE event_type WHEN 'signup' THEN 'created' WHEN 'error' THEN 'deleted' ELSE 'updated' END")
 
 
+_MESSAGE_FILES: dict = {}
+
+
+def _message_files(spark, sf_dir, broken: bool = False) -> DataFrame:
+    """The change messages as text files, read the way a stream source reads
+    them (written once per session into the shared scratch folder)."""
+    from objectlake.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir, broken)
+    if key not in _MESSAGE_FILES:
+        path = scratch_path(spark, "messages")
+        _change_messages(spark, sf_dir, broken).write.text(path)
+        _MESSAGE_FILES[key] = path
+    return spark.read.text(_MESSAGE_FILES[key])
+
+
 def _change_messages(spark, sf_dir, broken: bool = False) -> DataFrame:
     """One JSON change message per event: the user's record changed."""
     ev = spark.read.parquet(table_path(sf_dir, "events"))
@@ -1017,7 +1036,7 @@ SELECT user_id AS Id, event_type AS Type, value AS Value, date_trunc('millisecon
        {_OP} AS op, event_id AS replay_id FROM events""")
 def t01_decode_changes(spark, sf_dir):
     from objectlake.streaming.changes import decode_changes
-    out = decode_changes(_change_messages(spark, sf_dir), _CHANGE_SCHEMA)
+    out = decode_changes(_message_files(spark, sf_dir), _CHANGE_SCHEMA)
     return _ntz(out.select("Id", "Type", "Value", "LastModifiedDate", F.col("_op").alias("op"),
                            F.col("_replay_id").alias("replay_id")))
 
@@ -1026,7 +1045,7 @@ def t01_decode_changes(spark, sf_dir):
 SELECT user_id AS Id, event_id AS replay_id FROM events WHERE event_type <> 'error'""")
 def t02_operation_filter(spark, sf_dir):
     from objectlake.streaming.changes import decode_changes, notify
-    out = notify(decode_changes(_change_messages(spark, sf_dir), _CHANGE_SCHEMA), delete=False)
+    out = notify(decode_changes(_message_files(spark, sf_dir), _CHANGE_SCHEMA), delete=False)
     return out.select("Id", F.col("_replay_id").alias("replay_id"))
 
 
@@ -1035,7 +1054,7 @@ SELECT user_id AS Id, event_id AS replay_id FROM events
 WHERE value > 20 AND event_type IN ('signup', 'error', 'click', 'purchase')""")
 def t03_referenced_fields(spark, sf_dir):
     from objectlake.streaming.changes import decode_changes, notify_for_fields
-    rows = decode_changes(_change_messages(spark, sf_dir), _CHANGE_SCHEMA)
+    rows = decode_changes(_message_files(spark, sf_dir), _CHANGE_SCHEMA)
     out = notify_for_fields(rows, "Referenced", select_fields=["Type"], where_fields=["Value"],
                             cond=F.col("Value") > 20)
     return out.select("Id", F.col("_replay_id").alias("replay_id"))
@@ -1046,7 +1065,7 @@ SELECT user_id AS Id, event_id AS replay_id FROM events
 WHERE event_type IN ('signup', 'error', 'view')""")
 def t03_select_fields(spark, sf_dir):
     from objectlake.streaming.changes import decode_changes, notify_for_fields
-    rows = decode_changes(_change_messages(spark, sf_dir), _CHANGE_SCHEMA)
+    rows = decode_changes(_message_files(spark, sf_dir), _CHANGE_SCHEMA)
     out = notify_for_fields(rows, "Select", select_fields=["lastmodifieddate"])
     return out.select("Id", F.col("_replay_id").alias("replay_id"))
 
@@ -1055,7 +1074,7 @@ def t03_select_fields(spark, sf_dir):
 SELECT user_id AS Id, value AS Value FROM events WHERE event_type = 'purchase' AND value >= 40""")
 def t04_stream_query_projection(spark, sf_dir):
     from objectlake.streaming.changes import decode_changes
-    rows = decode_changes(_change_messages(spark, sf_dir), _CHANGE_SCHEMA, keep_event=False)
+    rows = decode_changes(_message_files(spark, sf_dir), _CHANGE_SCHEMA, keep_event=False)
     cat = _cat(spark, sf_dir)
     cat.register("UserState", rows, id_field="Id")
     q = (ObjectQuery(cat, "UserState").select("Id", "Value")
@@ -1067,5 +1086,5 @@ def t04_stream_query_projection(spark, sf_dir):
 SELECT 'broken:' || event_id AS message FROM events WHERE event_type = 'error'""")
 def t07_quarantine(spark, sf_dir):
     from objectlake.streaming.changes import decode_changes
-    _, bad = decode_changes(_change_messages(spark, sf_dir, broken=True), _CHANGE_SCHEMA, on_error="quarantine")
+    _, bad = decode_changes(_message_files(spark, sf_dir, broken=True), _CHANGE_SCHEMA, on_error="quarantine")
     return bad

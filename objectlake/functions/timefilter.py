@@ -130,3 +130,24 @@ def modified_filter(obj, since=None, until=None, as_of=None, duration=None,
         return interval_condition(c, since, until)
     lo, hi = range_bounds(as_of, duration, offset)
     return interval_condition(c, lo, hi)
+
+
+def validate_scan_options(since=None, until=None, duration=None, offset=None,
+                          operation: str | None = None) -> list[str]:
+    """V-06: every problem with the time-filter and operation options."""
+    failures = []
+    for label, v in (("since", since), ("until", until)):
+        if v is not None and not isinstance(v, (dt.date, dt.datetime)):
+            try:
+                _as_datetime(v)
+            except ValueError:
+                failures.append(f"Invalid datetime for '{label}': '{v}'")
+    for label, v in (("duration", duration), ("offset", offset)):
+        if isinstance(v, str) or v is None:
+            try:
+                parse_duration(v)
+            except DurationError as e:
+                failures.append(f"Invalid {label}: {e}")
+    if operation is not None and operation not in ("query", "queryAll"):
+        failures.append(f"Invalid query operation '{operation}'; expected query or queryAll")
+    return failures

@@ -48,6 +48,16 @@ def _parse_time_micros(v: Column) -> Column:
     return F.when(ok, micros)
 
 
+def _strict(parsed: Column, text: Column, name: str, dt: T.DataType, strict: bool) -> Column:
+    """Strict mode: a non-empty value that does not convert fails the job
+    (independent of the session's ANSI setting)."""
+    if not strict:
+        return parsed
+    return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(F.concat(
+        F.lit(f"Field '{name}' cannot be read as {dt.simpleString()}: '"), text, F.lit("'"))).cast(dt)) \
+        .otherwise(parsed)
+
+
 def _fail(msg: str) -> Column:
     return F.raise_error(F.lit(msg))
 
@@ -87,13 +97,13 @@ def decode_value(c: Column, f: T.StructField, strict: bool = True, src_type: T.D
             out = micros if unit == TIME_MICROS else F.floor(micros / 1000).cast("long")
         elif isinstance(dt, (T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.ShortType,
                              T.ByteType, T.DecimalType)):
-            out = v.cast(dt) if strict else v.try_cast(dt)
+            out = _strict(v.try_cast(dt), v, name, dt, strict)
         elif isinstance(dt, T.DateType):
-            as_instant = (v.cast("timestamp") if strict else v.try_cast("timestamp"))
-            as_day = F.to_date(v, "yyyy-MM-dd") if strict else F.try_to_date(v, "yyyy-MM-dd")
-            out = F.when(v.contains("T"), F.to_date(as_instant)).otherwise(as_day)
+            as_day = F.when(v.contains("T"), F.to_date(v.try_cast("timestamp"))) \
+                .otherwise(F.try_to_date(v, "yyyy-MM-dd"))
+            out = _strict(as_day, v, name, dt, strict)
         elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-            ts = v.cast("timestamp") if strict else v.try_cast("timestamp")
+            ts = _strict(v.try_cast("timestamp"), v, name, T.TimestampType(), strict)
             out = F.date_trunc("millisecond", ts).cast(dt)
         else:
             raise CatalogError(f"Field '{name}' is of unsupported type '{dt.simpleString()}'")

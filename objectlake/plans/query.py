@@ -317,6 +317,17 @@ class ObjectQuery:
             raise QueryError(f"Function {item.key} needs an alias")
         return f"expr{i}"
 
+    def _check_compound(self, r: _Resolver) -> None:
+        """V-04: address and location fields cannot be selected."""
+        from ..catalog import COMPOUND_TYPES
+        for it in self._select:
+            for e in it.walk():
+                if isinstance(e, FieldRef):
+                    rels, f = r.split(e.path)
+                    obj = r.target_of(rels)
+                    if self.catalog.field_type(obj, f).lower() in COMPOUND_TYPES:
+                        raise QueryError(f"Compound field '{e.path}' cannot be selected")
+
     def _check_aliases(self) -> None:
         if not self.strict_aliases:
             return
@@ -421,6 +432,7 @@ class ObjectQuery:
 
         df = self._base(source)
         r = _Resolver(self, df)
+        self._check_compound(r)
         paths = set()
         for e in self._all_exprs() + scopes + cats:
             paths |= e.paths
