@@ -126,7 +126,16 @@ class Catalog:
         """
         path = source if isinstance(source, str) else None
 
+        cache: dict[str, DataFrame] = {}
+
         def load() -> DataFrame:
+            # one DataFrame per object: the file listing and footer reads of a
+            # large table happen once, not once per join that uses the object
+            if "df" not in cache:
+                cache["df"] = build()
+            return cache["df"]
+
+        def build() -> DataFrame:
             if isinstance(source, str):
                 df = self.spark.read.parquet(source)
             elif isinstance(source, DataFrame):

@@ -611,4 +611,6 @@ def _subquery_join(df: DataFrame, x: Column, sub: DataFrame, negate: bool, tag:
                   .when(F.count_if(F.col(tag).isNull()) > 0, F.lit(2))
                   .otherwise(F.lit(1))).scalar()
     kept = df.join(v.filter(F.col(tag).isNotNull()), x == F.col(tag), "left_anti")
-    return kept.filter((state == 0) | (x.isNotNull() & (state == 1)))
+    # one reference to the scalar: state 0 keeps all, state 1 keeps non-null x
+    code = state + F.when(x.isNull(), F.lit(10)).otherwise(F.lit(0))
+    return kept.filter(code.isin(0, 1, 10))

@@ -84,8 +84,12 @@ def _align(df: DataFrame, target: DataFrame) -> DataFrame:
     return df.select(*[_c(c).alias(names.get(c.lower(), c)) for c in df.columns])
 
 
-def _blank_key(k) -> F.Column:
-    return k.isNull() | (k.cast("string") == "")
+def _blank(df: DataFrame, key: str):
+    """A missing key: null, or empty text for a string key."""
+    k = _c(key)
+    if isinstance(df.schema[key].dataType, T.StringType):
+        return k.isNull() | (k == "")
+    return k.isNull()
 
 
 def _dedupe(inp: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -129,8 +133,8 @@ def apply_write(target: DataFrame, df: DataFrame, operation: str, key: str | Non
         return WriteResult(table, inp, empty)
     if op == "update":
         k = id_field
-        missing = _with_error(inp.filter(_blank_key(_c(k))), "Id is missing")
-        keyed = inp.filter(~_blank_key(_c(k)))
+        missing = _with_error(inp.filter(_blank(inp, k)), "Id is missing")
+        keyed = inp.filter(~_blank(inp, k))
         unique, dups = _dedupe(keyed, k)
         tkeys = target.select(_c(k).alias("__tk"))
         found = unique.join(tkeys, _c(k) == F.col("__tk"), "left_semi")
@@ -139,8 +143,8 @@ def apply_write(target: DataFrame, df: DataFrame, operation: str, key: str | Non
         return WriteResult(_apply_updates(target, found, k), found, rejected)
     if op == "upsert":
         k = key or id_field
-        new_rows = inp.filter(_blank_key(_c(k)))
-        keyed = inp.filter(~_blank_key(_c(k)))
+        new_rows = inp.filter(_blank(inp, k))
+        keyed = inp.filter(~_blank(inp, k))
         unique, dups = _dedupe(keyed, k)
         tkeys = target.select(_c(k).alias("__tk"))
         matched = unique.join(tkeys, _c(k) == F.col("__tk"), "left_semi")

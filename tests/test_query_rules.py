@@ -130,3 +130,17 @@ def test_child_limit_uses_group_limit(cat):
           .children("Opportunities", select=["Id"], order_by=[fld("Amount").desc()], limit=2).to_df())
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_self_reference_hierarchy(spark):
+    from objectlake import Catalog
+    cat = Catalog(spark)
+    cat.register("Account", spark.createDataFrame([(1, "root", None), (2, "child", 1), (3, "leaf", 2)],
+                                                  "Id long, Name string, ParentId long"))
+    cat.add_reference("Account", "Parent", "ParentId", "Account", child_name="ChildAccounts")
+    rows = {r.Id: (r.Parent_Name, r.Parent_Parent_Name) for r in
+            ObjectQuery(cat, "Account").select("Id", "Parent.Name", "Parent.Parent.Name").to_df().collect()}
+    assert rows == {1: (None, None), 2: ("root", None), 3: ("child", "root")}
+    kids = {r.Id: [c.Name for c in r.ChildAccounts] for r in
+            ObjectQuery(cat, "Account").select("Id").children("ChildAccounts", select=["Name"]).to_df().collect()}
+    assert kids == {1: ["child"], 2: ["leaf"], 3: []}
