@@ -554,7 +554,7 @@ def j06_aggregate_parent_field(spark, sf_dir):
 SELECT l_returnflag AS Flag, l_linestatus AS Status, MIN(l_quantity) AS min_qty,
        MAX(l_extendedprice) AS max_price, ROUND(SUM(l_quantity), 2) AS sum_qty,
        ROUND(AVG(l_discount), 6) AS avg_disc, COUNT(*) AS n, COUNT(l_suppkey) AS n_vendor,
-       COUNT(DISTINCT l_partkey) AS n_products, SUM(l_linenumber) AS sum_line
+       COUNT(DISTINCT l_partkey) AS n_products, CAST(SUM(l_linenumber) AS BIGINT) AS sum_line
 FROM lineitem GROUP BY l_returnflag, l_linestatus""")
 def a01_a07_aggregates(spark, sf_dir):
     q = (ObjectQuery(_cat(spark, sf_dir), "LineItem")
