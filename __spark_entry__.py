@@ -186,10 +186,13 @@ def s11_wide_fetch(spark, sf_dir):
     return wide_fetch(q)
 
 
-@register("s12_sample", "SELECT * FROM (SELECT 1 AS x) WHERE x = 0")
+@register("s12_sample", """
+SELECT LEAST(25, COUNT(*)) AS n, LEAST(25, COUNT(*)) AS distinct_ids, TRUE AS typed FROM customer""")
 def s12_sample(spark, sf_dir):
-    # a sampling operator: the limit is the feature; zero rows asked for
-    return _cat(spark, sf_dir).sample("Account", 0).select(F.lit(1).alias("x"))
+    # a sampling operator: which 25 rows is not fixed, so check size, whole rows and types
+    s = _cat(spark, sf_dir).sample("Account", 25)
+    return s.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("Id").alias("distinct_ids"),
+                 F.lit(dict(s.dtypes)["Balance"] == "double").alias("typed"))
 
 
 @register("s13_summary", """

@@ -78,28 +78,50 @@ class GreedyPacker:
     max_bytes, or when the batch already holds max_records.  The check for
     the first record of an empty batch leaves out the header, and that
     record always enters the batch.  State carries across calls, so one
-    packer serves all Arrow chunks of a task."""
+    packer serves all Arrow chunks of a task.
+
+    Record and file sizes are non-negative, so the bytes of a batch grow with
+    each record: the end of a batch is found with one ``searchsorted`` on the
+    prefix sums, and the Python loop runs once per batch, not per row."""
 
     def __init__(self, header: int, max_records: int, max_bytes: int):
         self.header, self.max_records, self.max_bytes = header, max_records, max_bytes
-        self.batch = self.buf = self.count = self.files = 0
+        self.batch = 0
+        self.count = 0          # records in the open batch
+        self.used = 0           # record + file bytes in the open batch (no header)
 
     def feed(self, rec_bytes: np.ndarray, file_bytes: np.ndarray) -> np.ndarray:
-        out = np.empty(len(rec_bytes), dtype=np.int64)
-        batch, buf, count, files = self.batch, self.buf, self.count, self.files
-        for i in range(len(rec_bytes)):
-            b, f = int(rec_bytes[i]), int(file_bytes[i])
-            if f > self.max_bytes:
-                raise ValueError("File Size exceeded the limit of maximum bytes per batch")
-            if count > 0 and (buf + b + files + f > self.max_bytes or count >= self.max_records):
-                batch, buf, count, files = batch + 1, 0, 0, 0
-            if count == 0:
-                buf = self.header
-            buf += b
-            count += 1
-            files += f
-            out[i] = batch
-        self.batch, self.buf, self.count, self.files = batch, buf, count, files
+        rec = np.asarray(rec_bytes, dtype=np.int64)
+        files = np.asarray(file_bytes, dtype=np.int64)
+        n = len(rec)
+        out = np.empty(n, dtype=np.int64)
+        if n == 0:
+            return out
+        if (files > self.max_bytes).any():
+            raise ValueError("File Size exceeded the limit of maximum bytes per batch")
+        csum = np.zeros(n + 1, dtype=np.int64)
+        np.cumsum(rec + files, out=csum[1:])
+        pos = 0
+        while pos < n:
+            if self.count == 0:
+                # an empty batch always takes the next record
+                out[pos] = self.batch
+                self.used = int(csum[pos + 1] - csum[pos])
+                self.count = 1
+                pos += 1
+                continue
+            room = self.max_bytes - self.header - self.used
+            # records pos..end-1 fit while csum[end] - csum[pos] <= room
+            end = int(np.searchsorted(csum, csum[pos] + room, side="right")) - 1
+            end = max(pos, min(end, n, pos + self.max_records - self.count))
+            out[pos:end] = self.batch
+            self.used += int(csum[end] - csum[pos])
+            self.count += end - pos
+            pos = end
+            if pos < n:
+                self.batch += 1
+                self.count = 0
+                self.used = 0
         return out
 
 

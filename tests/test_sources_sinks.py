@@ -181,3 +181,38 @@ def test_csv_batches_and_results(spark):
     assert good.count() == 1 and bad.first().Error == "bad value"
     with pytest.raises(CatalogError, match="bad value"):
         check_results(res, "fail")
+
+
+def _loop_batches(rec, files, header, max_records, max_bytes):
+    out, batch, buf, count, fsum = [], 0, 0, 0, 0
+    for b, f in zip(rec, files):
+        if count > 0 and (buf + b + fsum + f > max_bytes or count >= max_records):
+            batch, buf, count, fsum = batch + 1, 0, 0, 0
+        if count == 0:
+            buf = header
+        buf += b
+        count += 1
+        fsum += f
+        out.append(batch)
+    return out
+
+
+def test_vectorised_packer_matches_row_loop():
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    from objectlake.operators.packing import GreedyPacker
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(st.tuples(st.integers(0, 60), st.integers(0, 40)), max_size=80),
+           st.integers(0, 30), st.integers(1, 12), st.integers(40, 200), st.integers(1, 5))
+    def check(rows, header, max_records, max_bytes, chunks):
+        rec = [r[0] for r in rows]
+        files = [r[1] for r in rows]
+        expected = _loop_batches(rec, files, header, max_records, max_bytes)
+        p = GreedyPacker(header, max_records, max_bytes)
+        got, step = [], max(1, len(rows) // chunks)
+        for i in range(0, len(rows), step):
+            got += list(p.feed(rec[i:i + step], files[i:i + step]))
+        assert got == expected
+    check()
