@@ -552,7 +552,15 @@ class ObjectQuery:
             kids = cq.to_df().withColumn(rank, F.lit(None).cast("int"))
         pid = column(parent.id_field)
         if spec.flat:
-            out = df.join(kids, pid == F.col(fk), "left")
+            # children ⋈ parents (inner: AQE may split a hot parent's children on
+            # either side) plus the parents without children (anti-join on the
+            # distinct child keys, pre-aggregated map-side) — never a left join
+            # with the hot side on the unsplittable right
+            kids = kids.drop(rank)
+            matched = kids.join(df, F.col(fk) == pid, "inner")
+            keys = kids.select(F.col(fk).alias(f"{tag}k")).distinct()
+            lonely = df.join(keys, pid == F.col(f"{tag}k"), "left_anti")
+            out = matched.unionByName(lonely, allowMissingColumns=True)
             cols = [F.col(c).alias(normalize_name(f"{label}_{n}")) for c, n in zip(inner, names)]
             return out, cols
         st = T.StructType([T.StructField(n, kids.schema[c].dataType, True) for c, n in zip(inner, names)])
@@ -604,7 +612,9 @@ def _subquery_join(df: DataFrame, x: Column, sub: DataFrame, negate: bool, tag:
     join plus the SQL rule for nulls (computed once as a scalar sub-query):
     an empty ``sub`` keeps every row, a null in ``sub`` keeps none, and a null
     ``x`` is kept only when ``sub`` is empty."""
-    v = sub.select(F.col(quote(sub.columns[0])).alias(tag))
+    # distinct first: a value repeated by a third of the sub-query rows is cut
+    # to one row per map task before the shuffle (partial aggregation)
+    v = sub.select(F.col(quote(sub.columns[0])).alias(tag)).distinct()
     if not negate:
         return df.join(v, x == F.col(tag), "left_semi")
     state = v.agg(F.when(F.count(F.lit(1)) == 0, F.lit(0))

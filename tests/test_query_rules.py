@@ -144,3 +144,25 @@ def test_self_reference_hierarchy(spark):
     kids = {r.Id: [c.Name for c in r.ChildAccounts] for r in
             ObjectQuery(cat, "Account").select("Id").children("ChildAccounts", select=["Name"]).to_df().collect()}
     assert kids == {1: ["child"], 2: ["leaf"], 3: []}
+
+
+def test_hot_parent_children(spark):
+    """One parent owns a third of all children: flat rows use an inner join
+    (splittable on both sides) plus an anti join; limited arrays stay small."""
+    from objectlake import Catalog
+    cat = Catalog(spark)
+    parents = spark.range(0, 300).selectExpr("id AS Id", "concat('p', id) AS Name")
+    kids = spark.range(0, 3000).selectExpr("id AS Id", "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 200 END AS ParentId",
+                                           "CAST(id AS DOUBLE) AS Amount")
+    cat.register("Parent", parents)
+    cat.register("Kid", kids)
+    cat.add_reference("Kid", "Parent", "ParentId", "Parent", child_name="Kids")
+    flat = ObjectQuery(cat, "Parent").select("Id").children("Kids", select=["Id"], flat=True).to_df()
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in plan and "LeftAnti" in plan
+    assert flat.count() == 3000 + 100          # parents 200..299 have no child
+    assert flat.filter("Id = 7").count() == 1000 + 10   # every third kid, plus ids 7 mod 200
+    top = (ObjectQuery(cat, "Parent").select("Id")
+           .children("Kids", select=["Amount"], order_by=[fld("Amount").desc()], limit=3).to_df())
+    hot = top.filter("Id = 7").first()
+    assert [k.Amount for k in hot.Kids] == [2997.0, 2994.0, 2991.0]
