@@ -209,6 +209,22 @@ class Catalog:
         """S-14: the object's schema (analysis only, no job runs)."""
         return self.get(name).loader().schema
 
+    def describe(self, name: str) -> dict:
+        """S-14: the object's fields (name, Spark type, field type, nullable),
+        references and child relationships — metadata only, nothing runs."""
+        obj = self.get(name)
+        st = self.schema(name)
+        return {
+            "name": obj.name, "label": obj.label, "queryable": obj.queryable, "custom": obj.custom,
+            "id_field": obj.id_field,
+            "fields": [{"name": f.name, "type": st[f.name].dataType.simpleString(),
+                        "field_type": self.field_type(name, f.name), "nullable": st[f.name].nullable}
+                       for f in st.fields if f.name in self.fields(name)],
+            "references": [{"name": r.name, "field": r.field, "target": r.target}
+                           for r in obj.references.values()],
+            "children": [{"name": c.name, "child": c.child, "field": c.field} for c in obj.children.values()],
+        }
+
     def fields(self, name: str) -> list[str]:
         obj = self.get(name)
         if obj._fields is None:

@@ -18,6 +18,7 @@ from ..naming import normalize_name, normalize_name_col, quote
 TIME_KEY = "logicalType"
 TIME_MICROS = "time-micros"
 TIME_MILLIS = "time-millis"
+DATETIME_TEXT = "datetime"      # an ISO local date-time held as text
 
 # The two file objects, their name field and data field.
 FILE_OBJECTS = {
@@ -169,6 +170,11 @@ def encode_value(c: Column, f: T.StructField) -> Column:
     if unit == TIME_MILLIS:
         t = F.timestamp_millis(c)
         return F.when(c.isNotNull(), _local_time_text(t))
+    if (f.metadata or {}).get(TIME_KEY) == DATETIME_TEXT and isinstance(dt, T.StringType):
+        # ISO local date-time kept as text: checked, then passed through
+        ok = F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm[:ss][.SSSSSSSSS]")).isNotNull()
+        return F.when(c.isNull() | ok, c).otherwise(F.raise_error(F.concat(
+            F.lit(f"Datetime field '{f.name}' with value '"), c, F.lit("' is not in ISO-8601 format."))))
     if isinstance(dt, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     if isinstance(dt, T.TimestampType):

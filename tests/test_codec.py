@@ -123,3 +123,21 @@ def test_conformance_verdicts(spark):
     assert rep["req"].blanks == 1 and rep["req"].verdict == "null in required field"
     assert rep["s"].nulls == 1 and rep["s"].verdict == "ok"
     assert rep["gone"].verdict == "missing" and rep["gone"].rows == 3
+
+
+def test_encode_datetime_text(spark):
+    from objectlake.operators.codec import DATETIME_TEXT, TIME_KEY
+    f = T.StructField("dt", T.StringType(), True, {TIME_KEY: DATETIME_TEXT})
+    good = spark.createDataFrame([("2023-06-12T07:00",), ("2023-06-12T07:00:01.5",), (None,)], T.StructType([f]))
+    assert [r.dt for r in encode(good).collect()] == ["2023-06-12T07:00", "2023-06-12T07:00:01.5", None]
+    bad = spark.createDataFrame([("12/06/2023",)], T.StructType([f]))
+    with pytest.raises(Exception, match="ISO-8601"):
+        encode(bad).collect()
+
+
+def test_describe(cat):
+    d = cat.describe("Opportunity")
+    assert d["id_field"] == "Id" and {"name": "Account", "field": "AccountId", "target": "Account"} in d["references"]
+    assert any(c["name"] == "LineItems" for c in d["children"])
+    amount = [f for f in d["fields"] if f["name"] == "Amount"][0]
+    assert amount["type"] == "double" and amount["field_type"] == "currency"
