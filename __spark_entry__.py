@@ -863,8 +863,9 @@ def w01_insert(spark, sf_dir):
     inp = opp.filter(F.col("CloseDate") >= F.lit(dt.date(1998, 1, 1))).select(
         F.col("Id").alias("ID"), F.col("AccountId").alias("accountid"), F.col("StageName").alias("STAGENAME"),
         F.col("Amount").alias("amount"))
-    assert not validate_write(target.schema, inp.schema.__class__(
-        [f for f in inp.schema.fields if f.name != "ID"]), "insert")
+    failures = validate_write(target.schema, inp.schema, "insert", read_only=["IsDeleted", "LastModifiedDate"])
+    if failures:
+        raise ValueError("; ".join(failures))
     return apply_write(target, inp, "insert").table
 
 
@@ -921,18 +922,17 @@ FROM {OPP} t LEFT JOIN up u ON t.Id = u.Id
 UNION ALL
 SELECT NULL, AccountId, StageName, Amount, NULL, NULL, NULL, NULL FROM ins""")
 def w03_upsert(spark, sf_dir):
-    from objectlake.sinks.write import write
+    from objectlake.sinks.write import apply_write, write
     opp = _opp_all(spark, sf_dir)
     up = opp.filter(F.col("CloseDate") >= F.lit(dt.date(2000, 1, 1))).select(
         "Id", F.lit(None).cast("long").alias("AccountId"), F.lit(None).cast("string").alias("StageName"),
         (F.col("Amount") + 1).alias("Amount"))
     ins = opp.filter(F.col("CloseDate") >= F.lit(dt.date(2001, 6, 1))).select(
         F.lit(None).cast("long").alias("Id"), "AccountId", F.lit("N").alias("StageName"), "Amount")
-    # an update row supplies only Id and Amount; a new row has no Id
-    res_up = write(_cat(spark, sf_dir), "Opportunity", up.select("Id", "Amount"), "upsert", key="Id")
-    cat2 = _cat(spark, sf_dir)
-    cat2.register("Opportunity", lambda: res_up.table, None, deleted_field="IsDeleted")
-    return write(cat2, "Opportunity", ins, "upsert", key="Id").table
+    # two writes, because a column's presence decides what changes: update rows
+    # supply only Id and Amount; new rows have no Id and supply other fields
+    first = write(_cat(spark, sf_dir), "Opportunity", up.select("Id", "Amount"), "upsert", key="Id")
+    return apply_write(first.table, ins, "upsert", key="Id").table
 
 
 @register("w06_pack_by_records", f"""

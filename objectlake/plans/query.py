@@ -549,14 +549,16 @@ class ObjectQuery:
                 cond = cond & (F.col(rank) <= lo + spec.limit)
             kids = kids.filter(cond)
         else:
-            kids = cq.to_df().withColumn(rank, F.lit(None).cast("int"))
+            kids = cq.to_df()
+            rank = None
         pid = column(parent.id_field)
         if spec.flat:
             # children ⋈ parents (inner: AQE may split a hot parent's children on
             # either side) plus the parents without children (anti-join on the
             # distinct child keys, pre-aggregated map-side) — never a left join
             # with the hot side on the unsplittable right
-            kids = kids.drop(rank)
+            if rank is not None:
+                kids = kids.drop(rank)
             matched = kids.join(df, F.col(fk) == pid, "inner")
             keys = kids.select(F.col(fk).alias(f"{tag}k")).distinct()
             lonely = df.join(keys, pid == F.col(f"{tag}k"), "left_anti")
@@ -565,8 +567,12 @@ class ObjectQuery:
             return out, cols
         st = T.StructType([T.StructField(n, kids.schema[c].dataType, True) for c, n in zip(inner, names)])
         arr = f"{tag}arr"
-        arrays = kids.groupBy(fk).agg(
-            F.array_sort(F.collect_list(F.struct(F.col(rank), *[F.col(c) for c in inner]))).alias(arr))
+        if rank is None:
+            collected = F.collect_list(F.struct(*[F.col(c) for c in inner]))
+        else:
+            # (rank, fields) structs sort by rank: the child ORDER BY
+            collected = F.array_sort(F.collect_list(F.struct(F.col(rank), *[F.col(c) for c in inner])))
+        arrays = kids.groupBy(fk).agg(collected.alias(arr))
         arrays = arrays.select(F.col(fk), F.transform(arr, lambda x: F.struct(
             *[x[c].alias(n) for c, n in zip(inner, names)])).alias(arr))
         out = df.join(arrays, pid == F.col(fk), "left")
