@@ -56,6 +56,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a shared folder (HDFS, S3, ...): "
+                               "lineage cuts and staged tables are written there")
         configured = tempfile.mkdtemp(prefix="objectlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)

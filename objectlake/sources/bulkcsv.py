@@ -30,12 +30,19 @@ def read_bulk_results(spark: SparkSession, paths: str | list[str], schema: T.Str
 
 
 def _empty_files(spark: SparkSession, files: list[str]) -> list[str]:
-    """Zero-length files among ``files`` (file-system metadata only)."""
+    """Zero-length files among ``files``: one listing per folder (file-system
+    metadata only, no data read)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
+    wanted: dict[str, set[str]] = {}
     for f in files:
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        if p.getFileSystem(conf).getFileStatus(p).getLen() == 0:
-            out.append(f)
+        parent, _, _ = f.rstrip("/").rpartition("/")
+        wanted.setdefault(parent, set()).add(f)
+    out = []
+    for parent, names in wanted.items():
+        d = jvm.org.apache.hadoop.fs.Path(parent)
+        for st in d.getFileSystem(conf).listStatus(d):
+            path = st.getPath().toString()
+            if st.isFile() and st.getLen() == 0 and (path in names or path.replace("file:/", "file:///") in names):
+                out.append(path)
     return out

@@ -129,8 +129,14 @@ def notify_for_fields(df: DataFrame, mode: str = "Referenced", select_fields: It
 def read_changes(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "text",
                  on_error: str = "fail", **options):
     """S-15: a streaming DataFrame of decoded change rows from message files
-    (one JSON message per line) arriving under ``path``."""
-    stream = spark.readStream.format(fmt).options(**options).load(path)
+    (one JSON message per line) arriving under ``path``, or from a Kafka
+    topic (``fmt="kafka"`` with the usual ``kafka.*``/``subscribe`` options;
+    needs the Kafka connector on the classpath)."""
+    reader = spark.readStream.format(fmt).options(**options)
+    stream = reader.load() if fmt == "kafka" else reader.load(path)
+    if fmt == "kafka":
+        # Kafka records carry the message as bytes in ``value``
+        stream = stream.select(F.col("value").cast("string").alias("value"))
     return decode_changes(stream, schema, on_error=on_error)
 
 
