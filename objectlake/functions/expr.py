@@ -143,10 +143,12 @@ class Expr:
         return Expr(f"({self.key} IN {vals!r})",
                     lambda r: self.to_column(r).isin([_py_lit(v) for v in vals]), (self,))
 
-    def notin(self, values) -> Expr:
-        """F-03 ``NOT IN`` list, J-05 on an ``ObjectQuery`` (SQL null rule)."""
+    def notin(self, values, null_safe: bool = False) -> Expr:
+        """F-03 ``NOT IN`` list, J-05 on an ``ObjectQuery``: the SQL null rule
+        by default; ``null_safe=True`` keeps rows whose value is not among the
+        non-null values of the query (NOT EXISTS)."""
         if _is_query(values):
-            return SubqueryIn(self, values, negate=True)
+            return SubqueryIn(self, values, negate=True, null_safe=null_safe)
         vals = list(values)
         return Expr(f"({self.key} NOT IN {vals!r})",
                     lambda r: ~self.to_column(r).isin([_py_lit(v) for v in vals]), (self,))
@@ -220,8 +222,8 @@ class SubqueryIn(Expr):
 
     kind = "subquery"
 
-    def __init__(self, expr: Expr, query, negate: bool):
-        self.expr, self.query, self.negate = expr, query, negate
+    def __init__(self, expr: Expr, query, negate: bool, null_safe: bool = False):
+        self.expr, self.query, self.negate, self.null_safe = expr, query, negate, null_safe
 
         def build(r):
             # Nested under OR/NOT: Spark's IN-subquery (existence join).

@@ -396,7 +396,8 @@ class ObjectQuery:
         for cond in conds:
             for c in conjuncts(cond):
                 if isinstance(c, SubqueryIn):
-                    df = _subquery_join(df, c.expr.to_column(r), c.query.to_df(), c.negate, f"__sq{n}")
+                    df = _subquery_join(df, c.expr.to_column(r), c.query.to_df(), c.negate, f"__sq{n}",
+                                        c.null_safe)
                     n += 1
                 else:
                     plain.append(c)
@@ -613,7 +614,8 @@ class _FrameQuery:
         return self.df
 
 
-def _subquery_join(df: DataFrame, x: Column, sub: DataFrame, negate: bool, tag: str) -> DataFrame:
+def _subquery_join(df: DataFrame, x: Column, sub: DataFrame, negate: bool, tag: str,
+                   null_safe: bool = False) -> DataFrame:
     """``x IN (sub)`` as a left-semi join; ``x NOT IN (sub)`` as a left-anti
     join plus the SQL rule for nulls (computed once as a scalar sub-query):
     an empty ``sub`` keeps every row, a null in ``sub`` keeps none, and a null
@@ -623,6 +625,8 @@ def _subquery_join(df: DataFrame, x: Column, sub: DataFrame, negate: bool, tag:
     v = sub.select(F.col(quote(sub.columns[0])).alias(tag)).distinct()
     if not negate:
         return df.join(v, x == F.col(tag), "left_semi")
+    if null_safe:
+        return df.join(v.filter(F.col(tag).isNotNull()), x == F.col(tag), "left_anti")
     state = v.agg(F.when(F.count(F.lit(1)) == 0, F.lit(0))
                   .when(F.count_if(F.col(tag).isNull()) > 0, F.lit(2))
                   .otherwise(F.lit(1))).scalar()

@@ -166,3 +166,17 @@ def test_hot_parent_children(spark):
            .children("Kids", select=["Amount"], order_by=[fld("Amount").desc()], limit=3).to_df())
     hot = top.filter("Id = 7").first()
     assert [k.Amount for k in hot.Kids] == [2997.0, 2994.0, 2991.0]
+
+
+def test_not_in_null_safe_and_read_source(cat):
+    from objectlake.sources.batch import read_source
+    sub = ObjectQuery(cat, "Opportunity").select("Priority").where(fld("Amount") > 400000)
+    strict = ObjectQuery(cat, "Opportunity").select("Id").where(fld("Priority").notin(sub)).to_df().count()
+    loose = (ObjectQuery(cat, "Opportunity").select("Id").where(fld("Priority").notin(sub, null_safe=True))
+             .to_df().count())
+    assert strict == 0 and loose > 0          # the sub-query holds a null priority
+    q = ObjectQuery(cat, "Account").select("Id")
+    assert read_source(cat, "Opportunity", q, since="2100-01-01").columns == ["Id"]   # query wins, read as written
+    assert read_source(cat, "Opportunity", since="2100-01-01").count() == 0
+    with pytest.raises(CatalogError):
+        read_source(cat)
