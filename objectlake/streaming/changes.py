@@ -26,6 +26,8 @@ from ..catalog import CatalogError
 from ..naming import normalize_name_col
 from ..operators.codec import decode_value
 
+# The message envelope keys are event (type, createdDate,
+# replayId), sobject (the changed record), changedFields and before.
 # Event operation names and the notify-for-fields modes.
 OPERATIONS = ("created", "updated", "deleted", "undeleted")
 FIELD_MODES = ("All", "Referenced", "Select", "Where")
