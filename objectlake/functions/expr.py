@@ -65,10 +65,14 @@ class Expr:
         return f"Expr({self.key}{' AS ' + self.name if self.name else ''})"
 
     # -- operators (F-01, F-07, F-08) ------------------------------------
+    op: str | None = None    # operator of a binary node (AND splits a WHERE)
+
     def _bin(self, other, sym: str, fn) -> Expr:
         o = as_expr(other)
-        return Expr(f"({self.key} {sym} {o.key})",
-                    lambda r: fn(self.to_column(r), o.to_column(r)), (self, o))
+        e = Expr(f"({self.key} {sym} {o.key})",
+                 lambda r: fn(self.to_column(r), o.to_column(r)), (self, o))
+        e.op = sym
+        return e
 
     def __eq__(self, other):  # type: ignore[override]
         if other is None:       # F-04: ``= NULL``
@@ -327,7 +331,6 @@ def not_(cond) -> Expr:
 
 def conjuncts(e: Expr) -> list[Expr]:
     """Split a condition on its top-level ANDs."""
-    if e.key.startswith("(") and " AND " in e.key and len(e.children) == 2 and e.kind == "value" \
-            and e.key == f"({e.children[0].key} AND {e.children[1].key})":
+    if e.op == "AND" and e.kind == "value":
         return conjuncts(e.children[0]) + conjuncts(e.children[1])
     return [e]

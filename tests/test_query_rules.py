@@ -180,3 +180,15 @@ def test_not_in_null_safe_and_read_source(cat):
     assert read_source(cat, "Opportunity", since="2100-01-01").count() == 0
     with pytest.raises(CatalogError):
         read_source(cat)
+
+
+def test_subquery_under_or(cat):
+    sub = ObjectQuery(cat, "Opportunity").select("AccountId").where(fld("Amount") > 450000)
+    got = {r.Id for r in ObjectQuery(cat, "Account").select("Id")
+           .where(fld("Id").isin(sub) | (fld("Segment") == "BUILDING")).to_df().collect()}
+    ids = {r.AccountId for r in sub.to_df().collect()}
+    seg = {r.Id for r in ObjectQuery(cat, "Account").select("Id").where(fld("Segment") == "BUILDING").to_df().collect()}
+    assert got == ids | seg
+    both = {r.Id for r in ObjectQuery(cat, "Account").select("Id")
+            .where(fld("Id").isin(sub) & (fld("Segment") == "BUILDING")).to_df().collect()}
+    assert both == ids & seg
