@@ -40,6 +40,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("OBJECTLAKE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.sql.warehouse.dir", os.environ.get(
+            "OBJECTLAKE_WAREHOUSE", tempfile.mkdtemp(prefix="objectlake-warehouse-")))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -192,3 +192,22 @@ def test_subquery_under_or(cat):
     both = {r.Id for r in ObjectQuery(cat, "Account").select("Id")
             .where(fld("Id").isin(sub) & (fld("Segment") == "BUILDING")).to_df().collect()}
     assert both == ids & seg
+
+
+def test_materialized_bucketed_join(spark):
+    """Opportunity and LineItem bucketed on the join key: the child join
+    reads both sides without a shuffle."""
+    from objectlake.sampledata import sample_catalog
+    cat = sample_catalog(spark, "/root/testdata/sf0.001")
+    cat.materialize("Opportunity", "ol_opportunity", buckets=4)
+    cat.materialize("LineItem", "ol_lineitem", bucket_by="OpportunityId", buckets=4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = (ObjectQuery(cat, "LineItem").select("Quantity", "Opportunity.Amount")
+              .where(fld("Quantity") > 10).to_df())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert df.count() == (ObjectQuery(sample_catalog(spark, "/root/testdata/sf0.001"), "LineItem")
+                              .select("Quantity", "Opportunity.Amount").where(fld("Quantity") > 10).to_df().count())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
