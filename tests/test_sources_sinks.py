@@ -216,3 +216,11 @@ def test_vectorised_packer_matches_row_loop():
             got += list(p.feed(rec[i:i + step], files[i:i + step]))
         assert got == expected
     check()
+
+
+def test_csv_batches_serial(spark):
+    df = spark.createDataFrame([(i, f"n{i}", i // 3) for i in range(9)], "Id long, Name string, batch_id long")
+    out = os.path.join(_tmp(), "serial")
+    write_csv_batches(df, out, serial=True)
+    back = spark.read.option("header", True).csv(out)
+    assert back.count() == 9 and sorted(r.batch_id for r in back.select("batch_id").distinct().collect()) == [0, 1, 2]

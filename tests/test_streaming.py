@@ -73,3 +73,21 @@ def test_field_change_from_before_image(spark):
     assert ids(notify(rows, update=False)) == [3]
     with pytest.raises(Exception):
         notify_for_fields(rows, "Sometimes")
+
+
+def test_object_query_over_stream(spark):
+    """T-04: an ObjectQuery's fields and filters applied to a stream."""
+    from objectlake import Catalog, ObjectQuery, fld
+    src = tempfile.mkdtemp(prefix="objectlake-msgs-")
+    _messages(spark).write.mode("overwrite").text(os.path.join(src, "in"))
+    stream = read_changes(spark, os.path.join(src, "in"), SCHEMA)
+    cat = Catalog(spark)
+    cat.register("UserState", decode_changes(spark.read.text(os.path.join(src, "in")), SCHEMA))
+    q = ObjectQuery(cat, "UserState").select("Id", "Value").where((fld("Type") == "purchase") & (fld("Value") > 30))
+    out = tempfile.mkdtemp(prefix="objectlake-out-")
+    run = (q.over(stream).writeStream.format("parquet").option("path", os.path.join(out, "d"))
+           .option("checkpointLocation", os.path.join(out, "c")).trigger(availableNow=True).start())
+    run.awaitTermination(120)
+    got = spark.read.parquet(os.path.join(out, "d"))
+    want = q.to_df()
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
