@@ -647,6 +647,14 @@ def o02_nulls_first_default(spark, sf_dir):
             .order_by("Priority", ("Id", "desc", "first")).limit(25).to_df())
 
 
+@register("o04_offset_without_limit", f"""
+SELECT Id, Amount FROM {OPP_LIVE} ORDER BY Amount DESC, Id OFFSET 10000""")
+def o04_offset_without_limit(spark, sf_dir):
+    # the skipped prefix is found with the distributed row index, not one task
+    return (ObjectQuery(_cat(spark, sf_dir), "Opportunity").select("Id", "Amount")
+            .order_by(("Amount", "desc"), "Id").offset(10000).to_df())
+
+
 @register("o03_limit_zero", "SELECT c_custkey AS Id FROM customer LIMIT 0")
 def o03_limit_zero(spark, sf_dir):
     return ObjectQuery(_cat(spark, sf_dir), "Account").select("Id").limit(0).to_df()

@@ -215,7 +215,10 @@ class SortKey:
         self.expr, self.descending, self.nulls = expr, descending, nulls
 
     def to_column(self, r) -> Column:
-        c = self.expr.to_column(r)
+        return self.apply(self.expr.to_column(r))
+
+    def apply(self, c: Column) -> Column:
+        """``c`` as a sort key with this key's direction and null placement."""
         if self.descending:
             return c.desc_nulls_first() if self.nulls == "first" else c.desc_nulls_last()
         return c.asc_nulls_first() if self.nulls == "first" else c.asc_nulls_last()

@@ -36,11 +36,19 @@ def _order_cols(df: DataFrame, order: Iterable[str]) -> list[Column]:
     return [F.col(quote(c)) for c in keys + rest]
 
 
-def global_index(df: DataFrame, order: Iterable[str], name: str = "index") -> DataFrame:
-    """``df`` plus a 0-based row number in ``order`` (ties broken by the other
+def global_index(df: DataFrame, order: Iterable, name: str = "index") -> DataFrame:
+    """``df`` plus a 0-based row number in ``order`` (column names or sort
+    Columns such as ``col.desc_nulls_first()``; ties broken by the other
     columns)."""
     checkpoint_dir(df.sparkSession)
-    cols = _order_cols(df, order)
+    order = list(order)
+    if all(isinstance(o, str) for o in order):
+        cols = _order_cols(df, order)
+    else:
+        cols = [o if isinstance(o, Column) else F.col(quote(o)) for o in order] + _order_cols(df, [])
+    if not cols:
+        # nothing sortable: a deterministic hash of the row spreads it
+        cols = [F.xxhash64(*[F.col(quote(c)) for c in df.columns])]
     tagged = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
               .withColumn("__mid", F.monotonically_increasing_id())
               .checkpoint(eager=True))

@@ -457,12 +457,25 @@ class ObjectQuery:
         r.df = df
         names = [self._out_name(it, i) for i, it in enumerate(self._select)]
         out_cols = [it.to_column(r).alias(n) for it, n in zip(self._select, names)] + child_cols
+        return self._finish(df, out_cols, r)
+
+    def _finish(self, df: DataFrame, out_cols: list[Column], r: _Resolver) -> DataFrame:
+        """ORDER BY, then OFFSET / LIMIT.  With a LIMIT the result is a
+        bounded top-k.  An OFFSET alone numbers the rows with the distributed
+        row index (range partitioning + checkpoint) and keeps positions from
+        the offset on, instead of pulling every row into one partition."""
+        if self._offset and self._limit is None:
+            from ..operators.packing import global_index
+            hidden = [k.expr.to_column(r).alias(f"__o{i}") for i, k in enumerate(self._order)]
+            staged = df.select(*out_cols, *hidden)
+            names = [c for c in staged.columns if not c.startswith("__o")]
+            order = [k.apply(F.col(f"__o{i}")) for i, k in enumerate(self._order)]
+            idx = global_index(staged, order, "__pos")
+            kept = idx.filter(F.col("__pos") >= self._offset).orderBy("__pos")
+            return kept.select(*[F.col(quote(n)) for n in names])
         if self._order:
             df = df.orderBy(*[k.to_column(r) for k in self._order])
         df = df.select(*out_cols)
-        return self._slice(df)
-
-    def _slice(self, df: DataFrame) -> DataFrame:
         if self._offset:
             df = df.offset(self._offset)
         if self._limit is not None:
@@ -518,9 +531,7 @@ class ObjectQuery:
             out = out.filter(self._having.to_column(post))
         names = [self._out_name(it, i) for i, it in enumerate(self._select)]
         out_cols = [it.to_column(post).alias(n) for it, n in zip(self._select, names)]
-        if self._order:
-            out = out.orderBy(*[k.to_column(post) for k in self._order])
-        return self._slice(out.select(*out_cols))
+        return self._finish(out, out_cols, post)
 
     # ---------------------------------------------------------- children
     def _attach_children(self, df: DataFrame, spec: ChildSpec) -> tuple[DataFrame, list[Column]]:

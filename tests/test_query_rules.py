@@ -211,3 +211,15 @@ def test_materialized_bucketed_join(spark):
                               .select("Quantity", "Opportunity.Amount").where(fld("Quantity") > 10).to_df().count())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_offset_without_limit(cat):
+    q = ObjectQuery(cat, "Account").select("Id", "Balance").order_by(fld("Balance").desc(), "Id")
+    all_rows = [(r.Id, r.Balance) for r in q.to_df().collect()]
+    rest = q.offset(100).to_df()
+    plan = rest._jdf.queryExecution().executedPlan().toString()
+    assert "GlobalLimit" not in plan and "CollectLimit" not in plan
+    assert sorted((r.Id, r.Balance) for r in rest.collect()) == sorted(all_rows[100:])
+    grouped = (ObjectQuery(cat, "Account").select("TerritoryId", count_().alias("n"))
+               .group_by("TerritoryId").order_by("TerritoryId").offset(20).to_df())
+    assert [r.TerritoryId for r in grouped.collect()] == [20, 21, 22, 23, 24]
