@@ -85,6 +85,47 @@ def entry(spark: SparkSession) -> DataFrame:
     return flagship(spark, SMOKE_DIR)
 
 
+# ------------------------------------------------------- report queries
+@register("r01_revenue_by_brand_and_region", """
+SELECT p.p_brand AS brand, r.r_name AS vendor_region, COUNT(*) AS lines,
+       ROUND(SUM(l.l_extendedprice), 2) AS revenue, ROUND(AVG(l.l_discount), 6) AS avg_discount
+FROM lineitem l
+LEFT JOIN part p ON l.l_partkey = p.p_partkey
+LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
+LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+WHERE year(o.o_orderdate) = 1997 AND l.l_returnflag <> 'R'
+GROUP BY p.p_brand, r.r_name HAVING COUNT(*) >= 20""")
+def r01_revenue_by_brand_and_region(spark, sf_dir):
+    q = (ObjectQuery(_cat(spark, sf_dir), "LineItem")
+         .select(fld("Product.Brand").alias("brand"), fld("Vendor.Territory.Region.Name").alias("vendor_region"),
+                 count_().alias("lines"), sum_("Price").alias("revenue"), avg_("Discount").alias("avg_discount"))
+         .where((calendar_year("Opportunity.CloseDate") == 1997) & (fld("Flag") != "R"))
+         .group_by("Product.Brand", "Vendor.Territory.Region.Name")
+         .having(count_() >= 20))
+    return _round(_round(q.to_df(), "revenue"), "avg_discount", digits=6)
+
+
+@register("r02_top_accounts_by_open_pipeline", f"""
+SELECT c.c_custkey AS account, c.c_mktsegment AS segment, n.n_name AS territory, COUNT(*) AS open_opps,
+       ROUND(SUM(o.Amount), 2) AS pipeline
+FROM {OPP_LIVE} o LEFT JOIN customer c ON o.AccountId = c.c_custkey
+LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+WHERE o.StageName = 'O'
+GROUP BY c.c_custkey, c.c_mktsegment, n.n_name
+ORDER BY pipeline DESC, account LIMIT 10""")
+def r02_top_accounts_by_open_pipeline(spark, sf_dir):
+    q = (ObjectQuery(_cat(spark, sf_dir), "Opportunity")
+         .select(fld("Account.Id").alias("account"), fld("Account.Segment").alias("segment"),
+                 fld("Account.Territory.Name").alias("territory"), count_().alias("open_opps"),
+                 sum_("Amount").alias("pipeline"))
+         .where(fld("StageName") == "O")
+         .group_by("Account.Id", "Account.Segment", "Account.Territory.Name")
+         .order_by(sum_("Amount").desc(), "Account.Id").limit(10))
+    return _round(q.to_df(), "pipeline")
+
+
 # ------------------------------------------------------------- scans S-01..S-13
 @register("s01_object_scan_interval", f"""
 SELECT * FROM {OPP_LIVE} WHERE LastModifiedDate >= TIMESTAMP '1998-01-01'

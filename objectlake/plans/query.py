@@ -363,7 +363,12 @@ class ObjectQuery:
             df = df.filter(cond)
         return df
 
-    def _join_paths(self, df: DataFrame, r: _Resolver, paths: set[str]) -> DataFrame:
+    def _join_paths(self, df: DataFrame, r: _Resolver, paths: set[str],
+                    filter_paths: set[str] = frozenset()) -> DataFrame:
+        """One left join per distinct relationship prefix.  Relationships that
+        the WHERE clause filters on are joined first: Catalyst turns them into
+        inner joins with the filter below them, so the rows shrink before the
+        remaining joins."""
         needed: dict[tuple[str, ...], set[str]] = {}
         for p in paths:
             rels, f = r.split(p)
@@ -376,7 +381,8 @@ class ObjectQuery:
             if len(prefix) > 1:
                 owner = r.target_of(prefix[:-1])
                 needed[prefix[:-1]].add(self.catalog.reference(owner, prefix[-1]).field)
-        for prefix in sorted(needed, key=len):
+        filtered_roots = {r.split(p)[0][0] for p in filter_paths if r.split(p)[0]}
+        for prefix in sorted(needed, key=lambda pr: (pr[0] not in filtered_roots, len(pr))):
             owner = r.target_of(prefix[:-1])
             ref = self.catalog.reference(owner, prefix[-1])
             target = self.catalog.get(ref.target)
@@ -440,7 +446,10 @@ class ObjectQuery:
             for sub in e.walk():
                 if isinstance(sub, SubqueryIn):
                     paths |= sub.expr.paths
-        df = self._join_paths(df, r, paths)
+        filter_paths = set()
+        for e in conds:
+            filter_paths |= e.paths
+        df = self._join_paths(df, r, paths, filter_paths)
         r.df = df
         df = self._apply_where(df, r, conds)
         r.df = df
