@@ -153,9 +153,27 @@ class Catalog:
                         external_ids=set(external_ids), read_only=set(read_only), path=path)
         if fields:
             obj._fields = list(fields.keys())
+        obj._cache = cache
+        obj._mapped = bool(fields)
         self._objects[name.lower()] = obj
         return obj
 
+    def refresh(self, name: str) -> None:
+        """Forget the object's DataFrame (file listing) after its table changed."""
+        getattr(self.get(name), "_cache", {}).clear()
+
+    def commit(self, name: str, table: DataFrame) -> str:
+        """W-12 for a Parquet-backed object: stage ``table`` next to the
+        object's folder, swap it in, and read the new files from then on."""
+        from .sinks.write import commit as commit_table
+        obj = self.get(name)
+        if not obj.path or obj._mapped:
+            raise CatalogError(f"Object '{obj.name}' is not stored as its own Parquet folder "
+                               "(registered with a path and no field mapping)")
+        commit_table(table, obj.path)
+        self.refresh(name)
+        return obj.path
+
     def add_reference(self, obj: str, name: str, field_name: str, target: str,
                       child_name: str | None = None) -> None:
         """``obj.field_name`` points at ``target.Id`` through relationship ``name``;

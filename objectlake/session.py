@@ -71,3 +71,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for staged tables."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def scale_settings(input_bytes: int, executor_cores_total: int,
+                   target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of Parquet: file splits
+    of ``target_partition_bytes``; shuffle partitions so a shuffle of the whole
+    input lands near the target per partition (never fewer than two waves of
+    the cores); AQE then coalesces small partitions and splits skewed ones."""
+    parts = max(2 * executor_cores_total, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
+def apply_settings(spark: SparkSession, settings: dict[str, str], override: bool = False) -> None:
+    """Set ``settings`` on the session; values the cluster already set are
+    kept unless ``override``."""
+    for k, v in settings.items():
+        if override or spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)

@@ -224,3 +224,23 @@ def test_csv_batches_serial(spark):
     write_csv_batches(df, out, serial=True)
     back = spark.read.option("header", True).csv(out)
     assert back.count() == 9 and sorted(r.batch_id for r in back.select("batch_id").distinct().collect()) == [0, 1, 2]
+
+
+def test_catalog_commit_refresh(spark):
+    path = os.path.join(_tmp(), "acct")
+    _target(spark).write.parquet(path)
+    cat = Catalog(spark)
+    cat.register("Account", path)
+    res = write(cat, "Account", spark.createDataFrame([("z",)], "Name string"), "insert")
+    cat.commit("Account", res.table)
+    assert cat.table("Account").count() == 4
+    cat.register("Mapped", path, {"Key": "Id"})
+    with pytest.raises(CatalogError):
+        cat.commit("Mapped", cat.table("Mapped"))
+
+
+def test_scale_settings():
+    from objectlake.session import scale_settings
+    s = scale_settings(100 * 1024 ** 4, executor_cores_total=8000)
+    assert int(s["spark.sql.shuffle.partitions"]) == 409600
+    assert int(scale_settings(1 << 20, 16)["spark.sql.shuffle.partitions"]) == 32
