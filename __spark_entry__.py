@@ -274,6 +274,26 @@ def j01_region_counts(spark, sf_dir):
             .group_by("account.territory.region.name").to_df())
 
 
+@register("j01_null_parents", f"""
+SELECT k.c_mktsegment AS key_segment, COUNT(*) AS n, COUNT(k.c_name) AS with_key_account,
+       ROUND(SUM(o.Amount), 2) AS amount
+FROM {OPP_LIVE} o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 5000) k ON o.AccountId = k.c_custkey
+GROUP BY k.c_mktsegment""")
+def j01_null_parents(spark, sf_dir):
+    """A reference to a filtered parent object: opportunities of other
+    accounts get null parent fields (left join), they are not dropped."""
+    cat = _cat(spark, sf_dir)
+    cust = spark.read.parquet(table_path(sf_dir, "customer"))
+    cat.register("KeyAccount", cust.filter(F.col("c_acctbal") > 5000),
+                 {"Id": "c_custkey", "Name": "c_name", "Segment": "c_mktsegment"})
+    cat.add_reference("Opportunity", "KeyAccount", "AccountId", "KeyAccount")
+    q = (ObjectQuery(cat, "Opportunity")
+         .select(fld("KeyAccount.Segment").alias("key_segment"), count_().alias("n"),
+                 count_("KeyAccount.Name").alias("with_key_account"), sum_("Amount").alias("amount"))
+         .group_by("KeyAccount.Segment"))
+    return _round(q.to_df(), "amount")
+
+
 @register("p09_case_insensitive_fields", """
 SELECT c_custkey AS Id, c_mktsegment AS Segment, n_name AS Territory_Name
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0""")
