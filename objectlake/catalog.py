@@ -316,10 +316,14 @@ class Catalog:
     def object(self, name: str, *, since=None, until=None, as_of=None, duration=None,
                offset=None, schema: T.StructType | None = None,
                skip_types: Iterable[str] = COMPOUND_TYPES,
-               include_deleted: bool = False) -> DataFrame:
+               include_deleted: bool = False, check_schema: bool = True) -> DataFrame:
         """S-01 object scan: every field except ``skip_types`` in object order,
         restricted to the fields of ``schema`` when given (P-07), with the
-        modified-time interval (F-09) or range (F-10) filter."""
+        modified-time interval (F-09) or range (F-10) filter.
+
+        A provided schema wins after the compatibility check (V-03: each of
+        its fields exists with the same type; it may widen nullability), and
+        the columns take its names."""
         from .functions.timefilter import modified_filter
 
         obj = self.get(name)
@@ -335,7 +339,16 @@ class Catalog:
                                duration=duration, offset=offset)
         if cond is not None:
             df = df.filter(cond)
-        return df.select(*[F.col(c) for c in cols])
+        out = df.select(*[F.col(c) for c in cols])
+        if schema is not None:
+            if check_schema:
+                from .schema import compatibility
+                failures = compatibility(out.schema, schema, check_nullability=False)
+                if failures:
+                    raise CatalogError("; ".join(failures), failures)
+            names = {f.name.lower(): f.name for f in schema.fields}
+            out = out.toDF(*[names[c.lower()] for c in out.columns])
+        return out
 
     def sample(self, name: str, n: int) -> DataFrame:
         """S-12: first ``n`` rows of all non-compound fields (a sampling operator)."""

@@ -63,3 +63,18 @@ def test_scan_option_validation():
     assert validate_scan_options("2019-01-01T00:00:00Z", None, "2 hours", None, "queryAll") == []
     f = validate_scan_options("yesterday", "2019-13-01", "2 abc", "1 HOURS,2", "select")
     assert len(f) == 5
+
+
+def test_provided_schema_checked(cat):
+    from objectlake import CatalogError
+    ok = cat.object("Account", schema=T.StructType([T.StructField("name", T.StringType(), False),
+                                                    T.StructField("ID", T.LongType())]))
+    assert ok.columns == ["ID", "name"]
+    with pytest.raises(CatalogError) as e:
+        cat.object("Account", schema=T.StructType([T.StructField("Name", T.IntegerType()),
+                                                   T.StructField("Nope", T.StringType()),
+                                                   T.StructField("Id", T.LongType())]))
+    assert len(e.value.failures) == 2
+    loose = cat.object("Account", schema=T.StructType([T.StructField("Nope", T.StringType()),
+                                                       T.StructField("Id", T.LongType())]), check_schema=False)
+    assert loose.columns == ["Id"]
