@@ -356,13 +356,25 @@ class Catalog:
 
     def objects(self, allow: str | Iterable[str] | None = None,
                 deny: str | Iterable[str] | None = None,
-                name_field: str = "tablename", **scan_args) -> MultiObject:
-        """S-03/S-04/S-05: one scan per selected object, tagged with its name."""
+                name_field: str = "tablename", chunk_size: int | None = None,
+                **scan_args) -> MultiObject:
+        """S-03/S-04/S-05: one scan per selected object, tagged with its name.
+        ``chunk_size`` also splits each object into key-range chunks (S-08)
+        on its Id; objects that cannot be chunked (S-09) are an error."""
+        from .operators.chunking import CHUNKABLE_OBJECTS, read_chunked
         from .sources.multi import select_objects
 
         chosen = select_objects(self, allow, deny)
-        return MultiObject({n: self.object(n, **scan_args).withColumn(name_field, F.lit(n))
-                            for n in chosen}, name_field)
+        frames = {}
+        for n in chosen:
+            df = self.object(n, **scan_args)
+            if chunk_size:
+                o = self.get(n)
+                if not (o.custom or n in CHUNKABLE_OBJECTS) or not o.id_field:
+                    raise CatalogError(f"Object '{n}' does not support chunking")
+                df = read_chunked(df, o.id_field, chunk_size)
+            frames[n] = df.withColumn(name_field, F.lit(n))
+        return MultiObject(frames, name_field)
 
     def summary(self, queryable_only: bool = False) -> DataFrame:
         """S-13: one row per object: name, label, queryable, rows, newest change."""

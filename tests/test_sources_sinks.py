@@ -244,3 +244,11 @@ def test_scale_settings():
     s = scale_settings(100 * 1024 ** 4, executor_cores_total=8000)
     assert int(s["spark.sql.shuffle.partitions"]) == 409600
     assert int(scale_settings(1 << 20, 16)["spark.sql.shuffle.partitions"]) == 32
+
+
+def test_multi_object_chunks(cat):
+    multi = cat.objects(allow="Account,Opportunity", chunk_size=500)
+    u = multi.union()
+    assert "chunk_id" in u.columns and u.count() == cat.object("Account").count() + cat.object("Opportunity").count()
+    with pytest.raises(CatalogError):
+        cat.objects(allow="Territory", chunk_size=10)
