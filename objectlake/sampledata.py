@@ -29,9 +29,23 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+_FRAMES: dict = {}
+
+
+def table_frame(spark: SparkSession, sf_dir: str, name: str):
+    """The driver table as a DataFrame, read once per session: the tables are
+    read-only, so the file listing and footer reads are shared by queries."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _FRAMES:
+        _FRAMES[key] = spark.read.parquet(table_path(sf_dir, name))
+    return _FRAMES[key]
+
+
 def sample_catalog(spark: SparkSession, sf_dir: str) -> Catalog:
     cat = Catalog(spark)
-    p = lambda t: table_path(sf_dir, t)
+
+    def p(t):
+        return lambda: table_frame(spark, sf_dir, t)
 
     cat.register("Region", p("region"), {"Id": "r_regionkey", "Name": "r_name"})
     cat.register("Territory", p("nation"),
