@@ -146,3 +146,51 @@ def stream_query_fields(catalog, obj: str) -> list[str]:
     """T-06: with no query, a stream selects every field except long text."""
     from ..catalog import STREAM_SKIP_TYPES
     return [f for f in catalog.fields(obj) if catalog.field_type(obj, f).lower() not in STREAM_SKIP_TYPES]
+
+
+def start_change_stream(spark: SparkSession, path: str, schema: T.StructType, out_path: str,
+                        checkpoint: str, *, fmt: str = "text", query=None,
+                        operations: dict | None = None, field_mode: str | None = None,
+                        select_fields: Iterable[str] = (), where_fields: Iterable[str] = (),
+                        cond: Column | None = None, quarantine_path: str | None = None,
+                        available_now: bool = False, processing_time: str | None = None, **options):
+    """S-15 end to end: messages under ``path`` → decoded rows → operation
+    filter (T-02, ``operations`` like ``{"delete": False}``) → field-change
+    filter (T-03) → the fields and filters of ``query`` (T-04, an
+    ``ObjectQuery`` over the same schema) → Parquet at ``out_path``.
+
+    Without ``quarantine_path`` a bad message fails the stream (T-07 "fail").
+    With it, each micro-batch writes its good rows and its bad messages to
+    ``<out>/epoch=<id>`` and ``<quarantine>/epoch=<id>`` with overwrite, so a
+    retried micro-batch replaces its own output instead of duplicating it.
+    Returns the running ``StreamingQuery``; progress is kept in
+    ``checkpoint``."""
+    reader = spark.readStream.format(fmt).options(**options)
+    raw = reader.load() if fmt == "kafka" else reader.load(path)
+    if fmt == "kafka":
+        raw = raw.select(F.col("value").cast("string").alias("value"))
+
+    def shape(rows: DataFrame) -> DataFrame:
+        if operations:
+            rows = notify(rows, **operations)
+        if field_mode:
+            rows = notify_for_fields(rows, field_mode, select_fields, where_fields, cond)
+        elif cond is not None:
+            rows = rows.filter(cond)
+        return query.over(rows) if query is not None else rows.drop("_changed", "_before")
+
+    if quarantine_path is None:
+        out = shape(decode_changes(raw, schema, on_error="fail"))
+        writer = out.writeStream.format("parquet").option("path", out_path)
+    else:
+        def each_batch(batch: DataFrame, epoch: int) -> None:
+            good, bad = decode_changes(batch, schema, on_error="quarantine")
+            shape(good).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
+            bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/epoch={epoch}")
+        writer = raw.writeStream.foreachBatch(each_batch)
+    writer = writer.option("checkpointLocation", checkpoint)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()

@@ -91,3 +91,28 @@ def test_object_query_over_stream(spark):
     got = spark.read.parquet(os.path.join(out, "d"))
     want = q.to_df()
     assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+
+
+def test_start_change_stream_with_quarantine(spark):
+    from objectlake.streaming.changes import start_change_stream
+    src = tempfile.mkdtemp(prefix="objectlake-msgs-")
+    msgs = _messages(spark)
+    bad = spark.createDataFrame([("garbage",), ('{"event":{"type":"updated"}}',)], "value string")
+    msgs.unionByName(bad).write.mode("overwrite").text(os.path.join(src, "in"))
+    out = tempfile.mkdtemp(prefix="objectlake-out-")
+    q = start_change_stream(spark, os.path.join(src, "in"), SCHEMA, os.path.join(out, "rows"),
+                            os.path.join(out, "ckpt"), operations={"delete": False},
+                            quarantine_path=os.path.join(out, "bad"), available_now=True)
+    q.awaitTermination(120)
+    rows = spark.read.parquet(os.path.join(out, "rows"))
+    want = notify(decode_changes(msgs, SCHEMA), delete=False)
+    assert rows.count() == want.count() > 0
+    assert spark.read.parquet(os.path.join(out, "bad")).count() == 2
+    # without a quarantine a bad message stops the stream
+    out2 = tempfile.mkdtemp(prefix="objectlake-out-")
+    q2 = start_change_stream(spark, os.path.join(src, "in"), SCHEMA, os.path.join(out2, "rows"),
+                             os.path.join(out2, "ckpt"), available_now=True)
+    with pytest.raises(Exception):
+        q2.awaitTermination(120)
+        if q2.exception() is not None:
+            raise q2.exception()
