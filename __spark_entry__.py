@@ -891,6 +891,25 @@ def d03_encode(spark, sf_dir):
     return encode(typed.select(*[F.col(f.name).alias(f.name, metadata=f.metadata) for f in fields]))
 
 
+@register("d05_flatten_nested_rows", """
+SELECT o.o_orderkey AS Id, o.o_totalprice AS amt, k.c_name AS Account_Name, n.n_name AS Account_Territory_Name
+FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 5000) k ON o.o_custkey = k.c_custkey
+LEFT JOIN nation n ON k.c_nationkey = n.n_nationkey""")
+def d05_flatten_nested_rows(spark, sf_dir):
+    """Rows shaped like an object tree (parent objects as nested structs, a
+    missing parent as null) flattened to columns."""
+    from objectlake.operators.codec import flatten
+    o = spark.read.parquet(table_path(sf_dir, "orders"))
+    c = spark.read.parquet(table_path(sf_dir, "customer")).filter(F.col("c_acctbal") > 5000)
+    n = spark.read.parquet(table_path(sf_dir, "nation"))
+    acct = c.join(n, c.c_nationkey == n.n_nationkey, "left").select(
+        "c_custkey", F.struct(F.col("c_name").alias("Name"),
+                              F.struct(F.col("n_name").alias("Name")).alias("Territory")).alias("Account"))
+    rows = o.join(acct, o.o_custkey == acct.c_custkey, "left").select(
+        F.col("o_orderkey").alias("Id"), F.col("o_totalprice").alias("Amount"), "Account")
+    return flatten(rows, ["Id", ("Amount", "amt"), "Account.Name", "Account.Territory.Name"])
+
+
 def _documents_files(spark, sf_dir):
     from objectlake.operators.codec import split_attachments
     docs = spark.read.parquet(table_path(sf_dir, "documents"))
