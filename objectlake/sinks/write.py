@@ -92,13 +92,18 @@ def _blank(df: DataFrame, key: str):
     return k.isNull()
 
 
-def _dedupe(inp: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Split keyed input into unique-key rows and rows whose key repeats."""
-    dup_keys = (inp.groupBy(_c(key).alias("__dk")).agg(F.count(F.lit(1)).alias("__n"))
-                .filter(F.col("__n") > 1).select("__dk"))
-    unique = inp.join(dup_keys, _c(key) == F.col("__dk"), "left_anti")
-    dups = inp.join(dup_keys, _c(key) == F.col("__dk"), "left_semi")
-    return unique, dups
+def _by_key(keyed: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """One partial aggregate per key: the rows whose key occurs once (the row
+    itself, taken from the aggregate) and the keys that repeat.  A key held by
+    a third of the input combines map-side into one row per task."""
+    others = [c for c in keyed.columns if c != key]
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    if others:
+        aggs.append(F.first(F.struct(*[_c(c) for c in others])).alias("__row"))
+    stats = keyed.groupBy(_c(key).alias(key)).agg(*aggs)
+    single = stats.filter(F.col("__n") == 1).select(_c(key), *[F.col("__row")[c].alias(c) for c in others])
+    repeated = stats.filter(F.col("__n") > 1).select(_c(key).alias("__dk"))
+    return single, repeated
 
 
 def _with_error(df: DataFrame, msg: str) -> DataFrame:
@@ -107,7 +112,8 @@ def _with_error(df: DataFrame, msg: str) -> DataFrame:
 
 def _apply_updates(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Target rows with the supplied columns of matching update rows; columns
-    absent from the input keep their values, a supplied null sets null."""
+    absent from the input keep their values, a supplied null sets null.
+    Update keys are unique, so the join adds no rows."""
     supplied = [c for c in updates.columns if c != key and c in target.columns]
     u = updates.select(_c(key).alias("__uk"), *[_c(c).alias(f"__u_{c}") for c in supplied],
                        F.lit(True).alias("__hit"))
@@ -117,6 +123,27 @@ def _apply_updates(target: DataFrame, updates: DataFrame, key: str) -> DataFrame
         for c in target.columns])
 
 
+def _merge(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """Upsert in one full outer join (keys are unique on both sides, so there
+    is no skew to split): matched rows take the supplied columns, unmatched
+    input rows become new rows, the rest of the target is kept."""
+    supplied = [c for c in updates.columns if c != key and c in target.columns]
+    t = target.select(*[_c(c) for c in target.columns])
+    u = updates.select(_c(key).alias("__uk"), *[_c(c).alias(f"__u_{c}") for c in supplied],
+                       F.lit(True).alias("__hit"))
+    j = t.join(u, _c(key) == F.col("__uk"), "full")
+    hit = F.coalesce(F.col("__hit"), F.lit(False))
+    cols = []
+    for c in target.columns:
+        if c == key:
+            cols.append(F.coalesce(_c(c), F.col("__uk").cast(target.schema[c].dataType)).alias(c))
+        elif c in supplied:
+            cols.append(F.when(hit, F.col(quote(f"__u_{c}"))).otherwise(_c(c)).alias(c))
+        else:
+            cols.append(_c(c))
+    return j.select(*cols)
+
+
 def _cast_to(df: DataFrame, target: DataFrame) -> DataFrame:
     types = {f.name: f.dataType for f in target.schema.fields}
     return df.select(*[_c(c).cast(types[c]).alias(c) if c in types else _c(c) for c in df.columns])
@@ -124,37 +151,32 @@ def _cast_to(df: DataFrame, target: DataFrame) -> DataFrame:
 
 def apply_write(target: DataFrame, df: DataFrame, operation: str, key: str | None = None,
                 id_field: str = "Id") -> WriteResult:
-    """W-01 insert, W-02 update (by ``id_field``), W-03 upsert (by ``key``)."""
+    """W-01 insert, W-02 update (by ``id_field``), W-03 upsert (by ``key``).
+
+    The new table reads the target once and the input once; the written and
+    rejected row sets are separate lazy DataFrames, computed only if used."""
     op = operation.lower()
     inp = _cast_to(_align(df, target), target)
     empty = inp.limit(0).withColumn("error", F.lit(None).cast("string"))
     if op == "insert":
         table = target.unionByName(inp, allowMissingColumns=True).select(*target.columns)
         return WriteResult(table, inp, empty)
+    k = id_field if op == "update" else (key or id_field)
+    if op not in ("update", "upsert"):
+        raise CatalogError(f"Unknown operation '{operation}'")
+    blank = inp.filter(_blank(inp, k))
+    keyed = inp.filter(~_blank(inp, k))
+    single, repeated = _by_key(keyed, k)
+    dups = _with_error(keyed.join(repeated, _c(k) == F.col("__dk"), "left_semi"), f"Duplicate {k} in the input")
+    tkeys = target.select(_c(k).alias("__tk"))
     if op == "update":
-        k = id_field
-        missing = _with_error(inp.filter(_blank(inp, k)), "Id is missing")
-        keyed = inp.filter(~_blank(inp, k))
-        unique, dups = _dedupe(keyed, k)
-        tkeys = target.select(_c(k).alias("__tk"))
-        found = unique.join(tkeys, _c(k) == F.col("__tk"), "left_semi")
-        unknown = _with_error(unique.join(tkeys, _c(k) == F.col("__tk"), "left_anti"), "Id does not exist")
-        rejected = missing.unionByName(_with_error(dups, "Duplicate Id in the input")).unionByName(unknown)
-        return WriteResult(_apply_updates(target, found, k), found, rejected)
-    if op == "upsert":
-        k = key or id_field
-        new_rows = inp.filter(_blank(inp, k))
-        keyed = inp.filter(~_blank(inp, k))
-        unique, dups = _dedupe(keyed, k)
-        tkeys = target.select(_c(k).alias("__tk"))
-        matched = unique.join(tkeys, _c(k) == F.col("__tk"), "left_semi")
-        unmatched = unique.join(tkeys, _c(k) == F.col("__tk"), "left_anti")
-        inserts = new_rows.unionByName(unmatched)
-        table = _apply_updates(target, matched, k).unionByName(
-            inserts, allowMissingColumns=True).select(*target.columns)
-        return WriteResult(table, matched.unionByName(inserts),
-                           _with_error(dups, f"Duplicate {k} in the input"))
-    raise CatalogError(f"Unknown operation '{operation}'")
+        found = single.join(tkeys, _c(k) == F.col("__tk"), "left_semi")
+        unknown = _with_error(single.join(tkeys, _c(k) == F.col("__tk"), "left_anti"), f"{k} does not exist")
+        rejected = _with_error(blank, f"{k} is missing").unionByName(dups).unionByName(unknown)
+        return WriteResult(_apply_updates(target, single, k), found, rejected)
+    # upsert: a row without a key is inserted as given
+    table = _merge(target, single, k).unionByName(blank, allowMissingColumns=True).select(*target.columns)
+    return WriteResult(table, single.unionByName(blank), dups)
 
 
 def write(catalog, obj: str, df: DataFrame, operation: str, key: str | None = None,
