@@ -1038,6 +1038,20 @@ def w06_pack_by_bytes(spark, sf_dir):
                         max_bytes=20_000, order_by=["Id"])
 
 
+@register("w06_pack_by_bytes_invariants", """
+SELECT COUNT(*) AS n_rows, CAST(0 AS BIGINT) AS violations FROM orders""")
+def w06_pack_by_bytes_invariants(spark, sf_dir):
+    """Byte-capped greedy packing checked over the whole table: each batch
+    holds at most max_records rows and max_bytes bytes (header included)
+    unless it is a single record, and the first record of the next batch of
+    the same task would not have fitted (the packing is greedy)."""
+    from objectlake.operators.packing import check_packing, pack_batches
+    max_records, max_bytes = 5000, 20_000
+    data = _opp_all(spark, sf_dir).select("Id", "StageName", "Amount")
+    packed = pack_batches(data, max_records=max_records, max_bytes=max_bytes, order_by=["Id"])
+    return check_packing(packed, data.columns, "Id", max_records, max_bytes)
+
+
 @register("w08_result_check", f"""
 SELECT Id, 'false' AS Success, 'false' AS Created, 'missing priority' AS Error FROM {OPP}
 WHERE StageName = 'P' AND Priority IS NULL""")

@@ -178,3 +178,27 @@ def pack_batches(df: DataFrame, max_records: int = MAX_RECORDS_PER_BATCH,
 
     packed = staged.mapInPandas(pack, out_schema)
     return packed.drop("__rb", "__fb", "__pid")
+
+
+def check_packing(packed: DataFrame, data_cols: list[str], order_col: str, max_records: int,
+                  max_bytes: int, batch_col: str = "batch_id", file_bytes: str | None = None) -> DataFrame:
+    """One row (n_rows, violations) over a packed DataFrame: a batch breaks a
+    cap (records, or bytes with the header when it holds more than one
+    record), or is closed early although the next record of its task would
+    have fitted (not greedy).  Work is one aggregate per batch and a window
+    over the batches of each task."""
+    from pyspark.sql import Window
+
+    header = csv_header_bytes(data_cols)
+    size = csv_line_bytes(packed.select(*[F.col(quote(c)) for c in data_cols]))
+    if file_bytes:
+        size = size + F.coalesce(F.col(quote(file_bytes)), F.lit(0))
+    per_batch = (packed.withColumn("__rb", size).groupBy(batch_col)
+                 .agg(F.count(F.lit(1)).alias("n"), F.sum("__rb").alias("bytes"),
+                      F.min_by("__rb", F.col(quote(order_col))).alias("first_bytes")))
+    nxt = Window.partitionBy(F.shiftright(batch_col, 32)).orderBy(batch_col)
+    checked = per_batch.withColumn("next_first", F.lead("first_bytes").over(nxt))
+    over = (F.col("n") > max_records) | ((F.lit(header) + F.col("bytes") > max_bytes) & (F.col("n") > 1))
+    not_greedy = (F.col("next_first").isNotNull() & (F.col("n") < max_records)
+                  & (F.lit(header) + F.col("bytes") + F.col("next_first") <= max_bytes))
+    return checked.agg(F.sum("n").alias("n_rows"), F.count_if(over | not_greedy).alias("violations"))

@@ -252,3 +252,14 @@ def test_multi_object_chunks(cat):
     assert "chunk_id" in u.columns and u.count() == cat.object("Account").count() + cat.object("Opportunity").count()
     with pytest.raises(CatalogError):
         cat.objects(allow="Territory", chunk_size=10)
+
+
+def test_check_packing_catches_bad_batches(spark):
+    from objectlake.operators.packing import check_packing
+    df = spark.createDataFrame([(i, "x" * 5) for i in range(100)], "Id long, Name string")
+    good = pack_batches(df, max_records=30, max_bytes=400, order_by=["Id"])
+    assert check_packing(good, ["Id", "Name"], "Id", 30, 400).first().violations == 0
+    early = df.withColumn("batch_id", (F.col("Id") / 5).cast("long"))          # closed too soon
+    assert check_packing(early, ["Id", "Name"], "Id", 30, 400).first().violations > 0
+    big = df.withColumn("batch_id", F.lit(0).cast("long"))                       # caps broken
+    assert check_packing(big, ["Id", "Name"], "Id", 30, 400).first().violations == 1
