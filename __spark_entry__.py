@@ -9,8 +9,15 @@ and the SQL so the order of summation does not matter.
 from __future__ import annotations
 
 import datetime as dt
+import os
+import sys
 from collections.abc import Callable
 
+# the package lives next to this file; make it importable however the file is loaded
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
