@@ -310,6 +310,16 @@ def p09_case_insensitive_fields(spark, sf_dir):
             .where(fld("BALANCE") < 0).to_df().toDF("Id", "Segment", "Territory_Name"))
 
 
+@register("p06_normalize_names", """
+SELECT page_id, regexp_replace(CASE WHEN regexp_matches(url, '^[A-Za-z_]') THEN url ELSE 'A' || url END,
+                               '[^A-Za-z0-9_]', '_', 'g') AS url_name FROM pages""")
+def p06_normalize_names(spark, sf_dir):
+    """The output-name rule applied to values held in data (whole URLs)."""
+    from objectlake.naming import normalize_name_col
+    pages = spark.read.parquet(table_path(sf_dir, "pages"))
+    return pages.select("page_id", normalize_name_col(F.col("url")).alias("url_name"))
+
+
 # ---------------------------------------------------------------- predicates
 @register("f01_comparisons", """
 SELECT c_custkey AS Id, c_acctbal AS Balance FROM customer
@@ -840,6 +850,27 @@ def d01_typed_decode(spark, sf_dir):
     return _ntz(decode(_text_orders(spark, sf_dir), _TEXT_SCHEMA, strict=False))
 
 
+@register("d02_nested_decode", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type,
+       CAST(NULL AS DOUBLE) AS missing FROM events""")
+def d02_nested_decode(spark, sf_dir):
+    """An array of string maps (keys with odd case and dots) decoded to an
+    array of typed structs, then read back element by element."""
+    from objectlake.operators.codec import decode
+    ev = spark.read.parquet(table_path(sf_dir, "events"))
+    maps = ev.select("event_id", F.array(F.map_concat(
+        F.from_json("props", "map<string,string>"),
+        F.create_map(F.lit("Event.Type"), F.col("event_type")))).alias("Items"))
+    item = T.StructType([T.StructField("K", T.LongType()), T.StructField("event_type", T.StringType()),
+                         T.StructField("missing", T.DoubleType())])
+    schema = T.StructType([T.StructField("event_id", T.LongType()),
+                           T.StructField("items", T.ArrayType(item))])
+    out = decode(maps, schema)
+    return out.select("event_id", F.col("items")[0]["K"].alias("k"),
+                      F.col("items")[0]["event_type"].alias("event_type"),
+                      F.col("items")[0]["missing"].alias("missing"))
+
+
 _CONF_SCHEMA = T.StructType(list(_TEXT_SCHEMA.fields) + [
     T.StructField("Priority", T.LongType()), T.StructField("Blob", T.BinaryType())])
 
