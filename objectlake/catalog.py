@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .naming import normalize_name
 from .session import tune
 
 # Field types dropped from whole-object reads (compound fields),
@@ -412,7 +411,3 @@ class MultiObject(dict):
         ``multisink.<object>``; the name field is a row-side column only."""
         return {f"multisink.{n}": T.StructType([f for f in df.schema.fields if f.name != self.name_field])
                 for n, df in self.items()}
-
-
-def output_name(path: str) -> str:
-    return normalize_name(path)

@@ -145,7 +145,7 @@ class Expr:
             return SubqueryIn(self, values, negate=False)
         vals = list(values)
         return Expr(f"({self.key} IN {vals!r})",
-                    lambda r: self.to_column(r).isin([_py_lit(v) for v in vals]), (self,))
+                    lambda r: self.to_column(r).isin(vals), (self,))
 
     def notin(self, values, null_safe: bool = False) -> Expr:
         """F-03 ``NOT IN`` list, J-05 on an ``ObjectQuery``: the SQL null rule
@@ -155,7 +155,7 @@ class Expr:
             return SubqueryIn(self, values, negate=True, null_safe=null_safe)
         vals = list(values)
         return Expr(f"({self.key} NOT IN {vals!r})",
-                    lambda r: ~self.to_column(r).isin([_py_lit(v) for v in vals]), (self,))
+                    lambda r: ~self.to_column(r).isin(vals), (self,))
 
     def includes(self, sets: Iterable[str], sep: str = ";") -> Expr:
         """F-05: the multi-select value holds every value of at least one of
@@ -250,10 +250,6 @@ def _sep_regex(sep: str) -> str:
     return re.escape(sep)
 
 
-def _py_lit(v):
-    return v
-
-
 def fld(path: str) -> FieldRef:
     """A field of the query object; dots follow N:1 references (J-01, P-05)."""
     return FieldRef(path)

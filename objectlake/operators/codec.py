@@ -109,15 +109,11 @@ def decode_value(c: Column, f: T.StructField, strict: bool = True, src_type: T.D
         else:
             raise CatalogError(f"Field '{name}' is of unsupported type '{dt.simpleString()}'")
     if strict and not f.nullable:
-        out = F.when(raw.isNull(), _fail(f"Found null value for non nullable field {name}").cast(out_type(dt))) \
+        out = F.when(raw.isNull(), _fail(f"Found null value for non nullable field {name}").cast(dt)) \
             .otherwise(out)
     return out
 
 
-def out_type(dt: T.DataType) -> str:
-    return dt.simpleString()
-
-
 def _decode_map(m: Column, st: T.StructType, strict: bool) -> Column:
     """A string map (keys matched ignoring case and name rules) → struct."""
     lowered = F.transform_keys(m, lambda k, v: F.lower(normalize_name_col(k)))
