@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from objectlake import Catalog, CatalogError, ObjectQuery, fld
+from objectlake import Catalog, CatalogError, ObjectQuery
 from objectlake.operators.chunking import chunk_eligibility, check_chunk_size, key_chunks, read_chunked
 from objectlake.operators.packing import global_index, greedy_batches, pack_batches
 from objectlake.sinks.csvbatch import check_results, write_csv_batches
