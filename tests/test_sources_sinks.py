@@ -263,3 +263,17 @@ def test_check_packing_catches_bad_batches(spark):
     assert check_packing(early, ["Id", "Name"], "Id", 30, 400).first().violations > 0
     big = df.withColumn("batch_id", F.lit(0).cast("long"))                       # caps broken
     assert check_packing(big, ["Id", "Name"], "Id", 30, 400).first().violations == 1
+
+
+def test_update_with_hot_key(spark):
+    """A key repeated by a third of the input is refused as a duplicate; the
+    duplicate check is a partial (map-side) aggregate, not a window."""
+    tgt = spark.range(0, 3000).selectExpr("id AS Id", "CAST(id AS DOUBLE) AS Amount")
+    inp = spark.range(0, 3000).selectExpr("CASE WHEN id % 3 = 0 THEN 42 ELSE id END AS Id",
+                                          "CAST(-id AS DOUBLE) AS Amount")
+    res = apply_write(tgt, inp, "update")
+    plan = res.table._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_count" in plan
+    rows = {r.Id: r.Amount for r in res.table.collect()}
+    assert rows[42] == 42.0 and rows[1] == -1.0 and rows[3] == 3.0
+    assert res.rejected.filter("Id = 42").count() == 1001   # 1000 copies plus id 42 itself
