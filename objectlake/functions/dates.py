@@ -5,9 +5,40 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+import datetime as _dt
+
 from .expr import Expr, as_item, col_expr
 
 
+class RangeFn(Expr):
+    """A date function that only grows with its argument (year, fiscal year,
+    day).  A comparison with a literal is rewritten as a half-open range on
+    the argument itself — the same rows, but a predicate Parquet can use to
+    skip row groups, where ``year(x) = 1997`` could not be pushed."""
+
+    def __init__(self, name: str, arg: Expr, fn, start_of):
+        self.arg, self.start_of = arg, start_of
+        super().__init__(f"{name}({arg.key})", lambda r: fn(arg.to_column(r)), (arg,), is_function=True)
+
+    def _cmp(self, other, sym, fn):
+        value = other
+        if isinstance(value, bool) or not isinstance(value, (int, _dt.date)):
+            return super()._cmp(other, sym, fn)
+        lo, hi = self.start_of(value), self.start_of(_next(value))
+        arg = self.arg
+
+        def build(r):
+            c = arg.to_column(r)
+            lo_l, hi_l = F.lit(lo), F.lit(hi)
+            return {"=": (c >= lo_l) & (c < hi_l), "!=": (c < lo_l) | (c >= hi_l), "<": c < lo_l,
+                    "<=": c < hi_l, ">": c >= hi_l, ">=": c >= lo_l}[sym]
+        return Expr(f"({self.key} {sym} {value!r})", build, (self,))
+
+
+def _next(v):
+    return v + _dt.timedelta(days=1) if isinstance(v, _dt.date) else v + 1
+
+
 def _int(c: Column) -> Column:
     return c.cast("int")
 
@@ -28,7 +59,7 @@ def calendar_quarter(f) -> Expr:
 
 
 def calendar_year(f) -> Expr:
-    return col_expr(lambda c: _int(F.year(c)), f, "CALENDAR_YEAR")
+    return RangeFn("CALENDAR_YEAR", as_item(f), lambda c: _int(F.year(c)), lambda y: _dt.date(y, 1, 1))
 
 
 def day_in_month(f) -> Expr:
@@ -58,7 +89,8 @@ def fiscal_year(f, fy_start: int = 1, label: str = "start") -> Expr:
     if label not in ("start", "end"):
         raise ValueError("label must be 'start' or 'end'")
     bump = 1 if (label == "end" and fy_start != 1) else 0
-    return col_expr(lambda c: _int(F.year(_fiscal_shift(c, fy_start)) + bump), f, "FISCAL_YEAR")
+    return RangeFn("FISCAL_YEAR", as_item(f), lambda c: _int(F.year(_fiscal_shift(c, fy_start)) + bump),
+                   lambda y: _dt.date(y - bump, fy_start, 1))
 
 
 def hour_in_day(f) -> Expr:
@@ -77,7 +109,7 @@ def week_in_year(f) -> Expr:
 
 def day_only(f) -> Expr:
     """The date part of a datetime."""
-    return col_expr(lambda c: F.to_date(c), f, "DAY_ONLY")
+    return RangeFn("DAY_ONLY", as_item(f), lambda c: F.to_date(c), lambda d: d)
 
 
 def convert_timezone(f, tz: str) -> Expr:

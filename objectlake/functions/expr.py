@@ -74,27 +74,31 @@ class Expr:
         e.op = sym
         return e
 
+    def _cmp(self, other, sym: str, fn) -> Expr:
+        """Comparison hook; range functions rewrite it on their argument."""
+        return self._bin(other, sym, fn)
+
     def __eq__(self, other):  # type: ignore[override]
         if other is None:       # F-04: ``= NULL``
             return self.is_null()
-        return self._bin(other, "=", lambda a, b: a == b)
+        return self._cmp(other, "=", lambda a, b: a == b)
 
     def __ne__(self, other):  # type: ignore[override]
         if other is None:       # F-04: ``!= NULL``
             return self.is_not_null()
-        return self._bin(other, "!=", lambda a, b: a != b)
+        return self._cmp(other, "!=", lambda a, b: a != b)
 
     def __lt__(self, other):
-        return self._bin(other, "<", lambda a, b: a < b)
+        return self._cmp(other, "<", lambda a, b: a < b)
 
     def __le__(self, other):
-        return self._bin(other, "<=", lambda a, b: a <= b)
+        return self._cmp(other, "<=", lambda a, b: a <= b)
 
     def __gt__(self, other):
-        return self._bin(other, ">", lambda a, b: a > b)
+        return self._cmp(other, ">", lambda a, b: a > b)
 
     def __ge__(self, other):
-        return self._bin(other, ">=", lambda a, b: a >= b)
+        return self._cmp(other, ">=", lambda a, b: a >= b)
 
     def __and__(self, other):
         return self._bin(other, "AND", lambda a, b: a & b)

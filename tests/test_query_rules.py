@@ -223,3 +223,29 @@ def test_offset_without_limit(cat):
     grouped = (ObjectQuery(cat, "Account").select("TerritoryId", count_().alias("n"))
                .group_by("TerritoryId").order_by("TerritoryId").offset(20).to_df())
     assert [r.TerritoryId for r in grouped.collect()] == [20, 21, 22, 23, 24]
+
+
+def test_monotonic_date_functions_push_down(cat):
+    from objectlake.functions import day_only, fiscal_year
+    base = ObjectQuery(cat, "Opportunity").include_deleted(True).select("Id")
+    df = base.where(calendar_year("LastModifiedDate") == 1997).to_df()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    import re
+    flat = re.sub(r"#\d+", "", plan)
+    assert "o_orderdate >= 1997-01-01 00:00:00" in flat and "o_orderdate < 1998-01-01 00:00:00" in flat
+    assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in flat
+    rows = cat.table("Opportunity").select("Id", "CloseDate").collect()
+    for op, test in [("=", lambda y: y == 1997), ("!=", lambda y: y != 1997), ("<", lambda y: y < 1997),
+                     ("<=", lambda y: y <= 1997), (">", lambda y: y > 1997), (">=", lambda y: y >= 1997)]:
+        cond = {"=": calendar_year("CloseDate") == 1997, "!=": calendar_year("CloseDate") != 1997,
+                "<": calendar_year("CloseDate") < 1997, "<=": calendar_year("CloseDate") <= 1997,
+                ">": calendar_year("CloseDate") > 1997, ">=": calendar_year("CloseDate") >= 1997}[op]
+        got = {r.Id for r in base.where(cond).to_df().collect()}
+        assert got == {r.Id for r in rows if test(r.CloseDate.year)}, op
+    fy = {r.Id for r in base.where(fiscal_year("CloseDate", 4) == 1997).to_df().collect()}
+    assert fy == {r.Id for r in rows if (r.CloseDate.year if r.CloseDate.month >= 4 else r.CloseDate.year - 1) == 1997}
+    fy_end = {r.Id for r in base.where(fiscal_year("CloseDate", 4, label="end") == 1998).to_df().collect()}
+    assert fy_end == fy
+    import datetime as dt
+    one = {r.Id for r in base.where(day_only("LastModifiedDate") == dt.date(1997, 3, 4)).to_df().collect()}
+    assert one == {r.Id for r in rows if r.CloseDate == dt.date(1997, 3, 4)}
