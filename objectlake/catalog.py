@@ -309,7 +309,9 @@ class Catalog:
         obj = self.get(name)
         df = obj.loader()
         if not include_deleted and obj.deleted_field:
-            df = df.filter(~F.coalesce(F.col(obj.deleted_field), F.lit(False)))
+            # "null or false", written so Parquet can use it as a row-group filter
+            d = F.col(obj.deleted_field)
+            df = df.filter(d.isNull() | ~d)
         return df
 
     def object(self, name: str, *, since=None, until=None, as_of=None, duration=None,
