@@ -109,7 +109,7 @@ def decode_value(c: Column, f: T.StructField, strict: bool = True, src_type: T.D
         else:
             raise CatalogError(f"Field '{name}' is of unsupported type '{dt.simpleString()}'")
     if strict and not f.nullable:
-        out = F.when(raw.isNull(), _fail(f"Found null value for non nullable field {name}").cast(dt)) \
+        out = F.when(raw.isNull(), _fail(f"Field '{name}' is required but has no value").cast(dt)) \
             .otherwise(out)
     return out
 
@@ -170,7 +170,7 @@ def encode_value(c: Column, f: T.StructField) -> Column:
         # ISO local date-time kept as text: checked, then passed through
         ok = F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm[:ss][.SSSSSSSSS]")).isNotNull()
         return F.when(c.isNull() | ok, c).otherwise(F.raise_error(F.concat(
-            F.lit(f"Datetime field '{f.name}' with value '"), c, F.lit("' is not in ISO-8601 format."))))
+            F.lit(f"Field '{f.name}' holds '"), c, F.lit("', not an ISO-8601 local date-time"))))
     if isinstance(dt, T.DateType):
         return F.date_format(c, "yyyy-MM-dd")
     if isinstance(dt, T.TimestampType):
@@ -249,7 +249,7 @@ def split_attachments(df: DataFrame, kind: str, order_by: str | None = None,
     content = F.unbase64(F.col(quote(data_c)))
     size = F.octet_length(content)
     checked = F.when(size > max_bytes, F.raise_error(F.lit(
-        "File Size exceeded the limit of maximum bytes per batch")).cast("binary")).otherwise(content)
+        "A file is larger than the byte limit of a write batch")).cast("binary")).otherwise(content)
     rows = indexed.select(*[(F.concat(F.lit(DATA_FIELD_PREFIX), key) if c == data_c else F.col(quote(c))).alias(c)
                             for c in df.columns])
     files = indexed.select(key.alias("key"), checked.alias("content"), size.alias("size"))

@@ -106,7 +106,7 @@ class GreedyPacker:
         if n == 0:
             return out
         if (files > self.max_bytes).any():
-            raise ValueError("File Size exceeded the limit of maximum bytes per batch")
+            raise ValueError("A file is larger than the byte limit of a write batch")
         csum = np.zeros(n + 1, dtype=np.int64)
         np.cumsum(rec + files, out=csum[1:])
         pos = 0

@@ -98,7 +98,7 @@ def test_greedy_byte_packing():
     assert list(ids) == [0, 0, 1, 2, 3, 4]
     assert list(greedy_batches([1] * 5, [0] * 5, header=0, max_records=2, max_bytes=100)) == [0, 0, 1, 1, 2]
     assert list(greedy_batches([1, 1, 1], [0, 20, 5], header=0, max_records=9, max_bytes=25)) == [0, 0, 1]
-    with pytest.raises(ValueError, match="File Size"):
+    with pytest.raises(ValueError, match="larger than the byte limit"):
         greedy_batches([1], [31], header=0, max_records=9, max_bytes=30)
 
 
