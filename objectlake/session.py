@@ -36,6 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("OBJECTLAKE_DRIVER_MEMORY", "8g"))
@@ -88,12 +89,18 @@ def scale_settings(input_bytes: int, executor_cores_total: int,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        # startup setting: drop checkpoint files once their data is no longer referenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
 def apply_settings(spark: SparkSession, settings: dict[str, str], override: bool = False) -> None:
-    """Set ``settings`` on the session; values the cluster already set are
-    kept unless ``override``."""
+    """Set the SQL ``settings`` on a running session; values the cluster
+    already set are kept unless ``override``.  Startup-only settings (the
+    ``spark.cleaner.*`` one) belong in the submit configuration and are
+    skipped here."""
     for k, v in settings.items():
+        if k.startswith("spark.cleaner."):
+            continue
         if override or spark.conf.get(k, None) in (None, ""):
             spark.conf.set(k, v)
