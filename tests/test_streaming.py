@@ -116,3 +116,25 @@ def test_start_change_stream_with_quarantine(spark):
         q2.awaitTermination(120)
         if q2.exception() is not None:
             raise q2.exception()
+
+
+def test_stream_with_parent_reference(spark):
+    """T-04 with a parent path: the stream is enriched by a stream-static
+    left join to the Account table."""
+    from objectlake import ObjectQuery, fld
+    from objectlake.sampledata import sample_catalog
+    src = tempfile.mkdtemp(prefix="objectlake-msgs-")
+    _messages(spark).write.mode("overwrite").text(os.path.join(src, "in"))
+    cat = sample_catalog(spark, "/root/testdata/sf0.001")
+    cat.register("UserState", decode_changes(spark.read.text(os.path.join(src, "in")), SCHEMA, keep_event=False))
+    cat.add_reference("UserState", "Account", "Id", "Account")
+    q = (ObjectQuery(cat, "UserState").select("Id", "Type", "Account.Segment")
+         .where((fld("Type") == "purchase") & (fld("Account.Segment") != "BUILDING")))
+    stream = read_changes(spark, os.path.join(src, "in"), SCHEMA).drop("_op", "_replay_id", "_changed", "_before")
+    out = tempfile.mkdtemp(prefix="objectlake-out-")
+    run = (q.over(stream).writeStream.format("parquet").option("path", os.path.join(out, "d"))
+           .option("checkpointLocation", os.path.join(out, "c")).trigger(availableNow=True).start())
+    run.awaitTermination(120)
+    got = spark.read.parquet(os.path.join(out, "d"))
+    want = q.to_df()
+    assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
