@@ -15,7 +15,7 @@ from .sinks.write import apply_write, commit, validate_write, write
 from .sources.batch import read_source
 from .sources.bulkcsv import read_bulk_results
 from .streaming.changes import (decode_changes, notify, notify_for_fields, read_changes,
-                                start_change_stream)
+                                start_change_stream, stream_schema)
 
 __all__ = [
     "Catalog", "CatalogError", "ObjectQuery", "QueryError", "normalize_name", "normalize_columns",
@@ -25,6 +25,6 @@ __all__ = [
     "global_index", "pack_batches", "check_packing",
     "write", "apply_write", "validate_write", "commit", "write_csv_batches", "check_results",
     "read_source", "read_bulk_results",
-    "read_changes", "decode_changes", "notify", "notify_for_fields", "start_change_stream",
+    "read_changes", "decode_changes", "notify", "notify_for_fields", "start_change_stream", "stream_schema",
     *_fn_all,
 ]

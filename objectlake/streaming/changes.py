@@ -194,3 +194,11 @@ def start_change_stream(spark: SparkSession, path: str, schema: T.StructType, ou
     elif processing_time:
         writer = writer.trigger(processingTime=processing_time)
     return writer.start()
+
+
+def stream_schema(catalog, obj: str) -> T.StructType:
+    """T-06: the schema of a stream defined by an object name alone — every
+    field of the object except long text, in object order."""
+    st = catalog.schema(obj)
+    keep = set(stream_query_fields(catalog, obj))
+    return T.StructType([f for f in st.fields if f.name in keep])

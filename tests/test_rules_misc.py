@@ -36,8 +36,10 @@ def test_keyword_like_field_names(lead_cat):
 
 
 def test_stream_fields_skip_long_text(lead_cat):
+    from objectlake.streaming.changes import stream_schema
     assert stream_query_fields(lead_cat, "Lead") == ["Id", "Name", "Address", "Location", "Group", "Order",
                                                       "Offset"]
+    assert stream_schema(lead_cat, "Lead").fieldNames() == stream_query_fields(lead_cat, "Lead")
 
 
 def test_type_mapping_and_checks():
