@@ -277,3 +277,16 @@ def test_update_with_hot_key(spark):
     rows = {r.Id: r.Amount for r in res.table.collect()}
     assert rows[42] == 42.0 and rows[1] == -1.0 and rows[3] == 3.0
     assert res.rejected.filter("Id = 42").count() == 1000   # every multiple of 3 (42 is one)
+
+
+def test_multi_object_custom_objects(spark):
+    cat = Catalog(spark)
+    cat.register("IT_Multi_1__c", spark.createDataFrame([("Fred", "DEV"), ("Wilma", "QA")],
+                                                        "Name string, Position__c string"), id_field=None)
+    cat.register("IT_Multi_2__c", spark.createDataFrame([("Pebbles", "NY")], "Name string, City__c string"),
+                 id_field=None)
+    rows = sorted(tuple(r) for r in cat.objects(allow="IT_Multi_1__c,IT_Multi_2__c").union()
+                  .select("tablename", "Name", "Position__c", "City__c").collect())
+    assert rows == [("IT_Multi_1__c", "Fred", "DEV", None), ("IT_Multi_1__c", "Wilma", "QA", None),
+                    ("IT_Multi_2__c", "Pebbles", None, "NY")]
+    assert cat.get("IT_Multi_1__c").custom
