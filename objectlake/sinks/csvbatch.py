@@ -31,8 +31,8 @@ def check_results(results: DataFrame, on_error: str = "fail") -> tuple[DataFrame
     """W-08: result rows (Id, Success, Created, Error).  Any row whose
     ``Success`` is not ``true`` (any case) is a failure: ``fail`` raises with
     the first error, ``skip`` returns (succeeded, failed)."""
-    if on_error not in ("fail", "skip"):
-        raise CatalogError(f"Unknown error handling '{on_error}'")
+    from .write import error_policy
+    on_error = error_policy(on_error)
     ok_cond = F.coalesce(F.lower(F.col("Success")) == "true", F.lit(False))
     good, bad = results.filter(ok_cond), results.filter(~ok_cond)
     if on_error == "fail":

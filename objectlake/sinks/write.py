@@ -23,9 +23,20 @@ from pyspark.sql import types as T
 from ..catalog import CatalogError
 from ..naming import quote
 
-# Operations and error policies.
+# Operations and error policies (short names and the option
+# texts "Skip on error" and "Fail on error").
 OPERATIONS = ("insert", "update", "upsert")
 ERROR_POLICIES = ("skip", "fail")
+ERROR_POLICY_TEXTS = {"skip": "skip", "fail": "fail", "skip on error": "skip", "fail on error": "fail"}
+
+
+def error_policy(value: str) -> str:
+    """``skip`` or ``fail`` from either spelling, any case; anything else is
+    refused rather than silently read as ``fail``."""
+    policy = ERROR_POLICY_TEXTS.get(str(value).strip().lower())
+    if policy is None:
+        raise CatalogError(f"Unknown error handling '{value}'; expected skip or fail")
+    return policy
 
 
 @dataclass
@@ -186,8 +197,7 @@ def write(catalog, obj: str, df: DataFrame, operation: str, key: str | None = No
     ``on_error="fail"`` raises when any row is rejected (nothing may be
     committed); ``"skip"`` keeps the good rows and returns the rejected ones.
     """
-    if on_error not in ERROR_POLICIES:
-        raise CatalogError(f"Unknown error handling '{on_error}'; expected skip or fail")
+    on_error = error_policy(on_error)
     o = catalog.get(obj)
     target = catalog.table(obj)
     failures = validate_write(target.schema, df.schema, operation, key, o.id_field or "Id",

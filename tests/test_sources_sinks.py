@@ -290,3 +290,10 @@ def test_multi_object_custom_objects(spark):
     assert rows == [("IT_Multi_1__c", "Fred", "DEV", None), ("IT_Multi_1__c", "Wilma", "QA", None),
                     ("IT_Multi_2__c", "Pebbles", None, "NY")]
     assert cat.get("IT_Multi_1__c").custom
+
+
+def test_error_policy_texts():
+    from objectlake.sinks.write import error_policy
+    assert error_policy("Skip on error") == "skip" and error_policy("FAIL ON ERROR") == "fail"
+    with pytest.raises(CatalogError):
+        error_policy("ignore")
