@@ -96,15 +96,21 @@ def decode_value(c: Column, f: T.StructField, strict: bool = True, src_type: T.D
                 micros = F.when(v.isNull() | micros.isNotNull(), micros).otherwise(
                     _fail(f"Field '{name}' has a malformed time value").cast("long"))
             out = micros if unit == TIME_MICROS else F.floor(micros / 1000).cast("long")
-        elif isinstance(dt, (T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.ShortType,
-                             T.ByteType, T.DecimalType)):
+        elif isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+            # strict: a sign and digits only, as an integer parser reads them
+            parsed = F.when(v.rlike(r"^[+-]?[0-9]+$"), v.try_cast(dt)) if strict else v.try_cast(dt)
+            out = _strict(parsed, v, name, dt, strict)
+        elif isinstance(dt, (T.FloatType, T.DoubleType, T.DecimalType)):
             out = _strict(v.try_cast(dt), v, name, dt, strict)
         elif isinstance(dt, T.DateType):
             as_day = F.when(v.contains("T"), F.to_date(v.try_cast("timestamp"))) \
                 .otherwise(F.try_to_date(v, "yyyy-MM-dd"))
             out = _strict(as_day, v, name, dt, strict)
         elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-            ts = _strict(v.try_cast("timestamp"), v, name, T.TimestampType(), strict)
+            # strict: an instant, so the text must end with Z or an offset
+            parsed = F.when(v.rlike(r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"), v.try_cast("timestamp")) \
+                if strict else v.try_cast("timestamp")
+            ts = _strict(parsed, v, name, T.TimestampType(), strict)
             out = F.date_trunc("millisecond", ts).cast(dt)
         else:
             raise CatalogError(f"Field '{name}' is of unsupported type '{dt.simpleString()}'")

@@ -157,3 +157,14 @@ def test_encode_epoch_instant_values(spark):
     rows = [tuple(r) for r in encode(typed).collect()]
     assert rows == [("2023-06-12", "07:00:00.000Z", "07:00", "2023-06-12T07:00:00Z", "1234234.221"),
                     ("0001-01-01", "01:00:00.000Z", "01:00", "0001-01-01T01:00:00Z", "1.321")]
+
+
+def test_strict_number_and_instant_text(spark):
+    schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("ts", T.TimestampType())])
+    ok = decode(_strings(spark, [("+12", "2019-05-20T01:01:01+02:00")], ["n", "ts"]), schema).first()
+    assert ok.n == 12 and ok.ts == dt.datetime(2019, 5, 19, 23, 1, 1)
+    for bad in [(" 12", "2019-05-20T01:01:01Z"), ("1.0", "2019-05-20T01:01:01Z"), ("12", "2019-05-20T01:01:01")]:
+        with pytest.raises(Exception, match="cannot be read"):
+            decode(_strings(spark, [bad], ["n", "ts"]), schema).collect()
+    loose = decode(_strings(spark, [(" 12", "2019-05-20T01:01:01")], ["n", "ts"]), schema, strict=False).first()
+    assert loose.n == 12 and loose.ts == dt.datetime(2019, 5, 20, 1, 1, 1)
