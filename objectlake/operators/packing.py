@@ -29,11 +29,17 @@ _LOW_BITS = (1 << 33) - 1
 
 
 def _order_cols(df: DataFrame, order: Iterable[str]) -> list[Column]:
+    """``order`` plus one tie-breaker: a 64-bit hash of the other columns.
+    The order becomes total and repeatable (rows that tie are identical in
+    every hashed column), and the keys the range partitioner samples to the
+    driver stay small however wide the rows are."""
     keys = list(order)
-    # the remaining columns break ties so the order is total and repeatable
     rest = [c for c in df.columns if c not in keys
-            and not isinstance(df.schema[c].dataType, (T.MapType, T.ArrayType, T.StructType, T.BinaryType))]
-    return [F.col(quote(c)) for c in keys + rest]
+            and not isinstance(df.schema[c].dataType, (T.MapType, T.ArrayType, T.StructType))]
+    out = [F.col(quote(c)) for c in keys]
+    if rest:
+        out.append(F.xxhash64(*[F.col(quote(c)) for c in rest]))
+    return out
 
 
 def global_index(df: DataFrame, order: Iterable, name: str = "index") -> DataFrame:
