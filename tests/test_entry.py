@@ -7,6 +7,9 @@ import __spark_entry__ as entry
 from objectlake.sampledata import TABLES, table_path
 
 SMOKE = "/root/testdata/sf0.001"
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "timestamp": "TIMESTAMP WITH TIME ZONE"}
 
 
 def _norm(v):
@@ -44,6 +47,9 @@ def test_query_matches_oracle(spark, con, name):
         return
     rel = con.sql(sql)
     assert sorted(df.columns) == sorted(rel.columns)
+    duck = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    for c, t in df.dtypes:
+        assert SPARK_TO_DUCK.get(t, t.upper()) == duck[c], f"{name}.{c}: spark {t} / duckdb {duck[c]}"
     orows = rel.fetchall()
     assert len(rows) == len(orows)
     assert _rows(df.columns, rows) == _rows(rel.columns, orows)
