@@ -286,6 +286,9 @@ class ObjectQuery:
         items = [as_item(i) for i in select]
         if not items:
             raise QueryError("A child sub-query needs at least one field")
+        for label, v in (("LIMIT", limit), ("OFFSET", offset)):
+            if v is not None and int(v) < 0:
+                raise QueryError(f"Child {label} must be 0 or greater")
         for it in items:
             if it.is_function or it.has_agg:
                 raise QueryError("Functions are not allowed in a child sub-query")
@@ -294,6 +297,20 @@ class ObjectQuery:
                                      _sort_keys(order_by), limit, offset, flat, alias))
         return q
 
+    def explain(self, mode: str = "formatted") -> None:
+        """Print the physical plan Spark chooses for this query."""
+        self.to_df().explain(mode)
+
+    def __repr__(self) -> str:
+        parts = [f"ObjectQuery({self.obj_name})", "select " + ", ".join(repr(e) for e in self._select)]
+        if self._where:
+            parts.append("where " + " AND ".join(e.key for e in self._where))
+        if self._group_mode:
+            parts.append(f"{self._group_mode} by " + ", ".join(e.key for e in self._group))
+        if self._children:
+            parts.append("children " + ", ".join(c.relationship for c in self._children))
+        return " ".join(parts)
+
     # -------------------------------------------------------------- checks
     @property
     def is_aggregate(self) -> bool:
