@@ -10,7 +10,7 @@ from .operators.packing import check_packing, global_index, pack_batches
 from .operators.widefetch import wide_fetch
 from .plans.query import ObjectQuery, QueryError
 from .session import apply_settings, checkpoint_dir, local_session, scale_settings, tune
-from .sinks.csvbatch import check_results, write_csv_batches
+from .sinks.csvbatch import check_results, write_batched, write_csv_batches
 from .sinks.write import apply_write, commit, validate_write, write
 from .sources.batch import read_source
 from .sources.bulkcsv import read_bulk_results
@@ -23,7 +23,7 @@ __all__ = [
     "chunk_eligibility", "key_chunks", "read_chunked", "wide_fetch",
     "decode", "encode", "conformance", "flatten", "split_attachments", "time_field",
     "global_index", "pack_batches", "check_packing",
-    "write", "apply_write", "validate_write", "commit", "write_csv_batches", "check_results",
+    "write", "apply_write", "validate_write", "commit", "write_csv_batches", "write_batched", "check_results",
     "read_source", "read_bulk_results",
     "read_changes", "decode_changes", "notify", "notify_for_fields", "start_change_stream", "stream_schema",
     *_fn_all,

@@ -40,3 +40,13 @@ def check_results(results: DataFrame, on_error: str = "fail") -> tuple[DataFrame
         if first:
             raise CatalogError(f"Record '{first[0]['Id']}' failed: {first[0]['Error']}")
     return good, bad
+
+
+def write_batched(df: DataFrame, path: str, order_by, max_records: int = 10_000,
+                  max_bytes: int | None = None, serial: bool = False) -> None:
+    """The batch side of a write (§3.2): pack rows into batches by record
+    count (and bytes, greedily per task) in ``order_by`` order, then write one
+    quoted CSV file with a header per batch under ``path``."""
+    from ..operators.packing import pack_batches
+    packed = pack_batches(df, max_records=max_records, max_bytes=max_bytes, order_by=list(order_by))
+    write_csv_batches(packed, path, serial=serial)

@@ -297,3 +297,15 @@ def test_error_policy_texts():
     assert error_policy("Skip on error") == "skip" and error_policy("FAIL ON ERROR") == "fail"
     with pytest.raises(CatalogError):
         error_policy("ignore")
+
+
+def test_write_batched(spark):
+    from objectlake.sinks.csvbatch import write_batched
+    df = spark.createDataFrame([(i, f"name {i}") for i in range(50)], "Id long, Name string")
+    out = os.path.join(_tmp(), "batched")
+    write_batched(df, out, order_by=["Id"], max_records=20)
+    parts = sorted(p for p in os.listdir(out) if p.startswith("batch_id="))
+    assert parts == ["batch_id=0", "batch_id=1", "batch_id=2"]
+    schema = T.StructType([T.StructField("Id", T.LongType()), T.StructField("Name", T.StringType())])
+    back = read_bulk_results(spark, out, schema)
+    assert back.count() == 50 and back.filter("Name = 'name 7'").count() == 1
