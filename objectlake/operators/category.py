@@ -1,4 +1,10 @@
-"""Data-category tree selection (F-18) as a recursive SQL closure."""
+"""Data-category tree selection (F-18) with recursive SQL walks.
+
+Only the part of the tree a selector needs is walked: down from the named
+categories for BELOW, up for ABOVE.  The walk is a recursive CTE, so there is
+no depth cap: each step moves one level, and on a tree the walk ends at the
+leaves (down) or the root (up); duplicates are removed at the end.
+"""
 
 from __future__ import annotations
 
@@ -6,11 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _nodes(edges: DataFrame) -> DataFrame:
+    return (edges.select(F.col("child").alias("node"))
+            .unionByName(edges.select(F.col("parent").alias("node"))).distinct())
+
+
+def _walk(spark: SparkSession, edges: DataFrame, seeds: DataFrame, down: bool) -> DataFrame:
+    step_from, step_to = ("parent", "child") if down else ("child", "parent")
+    return spark.sql(
+        f"""
+        WITH RECURSIVE walk(node) AS (
+          SELECT node FROM {{seeds}}
+          UNION ALL
+          SELECT e.{step_to} FROM walk w JOIN {{edges}} e ON e.{step_from} = w.node
+        )
+        SELECT node FROM walk WHERE node IS NOT NULL
+        """,
+        seeds=seeds, edges=edges,
+    )
+
+
 def closure(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(ancestor, descendant) for every node and each of its ancestors,
-    including (node, node).  A recursive CTE: no depth cap, Spark iterates to
-    the fixpoint.  Category trees are small by construction; the result is
-    joined like any other table."""
+    including (node, node)."""
     return spark.sql(
         """
         WITH RECURSIVE up(anc, node) AS (
@@ -28,16 +52,14 @@ def closure(spark: SparkSession, edges: DataFrame) -> DataFrame:
 def category_nodes(spark: SparkSession, edges: DataFrame, selector: str, names: list[str]) -> DataFrame:
     """Nodes a selector admits: AT = the named nodes; ABOVE = them and their
     ancestors; BELOW = them and their descendants; ABOVE_OR_BELOW = both."""
-    cl = closure(spark, edges)
-    named = F.col("ancestor").isin(names)
-    parts = []
+    seeds = _nodes(edges).filter(F.col("node").isin(list(names)))
     if selector == "AT":
-        parts.append(cl.filter(F.col("ancestor").isin(names) & (F.col("ancestor") == F.col("descendant")))
-                     .select(F.col("ancestor").alias("node")))
+        return seeds
+    parts = []
     if selector in ("BELOW", "ABOVE_OR_BELOW"):
-        parts.append(cl.filter(named).select(F.col("descendant").alias("node")))
+        parts.append(_walk(spark, edges, seeds, down=True))
     if selector in ("ABOVE", "ABOVE_OR_BELOW"):
-        parts.append(cl.filter(F.col("descendant").isin(names)).select(F.col("ancestor").alias("node")))
+        parts.append(_walk(spark, edges, seeds, down=False))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

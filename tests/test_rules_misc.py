@@ -80,3 +80,16 @@ def test_provided_schema_checked(cat):
     loose = cat.object("Account", schema=T.StructType([T.StructField("Nope", T.StringType()),
                                                        T.StructField("Id", T.LongType())]), check_schema=False)
     assert loose.columns == ["Id"]
+
+
+def test_category_selectors(spark):
+    from objectlake.operators.category import category_nodes, closure
+    edges = spark.createDataFrame([("a1", "A"), ("a2", "A"), ("a11", "a1"), ("A", "ROOT"), ("B", "ROOT")],
+                                  "child string, parent string")
+    nodes = lambda sel, names: sorted(r.node for r in category_nodes(spark, edges, sel, names).collect())
+    assert nodes("AT", ["a1", "zzz"]) == ["a1"]
+    assert nodes("BELOW", ["A"]) == ["A", "a1", "a11", "a2"]
+    assert nodes("ABOVE", ["a11"]) == ["A", "ROOT", "a1", "a11"]
+    assert nodes("ABOVE_OR_BELOW", ["a1"]) == ["A", "ROOT", "a1", "a11"]
+    pairs = {(r.ancestor, r.descendant) for r in closure(spark, edges).collect()}
+    assert ("ROOT", "a11") in pairs and ("a11", "a11") in pairs and ("a1", "a2") not in pairs
