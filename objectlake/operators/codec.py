@@ -121,10 +121,16 @@ def decode_value(c: Column, f: T.StructField, strict: bool = True, src_type: T.D
 
 
 def _decode_map(m: Column, st: T.StructType, strict: bool) -> Column:
-    """A string map (keys matched ignoring case and name rules) → struct."""
+    """A string map (keys matched ignoring case and name rules) → struct.
+
+    The re-keyed map is bound once as a lambda variable (a one-element array
+    is transformed): referenced directly, it would be rebuilt for every field
+    lookup, since common subexpressions are not shared inside lambdas."""
     lowered = F.transform_keys(m, lambda k, v: F.lower(normalize_name_col(k)))
-    return F.when(m.isNotNull(), F.struct(*[
-        decode_value(lowered[F.lit(g.name.lower())], g, strict).alias(g.name) for g in st.fields]))
+
+    def build(lm: Column) -> Column:
+        return F.struct(*[decode_value(lm[F.lit(g.name.lower())], g, strict).alias(g.name) for g in st.fields])
+    return F.when(m.isNotNull(), F.element_at(F.transform(F.array(lowered), build), 1))
 
 
 def match_columns(df: DataFrame) -> dict[str, str]:

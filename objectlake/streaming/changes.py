@@ -77,15 +77,24 @@ def decode_changes(df: DataFrame, schema: T.StructType, value_col: str = "value"
     if on_error not in ("fail", "quarantine"):
         raise CatalogError(f"Unknown error policy '{on_error}'")
     p = parse_messages(df, value_col)
-    fields = [decode_value(F.col("_after")[F.lit(f.name.lower())], f, strict).alias(f.name)
-              for f in schema.fields]
-    extra = [F.col("_op"), F.col("_replay_id"), F.col("_changed"), F.col("_before")] if keep_event else []
+    extra = ["_op", "_replay_id", "_changed", "_before"] if keep_event else []
+
+    def rows(frame: DataFrame) -> DataFrame:
+        # The decoded row leaves through a generator (inline of a one-element
+        # array): later filters on its columns cannot be pushed below it, so
+        # each message is parsed once instead of once per filter reference.
+        def build(after: Column) -> Column:
+            return F.struct(*[decode_value(after[F.lit(f.name.lower())], f, strict).alias(f.name)
+                              for f in schema.fields], *[F.col(c) for c in extra])
+        one = F.transform(F.array(F.col("_after")), build)
+        return frame.select(F.inline(one))
+
     if on_error == "fail":
         checked = p.withColumn("_after", F.when(F.col("_valid"), F.col("_after")).otherwise(
             F.raise_error(F.concat(F.lit("Invalid change message: "), F.col("_raw")))
             .cast(T.MapType(T.StringType(), T.StringType()))))
-        return checked.select(*fields, *extra)
-    good = p.filter(F.col("_valid")).select(*fields, *extra)
+        return rows(checked)
+    good = rows(p.filter(F.col("_valid")))
     bad = p.filter(~F.col("_valid")).select(F.col("_raw").alias("message"))
     return good, bad
 
