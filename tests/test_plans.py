@@ -15,3 +15,9 @@ def test_no_pairwise_joins(spark, name):
     plan = df._jdf.queryExecution().executedPlan().toString()
     for op in BAD:
         assert op not in plan, f"{name} plans a {op}"
+
+
+def test_messages_parsed_once(spark):
+    for name in ("t03_referenced_fields", "t04_stream_query_projection", "d02_nested_decode"):
+        plan = entry.queries()[name](spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1, name
