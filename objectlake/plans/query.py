@@ -445,6 +445,12 @@ class ObjectQuery:
         if not self._select:
             raise QueryError("A query needs at least one field")
         self._check_aliases()
+        seen: dict[str, str] = {}
+        for i, it in enumerate(self._select):
+            n = self._out_name(it, i)
+            if n.lower() in seen:
+                raise QueryError(f"Duplicate output field '{n}'")
+            seen[n.lower()] = n
         scopes = []
         obj = self.catalog.get(self.obj_name)
         for s in self._scopes:

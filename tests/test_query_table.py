@@ -77,6 +77,7 @@ INVALID = {
     "bad category selector": (lambda c: ObjectQuery(c, "Account").select("Id").with_category("G", "NEAR", "x"),
                               "selector"),
     "unknown scope": (lambda c: ObjectQuery(c, "Account").select("Id").scope("mine").to_df(), "Unknown scope"),
+    "duplicate field": (lambda c: ObjectQuery(c, "Account").select("Id", "ID").to_df(), "Duplicate"),
     "stream query with order": (lambda c: ObjectQuery(c, "Account").select("Id").order_by("Id")
                                 .over(c.table("Account")), "fields and filters"),
 }
