@@ -157,6 +157,25 @@ class Catalog:
         self._objects[name.lower()] = obj
         return obj
 
+    def discover(self, root: str, suffix: str = ".parquet") -> list[str]:
+        """Register every Parquet folder or file directly under ``root`` as an
+        object named after it (``orders.parquet`` → ``orders``); the fields are
+        the columns.  Only file-system metadata is read.  Returns the names."""
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        base = jvm.org.apache.hadoop.fs.Path(root)
+        names = []
+        for st in base.getFileSystem(conf).listStatus(base):
+            leaf = st.getPath().getName()
+            if leaf.startswith((".", "_")):
+                continue
+            if not (st.isDirectory() or leaf.endswith(suffix)):
+                continue
+            name = leaf[: -len(suffix)] if leaf.endswith(suffix) else leaf
+            self.register(name, st.getPath().toString(), id_field=None)
+            names.append(name)
+        return sorted(names)
+
     def refresh(self, name: str) -> None:
         """Forget the object's DataFrame (file listing) after its table changed."""
         getattr(self.get(name), "_cache", {}).clear()

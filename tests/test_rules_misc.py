@@ -93,3 +93,13 @@ def test_category_selectors(spark):
     assert nodes("ABOVE_OR_BELOW", ["a1"]) == ["A", "ROOT", "a1", "a11"]
     pairs = {(r.ancestor, r.descendant) for r in closure(spark, edges).collect()}
     assert ("ROOT", "a11") in pairs and ("a11", "a11") in pairs and ("a1", "a2") not in pairs
+
+
+def test_discover_lake_objects(spark):
+    from objectlake import Catalog
+    cat = Catalog(spark)
+    names = cat.discover("/root/testdata/sf0.001")
+    assert {"orders", "customer", "lineitem", "events"} <= set(names)
+    assert cat.fields("region") == ["r_regionkey", "r_name"]
+    summary = {r.name: r.row_count for r in cat.summary().collect()}
+    assert summary["region"] == 5
