@@ -183,13 +183,25 @@ class Expr:
                     lambda r: ~inc.to_column(r), (self,))
 
     def within(self, literal: str, as_of, op: str = "=", week_start: int = 1,
-               fy_start: int = 1) -> Expr:
-        """F-13: compare with a relative date literal such as ``LAST_N_DAYS:30``."""
-        from .reldates import compare_range, relative_range
+               fy_start: int = 1, tz: str | None = None) -> Expr:
+        """F-13: compare with a relative date literal such as ``LAST_N_DAYS:30``.
+
+        ``tz`` names the zone whose calendar days count for a datetime field
+        (stored in UTC): the day bounds become the UTC instants of local
+        midnight, so the test stays a plain range on the field.  Date fields
+        ignore ``tz``."""
+        from pyspark.sql import types as T
+
+        from .reldates import compare_range, local_midnight_utc, relative_range
 
         lo, hi = relative_range(literal, as_of, week_start=week_start, fy_start=fy_start)
-        return Expr(f"({self.key} {op} {literal})",
-                    lambda r: compare_range(self.to_column(r), lo, hi, op), (self,))
+
+        def build(r):
+            c = self.to_column(r)
+            if tz and not isinstance(r.data_type(c), T.DateType):
+                return compare_range(c, local_midnight_utc(lo, tz), local_midnight_utc(hi, tz), op)
+            return compare_range(c, lo, hi, op)
+        return Expr(f"({self.key} {op} {literal}{' @' + tz if tz else ''})", build, (self,))
 
     # -- ordering (O-01, O-02) -------------------------------------------
     def asc(self, nulls: str = "first") -> SortKey:

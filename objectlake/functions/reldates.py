@@ -120,8 +120,17 @@ def relative_range(literal: str, as_of, week_start: int = 1,
     return start, _shift(start, unit, 1)
 
 
-def compare_range(c: Column, lo: dt.date, hi: dt.date, op: str) -> Column:
-    """Compare a date or datetime column with the range [lo, hi):
+def local_midnight_utc(day: dt.date, tz: str) -> dt.datetime:
+    """The UTC wall-clock time of midnight starting ``day`` in zone ``tz``."""
+    from zoneinfo import ZoneInfo
+
+    local = dt.datetime(day.year, day.month, day.day, tzinfo=ZoneInfo(tz))
+    return local.astimezone(dt.timezone.utc).replace(tzinfo=None)
+
+
+def compare_range(c: Column, lo, hi, op: str) -> Column:
+    """Compare a date or datetime column with the range [lo, hi) (dates, or
+    naive UTC datetimes):
     ``=`` inside, ``!=`` outside, ``<`` before start, ``>=`` from start,
     ``>`` from end, ``<=`` before end."""
     lo_l, hi_l = F.lit(lo), F.lit(hi)

@@ -249,3 +249,18 @@ def test_monotonic_date_functions_push_down(cat):
     import datetime as dt
     one = {r.Id for r in base.where(day_only("LastModifiedDate") == dt.date(1997, 3, 4)).to_df().collect()}
     assert one == {r.Id for r in rows if r.CloseDate == dt.date(1997, 3, 4)}
+
+
+def test_relative_dates_in_a_time_zone(cat):
+    import datetime as dt
+    q = ObjectQuery(cat, "Activity").select("Id", "CreatedDate")
+    rows = q.to_df().collect()
+    as_of = max(r.CreatedDate for r in rows).date()
+    got = {r.Id for r in q.where(fld("CreatedDate").within("TODAY", as_of=as_of, tz="Asia/Tokyo")).to_df().collect()}
+    tokyo = dt.timezone(dt.timedelta(hours=9))
+    want = {r.Id for r in rows
+            if r.CreatedDate.replace(tzinfo=dt.timezone.utc).astimezone(tokyo).date() == as_of}
+    assert got == want and len(got) > 0
+    plan = q.where(fld("CreatedDate").within("TODAY", as_of=as_of, tz="Asia/Tokyo")).to_df()._jdf \
+        .queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts" in plan
