@@ -180,7 +180,7 @@ class Catalog:
         """Forget the object's DataFrame (file listing) after its table changed."""
         getattr(self.get(name), "_cache", {}).clear()
 
-    def commit(self, name: str, table: DataFrame) -> str:
+    def commit(self, name: str, table: DataFrame, partition_by=None) -> str:
         """W-12 for a Parquet-backed object: stage ``table`` next to the
         object's folder, swap it in, and read the new files from then on."""
         from .sinks.write import commit as commit_table
@@ -188,7 +188,7 @@ class Catalog:
         if not obj.path or obj._mapped:
             raise CatalogError(f"Object '{obj.name}' is not stored as its own Parquet folder "
                                "(registered with a path and no field mapping)")
-        commit_table(table, obj.path)
+        commit_table(table, obj.path, partition_by=partition_by)
         self.refresh(name)
         return obj.path
 

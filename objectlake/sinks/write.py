@@ -212,14 +212,18 @@ def write(catalog, obj: str, df: DataFrame, operation: str, key: str | None = No
     return res
 
 
-def commit(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+def commit(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | list[str] | None = None) -> str:
     """W-12: write to a staging folder next to ``path``, then swap it in.
 
     The old table stays in place until the new one is complete; the swap is
-    two renames on the table's file system."""
+    two renames on the table's file system.  ``partition_by`` keeps a
+    partitioned layout (folders per value, pruned by filters on read)."""
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
-    df.write.format(fmt).mode("errorifexists").save(staging)
+    w = df.write.format(fmt).mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    w.save(staging)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     dst = jvm.org.apache.hadoop.fs.Path(path)

@@ -309,3 +309,12 @@ def test_write_batched(spark):
     schema = T.StructType([T.StructField("Id", T.LongType()), T.StructField("Name", T.StringType())])
     back = read_bulk_results(spark, out, schema)
     assert back.count() == 50 and back.filter("Name = 'name 7'").count() == 1
+
+
+def test_commit_partitioned(spark):
+    path = os.path.join(_tmp(), "parts")
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "Id long, Seg string")
+    commit(df, path, partition_by="Seg")
+    assert sorted(p for p in os.listdir(path) if p.startswith("Seg=")) == ["Seg=a", "Seg=b"]
+    back = spark.read.parquet(path).filter("Seg = 'a'")
+    assert back.count() == 2 and "PartitionFilters: [isnotnull(Seg" in back._jdf.queryExecution().executedPlan().toString()
