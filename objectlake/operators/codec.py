@@ -71,12 +71,12 @@ def decode_value(c: Column, f: T.StructField, strict: bool = True, src_type: T.D
     raise (strict) or become null."""
     dt = f.dataType
     name = f.name
+    raw = c
     if src_type is not None and not isinstance(src_type, T.StringType) \
             and not isinstance(dt, (T.ArrayType, T.StructType)):
-        out = c.cast(dt) if strict else c.try_cast(dt)
-        return out
-    raw = c
-    if isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
+        # already typed input: convert, failing (strict) on values that do not fit
+        out = _strict(c.try_cast(dt), c.cast("string"), name, dt, strict)
+    elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.StructType):
         out = F.transform(raw, lambda x: _decode_map(x, dt.elementType, strict))
     elif isinstance(dt, T.StructType):
         out = _decode_map(raw, dt, strict)
@@ -108,8 +108,8 @@ def decode_value(c: Column, f: T.StructField, strict: bool = True, src_type: T.D
             out = _strict(as_day, v, name, dt, strict)
         elif isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
             # strict: an instant, so the text must end with Z or an offset
-            parsed = F.when(v.rlike(r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"), v.try_cast("timestamp")) \
-                if strict else v.try_cast("timestamp")
+            instant = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9:.]+(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+            parsed = F.when(v.rlike(instant), v.try_cast("timestamp")) if strict else v.try_cast("timestamp")
             ts = _strict(parsed, v, name, T.TimestampType(), strict)
             out = F.date_trunc("millisecond", ts).cast(dt)
         else:

@@ -163,8 +163,19 @@ def test_strict_number_and_instant_text(spark):
     schema = T.StructType([T.StructField("n", T.LongType()), T.StructField("ts", T.TimestampType())])
     ok = decode(_strings(spark, [("+12", "2019-05-20T01:01:01+02:00")], ["n", "ts"]), schema).first()
     assert ok.n == 12 and ok.ts == dt.datetime(2019, 5, 19, 23, 1, 1)
-    for bad in [(" 12", "2019-05-20T01:01:01Z"), ("1.0", "2019-05-20T01:01:01Z"), ("12", "2019-05-20T01:01:01")]:
+    for bad in [(" 12", "2019-05-20T01:01:01Z"), ("1.0", "2019-05-20T01:01:01Z"), ("12", "2019-05-20T01:01:01"),
+                ("12", "2019-05-20")]:
         with pytest.raises(Exception, match="cannot be read"):
             decode(_strings(spark, [bad], ["n", "ts"]), schema).collect()
     loose = decode(_strings(spark, [(" 12", "2019-05-20T01:01:01")], ["n", "ts"]), schema, strict=False).first()
     assert loose.n == 12 and loose.ts == dt.datetime(2019, 5, 20, 1, 1, 1)
+
+
+def test_decode_typed_input(spark):
+    schema = T.StructType([T.StructField("n", T.IntegerType(), False), T.StructField("d", T.DoubleType())])
+    ok = decode(spark.createDataFrame([(5, 1)], "n long, d long"), schema).first()
+    assert ok.n == 5 and ok.d == 1.0
+    with pytest.raises(Exception, match="cannot be read"):
+        decode(spark.createDataFrame([(2 ** 40, 1)], "n long, d long"), schema).collect()
+    with pytest.raises(Exception, match="is required"):
+        decode(spark.createDataFrame([(None, 1)], "n long, d long"), schema).collect()
