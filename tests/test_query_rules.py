@@ -264,3 +264,15 @@ def test_relative_dates_in_a_time_zone(cat):
     plan = q.where(fld("CreatedDate").within("TODAY", as_of=as_of, tz="Asia/Tokyo")).to_df()._jdf \
         .queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts" in plan
+
+
+def test_flat_and_nested_children_agree(cat):
+    from pyspark.sql import functions as F
+    spec = dict(select=["Id", "Amount"], where=fld("Amount") > 100000, order_by=[fld("Amount").desc(), "Id"],
+                limit=2, offset=1)
+    nested = (ObjectQuery(cat, "Account").select("Id").children("Opportunities", **spec).to_df()
+              .select("Id", F.explode_outer("Opportunities").alias("c"))
+              .select("Id", F.col("c.Id").alias("cid"), F.col("c.Amount").alias("amt")))
+    flat = (ObjectQuery(cat, "Account").select("Id").children("Opportunities", flat=True, **spec).to_df()
+            .select("Id", F.col("Opportunities_Id").alias("cid"), F.col("Opportunities_Amount").alias("amt")))
+    assert sorted(map(tuple, nested.collect()), key=str) == sorted(map(tuple, flat.collect()), key=str)
