@@ -223,7 +223,7 @@ class Catalog:
     def get(self, name: str) -> ObjectDef:
         obj = self._objects.get(name.lower())
         if obj is None:
-            raise CatalogError(f"Unknown object '{name}'")
+            raise CatalogError(f"Unknown object '{name}'" + _hint(name, [o.name for o in self._objects.values()]))
         return obj
 
     def has(self, name: str) -> bool:
@@ -272,7 +272,8 @@ class Catalog:
         for f in self.fields(obj):
             if f.lower() == name.lower():
                 return f
-        raise CatalogError(f"Field '{name}' does not exist in object '{self.get(obj).name}'")
+        raise CatalogError(f"Field '{name}' does not exist in object '{self.get(obj).name}'"
+                           + _hint(name, self.fields(obj)))
 
     def field_type(self, obj: str, name: str) -> str:
         o = self.get(obj)
@@ -284,7 +285,8 @@ class Catalog:
     def reference(self, obj: str, name: str) -> Reference:
         ref = self.get(obj).references.get(name.lower())
         if ref is None:
-            raise CatalogError(f"Reference '{name}' does not exist in object '{self.get(obj).name}'")
+            raise CatalogError(f"Reference '{name}' does not exist in object '{self.get(obj).name}'"
+                               + _hint(name, [r.name for r in self.get(obj).references.values()]))
         return ref
 
     def child(self, obj: str, name: str) -> ChildRelationship:
@@ -413,6 +415,15 @@ class Catalog:
         return out
 
 
+def _hint(name: str, options: list[str]) -> str:
+    import difflib
+    close = difflib.get_close_matches(name.lower(), [o.lower() for o in options], n=1, cutoff=0.6)
+    if not close:
+        return ""
+    match = [o for o in options if o.lower() == close[0]][0]
+    return f" (did you mean '{match}'?)"
+
+
 class MultiObject(dict):
     """Result of :meth:`Catalog.objects`: name → DataFrame, plus the union (U-01)."""
 
