@@ -18,7 +18,11 @@ def read_bulk_results(spark: SparkSession, paths: str | list[str], schema: T.Str
                       strict: bool = True) -> DataFrame:
     """Read result files (header per file; a header-only file adds no rows; an
     empty file is an error; quoted newlines, commas and doubled quotes are
-    kept) and decode them to ``schema`` (D-01)."""
+    kept) and decode them to ``schema`` (D-01).
+
+    Quoted newlines mean a file cannot be split between tasks, so each file
+    is read by one task and files are read in parallel; result files are
+    written chunk-sized (one per batch or key-range chunk) for that reason."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
            .option("escape", '"').option("mode", "FAILFAST").option("nullValue", _NO_NULL)
