@@ -73,12 +73,25 @@ class ObjectDef:
         return self.name.endswith("__c")
 
 
+# Largest category tree (edges) whose selected node set is broadcast; a
+# larger one is joined the ordinary way.
+CATEGORY_BROADCAST_EDGES = 1_000_000
+
+
 @dataclass
 class CategoryGroup:
     name: str
     edges: DataFrame          # (child string, parent string)
     assignment: str           # field path on the object holding the category
     objects: tuple[str, ...]
+    _edge_count: int | None = None
+
+    def small(self) -> bool:
+        """Measured once: may the selected nodes be broadcast?  A node set
+        never has more rows than the tree has edges + 1."""
+        if self._edge_count is None:
+            self._edge_count = self.edges.count()
+        return self._edge_count <= CATEGORY_BROADCAST_EDGES
 
 
 def _spark_type_name(dt: T.DataType) -> str:

@@ -420,7 +420,7 @@ class ObjectQuery:
             for c in conjuncts(cond):
                 if isinstance(c, SubqueryIn):
                     df = _subquery_join(df, c.expr.to_column(r), c.query.to_df(), c.negate, f"__sq{n}",
-                                        c.null_safe)
+                                        c.null_safe, getattr(c.query, "broadcast", False))
                     n += 1
                 else:
                     plain.append(c)
@@ -436,7 +436,8 @@ class ObjectQuery:
                 raise QueryError(f"Data category group '{group}' does not apply to '{self.obj_name}'")
             from ..operators.category import category_nodes
             nodes = category_nodes(self.catalog.spark, g.edges, sel, names)
-            out.append(SubqueryIn(fld(g.assignment), _FrameQuery(nodes), negate=False))
+            # the node set is bounded by the tree, which was measured
+            out.append(SubqueryIn(fld(g.assignment), _FrameQuery(nodes, broadcast=g.small()), negate=False))
         return out
 
     def to_df(self, source: DataFrame | None = None) -> DataFrame:
@@ -646,19 +647,21 @@ class _RankExpr(Expr):
 
 
 class _FrameQuery:
-    """Adapter so a plain DataFrame can be the right side of ``IN``."""
+    """Adapter so a plain DataFrame can be the right side of ``IN``;
+    ``broadcast`` marks a side whose size was checked."""
 
     obj_name = "<frame>"
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, broadcast: bool = False):
         self.df = df
+        self.broadcast = broadcast
 
     def to_df(self) -> DataFrame:
         return self.df
 
 
 def _subquery_join(df: DataFrame, x: Column, sub: DataFrame, negate: bool, tag: str,
-                   null_safe: bool = False) -> DataFrame:
+                   null_safe: bool = False, broadcast: bool = False) -> DataFrame:
     """``x IN (sub)`` as a left-semi join; ``x NOT IN (sub)`` as a left-anti
     join plus the SQL rule for nulls (computed once as a scalar sub-query):
     an empty ``sub`` keeps every row, a null in ``sub`` keeps none, and a null
@@ -666,6 +669,8 @@ def _subquery_join(df: DataFrame, x: Column, sub: DataFrame, negate: bool, tag:
     # distinct first: a value repeated by a third of the sub-query rows is cut
     # to one row per map task before the shuffle (partial aggregation)
     v = sub.select(F.col(quote(sub.columns[0])).alias(tag)).distinct()
+    if broadcast:
+        v = F.broadcast(v)
     if not negate:
         return df.join(v, x == F.col(tag), "left_semi")
     if null_safe:
