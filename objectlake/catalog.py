@@ -131,12 +131,12 @@ class Catalog:
                  external_ids: Iterable[str] = (), read_only: Iterable[str] = ()) -> ObjectDef:
         """Register an object.
 
-        ``source`` is a Parquet path, a DataFrame, or a zero-argument callable
-        returning one.  ``fields`` maps object field names (in object order) to
+        ``source`` is a Parquet path, a table name of the session catalog
+        (``db.table``), a DataFrame, or a zero-argument callable returning one.  ``fields`` maps object field names (in object order) to
         source columns or Column expressions; omitted, the source columns are
         the fields.
         """
-        path = source if isinstance(source, str) else None
+        path = source if isinstance(source, str) and not _is_table_name(source) else None
 
         cache: dict[str, DataFrame] = {}
 
@@ -148,7 +148,9 @@ class Catalog:
             return cache["df"]
 
         def build() -> DataFrame:
-            if isinstance(source, str):
+            if isinstance(source, str) and _is_table_name(source):
+                df = self.spark.table(source)
+            elif isinstance(source, str):
                 df = self.spark.read.parquet(source)
             elif isinstance(source, DataFrame):
                 df = source
@@ -428,6 +430,11 @@ class Catalog:
         return out
 
 
+def _is_table_name(source: str) -> bool:
+    """``db.table`` or ``table`` (no path separator, scheme or file suffix)."""
+    return "/" not in source and ":" not in source and not source.endswith(".parquet")
+
+
 def _hint(name: str, options: list[str]) -> str:
     import difflib
     close = difflib.get_close_matches(name.lower(), [o.lower() for o in options], n=1, cutoff=0.6)

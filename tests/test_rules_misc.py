@@ -103,3 +103,13 @@ def test_discover_lake_objects(spark):
     assert cat.fields("region") == ["r_regionkey", "r_name"]
     summary = {r.name: r.row_count for r in cat.summary().collect()}
     assert summary["region"] == 5
+
+
+def test_register_catalog_table(spark):
+    from objectlake import Catalog, ObjectQuery
+    spark.range(0, 5).selectExpr("id AS Id", "concat('n', id) AS Name").write.mode("overwrite") \
+        .saveAsTable("objectlake_test_people")
+    cat = Catalog(spark)
+    cat.register("Person", "objectlake_test_people")
+    assert ObjectQuery(cat, "Person").select("Id", "Name").to_df().count() == 5
+    assert cat.get("Person").path is None
