@@ -485,7 +485,7 @@ class ObjectQuery:
 
         child_cols: list[Column] = []
         for spec in self._children:
-            df, cols = self._attach_children(df, spec)
+            df, cols = self._attach_children(df, spec, restrict=bool(conds))
             child_cols += cols
         r.df = df
         names = [self._out_name(it, i) for i, it in enumerate(self._select)]
@@ -567,7 +567,8 @@ class ObjectQuery:
         return self._finish(out, out_cols, post)
 
     # ---------------------------------------------------------- children
-    def _attach_children(self, df: DataFrame, spec: ChildSpec) -> tuple[DataFrame, list[Column]]:
+    def _attach_children(self, df: DataFrame, spec: ChildSpec,
+                         restrict: bool = False) -> tuple[DataFrame, list[Column]]:
         rel = self.catalog.child(self.obj_name, spec.relationship)
         parent = self.catalog.get(self.obj_name)
         if not parent.id_field:
@@ -583,6 +584,11 @@ class ObjectQuery:
         cq._select = [it.alias(n) for it, n in zip(spec.select, inner)] + [fld(rel.field).alias(fk)]
         if spec.where is not None:
             cq._where.append(spec.where)
+        if restrict and not spec.flat:
+            # filtered parents: keep only their children before ranking and
+            # aggregating (a semi-join on the surviving parent keys)
+            keys = df.select(column(parent.id_field).alias("__pk"))
+            cq._where.append(SubqueryIn(fld(rel.field), _FrameQuery(keys), negate=False))
         if spec.order_by or spec.limit is not None or spec.offset:
             # rank inside each parent; the rank filter becomes a map-side
             # group limit, so hot parents ship at most limit+offset rows per task
