@@ -581,6 +581,22 @@ def j03_children_offset(spark, sf_dir):
     return df.select("Id", F.explode("Opportunities").alias("c")).select("Id", F.col("c.Id").alias("child_id"))
 
 
+@register("j03_children_of_filtered_parents", f"""
+SELECT c.c_custkey AS Id, k.Id AS child_id, k.Amount AS child_amount
+FROM customer c LEFT JOIN (
+  SELECT Id, Amount, AccountId FROM {OPP_LIVE}
+  QUALIFY row_number() OVER (PARTITION BY AccountId ORDER BY Amount DESC, Id) = 1
+) k ON k.AccountId = c.c_custkey
+WHERE c.c_mktsegment = 'MACHINERY' AND c.c_acctbal > 0""")
+def j03_children_of_filtered_parents(spark, sf_dir):
+    df = (ObjectQuery(_cat(spark, sf_dir), "Account").select("Id")
+          .where((fld("Segment") == "MACHINERY") & (fld("Balance") > 0))
+          .children("Opportunities", select=["Id", "Amount"], order_by=[fld("Amount").desc(), "Id"], limit=1)
+          .to_df())
+    return df.select("Id", F.explode_outer("Opportunities").alias("c")).select(
+        "Id", F.col("c.Id").alias("child_id"), F.col("c.Amount").alias("child_amount"))
+
+
 @register("j04_semi_join", f"""
 SELECT c_custkey AS Id, c_name AS Name FROM customer
 WHERE c_custkey IN (SELECT AccountId FROM {OPP_LIVE} WHERE Amount > 490000)""")
