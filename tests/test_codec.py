@@ -179,3 +179,15 @@ def test_decode_typed_input(spark):
         decode(spark.createDataFrame([(2 ** 40, 1)], "n long, d long"), schema).collect()
     with pytest.raises(Exception, match="is required"):
         decode(spark.createDataFrame([(None, 1)], "n long, d long"), schema).collect()
+
+
+def test_decode_complexvalue_and_record(spark):
+    schema = T.StructType([
+        T.StructField("tags", T.ArrayType(T.StringType())),
+        T.StructField("owner", T.StructType([T.StructField("Name", T.StringType()),
+                                             T.StructField("Age", T.IntegerType())]))])
+    df = spark.createDataFrame([('["a","b"]', {"NAME": "Ann", "age": "41", "x": "y"}), ("", None)],
+                               "tags string, owner map<string,string>")
+    rows = decode(df, schema).collect()
+    assert rows[0].tags == ["a", "b"] and rows[0].owner.Name == "Ann" and rows[0].owner.Age == 41
+    assert rows[1].tags is None and rows[1].owner is None
