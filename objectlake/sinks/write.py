@@ -223,11 +223,16 @@ def commit(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | l
     w = df.write.format(fmt).mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
-    w.save(staging)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     dst = jvm.org.apache.hadoop.fs.Path(path)
     fs = dst.getFileSystem(conf)
+    try:
+        w.save(staging)
+    except Exception:
+        # abort: the target is untouched; drop our own half-written staging folder
+        fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+        raise
     if fs.exists(dst):
         old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__previous-{uuid.uuid4().hex[:12]}")
         fs.rename(dst, old)

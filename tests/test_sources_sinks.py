@@ -318,3 +318,15 @@ def test_commit_partitioned(spark):
     assert sorted(p for p in os.listdir(path) if p.startswith("Seg=")) == ["Seg=a", "Seg=b"]
     back = spark.read.parquet(path).filter("Seg = 'a'")
     assert back.count() == 2 and "PartitionFilters: [isnotnull(Seg" in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_commit_aborts_cleanly(spark):
+    base = _tmp()
+    path = os.path.join(base, "t")
+    commit(spark.createDataFrame([(1,)], "Id long"), path)
+    bad = spark.range(0, 10).select(F.when(F.col("id") == 7, F.raise_error(F.lit("boom")))
+                                    .otherwise(F.col("id")).alias("Id"))
+    with pytest.raises(Exception, match="boom"):
+        commit(bad, path)
+    assert sorted(os.listdir(base)) == ["t"]
+    assert spark.read.parquet(path).count() == 1
