@@ -276,3 +276,10 @@ def test_flat_and_nested_children_agree(cat):
     flat = (ObjectQuery(cat, "Account").select("Id").children("Opportunities", flat=True, **spec).to_df()
             .select("Id", F.col("Opportunities_Id").alias("cid"), F.col("Opportunities_Amount").alias("amt")))
     assert sorted(map(tuple, nested.collect()), key=str) == sorted(map(tuple, flat.collect()), key=str)
+
+
+def test_scope_with_parameter(cat):
+    from objectlake.functions import param
+    cat.register_scope("Opportunity", "mine", fld("AccountId") == param("me"))
+    mine = ObjectQuery(cat, "Opportunity").select("Id", "AccountId").scope("mine").bind(me=7).to_df().collect()
+    assert mine and all(r.AccountId == 7 for r in mine)
