@@ -468,6 +468,30 @@ register("f13_relative_dates", "\nUNION ALL\n".join(
     for lit_, op, cond in _REL))(_rel_counts)
 
 
+@register("f13_relative_dates_in_zone", """
+SELECT 'TODAY' AS literal, COUNT(*) AS n FROM events
+WHERE CAST(timezone('Asia/Tokyo', timezone('UTC', ts)) AS DATE) = DATE '2024-01-15'
+UNION ALL
+SELECT 'LAST_N_DAYS:3', COUNT(*) FROM events
+WHERE CAST(timezone('America/Los_Angeles', timezone('UTC', ts)) AS DATE) BETWEEN DATE '2024-01-12' AND DATE '2024-01-15'
+UNION ALL
+SELECT 'THIS_WEEK', COUNT(*) FROM events
+WHERE CAST(timezone('Europe/Berlin', timezone('UTC', ts)) AS DATE) BETWEEN DATE '2024-01-14' AND DATE '2024-01-20'""")
+def f13_relative_dates_in_zone(spark, sf_dir):
+    """Relative dates on a datetime field, counted in a local calendar."""
+    cat = _cat(spark, sf_dir)
+    cases = [("TODAY", "Asia/Tokyo"), ("LAST_N_DAYS:3", "America/Los_Angeles"), ("THIS_WEEK", "Europe/Berlin")]
+    parts = []
+    for lit_, tz in cases:
+        q = (ObjectQuery(cat, "Activity").select("Id")
+             .where(fld("CreatedDate").within(lit_, as_of="2024-01-15", tz=tz)))
+        parts.append(q.to_df().agg(F.count(F.lit(1)).alias("n")).select(F.lit(lit_).alias("literal"), "n"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 @register("f16_parent_field_filter", f"""
 SELECT o.Id, o.Amount FROM {OPP_LIVE} o JOIN customer c ON o.AccountId = c.c_custkey
 WHERE c.c_mktsegment = 'AUTOMOBILE' AND o.Amount > 250000""")
@@ -702,6 +726,20 @@ def a13_rollup_grouping(spark, sf_dir):
             .rollup("StageName", "Priority").to_df())
 
 
+@register("a13_rollup_on_paths", f"""
+SELECT c.c_mktsegment AS segment, o.StageName, CAST(GROUPING(c.c_mktsegment) AS INTEGER) AS g_segment,
+       COUNT(*) AS n, ROUND(SUM(o.Amount), 2) AS amount
+FROM {OPP} o LEFT JOIN customer c ON o.AccountId = c.c_custkey
+GROUP BY ROLLUP (c.c_mktsegment, o.StageName)""")
+def a13_rollup_on_paths(spark, sf_dir):
+    q = (ObjectQuery(_cat(spark, sf_dir), "Opportunity").include_deleted(True)
+         .select(fld("Account.Segment").alias("segment"), "StageName",
+                 grouping_("Account.Segment").alias("g_segment"), count_().alias("n"),
+                 sum_("Amount").alias("amount"))
+         .rollup("Account.Segment", "StageName"))
+    return _round(q.to_df(), "amount")
+
+
 @register("a14_cube", """
 SELECT c_mktsegment AS Segment, r_name AS region, CAST(GROUPING(c_mktsegment) AS INTEGER) AS g_segment,
        COUNT(*) AS n, ROUND(SUM(c_acctbal), 2) AS balance
