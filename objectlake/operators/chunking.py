@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..catalog import CatalogError
 
@@ -70,14 +71,31 @@ def chunk_id(key: Column, lo: Column, size: int) -> Column:
     return F.floor((key - lo) / F.lit(size)).cast("long")
 
 
+def _numeric(df: DataFrame, key: str) -> bool:
+    return isinstance(df.schema[key].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType,
+                                                 T.DecimalType, T.DoubleType, T.FloatType))
+
+
+def _tag(df: DataFrame, key: str, size: int) -> DataFrame:
+    """``df`` plus ``chunk_id``: numeric keys are cut into ranges of ``size``
+    key values from the smallest key (a scalar sub-query); other keys (text
+    ids) are numbered in key order with the distributed row index and cut
+    every ``size`` rows."""
+    k = F.col(key)
+    if _numeric(df, key):
+        lo = df.select(F.min(k)).scalar()
+        return df.withColumn("chunk_id", chunk_id(k, lo, size))
+    from .packing import global_index
+    idx = global_index(df, [key], "__pos")
+    return idx.withColumn("chunk_id", F.floor(F.col("__pos") / size).cast("long")).drop("__pos")
+
+
 def key_chunks(df: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK_SIZE) -> DataFrame:
     """(chunk_id, lo, hi, rows) for chunks of ``chunk_size`` consecutive key
-    values starting at the smallest key.  The minimum is a scalar sub-query,
-    the rest one partial + final aggregate on a tiny key (chunk id)."""
+    values (numeric keys) or key positions (text keys); one partial + final
+    aggregate on a tiny key (chunk id)."""
     size = check_chunk_size(chunk_size)
-    k = F.col(key)
-    lo = df.select(F.min(k)).scalar()
-    return (df.select(chunk_id(k, lo, size).alias("chunk_id"), k.alias("__k"))
+    return (_tag(df.select(key), key, size).select("chunk_id", F.col(key).alias("__k"))
             .groupBy("chunk_id")
             .agg(F.min("__k").alias("lo"), F.max("__k").alias("hi"), F.count(F.lit(1)).alias("rows")))
 
@@ -95,7 +113,4 @@ def read_chunked(df: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK_SIZE,
         reasons = chunk_eligibility(query)
         if reasons:
             raise CatalogError("Key-range chunking is not possible: " + "; ".join(reasons), reasons)
-    k = F.col(key)
-    lo = df.select(F.min(k)).scalar()
-    tagged = df.withColumn("chunk_id", chunk_id(k, lo, size))
-    return tagged.repartitionByRange("chunk_id")
+    return _tag(df, key, size).repartitionByRange("chunk_id")

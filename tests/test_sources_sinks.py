@@ -330,3 +330,11 @@ def test_commit_aborts_cleanly(spark):
         commit(bad, path)
     assert sorted(os.listdir(base)) == ["t"]
     assert spark.read.parquet(path).count() == 1
+
+
+def test_chunks_on_text_ids(spark):
+    df = spark.createDataFrame([(f"001A{i:05d}", i) for i in range(250)], "Id string, n long")
+    chunks = key_chunks(df, "Id", 100).orderBy("chunk_id").collect()
+    assert [(c.chunk_id, c.rows) for c in chunks] == [(0, 100), (1, 100), (2, 50)]
+    assert chunks[0].lo == "001A00000" and chunks[1].lo == "001A00100"
+    assert read_chunked(df, "Id", 100).count() == 250
