@@ -338,3 +338,14 @@ def test_chunks_on_text_ids(spark):
     assert [(c.chunk_id, c.rows) for c in chunks] == [(0, 100), (1, 100), (2, 50)]
     assert chunks[0].lo == "001A00000" and chunks[1].lo == "001A00100"
     assert read_chunked(df, "Id", 100).count() == 250
+
+
+def test_non_queryable_objects(spark):
+    cat = Catalog(spark)
+    cat.register("Visible", spark.createDataFrame([(1,)], "Id long"))
+    cat.register("Hidden", spark.createDataFrame([(2,)], "Id long"), queryable=False)
+    assert {r.name for r in cat.summary(queryable_only=True).collect()} == {"Visible"}
+    assert {r.name for r in cat.summary().collect()} == {"Visible", "Hidden"}
+    assert select_objects(cat) == ["Visible"]
+    with pytest.raises(CatalogError, match="not queryable"):
+        select_objects(cat, "Hidden")
