@@ -4,6 +4,12 @@ Each query runs an objectlake operator over the driver tables mapped to
 CRM-style objects (see ``objectlake/sampledata.py``) and reads whole tables.
 Doubles that come out of sums or averages are rounded in both the Spark query
 and the SQL so the order of summation does not matter.
+
+Query names start with the SURVEY §2 item they exercise (``s`` scans and
+sources, ``p`` projections, ``f`` filters, ``j`` joins, ``a`` aggregates,
+``o`` ordering, ``c`` date functions, ``d`` decode/encode, ``w`` writes,
+``t`` change streams); ``r`` names are multi-object reports.
+``docs/COVERAGE.md`` maps every item to its queries and tests.
 """
 
 from __future__ import annotations
