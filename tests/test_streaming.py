@@ -7,6 +7,14 @@ from pyspark.sql import types as T
 
 from objectlake.streaming.changes import decode_changes, notify, notify_for_fields, read_changes
 
+def _finish(query):
+    """Wait for an availableNow run; stop it and fail if it does not end."""
+    done = query.awaitTermination(300)
+    if not done:
+        query.stop()
+    assert done, "stream did not finish"
+
+
 SCHEMA = T.StructType([T.StructField("Id", T.LongType()), T.StructField("Type", T.StringType()),
                        T.StructField("Value", T.DoubleType()), T.StructField("LastModifiedDate", T.TimestampType()),
                        T.StructField("Props", T.StringType())])
@@ -31,7 +39,7 @@ def test_stream_equals_batch(spark):
     stream = pipeline(read_changes(spark, os.path.join(src, "in"), SCHEMA))
     q = (stream.writeStream.format("parquet").option("path", os.path.join(out, "data"))
          .option("checkpointLocation", os.path.join(out, "ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination(120)
+    _finish(q)
     got = spark.read.parquet(os.path.join(out, "data"))
     batch = pipeline(decode_changes(spark.read.text(os.path.join(src, "in")), SCHEMA))
     assert got.count() == batch.count() > 0
@@ -87,7 +95,7 @@ def test_object_query_over_stream(spark):
     out = tempfile.mkdtemp(prefix="objectlake-out-")
     run = (q.over(stream).writeStream.format("parquet").option("path", os.path.join(out, "d"))
            .option("checkpointLocation", os.path.join(out, "c")).trigger(availableNow=True).start())
-    run.awaitTermination(120)
+    _finish(run)
     got = spark.read.parquet(os.path.join(out, "d"))
     want = q.to_df()
     assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
@@ -103,7 +111,7 @@ def test_start_change_stream_with_quarantine(spark):
     q = start_change_stream(spark, os.path.join(src, "in"), SCHEMA, os.path.join(out, "rows"),
                             os.path.join(out, "ckpt"), operations={"delete": False},
                             quarantine_path=os.path.join(out, "bad"), available_now=True)
-    q.awaitTermination(120)
+    _finish(q)
     rows = spark.read.parquet(os.path.join(out, "rows"))
     want = notify(decode_changes(msgs, SCHEMA), delete=False)
     assert rows.count() == want.count() > 0
@@ -134,7 +142,7 @@ def test_stream_with_parent_reference(spark):
     out = tempfile.mkdtemp(prefix="objectlake-out-")
     run = (q.over(stream).writeStream.format("parquet").option("path", os.path.join(out, "d"))
            .option("checkpointLocation", os.path.join(out, "c")).trigger(availableNow=True).start())
-    run.awaitTermination(120)
+    _finish(run)
     got = spark.read.parquet(os.path.join(out, "d"))
     want = q.to_df()
     assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
