@@ -129,6 +129,10 @@ class Expr:
 
     __hash__ = None  # type: ignore[assignment]
 
+    def __bool__(self):
+        raise TypeError("An object expression has no truth value: combine conditions with "
+                        "& (and), | (or) and ~ (not), and put comparisons in parentheses")
+
     # -- predicates ------------------------------------------------------
     def is_null(self) -> Expr:
         return Expr(f"({self.key} = NULL)", lambda r: self.to_column(r).isNull(), (self,))

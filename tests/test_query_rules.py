@@ -283,3 +283,9 @@ def test_scope_with_parameter(cat):
     cat.register_scope("Opportunity", "mine", fld("AccountId") == param("me"))
     mine = ObjectQuery(cat, "Opportunity").select("Id", "AccountId").scope("mine").bind(me=7).to_df().collect()
     assert mine and all(r.AccountId == 7 for r in mine)
+
+
+def test_expressions_have_no_truth_value():
+    import pytest as _pytest
+    with _pytest.raises(TypeError, match="no truth value"):
+        bool(fld("a") > 1 and fld("b") < 2)
