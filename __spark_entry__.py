@@ -862,12 +862,42 @@ def c14_group_by_local_hour(spark, sf_dir):
             .group_by(h).to_df())
 
 
+def _llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """The training-data queries and their SQL; none if that subpackage (or
+    the pipeline module that belongs to it) is not there."""
+    import importlib
+
+    def there(name: str):
+        try:
+            return importlib.import_module(name)
+        except ModuleNotFoundError as e:
+            if e.name not in (name, name.rpartition(".")[0]):
+                raise
+            return None
+    registry, pipeline = there("objectlake.llm.registry"), there("corpus_pipeline")
+    if registry is None:
+        return {}, {}
+
+    def tuned(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            tune(spark)
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        return run
+    found, sql = dict(registry.QUERIES), dict(registry.SQL)
+    if pipeline is not None:
+        found["pipeline"] = pipeline.run
+        if pipeline.ORACLE_SQL is not None:
+            sql["pipeline"] = pipeline.ORACLE_SQL
+    return {name: tuned(fn) for name, fn in found.items()}, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_llm()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return {**_SQL, **_llm()[1]}
 
 
 # ===================================================== decode / encode (D-*)
