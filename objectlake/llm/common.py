@@ -39,3 +39,34 @@ def hash52(*parts: Column) -> Column:
     engine can repeat it); null parts count as the text ``null``."""
     text = F.concat_ws("/", *[F.coalesce(p.cast("string"), F.lit("null")) for p in parts])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+
+
+def chunks(batches, column: str, limit: int = 4 << 20):
+    """Arrow batches cut so that ``column`` holds at most about ``limit``
+    bytes a piece (a longer single value is a piece of its own): the memory of
+    a step then follows ``limit`` and the longest text, not the batch size."""
+    import numpy as np
+    import pyarrow as pa
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        col = batch.column(batch.schema.get_field_index(column))
+        if pa.types.is_string(col.type) or pa.types.is_binary(col.type):
+            offsets = np.frombuffer(col.buffers()[1], dtype=np.int32, count=len(col) + 1 + col.offset)[col.offset:].astype(np.int64)
+        else:
+            offsets = np.frombuffer(col.buffers()[1], dtype=np.int64, count=len(col) + 1 + col.offset)[col.offset:]
+        at = 0
+        while at < batch.num_rows:
+            end = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
+            end = min(max(end, at + 1), batch.num_rows)
+            yield batch.slice(at, end - at)
+            at = end
+
+
+def ranges(starts, lengths):
+    """The numbers starts[0], starts[0]+1, ... (lengths[0] of them), then the
+    same for the next pair: the gather index of consecutive runs."""
+    import numpy as np
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(np.asarray(starts, dtype=np.int64) - (ends - lengths), lengths) + np.arange(total, dtype=np.int64)

@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import queries_native
+from . import queries_native, queries_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
-for _module in (queries_native,):
+for _module in (queries_native, queries_text):
     QUERIES.update(_module.QUERIES)
     SQL.update(_module.SQL)
