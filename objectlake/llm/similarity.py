@@ -39,7 +39,9 @@ from .common import chunks, pick, stage
 from .components import components
 from .shingles import mixed, shingle_sets, text_bytes, word_hashes
 
-GROUPS = 32
+#: groups of a set of up to 1023 shingles; twice as many at each doubling of the size, so
+#: that unlike sets keep apart: their counts differ by about the root of size times groups
+GROUPS = 64
 #: nodes that are joined with each other in one go
 CHUNK = 1024
 SET_CHUNK = 512
@@ -48,7 +50,7 @@ ENTRIES_IN_PART = 200_000
 #: ids up to this many bytes are broadcast to pick texts; beyond it a shuffle join does
 BROADCAST_BYTES = 32 << 20
 
-_COUNTS = np.dtype("<i4")
+_COUNTS = np.dtype("<u2")
 
 
 def needed_overlap(a, b, percent: int):
@@ -58,7 +60,38 @@ def needed_overlap(a, b, percent: int):
 
 
 def group_counts(one: np.ndarray) -> np.ndarray:
-    return np.bincount((one >> np.uint64(40)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(_COUNTS)
+    """The set's point.  A group holds the hashes with the same leading bits
+    below the first 16, so twice fewer groups are sums of neighbours."""
+    groups = GROUPS * max(1, 1 << (len(one).bit_length() - 10)) if len(one) >= 1024 else GROUPS
+    shift = np.uint64(48 - (groups.bit_length() - 1))
+    place = (mixed(one) & np.uint64((1 << 48) - 1)) >> shift
+    counts = np.bincount(place.astype(np.int64), minlength=groups)
+    return np.minimum(counts, 65535).astype(_COUNTS)
+
+
+def folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    return counts.reshape(groups, -1).sum(1) if len(counts) > groups else counts
+
+
+def candidate_pairs(low_n: np.ndarray, high_n: np.ndarray, corners: list[np.ndarray], percent: int):
+    """Pairs (i < j) of boxes that may hold a link: an R-tree join at each
+    number of groups, between the boxes that have just so many and these or
+    finer ones, folded."""
+    sizes = np.array([len(c) for c in corners])
+    out_i, out_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for groups in np.unique(sizes):
+        own = sizes == groups
+        reach = 100 * high_n[own].max()     # finer boxes beyond it fit none of these
+        rows = np.flatnonzero(own | (sizes > groups) & (percent * low_n <= reach))
+        if len(rows) < 2:
+            continue
+        high = np.stack([folded(corners[r].astype(np.int64), int(groups)) for r in rows])
+        i, j = rtree_pairs(low_n[rows], high_n[rows], high, percent)
+        i, j = rows[i], rows[j]
+        now = own[i] | own[j]
+        out_i.append(np.minimum(i, j)[now])
+        out_j.append(np.maximum(i, j)[now])
+    return np.concatenate(out_i), np.concatenate(out_j)
 
 
 def rtree_pairs(low_n: np.ndarray, high_n: np.ndarray, high: np.ndarray, percent: int, fan: int = 16):
@@ -180,52 +213,53 @@ def could_link(cells: DataFrame, boxes: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.repeat(b.column("cell").to_numpy(), sizes)), pa.array(np.repeat(np.array(sizes, np.int64), sizes)),
                 pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64))], names=["cell", "size", "node"])
-    rows = cells.mapInArrow(unpacked, "cell long, size long, node long").join(boxes, "node")
-    rows = stage(rows, "cell-rows")
+    def members_of(some: DataFrame) -> DataFrame:
+        return some.mapInArrow(unpacked, "cell long, size long, node long").join(boxes, "node")
 
     def joined(table: pa.Table) -> pa.Table:
-        low, high, top, root = (np.array(table.column("low_n")), np.array(table.column("high_n")),
-                                np.stack([np.frombuffer(c, _COUNTS) for c in table.column("counts").to_pylist()]),
-                                np.array(table.column("node")))
-        label = joined_by(len(root), *rtree_pairs(low, high, top, percent))
+        low, high, node = (np.array(table.column(c)) for c in ("low_n", "high_n", "node"))
+        corners = [np.frombuffer(c, _COUNTS) for c in table.column("counts").to_pylist()]
+        label = joined_by(len(node), *candidate_pairs(low, high, corners, percent))
         at = np.flatnonzero(label != np.arange(len(label)))
-        return pa.table({"a": pa.array(root[at]), "b": pa.array(root[label[at]])})
+        return pa.table({"a": pa.array(node[at]), "b": pa.array(node[label[at]])})
 
     # each chunk with itself
-    own = rows.select("cell", F.pmod(F.xxhash64("cell", "node"), F.ceil(F.col("size") / CHUNK)).alias("chunk"), "node",
+    own = members_of(cells).select("cell", F.pmod(F.xxhash64("cell", "node"), F.ceil(F.col("size") / CHUNK)).alias("chunk"), "node",
                       F.col("n").alias("low_n"), F.col("n").alias("high_n"), "counts")
     first = stage(own.groupBy("cell", "chunk").applyInArrow(joined, "a long, b long"), "could-1")
     # then boxes of what is joined by now, for cells that were cut
-    cut = rows.where(F.col("size") > CHUNK)
+    cut = cells.where(F.length("members") > 8 * CHUNK)
     if cut.isEmpty():
         return first
     roots = components(first)
-    boxed = cut.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-
-    def corner(table: pa.Table) -> pa.Table:
-        key = np.stack([np.array(table.column("cell")), np.array(table.column("root"))], 1)
-        top = np.stack([np.frombuffer(c, _COUNTS) for c in table.column("counts").to_pylist()])
-        order = np.lexsort((key[:, 1], key[:, 0]))
-        key, top, n = key[order], top[order], np.array(table.column("n"))[order]
-        at = np.flatnonzero(np.append(True, (key[1:] != key[:-1]).any(1)))
-        return pa.table({"cell": pa.array(key[at, 0]), "node": pa.array(key[at, 1]), "low_n": pa.array(np.minimum.reduceat(n, at)),
-                         "high_n": pa.array(np.maximum.reduceat(n, at)),
-                         "counts": pa.array([x.tobytes() for x in np.maximum.reduceat(top, at, axis=0)], pa.binary())})
+    boxed = members_of(cut).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+    def box(cells_: np.ndarray, roots_: np.ndarray, low: np.ndarray, high: np.ndarray, counts: list[bytes]) -> pa.Table:
+        """One box for each cell and root: the size range and the upper corner, at the coarsest of the groupings."""
+        held: dict[tuple[int, int], list] = {}
+        for c, r, a, b, raw in zip(cells_.tolist(), roots_.tolist(), low.tolist(), high.tolist(), counts):
+            new = np.frombuffer(raw, _COUNTS)
+            old = held.get((c, r))
+            if old is None:
+                held[c, r] = [a, b, new]
+            else:
+                groups = min(len(new), len(old[2]))
+                held[c, r] = [min(a, old[0]), max(b, old[1]), np.maximum(np.minimum(folded(new.astype(np.int64), groups), 65535),
+                                                                         np.minimum(folded(old[2].astype(np.int64), groups), 65535)).astype(_COUNTS)]
+        return pa.table({"cell": pa.array([k[0] for k in held], pa.int64()), "node": pa.array([k[1] for k in held], pa.int64()),
+                         "low_n": pa.array([v[0] for v in held.values()], pa.int64()), "high_n": pa.array([v[1] for v in held.values()], pa.int64()),
+                         "counts": pa.array([v[2].tobytes() for v in held.values()], pa.binary())})
 
     def corners(batches):
         for b in batches:
-            if b.num_rows:
-                yield from corner(pa.Table.from_batches([b])).to_batches()
+            n = np.array(b.column("n"))
+            yield from box(np.array(b.column("cell")), np.array(b.column("root")), n, n, b.column("counts").to_pylist()).to_batches()
     shape = "cell long, node long, low_n long, high_n long, counts binary"
     # corners a batch at a time, then one box a cell and root, and at last chunks of boxes pair by pair
     partial = boxed.select("cell", "root", "n", "counts").mapInArrow(corners, shape)
 
     def merged(table: pa.Table) -> pa.Table:
-        top = np.stack([np.frombuffer(c, _COUNTS) for c in table.column("counts").to_pylist()]).max(0)
-        return pa.table({"cell": table.column("cell")[:1], "node": table.column("node")[:1],
-                         "low_n": pa.array([min(table.column("low_n").to_pylist())], pa.int64()),
-                         "high_n": pa.array([max(table.column("high_n").to_pylist())], pa.int64()),
-                         "counts": pa.array([top.tobytes()], pa.binary())})
+        return box(*(np.array(table.column(c)) for c in ("cell", "node", "low_n", "high_n")), table.column("counts").to_pylist())
     full = stage(partial.groupBy("cell", "node").applyInArrow(merged, shape), "cell-boxes")
     sizes = full.groupBy("cell").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     pairs = pair_chunks(full.join(sizes, "cell"), "cell", CHUNK)
@@ -247,10 +281,11 @@ def verified(sets: DataFrame, keys: list[str], percent: int) -> DataFrame:
     """Links (``a``, ``b``) that span the components among the sets of each
     group; ``sets``: the keys, ``node``, ``root`` (what is joined already), ``hashes``."""
     def run(table: pa.Table) -> pa.Table:
-        node, root = np.array(table.column("node")), np.array(table.column("root"))
-        hashes = [np.frombuffer(h, np.uint64) for h in table.column("hashes").to_pylist()]
+        node, once = np.unique(np.array(table.column("node")), return_index=True)
+        root = np.array(table.column("root"))[once]
+        hashes = [np.frombuffer(h.as_py(), np.uint64) for h in table.column("hashes").take(pa.array(once))]
         n = np.array([len(h) for h in hashes])
-        i, j = rtree_pairs(n, n, np.stack([group_counts(h) for h in hashes]), percent)
+        i, j = candidate_pairs(n, n, [group_counts(h) for h in hashes], percent)
         _, label = np.unique(root, return_inverse=True)
         parent = list(range(int(label.max()) + 1)) if len(label) else []
 
@@ -290,34 +325,35 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     members = clusters.join(nodes, "node").select("node", F.col("root").alias("cluster"), "doc_id")
     members = stage(members.withColumnRenamed("doc_id", "id_"), "members")
 
-    # the sets of these nodes, from the texts again
-    wanted = members.select(F.col("id_").alias("doc_id")).distinct()
-    texts = pick(docs, "doc_id", "text")
-    if members.count() * 8 <= BROADCAST_BYTES:
-        wanted = F.broadcast(wanted)
-    texts = texts.join(wanted, "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
+    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    members = stage(members.join(sizes, "cluster"), "cluster-members")
 
     def sets_of(batches):
         for b in chunks(batches, "text"):
             data, offsets = text_bytes(b.column("text"))
-            sets = shingle_sets(*word_hashes(data, offsets), k)
-            keep = [s for s in sets if len(s)]
-            yield pa.RecordBatch.from_arrays([pa.array([int(mixed(s).sum().view(np.int64)) for s in keep], pa.int64()),
-                                              pa.array([s.tobytes() for s in keep], pa.binary())], names=["node", "hashes"])
-    sets = texts.select("text").mapInArrow(sets_of, "node long, hashes binary")
-    sets = stage(sets.join(members.select("node", "cluster"), "node").dropDuplicates(["node"]), "sets")
-    sizes = sets.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    rows = sets.join(sizes, "cluster")
-    own = rows.select("cluster", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / SET_CHUNK)).alias("chunk"), "node",
-                      F.col("node").alias("root"), "hashes")
+            sets = [s for s in shingle_sets(*word_hashes(data, offsets), k) if len(s)]
+            yield pa.RecordBatch.from_arrays([pa.array([int(mixed(s).sum().view(np.int64)) for s in sets], pa.int64()),
+                                              pa.array([s.tobytes() for s in sets], pa.binary())], names=["node", "hashes"])
+
+    def sets(of: DataFrame) -> DataFrame:
+        """The sets of these members, from the texts again."""
+        small = of.count() * 8 <= BROADCAST_BYTES
+        wanted = of.select(F.col("id_").alias("doc_id")).distinct()
+        texts = pick(docs, "doc_id", "text")
+        picked = texts.join(F.broadcast(wanted) if small else wanted, "doc_id", "left_semi").unionByName(texts.where("doc_id is null"))
+        of = of.select("node", "cluster", "size")
+        return picked.select("text").mapInArrow(sets_of, "node long, hashes binary").join(F.broadcast(of) if small else of, "node")
+    own = sets(members).select("cluster", F.pmod(F.xxhash64("node"), F.ceil(F.col("size") / SET_CHUNK)).alias("chunk"), "node",
+                               F.col("node").alias("root"), "hashes")
     links = stage(verified(own, ["cluster", "chunk"], percent), "links-1")
-    large = rows.where(F.col("size") > SET_CHUNK)
+    large = members.where(F.col("size") > SET_CHUNK)
     if not large.isEmpty():
         roots = components(links)
         large = large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         apart = large.groupBy("cluster").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("cluster")
-        again = pair_chunks(large.join(apart, "cluster", "left_semi"), "cluster", SET_CHUNK)
-        links = links.unionByName(stage(verified(again, ["cluster", "one", "two"], percent), "links-2"))
+        large = stage(large.join(apart, "cluster", "left_semi"), "large")
+        rows = stage(sets(large), "large-sets").join(large.select("node", "root"), "node")
+        links = links.unionByName(stage(verified(pair_chunks(rows, "cluster", SET_CHUNK), ["cluster", "one", "two"], percent), "links-2"))
     roots = components(links)
     named = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
