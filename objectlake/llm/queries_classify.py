@@ -1,4 +1,4 @@
-"""Queries of the classifiers."""
+"""Queries of the classifiers and of the search for personal data."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from objectlake.sampledata import table_path
 
-from . import quality, toxicity
+from . import private_data, quality, toxicity
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,5 +21,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(docs, toxicity.train(docs, labels))
 
 
-QUERIES = {"op4_quality": op4_quality, "op7_toxicity": op7_toxicity}
+def op9_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The personal data in every whole text."""
+    docs = spark.read.parquet(table_path(sf_dir, "documents"))
+    return private_data.find_private(docs, private_data.train(docs))
+
+
+QUERIES = {"op4_quality": op4_quality, "op7_toxicity": op7_toxicity, "op9_private_data": op9_private_data}
 SQL: dict[str, str] = {}
