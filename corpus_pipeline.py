@@ -24,45 +24,56 @@ def small(ids: DataFrame, bytes_a_row: int = 16) -> DataFrame:
     return F.broadcast(ids) if ids.count() * bytes_a_row <= BROADCAST_BYTES else ids
 
 
+def apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with the columns ``used`` under their names and all others
+    under names that no operator uses, in the order of ``docs``; and these names."""
+    first = {n: docs.columns.index(n) for n in used}
+    names = [n if first.get(n) == i else f"column_{i}_" for i, n in enumerate(docs.columns)]
+    return docs.toDF(*names), names
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the toxicity model (learnt from ``labels``) doesn't reject."""
-    columns = docs.columns
-    model = toxicity.train(docs, spark.read.parquet(table_path(sf_dir, "labels")))
-    scored = toxicity.score_toxicity(docs, model, keep=tuple(columns))
-    return scored.where("predicted = 0").select(*columns)
+    plain, names = apart(docs, "doc_id", "text")
+    model = toxicity.train(plain, spark.read.parquet(table_path(sf_dir, "labels")))
+    scored = toxicity.score_toxicity(plain, model, keep=tuple(names))
+    return scored.where("predicted = 0").select(*names).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (5-word shingles, Jaccard similarity 0.8) the
     document with the smallest id.  Rows that share an id are one document;
     rows without an id stay."""
-    found = stage(similarity.jaccard_components(docs, k=5, percent=80), "copies")
+    plain, names = apart(docs, "doc_id", "text")
+    found = stage(similarity.jaccard_components(plain, k=5, percent=80), "copies")
     gone = found.where("doc_id <> component_id").select("doc_id").distinct()
     again = stage(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
-    kept = docs.join(small(gone), "doc_id", "left_anti")
+    kept = plain.join(small(gone), "doc_id", "left_anti")
     if not again.isEmpty():
         repeated = small(again)
         kept = kept.join(repeated, "doc_id", "left_anti").unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return kept.select(*docs.columns)
+    return kept.select(*names).toDF(*docs.columns)
 
 
 def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with personal data replaced by its kind; ``n_chars`` follows."""
-    columns = docs.columns
-    found = private_data.find_private(docs, private_data.train(docs), mask=True, keep=tuple(c for c in columns if c != "text"))
-    return found.select(*[F.col("masked").alias("text") if c == "text" else F.length("masked").cast("long").alias("n_chars") if c == "n_chars"
-                          else F.col(c) for c in columns])
+    plain, names = apart(docs, "doc_id", "text", "n_chars")
+    found = private_data.find_private(plain, private_data.train(plain), mask=True, keep=tuple(c for c in names if c != "text"))
+    return found.select(*[F.col("masked") if c == "text" else F.length("masked").cast("long") if c == "n_chars" else F.col(c)
+                          for c in names]).toDF(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix draws it; of a draw that takes a part
-    of a document's words, the document is there if the part is half or more."""
-    mixed = mixing.mix(docs)
+    of a document's words, the document is there if the part is half or more.
+    Rows that share an id, or have none, are there as often as the most drawn of them."""
+    plain, names = apart(docs, "doc_id", "text", "source")
+    mixed = mixing.mix(plain)
     copies = F.size(F.filter("draws", lambda d: d["words"] * 2 >= F.col("size")))
-    drawn = stage(mixed.select("doc_id", copies.alias("copies_")).where("copies_ > 0").groupBy("doc_id").agg(F.max("copies_").alias("copies_")), "drawn")
-    drawn = small(drawn.withColumnRenamed("doc_id", "id_"))
-    rows = docs.join(drawn, docs["doc_id"].eqNullSafe(drawn["id_"]))
-    return rows.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_")))).select(*[docs[c] for c in docs.columns])
+    drawn = mixed.select(F.col("doc_id").alias("id_"), copies.alias("copies_")).where("copies_ > 0")
+    drawn = small(stage(drawn.groupBy("id_").agg(F.max("copies_").alias("copies_")), "drawn"))
+    rows = plain.join(drawn, F.col("doc_id").eqNullSafe(F.col("id_")))
+    return rows.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_")))).select(*names).toDF(*docs.columns)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
