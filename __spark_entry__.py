@@ -156,6 +156,15 @@ def f10_object_scan_range(spark, sf_dir):
                                       duration="6 months, 10 days", offset="1 months")
 
 
+@register("f10_nanos", f"""
+SELECT Id FROM {OPP_LIVE} WHERE LastModifiedDate >= TIMESTAMP '1996-12-31 23:59:55'
+  AND LastModifiedDate < TIMESTAMP '1998-01-01 00:00:00'""")
+def f10_nanos(spark, sf_dir):
+    return _cat(spark, sf_dir).object(
+        "Opportunity", as_of="1998-01-01T00:00:00Z", duration="1 years, 5000000000 nanos",
+        schema=T.StructType([T.StructField("Id", T.LongType())]))
+
+
 @register("f10_upper_bound_only", f"""
 SELECT Id, Amount FROM {OPP_LIVE} WHERE LastModifiedDate < TIMESTAMP '1995-06-01'""")
 def f10_upper_bound_only(spark, sf_dir):
@@ -544,6 +553,40 @@ def f18_category_above_and_at(spark, sf_dir):
             .with_category("Geography", "AT", ["NATION_3", "NATION_4"]).to_df())
 
 
+def _region_catalog(spark, sf_dir):
+    """Accounts assigned to inner nodes: segment -> region-sized group -> root."""
+    cat = _cat(spark, sf_dir)
+    customer = spark.read.parquet(table_path(sf_dir, "customer"))
+    edges = (customer.select(F.concat(F.col("c_mktsegment"), F.lit("/"), (F.col("c_custkey") % 40).cast("string")).alias("child"),
+                             F.col("c_mktsegment").alias("parent")).distinct()
+             .unionByName(customer.select(F.col("c_mktsegment").alias("child"), F.lit("ALL").alias("parent")).distinct()))
+    cat.register_category_group("Segments", edges, "Segment", ["Account"])
+    return cat
+
+
+@register("f18_category_above_inner", """
+SELECT c_custkey AS Id FROM customer WHERE c_mktsegment = 'BUILDING'""")
+def f18_category_above_inner(spark, sf_dir):
+    return (ObjectQuery(_region_catalog(spark, sf_dir), "Account").select("Id")
+            .with_category("Segments", "ABOVE", ["BUILDING/1", "BUILDING/7"]).to_df())
+
+
+@register("f18_category_above_or_below", """
+SELECT c_custkey AS Id FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')""")
+def f18_category_above_or_below(spark, sf_dir):
+    return (ObjectQuery(_region_catalog(spark, sf_dir), "Account").select("Id")
+            .with_category("Segments", "ABOVE_OR_BELOW", ["BUILDING/1", "MACHINERY"]).to_df())
+
+
+@register("f12_text_with_offset", f"""
+SELECT Id FROM {OPP_LIVE} WHERE LastModifiedDate >= TIMESTAMP '1996-12-31 15:00:00'
+  AND LastModifiedDate < TIMESTAMP '1997-06-01 04:00:00'""")
+def f12_text_with_offset(spark, sf_dir):
+    return (ObjectQuery(_cat(spark, sf_dir), "Opportunity").select("Id")
+            .where((fld("LastModifiedDate") >= "1997-01-01T00:00:00+09:00")
+                   & (fld("LastModifiedDate") < "1997-06-01T00:00:00-04:00")).to_df())
+
+
 @register("f19_with_filter", """
 SELECT c_custkey AS Id FROM customer WHERE c_mktsegment = 'HOUSEHOLD' AND c_acctbal BETWEEN 100 AND 200""")
 def f19_with_filter(spark, sf_dir):
@@ -666,6 +709,30 @@ def j05_anti_join_nullable_side(spark, sf_dir):
     return ObjectQuery(cat, "Opportunity").select("Id").where(fld("Priority").notin(sub)).to_df()
 
 
+_OR_SUB = f"(SELECT Priority FROM {OPP_LIVE} WHERE Amount > 495000)"
+
+
+@register("j05_anti_join_under_or", f"""
+SELECT Id, Priority NOT IN {_OR_SUB} OR StageName = 'P' AS kept FROM {OPP_LIVE}
+WHERE Priority NOT IN {_OR_SUB} OR StageName = 'P'""")
+def j05_anti_join_under_or(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    sub = ObjectQuery(cat, "Opportunity").select("Priority").where(fld("Amount") > 495000)
+    df = (ObjectQuery(cat, "Opportunity").select("Id")
+          .where(fld("Priority").notin(sub) | (fld("StageName") == "P")).to_df())
+    return df.withColumn("kept", F.lit(True))
+
+
+@register("j05_anti_join_under_or_null_safe", f"""
+SELECT Id FROM {OPP_LIVE} o
+WHERE NOT EXISTS (SELECT 1 FROM {_OR_SUB} s WHERE s.Priority = o.Priority) OR StageName = 'P'""")
+def j05_anti_join_under_or_null_safe(spark, sf_dir):
+    cat = _cat(spark, sf_dir)
+    sub = ObjectQuery(cat, "Opportunity").select("Priority").where(fld("Amount") > 495000)
+    return (ObjectQuery(cat, "Opportunity").select("Id")
+            .where(fld("Priority").notin(sub, null_safe=True) | (fld("StageName") == "P")).to_df())
+
+
 @register("j06_aggregate_parent_field", f"""
 SELECT o.StageName, COUNT(c.c_name) AS n, MAX(c.c_name) AS top_name, MIN(n.n_name) AS first_territory
 FROM {OPP} o LEFT JOIN customer c ON o.AccountId = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
@@ -1180,6 +1247,32 @@ def w06_pack_by_bytes_invariants(spark, sf_dir):
     return check_packing(packed, data.columns, "Id", max_records, max_bytes)
 
 
+# greedy packing of each account's orders, row by row: the header counts but for the first record of a batch
+@register("w06_pack_by_bytes_per_account", f"""
+WITH RECURSIVE sized AS (
+  SELECT o_custkey AS AccountId, o_orderkey AS Id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k,
+         length(CAST(o_custkey AS VARCHAR)) + length(CAST(o_orderkey AS VARCHAR)) + coalesce(length(o_orderpriority), 0) + 8 + 2 + 16 + 3 AS size
+  FROM orders),
+packed AS (
+  SELECT AccountId, Id, k, size AS used, 1 AS n, 0 AS batch_id FROM sized WHERE k = 1
+  UNION ALL
+  SELECT s.AccountId, s.Id, s.k,
+         CASE WHEN p.n < 4 AND p.used + s.size + 40 <= 220 THEN p.used + s.size ELSE s.size END,
+         CASE WHEN p.n < 4 AND p.used + s.size + 40 <= 220 THEN p.n + 1 ELSE 1 END,
+         CASE WHEN p.n < 4 AND p.used + s.size + 40 <= 220 THEN p.batch_id ELSE p.batch_id + 1 END
+  FROM packed p JOIN sized s ON s.AccountId = p.AccountId AND s.k = p.k + 1)
+SELECT AccountId, Id, CAST(batch_id AS BIGINT) AS batch_id FROM packed""")
+def w06_pack_by_bytes_per_account(spark, sf_dir):
+    """Byte-capped packing within each account, whatever the task layout; the
+    time column is longer written out than as Spark prints it."""
+    from objectlake.operators.packing import pack_batches
+    data = spark.read.parquet(table_path(sf_dir, "orders")).select(
+        F.col("o_custkey").alias("AccountId"), F.col("o_orderkey").alias("Id"), F.col("o_orderpriority").alias("Priority"),
+        F.col("o_orderdate").cast("timestamp_ntz").alias("ClosedAt"))
+    packed = pack_batches(data, max_records=4, max_bytes=220, order_by=["Id"], partition_by=["AccountId"])
+    return packed.select("AccountId", "Id", "batch_id")
+
+
 @register("w08_result_check", f"""
 SELECT Id, 'false' AS Success, 'false' AS Created, 'missing priority' AS Error FROM {OPP}
 WHERE StageName = 'P' AND Priority IS NULL""")
@@ -1321,4 +1414,26 @@ SELECT 'broken:' || event_id AS message FROM events WHERE event_type = 'error'""
 def t07_quarantine(spark, sf_dir):
     from objectlake.streaming.changes import decode_changes
     _, bad = decode_changes(_message_files(spark, sf_dir, broken=True), _CHANGE_SCHEMA, on_error="quarantine")
-    return bad
+    return bad.select("message")
+
+
+@register("t07_all_accounted", """
+SELECT CASE WHEN event_type = 'click' AND value IS NOT NULL OR event_type = 'error' THEN 'bad' ELSE 'good' END AS kind,
+       CASE WHEN event_type = 'error' THEN '' WHEN event_type = 'click' AND value IS NOT NULL THEN 'Value' END AS fields,
+       COUNT(*) AS n FROM events GROUP BY ALL""")
+def t07_all_accounted(spark, sf_dir):
+    """Messages with values that don't convert, with a key twice, without an
+    operation and without JSON: each comes out once, good or bad."""
+    from objectlake.streaming.changes import decode_changes, notify
+    raw = _message_files(spark, sf_dir)
+    kind = F.get_json_object("value", "$.sobject.type")
+    raw = raw.select(F.when(kind == "error", F.lit("no JSON"))
+                     .when(kind == "click", F.regexp_replace("value", r'"Value":[^,}]*', '"Value":"abc"'))
+                     .when(kind == "view", F.regexp_replace("value", r'"Id":', '"ID":1,"Id":'))
+                     .when(kind == "purchase", F.regexp_replace("value", r'"event":\{"type":"[a-z]*",', '"event":{'))
+                     .otherwise(F.col("value")).alias("value"))
+    good, bad = decode_changes(raw, _CHANGE_SCHEMA, on_error="quarantine")
+    # a click without a value stays readable: its text has no Value at all
+    rows = notify(good).select(F.lit("good").alias("kind"), F.lit(None).cast("string").alias("fields"))
+    rows = rows.unionByName(bad.select(F.lit("bad").alias("kind"), F.array_join("fields", ",").alias("fields")))
+    return rows.groupBy("kind", "fields").agg(F.count(F.lit(1)).alias("n"))

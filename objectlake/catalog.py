@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .naming import quote
 from .session import tune
 
 # Field types dropped from whole-object reads (compound fields),
@@ -73,25 +74,12 @@ class ObjectDef:
         return self.name.endswith("__c")
 
 
-# Largest category tree (edges) whose selected node set is broadcast; a
-# larger one is joined the ordinary way.
-CATEGORY_BROADCAST_EDGES = 1_000_000
-
-
 @dataclass
 class CategoryGroup:
     name: str
     edges: DataFrame          # (child string, parent string)
     assignment: str           # field path on the object holding the category
     objects: tuple[str, ...]
-    _edge_count: int | None = None
-
-    def small(self) -> bool:
-        """Measured once: may the selected nodes be broadcast?  A node set
-        never has more rows than the tree has edges + 1."""
-        if self._edge_count is None:
-            self._edge_count = self.edges.count()
-        return self._edge_count <= CATEGORY_BROADCAST_EDGES
 
 
 def _spark_type_name(dt: T.DataType) -> str:
@@ -207,6 +195,26 @@ class Catalog:
         self.refresh(name)
         return obj.path
 
+    def append(self, name: str, rows: DataFrame, partition_by=None) -> str:
+        """W-01 commit of an insert: ``rows`` become further files of a
+        Parquet-backed object, no old file is rewritten.  Columns are matched by
+        name without regard to case; absent ones are null."""
+        from .sinks.write import append as append_rows
+        obj = self.get(name)
+        if not obj.path or obj._mapped:
+            raise CatalogError(f"Object '{obj.name}' is not stored as its own Parquet folder "
+                               "(registered with a path and no field mapping)")
+        have = {c.lower(): c for c in rows.columns}
+        fields = self.table(name).schema.fields
+        unknown = set(have) - {f.name.lower() for f in fields}
+        if unknown:
+            raise CatalogError(f"Fields {sorted(unknown)} do not exist in object '{obj.name}'")
+        shaped = rows.select(*[(F.col(quote(have[f.name.lower()])) if f.name.lower() in have else F.lit(None))
+                               .cast(f.dataType).alias(f.name) for f in fields])
+        append_rows(shaped, obj.path, partition_by=partition_by)
+        self.refresh(name)
+        return obj.path
+
     def add_reference(self, obj: str, name: str, field_name: str, target: str,
                       child_name: str | None = None) -> None:
         """``obj.field_name`` points at ``target.Id`` through relationship ``name``;

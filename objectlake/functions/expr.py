@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import copy
 import datetime as _dt
+import re
 from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
@@ -18,6 +19,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_ZONED = re.compile(r"[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?(Z|[+-][0-9]{2}:?[0-9]{2})$")
+
+
 class Expr:
     """A column expression that is resolved against a query's joined rows."""
 
@@ -75,7 +79,23 @@ class Expr:
         return e
 
     def _cmp(self, other, sym: str, fn) -> Expr:
-        """Comparison hook; range functions rewrite it on their argument."""
+        """Comparison hook; range functions rewrite it on their argument.
+        ISO text with Z or an offset, next to a date or time, means that instant."""
+        if isinstance(other, str) and _ZONED.match(other.strip()):
+            from pyspark.sql import types as T
+
+            from .timefilter import _as_datetime
+
+            def build(r):
+                mine = self.to_column(r)
+                kind = r.data_type(mine)
+                if isinstance(kind, (T.TimestampNTZType, T.TimestampType, T.DateType)):
+                    at = F.lit(_as_datetime(other).isoformat(sep=" "))
+                    return fn(mine, at.cast("date" if isinstance(kind, T.DateType) else kind))
+                return fn(mine, F.lit(other))
+            e = Expr(f"({self.key} {sym} {other!r})", build, (self,))
+            e.op = sym
+            return e
         return self._bin(other, sym, fn)
 
     def __eq__(self, other):  # type: ignore[override]
@@ -251,9 +271,12 @@ class SubqueryIn(Expr):
 
     def __init__(self, expr: Expr, query, negate: bool, null_safe: bool = False):
         self.expr, self.query, self.negate, self.null_safe = expr, query, negate, null_safe
+        self.planned: Column | None = None
 
         def build(r):
-            # Nested under OR/NOT: Spark's IN-subquery (existence join).
+            # under OR or NOT of a WHERE: the column of the flag join planned for it
+            if self.planned is not None:
+                return self.planned
             sub = query.to_df()
             c = self.expr.to_column(r).isin(sub.select(sub.columns[0]))
             return ~c if negate else c

@@ -12,7 +12,7 @@ from .reldates import add_months
 # Duration units accepted in duration text, with their length.
 # Calendar units (months and longer) are applied with calendar arithmetic.
 FIXED_UNITS = {
-    "NANOS": dt.timedelta(microseconds=0.001),
+    "NANOS": None,      # 1/1000 of a microsecond, see _minus
     "MICROS": dt.timedelta(microseconds=1),
     "MILLIS": dt.timedelta(milliseconds=1),
     "SECONDS": dt.timedelta(seconds=1),
@@ -78,6 +78,9 @@ def _minus(t: dt.datetime, unit: str, n: int) -> dt.datetime:
         months = CALENDAR_UNITS[unit] * n
         day = add_months(t.date(), -months)
         return dt.datetime.combine(day, t.time())
+    if unit == "NANOS":
+        # fields hold microseconds: "not before t - n ns" begins at the next whole one
+        return t - dt.timedelta(microseconds=n // 1000)
     return t - FIXED_UNITS[unit] * n
 
 
@@ -91,7 +94,8 @@ def range_bounds(as_of, duration: dict[str, int] | str | None,
     """
     dur = parse_duration(duration) if isinstance(duration, str) or duration is None else dict(duration)
     off = parse_duration(offset) if isinstance(offset, str) or offset is None else dict(offset)
-    if not dur and not off:
+    has_duration, has_offset = any(dur.values()), any(off.values())
+    if not has_duration and not has_offset:
         return None, None
     start_time = _as_datetime(as_of)
     end = start_time
@@ -102,9 +106,7 @@ def range_bounds(as_of, duration: dict[str, int] | str | None,
     for u in UNIT_ORDER:
         if u in dur:
             start = _minus(start, u, dur[u])
-    if start == end and end == start_time:
-        return None, None
-    return (None if start == end else start), end
+    return (start if has_duration else None), end
 
 
 def interval_condition(c: Column, since=None, until=None) -> Column | None:
@@ -120,8 +122,15 @@ def interval_condition(c: Column, since=None, until=None) -> Column | None:
 
 def modified_filter(obj, since=None, until=None, as_of=None, duration=None,
                     offset=None) -> Column | None:
-    """The object-scan time filter: the interval wins over the range."""
+    """The object-scan time filter: the interval wins over the range.  Options
+    that can't be read are an error, and so is a duration or offset without
+    the time (``as_of``) it counts back from."""
+    failures = validate_scan_options(since, until, duration, offset)
+    if failures:
+        raise DurationError("; ".join(failures))
     if since is None and until is None and as_of is None:
+        if duration or offset:
+            raise DurationError("A duration or offset needs as_of, the time it counts back from")
         return None
     if not obj.modified_field:
         raise ValueError(f"Object '{obj.name}' has no modified-time field")

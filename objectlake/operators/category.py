@@ -1,9 +1,7 @@
-"""Data-category tree selection (F-18) with recursive SQL walks.
+"""Data-category tree selection (F-18).
 
 Only the part of the tree a selector needs is walked: down from the named
-categories for BELOW, up for ABOVE.  The walk is a recursive CTE, so there is
-no depth cap: each step moves one level, and on a tree the walk ends at the
-leaves (down) or the root (up); duplicates are removed at the end.
+categories for BELOW, up for ABOVE, a level at a time, each node once.
 """
 
 from __future__ import annotations
@@ -11,42 +9,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def _nodes(edges: DataFrame) -> DataFrame:
     return (edges.select(F.col("child").alias("node"))
             .unionByName(edges.select(F.col("parent").alias("node"))).distinct())
 
 
-def _walk(spark: SparkSession, edges: DataFrame, seeds: DataFrame, down: bool) -> DataFrame:
+def _walk(edges: DataFrame, seeds: DataFrame, down: bool) -> DataFrame:
+    """``seeds`` and all nodes reached from them, level by level until a level
+    brings no new node: any depth, cycles included.  Each level is a written
+    table, so plans stay short."""
+    spark = edges.sparkSession
     step_from, step_to = ("parent", "child") if down else ("child", "parent")
-    return spark.sql(
-        f"""
-        WITH RECURSIVE walk(node) AS (
-          SELECT node FROM {{seeds}}
-          UNION ALL
-          SELECT e.{step_to} FROM walk w JOIN {{edges}} e ON e.{step_from} = w.node
-        )
-        SELECT node FROM walk WHERE node IS NOT NULL
-        """,
-        seeds=seeds, edges=edges,
-    )
+
+    def kept(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "category")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    level = seen = kept(seeds.select("node"))
+    hops = edges.select(F.col(step_from).alias("node"), F.col(step_to).alias("next"))
+    while True:
+        reached = level.join(hops, "node").select(F.col("next").alias("node")).where("node is not null").distinct()
+        level = kept(reached.join(seen, "node", "left_anti"))
+        if level.isEmpty():
+            return seen
+        seen = kept(seen.unionByName(level))
 
 
 def closure(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """(ancestor, descendant) for every node and each of its ancestors,
     including (node, node)."""
-    return spark.sql(
-        """
-        WITH RECURSIVE up(anc, node) AS (
-          SELECT n, n FROM (SELECT child AS n FROM {edges}
-                            UNION SELECT parent AS n FROM {edges}) nodes
-          UNION ALL
-          SELECT e.parent, u.node FROM up u JOIN {edges} e ON e.child = u.anc
-        )
-        SELECT DISTINCT anc AS ancestor, node AS descendant FROM up WHERE anc IS NOT NULL
-        """,
-        edges=edges,
-    )
+    def kept(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "category")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    level = seen = kept(_nodes(edges).where("node is not null").select(F.col("node").alias("ancestor"), F.col("node").alias("descendant")))
+    up = edges.where("parent is not null").select(F.col("child").alias("ancestor"), F.col("parent").alias("next"))
+    while not level.isEmpty():
+        reached = level.join(up, "ancestor").select(F.col("next").alias("ancestor"), "descendant").distinct()
+        level = kept(reached.join(seen, ["ancestor", "descendant"], "left_anti"))
+        seen = kept(seen.unionByName(level))
+    return seen
 
 
 def category_nodes(spark: SparkSession, edges: DataFrame, selector: str, names: list[str]) -> DataFrame:
@@ -57,9 +62,9 @@ def category_nodes(spark: SparkSession, edges: DataFrame, selector: str, names:
         return seeds
     parts = []
     if selector in ("BELOW", "ABOVE_OR_BELOW"):
-        parts.append(_walk(spark, edges, seeds, down=True))
+        parts.append(_walk(edges, seeds, down=True))
     if selector in ("ABOVE", "ABOVE_OR_BELOW"):
-        parts.append(_walk(spark, edges, seeds, down=False))
+        parts.append(_walk(edges, seeds, down=False))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

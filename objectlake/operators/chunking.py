@@ -47,7 +47,7 @@ def chunk_eligibility(query, parent: str | None = None, extra_objects=()) -> lis
     limit, offset, function or child sub-query; and the object (or ``parent``
     when given) must be custom or listed as chunkable."""
     reasons = []
-    if query._categories or query._scopes:
+    if query._categories or query._scopes or query._with_filter:
         reasons.append("query has a WITH or USING SCOPE clause")
     if query._group_mode is not None:
         reasons.append("query has GROUP BY")
@@ -68,7 +68,12 @@ def chunk_eligibility(query, parent: str | None = None, extra_objects=()) -> lis
 
 
 def chunk_id(key: Column, lo: Column, size: int) -> Column:
-    return F.floor((key - lo) / F.lit(size)).cast("long")
+    """Whole-number division, so that keys beyond 2^53 keep their chunk."""
+    return F.call_function("div", key - lo, F.lit(size)).cast("long")
+
+
+def _integral(df: DataFrame, key: str) -> bool:
+    return isinstance(df.schema[key].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
 
 
 def _numeric(df: DataFrame, key: str) -> bool:
@@ -84,7 +89,8 @@ def _tag(df: DataFrame, key: str, size: int) -> DataFrame:
     k = F.col(key)
     if _numeric(df, key):
         lo = df.select(F.min(k)).scalar()
-        return df.withColumn("chunk_id", chunk_id(k, lo, size))
+        whole = k.cast("decimal(38,0)") if _integral(df, key) else F.floor(k).cast("decimal(38,0)")
+        return df.withColumn("chunk_id", chunk_id(whole, F.floor(lo).cast("decimal(38,0)"), size))
     from .packing import global_index
     idx = global_index(df, [key], "__pos")
     return idx.withColumn("chunk_id", F.floor(F.col("__pos") / size).cast("long")).drop("__pos")
@@ -101,16 +107,17 @@ def key_chunks(df: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK_SIZE) ->
 
 
 def read_chunked(df: DataFrame, key: str, chunk_size: int = DEFAULT_CHUNK_SIZE,
-                 query=None) -> DataFrame:
+                 query=None, parent: str | None = None) -> DataFrame:
     """The rows of ``df`` tagged with their key chunk and range-partitioned on
-    it, so each chunk is processed whole by one task and chunks run in
-    parallel (a chunk is at most ``chunk_size`` keys, which bounds a task).  The union of the chunks equals ``df``.
+    it; a chunk is never split between tasks, and a task may hold several.
+    The union of the chunks equals ``df``.
 
-    ``query`` (an ``ObjectQuery``) is checked with :func:`chunk_eligibility`.
+    ``query`` (an ``ObjectQuery``) is checked with :func:`chunk_eligibility`;
+    ``parent`` names the object whose ids the key holds, if it is another one.
     """
     size = check_chunk_size(chunk_size)
     if query is not None:
-        reasons = chunk_eligibility(query)
+        reasons = chunk_eligibility(query, parent)
         if reasons:
             raise CatalogError("Key-range chunking is not possible: " + "; ".join(reasons), reasons)
     return _tag(df, key, size).repartitionByRange("chunk_id")

@@ -39,7 +39,8 @@ def _time_unit(f: T.StructField) -> str | None:
 
 # --------------------------------------------------------------------- decode
 def _parse_time_micros(v: Column) -> Column:
-    pat = r"^(\d{2}):(\d{2})(?::(\d{2})(?:\.(\d{1,9}))?)?"
+    # an ISO local time, whole and in range; an offset or Z may follow
+    pat = r"^([01][0-9]|2[0-3]):([0-5][0-9])(?::([0-5][0-9])(?:\.([0-9]{1,9}))?)?(?:Z|[+-][0-9]{2}(?::?[0-9]{2})?)?$"
     ok = v.rlike(pat)
     h = F.regexp_extract(v, pat, 1).cast("long")
     m = F.regexp_extract(v, pat, 2).cast("long")
@@ -51,8 +52,9 @@ def _parse_time_micros(v: Column) -> Column:
 
 def _strict(parsed: Column, text: Column, name: str, dt: T.DataType, strict: bool) -> Column:
     """Strict mode: a non-empty value that does not convert fails the job
-    (independent of the session's ANSI setting)."""
-    if not strict:
+    (independent of the session's ANSI setting); with ``strict="try"`` it
+    is null, by the same rules of what converts."""
+    if strict is not True:
         return parsed
     return F.when(text.isNotNull() & parsed.isNull(), F.raise_error(F.concat(
         F.lit(f"Field '{name}' cannot be read as {dt.simpleString()}: '"), text, F.lit("'"))).cast(dt)) \
@@ -92,7 +94,7 @@ def decode_value(c: Column, f: T.StructField, strict: bool = True, src_type: T.D
             out = F.lower(v) == F.lit("true")
         elif unit is not None:
             micros = _parse_time_micros(v)
-            if strict:
+            if strict is True:
                 micros = F.when(v.isNull() | micros.isNotNull(), micros).otherwise(
                     _fail(f"Field '{name}' has a malformed time value").cast("long"))
             out = micros if unit == TIME_MICROS else F.floor(micros / 1000).cast("long")
@@ -114,19 +116,32 @@ def decode_value(c: Column, f: T.StructField, strict: bool = True, src_type: T.D
             out = F.date_trunc("millisecond", ts).cast(dt)
         else:
             raise CatalogError(f"Field '{name}' is of unsupported type '{dt.simpleString()}'")
-    if strict and not f.nullable:
+    if strict is True and not f.nullable:
         out = F.when(raw.isNull(), _fail(f"Field '{name}' is required but has no value").cast(dt)) \
             .otherwise(out)
     return out
 
 
+def lower_keys(m: Column) -> Column:
+    """A string map with normalised lower-case keys; of keys that become the
+    same one, the last value stays."""
+    keys = F.transform(F.map_keys(m), lambda k: F.lower(normalize_name_col(k)))
+
+    def build(ks: Column) -> Column:
+        entries = F.arrays_zip(ks.alias("k"), F.map_values(m).alias("v"))
+        last = F.filter(entries, lambda e, i: ~F.array_contains(F.slice(ks, i + 2, F.greatest(F.size(ks), F.lit(1))), e["k"]))
+        return F.when(F.size(F.array_distinct(ks)) == F.size(ks), F.map_from_arrays(ks, F.map_values(m))) \
+            .otherwise(F.map_from_entries(last))
+    return F.when(m.isNotNull(), F.element_at(F.transform(F.array(keys), build), 1))
+
+
 def _decode_map(m: Column, st: T.StructType, strict: bool) -> Column:
     """A string map (keys matched ignoring case and name rules) → struct.
 
     The re-keyed map is bound once as a lambda variable (a one-element array
     is transformed): referenced directly, it would be rebuilt for every field
     lookup, since common subexpressions are not shared inside lambdas."""
-    lowered = F.transform_keys(m, lambda k, v: F.lower(normalize_name_col(k)))
+    lowered = lower_keys(m)
 
     def build(lm: Column) -> Column:
         return F.struct(*[decode_value(lm[F.lit(g.name.lower())], g, strict).alias(g.name) for g in st.fields])

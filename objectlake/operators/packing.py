@@ -68,9 +68,11 @@ def global_index(df: DataFrame, order: Iterable, name: str = "index") -> DataFra
 
 
 def csv_line_bytes(df: DataFrame) -> Column:
-    """Bytes of a row as a quote-all CSV line (``"`` doubled, CRLF end)."""
-    parts = [F.concat(F.lit('"'), F.replace(F.coalesce(F.col(quote(c)).cast("string"), F.lit("")),
-                                            F.lit('"'), F.lit('""')), F.lit('"')) for c in df.columns]
+    """Bytes of a row as the quote-all CSV line that the writer makes of it:
+    each value in its written form (D-03), ``"`` doubled, CRLF end."""
+    from .codec import encode_value
+    parts = [F.concat(F.lit('"'), F.replace(F.coalesce(encode_value(F.col(quote(f.name)), f), F.lit("")),
+                                            F.lit('"'), F.lit('""')), F.lit('"')) for f in df.schema.fields]
     return F.octet_length(F.concat_ws(",", *parts)) + 2
 
 
@@ -146,15 +148,20 @@ def greedy_batches(rec_bytes, file_bytes, header: int, max_records: int, max_byt
 
 def pack_batches(df: DataFrame, max_records: int = MAX_RECORDS_PER_BATCH,
                  max_bytes: int | None = None, order_by: Iterable[str] = (),
-                 file_bytes: str | None = None, name: str = "batch_id") -> DataFrame:
+                 file_bytes: str | None = None, name: str = "batch_id",
+                 partition_by: Iterable[str] = ()) -> DataFrame:
     """Assign write batches.
 
     Records cap only: batch = row number in ``order_by`` order // max_records,
     over the whole DataFrame (no single-task window).  With a byte cap the
     packing is greedy and sequential, as in a writer task: rows are
     range-partitioned and sorted on ``order_by``, and each partition packs its
-    rows independently; the batch id is (partition << 32) + batch number.
-    ``file_bytes`` names a column with attachment sizes counted per batch.
+    rows independently; the batch id is (partition << 32) + batch number, so
+    it follows the layout of the tasks.  ``partition_by`` names columns whose
+    values are packed each on its own instead: batches are numbered from 0 within
+    a value, in ``order_by`` order, whatever the layout; the rows of a value then
+    meet in one task.  ``file_bytes`` names a column with attachment sizes
+    counted per batch.  Sizes are those of the written CSV text.
     """
     _check_limits(max_records, max_bytes)
     order = list(order_by)
@@ -168,22 +175,28 @@ def pack_batches(df: DataFrame, max_records: int = MAX_RECORDS_PER_BATCH,
     header = csv_header_bytes([c for c in df.columns if c != file_bytes])
     data_cols = [c for c in df.columns if c != file_bytes]
     cols = _order_cols(df, order)
-    staged = (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
-              .withColumn("__rb", csv_line_bytes(df.select(*data_cols)))
+    own = [F.col(quote(c)) for c in partition_by]
+    laid = df.repartition(*own).sortWithinPartitions(*own, *cols) if own else df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    staged = (laid.withColumn("__own", F.struct(*own).cast("string") if own else F.lit("")).withColumn("__rb", csv_line_bytes(df.select(*data_cols)))
               .withColumn("__fb", F.coalesce(F.col(quote(file_bytes)), F.lit(0)).cast("long")
                           if file_bytes else F.lit(0).cast("long"))
-              .withColumn("__pid", F.spark_partition_id().cast("long")))
+              .withColumn("__pid", F.lit(0).cast("long") if own else F.spark_partition_id().cast("long")))
     out_schema = T.StructType(staged.schema.fields + [T.StructField(name, T.LongType(), False)])
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        packer = GreedyPacker(header, max_records, limit)
+        packer, current = GreedyPacker(header, max_records, limit), None
         for pdf in batches:
-            ids = packer.feed(pdf["__rb"].to_numpy(), pdf["__fb"].to_numpy())
+            keys, ids = pdf["__own"].to_numpy(), np.empty(len(pdf), np.int64)
+            cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, int)
+            for a, b in zip(cuts, np.append(cuts[1:], len(keys))):
+                if keys[a] != current:
+                    packer, current = GreedyPacker(header, max_records, limit), keys[a]
+                ids[a:b] = packer.feed(pdf["__rb"].to_numpy()[a:b], pdf["__fb"].to_numpy()[a:b])
             pid = pdf["__pid"].to_numpy().astype(np.int64)
             yield pdf.assign(**{name: (pid << 32) + ids})
 
     packed = staged.mapInPandas(pack, out_schema)
-    return packed.drop("__rb", "__fb", "__pid")
+    return packed.drop("__own", "__rb", "__fb", "__pid")
 
 
 def check_packing(packed: DataFrame, data_cols: list[str], order_col: str, max_records: int,

@@ -169,6 +169,8 @@ class ObjectQuery:
         self._time: dict = {}
         self._scopes: list[str] = []
         self._categories: list[tuple[str, str, list[str]]] = []
+        self._with_filter = False
+        self._types_only = False     # compile for the schema: nothing may run
         self._children: list[ChildSpec] = []
         self._params: dict = {}
 
@@ -202,7 +204,9 @@ class ObjectQuery:
 
     def with_filter(self, cond) -> ObjectQuery:
         """F-19: WITH <field expression> — an extra row filter."""
-        return self.where(cond)
+        q = self.where(cond)
+        q._with_filter = True
+        return q
 
     def scope(self, name: str) -> ObjectQuery:
         """F-17: USING SCOPE <name> — a scope registered on the object."""
@@ -360,7 +364,9 @@ class ObjectQuery:
     # ------------------------------------------------------------ compile
     def schema(self) -> T.StructType:
         """A-16: result types of the spec (analysis only, nothing runs)."""
-        return self.to_df().schema
+        q = self._copy()
+        q._types_only = True
+        return q.to_df().schema
 
     def _all_exprs(self) -> list[Expr]:
         out = list(self._select) + list(self._where) + list(self._group)
@@ -425,6 +431,10 @@ class ObjectQuery:
                 else:
                     plain.append(c)
         for c in plain:
+            for e in c.walk():
+                if isinstance(e, SubqueryIn):   # under OR or NOT
+                    df = _flag_join(df, e, r, f"__sq{n}")
+                    n += 1
             df = df.filter(c.to_column(r))
         return df
 
@@ -435,9 +445,8 @@ class ObjectQuery:
             if self.obj_name not in g.objects:
                 raise QueryError(f"Data category group '{group}' does not apply to '{self.obj_name}'")
             from ..operators.category import category_nodes
-            nodes = category_nodes(self.catalog.spark, g.edges, sel, names)
-            # the node set is bounded by the tree, which was measured
-            out.append(SubqueryIn(fld(g.assignment), _FrameQuery(nodes, broadcast=g.small()), negate=False))
+            nodes = category_nodes(self.catalog.spark, g.edges, "AT" if self._types_only else sel, names)
+            out.append(SubqueryIn(fld(g.assignment), _FrameQuery(nodes), negate=False))
         return out
 
     def to_df(self, source: DataFrame | None = None) -> DataFrame:
@@ -497,7 +506,7 @@ class ObjectQuery:
         bounded top-k.  An OFFSET alone numbers the rows with the distributed
         row index (range partitioning + checkpoint) and keeps positions from
         the offset on, instead of pulling every row into one partition."""
-        if self._offset and self._limit is None:
+        if self._offset and self._limit is None and not self._types_only:
             from ..operators.packing import global_index
             hidden = [k.expr.to_column(r).alias(f"__o{i}") for i, k in enumerate(self._order)]
             staged = df.select(*out_cols, *hidden)
@@ -666,6 +675,28 @@ class _FrameQuery:
         return self.df
 
 
+def _flag_join(df: DataFrame, e: SubqueryIn, r, tag: str) -> DataFrame:
+    """A sub-query test inside OR or NOT: a left join to the distinct values
+    gives a match flag, from which the test follows by the SQL rule for nulls
+    (or, null-safe, by the flag alone); ``e`` then reads as that column."""
+    x = e.expr.to_column(r)
+    sub = e.query.to_df()
+    v = sub.select(F.col(quote(sub.columns[0])).alias(tag)).distinct()
+    flags = v.filter(F.col(tag).isNotNull()).withColumn(f"{tag}_hit", F.lit(True))
+    hit = F.coalesce(F.col(f"{tag}_hit"), F.lit(False))
+    if e.negate and e.null_safe:
+        e.planned = ~hit
+    else:
+        state = v.agg(F.when(F.count(F.lit(1)) == 0, F.lit(0))
+                      .when(F.count_if(F.col(tag).isNull()) > 0, F.lit(2)).otherwise(F.lit(1))).scalar()
+        unknown = F.lit(None).cast("boolean")
+        # state 0: empty, 2: with a null
+        found = F.when(hit, F.lit(True)).when(x.isNull(), F.when(state == 0, F.lit(False)).otherwise(unknown)) \
+            .when(state == 2, unknown).otherwise(F.lit(False))
+        e.planned = ~found if e.negate else found
+    return df.join(flags, x == F.col(tag), "left")
+
+
 def _subquery_join(df: DataFrame, x: Column, sub: DataFrame, negate: bool, tag: str,
                    null_safe: bool = False, broadcast: bool = False) -> DataFrame:
     """``x IN (sub)`` as a left-semi join; ``x NOT IN (sub)`` as a left-anti

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -18,8 +19,28 @@ PLAN_DEFAULTS = {
 }
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers (once a Spark context), so that
+    they can import it wherever the driver found it."""
+    context = spark.sparkContext
+    if getattr(context, "_objectlake_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    packed = os.path.join(tempfile.mkdtemp(prefix="objectlake-package-"), "objectlake.zip")
+    with zipfile.ZipFile(packed, "w") as out:
+        for folder, _, names in os.walk(here):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    out.write(full, os.path.join("objectlake", os.path.relpath(full, here)))
+    context.addPyFile(packed)
+    context._objectlake_shipped = True
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply PLAN_DEFAULTS where the session leaves them unset."""
+    """Apply PLAN_DEFAULTS where the session leaves them unset, and send the
+    package to the workers."""
+    ship_package(spark)
     for key, value in PLAN_DEFAULTS.items():
         if spark.conf.get(key, None) in (None, ""):
             spark.conf.set(key, value)

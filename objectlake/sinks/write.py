@@ -79,7 +79,8 @@ def validate_write(target_schema: T.StructType, input_schema: T.StructType, oper
         failures.append(f"Update needs the '{id_field}' field in the input")
     for f in input_schema.fields:
         n = f.name.lower()
-        if n == id_field.lower() or (key and n == key.lower()):
+        # only the operation's own key is exempt: the Id of an update, the key of an upsert
+        if n == (id_field.lower() if op == "update" else (key or "").lower()):
             continue
         if n not in tfields or n in ro:
             failures.append(f"Field '{f.name}' is not creatable or updatable in the object")
@@ -216,8 +217,8 @@ def commit(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | l
     """W-12: write to a staging folder next to ``path``, then swap it in.
 
     The old table stays in place until the new one is complete; the swap is
-    two renames on the table's file system.  ``partition_by`` keeps a
-    partitioned layout (folders per value, pruned by filters on read)."""
+    two renames on the table's file system (:func:`swap`).  ``partition_by``
+    keeps a partitioned layout (folders per value, pruned by filters on read)."""
     spark = df.sparkSession
     staging = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
     w = df.write.format(fmt).mode("errorifexists")
@@ -233,11 +234,41 @@ def commit(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | l
         # abort: the target is untouched; drop our own half-written staging folder
         fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
         raise
-    if fs.exists(dst):
-        old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__previous-{uuid.uuid4().hex[:12]}")
-        fs.rename(dst, old)
-        fs.rename(jvm.org.apache.hadoop.fs.Path(staging), dst)
-        fs.delete(old, True)
-    else:
-        fs.rename(jvm.org.apache.hadoop.fs.Path(staging), dst)
+    swap(fs, jvm.org.apache.hadoop.fs.Path, staging, path)
+    return path
+
+
+def swap(fs, make_path, staging: str, path: str) -> None:
+    """Put the complete folder ``staging`` in the place of ``path``.
+
+    Both renames are checked.  If the new folder does not arrive, or lands
+    inside a folder that another writer put there meanwhile, the old table is
+    moved back (or left beside it under its ``__previous`` name, which the error
+    gives) and nothing of it is deleted; it goes only when the new one is in
+    place."""
+    dst, new = make_path(path), make_path(staging)
+    old = make_path(f"{path.rstrip('/')}.__previous-{uuid.uuid4().hex[:12]}")
+    nested = make_path(f"{path.rstrip('/')}/{staging.rstrip('/').rpartition('/')[2]}")
+    had = fs.exists(dst)
+    if had and not fs.rename(dst, old):
+        raise CatalogError(f"The table '{path}' could not be set aside; it is unchanged, the new one is at '{staging}'")
+    if fs.rename(new, dst) and fs.exists(dst) and not fs.exists(nested):
+        if had:
+            fs.delete(old, True)
+        return
+    if fs.exists(nested):       # moved into another writer's folder: take it out again
+        fs.rename(nested, new)
+    if had and not fs.exists(dst) and fs.rename(old, dst):
+        raise CatalogError(f"The new table could not be put at '{path}'; the old one is back, the new one is at '{staging}'")
+    raise CatalogError(f"The new table could not be put at '{path}'" + (f"; the old one is at '{old}'" if had else "")
+                       + f", the new one at '{staging}'")
+
+
+def append(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | list[str] | None = None) -> str:
+    """Insert without rewriting: the rows become further files of the table at
+    ``path``, all of them or none (Spark's job commit); old files stay as they are."""
+    w = df.write.format(fmt).mode("append")
+    if partition_by:
+        w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
+    w.save(path)
     return path

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..catalog import CatalogError
 from ..naming import normalize_name_col
-from ..operators.codec import decode_value
+from ..operators.codec import decode_value, lower_keys
 
 # The message envelope keys are event (type, createdDate,
 # replayId), sobject (the changed record), changedFields and before.
@@ -44,10 +44,6 @@ _ENVELOPE = T.StructType([
 ])
 
 
-def _lower_keys(m: Column) -> Column:
-    return F.transform_keys(m, lambda k, v: F.lower(normalize_name_col(k)))
-
-
 def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Message text → envelope columns plus ``_valid`` (JSON with an
     ``sobject`` object)."""
@@ -55,9 +51,9 @@ def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     return df.select(env.alias("__m"), F.col(value_col).alias("_raw")).select(
         F.lower(F.col("__m.event.type")).alias("_op"),
         F.col("__m.event.replayId").alias("_replay_id"),
-        _lower_keys(F.col("__m.sobject")).alias("_after"),
+        lower_keys(F.col("__m.sobject")).alias("_after"),
         F.transform(F.col("__m.changedFields"), lambda x: F.lower(normalize_name_col(x))).alias("_changed"),
-        _lower_keys(F.col("__m.before")).alias("_before"),
+        lower_keys(F.col("__m.before")).alias("_before"),
         F.col("__m.sobject").isNotNull().alias("_valid"),
         "_raw")
 
@@ -70,22 +66,31 @@ def decode_changes(df: DataFrame, schema: T.StructType, value_col: str = "value"
     Fields of ``sobject`` match schema fields ignoring case and name rules;
     unknown fields are ignored, missing ones are null; a nested object is only
     accepted by a string field (kept as JSON text), elsewhere it fails the
-    cast.  A message that is not JSON or has no ``sobject`` fails the job
-    (``on_error="fail"``) or goes to a second output
-    (``"quarantine"``: returns ``(rows, bad_messages)``).
+    cast.  A message that is not JSON, has no ``sobject``, or (strict) holds a
+    value that its field cannot take or lacks a required one, fails the job
+    (``on_error="fail"``) or goes to a second output (``"quarantine"``: returns
+    ``(rows, bad_messages)``, the latter with the names of the bad fields), so
+    that good and bad messages together are all of them.
     """
     if on_error not in ("fail", "quarantine"):
         raise CatalogError(f"Unknown error policy '{on_error}'")
     p = parse_messages(df, value_col)
-    extra = ["_op", "_replay_id", "_changed", "_before"] if keep_event else []
+    extra = ["_op", "_replay_id", "_changed", "_before", "_after"] if keep_event else []
+    mode = "try" if strict and on_error == "quarantine" else strict
+
+    def unread(f: T.StructField, after: Column) -> Column:
+        """The field's name if its text is there but does not convert, or a required value is missing."""
+        text = after[F.lit(f.name.lower())]
+        wrong = F.nullif(text, F.lit("")).isNotNull() & decode_value(text, f, mode).isNull()
+        return F.when((wrong | text.isNull()) if not f.nullable else wrong, F.lit(f.name))
 
     def rows(frame: DataFrame) -> DataFrame:
         # The decoded row leaves through a generator (inline of a one-element
         # array): later filters on its columns cannot be pushed below it, so
         # each message is parsed once instead of once per filter reference.
         def build(after: Column) -> Column:
-            return F.struct(*[decode_value(after[F.lit(f.name.lower())], f, strict).alias(f.name)
-                              for f in schema.fields], *[F.col(c) for c in extra])
+            return F.struct(*[decode_value(after[F.lit(f.name.lower())], f, mode).alias(f.name)
+                              for f in schema.fields], *[after.alias(c) if c == "_after" else F.col(c) for c in extra])
         one = F.transform(F.array(F.col("_after")), build)
         return frame.select(F.inline(one))
 
@@ -94,16 +99,20 @@ def decode_changes(df: DataFrame, schema: T.StructType, value_col: str = "value"
             F.raise_error(F.concat(F.lit("Invalid change message: "), F.col("_raw")))
             .cast(T.MapType(T.StringType(), T.StringType()))))
         return rows(checked)
-    good = rows(p.filter(F.col("_valid")))
-    bad = p.filter(~F.col("_valid")).select(F.col("_raw").alias("message"))
-    return good, bad
+    names = F.array_compact(F.array(*[unread(f, F.col("_after")) for f in schema.fields])) if strict and schema.fields \
+        else F.array().cast("array<string>")
+    p = p.withColumn("_unread", F.when(F.col("_valid"), names).otherwise(F.array().cast("array<string>")))
+    sound = F.col("_valid") & (F.size("_unread") == 0)
+    bad = p.filter(~sound).select(F.col("_raw").alias("message"), F.col("_unread").alias("fields"))
+    return rows(p.filter(sound)), bad
 
 
 def notify(df: DataFrame, create: bool = True, update: bool = True, delete: bool = True,
            undelete: bool = True) -> DataFrame:
-    """T-02: keep events of the chosen operations."""
-    ops = [o for o, on in zip(OPERATIONS, (create, update, delete, undelete)) if on]
-    return df.filter(F.col("_op").isin(ops))
+    """T-02: drop events of the operations that are switched off; events
+    without an operation, or with another one, stay."""
+    off = [o for o, on in zip(OPERATIONS, (create, update, delete, undelete)) if not on]
+    return df.filter(~F.coalesce(F.col("_op").isin(off), F.lit(False))) if off else df
 
 
 def changed_fields(df: DataFrame, fields: Iterable[str]) -> Column:
@@ -134,7 +143,7 @@ def notify_for_fields(df: DataFrame, mode: str = "Referenced", select_fields: It
     watched = {"Referenced": list(select_fields) + list(where_fields),
                "Select": list(select_fields), "Where": list(where_fields)}[m]
     changed = F.size(changed_fields(df, watched)) > 0 if watched else F.lit(False)
-    return df.filter(match & ((F.col("_op") != "updated") | changed))
+    return df.filter(match & (~F.col("_op").eqNullSafe("updated") | changed))
 
 
 def read_changes(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "text",
@@ -186,7 +195,7 @@ def start_change_stream(spark: SparkSession, path: str, schema: T.StructType, ou
             rows = notify_for_fields(rows, field_mode, select_fields, where_fields, cond)
         elif cond is not None:
             rows = rows.filter(cond)
-        return query.over(rows) if query is not None else rows.drop("_changed", "_before")
+        return query.over(rows) if query is not None else rows.drop("_changed", "_before", "_after")
 
     if quarantine_path is None:
         out = shape(decode_changes(raw, schema, on_error="fail"))
