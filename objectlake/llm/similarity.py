@@ -10,9 +10,11 @@ and the pairs of points that are left are verified on the sets.
 
 How it is spread:
 
-1. Equal sets are one node.  Two sets that link share one of their lowest
-   ``n - ceil(t n) + 1`` hashes, so nodes are brought together by these
-   (cells); of cells with the same members one is kept.
+1. Equal sets are one node.  Two sets that link share one of their first
+   ``n - ceil(t n) + 1`` hashes in any fixed order, so nodes are brought
+   together by these (cells); of cells with the same members one is kept.  The
+   order is by hash, but hashes found common in a first round come last, so that
+   passages that many unlike texts share don't bring them together.
 2. In each cell an R-tree join over count vectors alone finds which nodes could
    link.  Large cells are cut into chunks: first each chunk is joined with
    itself, and the components found become boxes; then chunks of the boxes that
@@ -42,6 +44,9 @@ from .shingles import mixed, shingle_sets, text_bytes, word_hashes
 #: groups of a set of up to 1023 shingles; twice as many at each doubling of the size, so
 #: that unlike sets keep apart: their counts differ by about the root of size times groups
 GROUPS = 64
+#: hashes that more nodes than this have in their prefixes come last in the order by which
+#: prefixes are taken, the most frequent ``MOST_COMMON`` of them (8 bytes each, sent to the tasks)
+COMMON, MOST_COMMON = 256, 100_000
 #: nodes that are joined with each other in one go
 CHUNK = 1024
 SET_CHUNK = 512
@@ -151,9 +156,16 @@ def joined_by(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
-def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
+def describe(docs: DataFrame, k: int, percent: int, common: np.ndarray | None = None) -> DataFrame:
     """``doc_id``, ``node`` (the set's 64-bit name, null without words), ``n``,
     ``counts`` and ``prefix`` (the hashes that make its cells)."""
+    def prefix(s: np.ndarray) -> bytes:
+        n = len(s) + (-percent * len(s)) // 100 + 1
+        if common is not None:
+            usual = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
+            s = np.concatenate([s[~usual], s[usual]])
+        return s[:n].tobytes()
+
     def run(batches):
         for b in chunks(batches, "text"):
             data, offsets = text_bytes(b.column("text"))
@@ -162,16 +174,17 @@ def describe(docs: DataFrame, k: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([group_counts(s).tobytes() if len(s) else None for s in sets], pa.binary()),
-                pa.array([s[:len(s) + (-percent * len(s)) // 100 + 1].tobytes() if len(s) else None for s in sets], pa.binary())],
+                pa.array([prefix(s) if len(s) else None for s in sets], pa.binary())],
                 names=["doc_id", "node", "n", "counts", "prefix"])
     return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, node long, n long, counts binary, prefix binary")
 
 
-def shared_cells(described: DataFrame) -> DataFrame:
-    """``cell`` (a name of its members), ``members`` (two or more nodes)."""
-    entries = described.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
+def shared_cells(described: DataFrame, entries: int) -> DataFrame:
+    """``hash`` (of the prefixes), ``cell`` (a name of its members), ``members``
+    (two or more nodes); of cells with the same members a few."""
     parts = 1 << max(4, math.ceil(math.log2(max(1, entries / ENTRIES_IN_PART))))
     shift = np.uint64(64 - int(math.log2(parts)))
+    least_common = COMMON + 1
 
     def packed(batches):
         for b in batches:
@@ -195,12 +208,14 @@ def shared_cells(described: DataFrame) -> DataFrame:
         name = mixed(np.add.reduceat(mixed(both[:, 1]), at) + count.astype(np.uint64))
         many = np.flatnonzero(count > 1)
         _, first = np.unique(name[many], return_index=True)
-        many = many[first]
-        return pa.table({"cell": pa.array(name[many].view(np.int64)),
+        kept = count[many] >= least_common      # all common hashes, of the others one for the same members
+        kept[first] = True
+        many = many[kept]
+        return pa.table({"hash": pa.array(both[at[many], 0].view(np.int64)), "cell": pa.array(name[many].view(np.int64)),
                          "members": pa.array([both[a:a + c, 1].tobytes() for a, c in zip(at[many], count[many])], pa.binary())})
     packs = described.where("node is not null").select("node", "prefix")
-    cells = packs.mapInArrow(packed, "part long, entries binary").groupBy("part").applyInArrow(found, "cell long, members binary")
-    return cells.groupBy("cell").agg(F.first("members").alias("members"))
+    return packs.mapInArrow(packed, "part long, entries binary").groupBy("part") \
+        .applyInArrow(found, "hash long, cell long, members binary")
 
 
 def could_link(cells: DataFrame, boxes: DataFrame, percent: int) -> DataFrame:
@@ -319,7 +334,14 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     described = stage(describe(docs, k, percent), "shingles")
     nodes = stage(described.where("node is not null").groupBy("node").agg(
         F.min("n").alias("n"), F.min("counts").alias("counts"), F.min("doc_id").alias("doc_id")), "nodes")
-    cells = stage(shared_cells(described), "cells")
+    entries = described.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
+    shared = stage(shared_cells(described, entries), "shared")
+    often = F.length("members")
+    common = shared.where(often > 8 * COMMON).groupBy("hash").agg(F.max(often).alias("n")).orderBy(F.desc("n"), "hash").limit(MOST_COMMON).collect()
+    if common:
+        late = np.sort(np.array([r["hash"] for r in common], np.int64).view(np.uint64))
+        shared = stage(shared_cells(describe(docs, k, percent, late), entries), "shared")
+    cells = stage(shared.groupBy("cell").agg(F.first("members").alias("members")), "cells")
     edges = could_link(cells, nodes.select("node", "n", "counts"), percent)
     clusters = components(edges)
     members = clusters.join(nodes, "node").select("node", F.col("root").alias("cluster"), "doc_id")

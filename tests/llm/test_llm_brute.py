@@ -116,6 +116,7 @@ def brute_components(texts, k, percent):
 def test_jaccard(spark, texts, monkeypatch, chunk):
     monkeypatch.setattr(similarity, "CHUNK", chunk)
     monkeypatch.setattr(similarity, "SET_CHUNK", chunk)
+    monkeypatch.setattr(similarity, "COMMON", chunk)
     rnd = random.Random(4)
     more = dict(texts)
     base = [f"word{rnd.randint(0, 50)}" for _ in range(120)]
