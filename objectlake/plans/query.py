@@ -296,6 +296,8 @@ class ObjectQuery:
         for it in items:
             if it.is_function or it.has_agg:
                 raise QueryError("Functions are not allowed in a child sub-query")
+        if flat and any(c.flat for c in self._children):
+            raise QueryError("Only one child sub-query can be flat: two would give every pair of their rows")
         q = self._copy()
         q._children.append(ChildSpec(relationship, items, as_expr(where) if where is not None else None,
                                      _sort_keys(order_by), limit, offset, flat, alias))

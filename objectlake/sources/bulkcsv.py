@@ -3,6 +3,8 @@ each, read as one typed rowset."""
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -27,26 +29,15 @@ def read_bulk_results(spark: SparkSession, paths: str | list[str], schema: T.Str
     raw = (spark.read.option("header", True).option("multiLine", True).option("quote", '"')
            .option("escape", '"').option("mode", "FAILFAST").option("nullValue", _NO_NULL)
            .option("encoding", "UTF-8").option("enforceSchema", False).csv(paths))
-    empty = _empty_files(spark, raw.inputFiles())
-    if empty:
-        raise CatalogError(f"Result file '{empty[0]}' has no header")
+    # Spark's file listing names empty files, its scan passes over them: they are counted apart
+    # in a job over file statuses (no content is read), and named only if there are any
+    files = raw.inputFiles()
+    seen = spark.read.format("binaryFile").load(paths).select("path")
+    if len(files) != seen.count():
+        filled = {_plain(r["path"]) for r in seen.collect()}
+        raise CatalogError(f"Result file '{next(f for f in files if _plain(f) not in filled)}' has no header")
     return decode(raw, schema, strict)
 
 
-def _empty_files(spark: SparkSession, files: list[str]) -> list[str]:
-    """Zero-length files among ``files``: one listing per folder (file-system
-    metadata only, no data read)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    wanted: dict[str, set[str]] = {}
-    for f in files:
-        parent, _, _ = f.rstrip("/").rpartition("/")
-        wanted.setdefault(parent, set()).add(f)
-    out = []
-    for parent, names in wanted.items():
-        d = jvm.org.apache.hadoop.fs.Path(parent)
-        for st in d.getFileSystem(conf).listStatus(d):
-            path = st.getPath().toString()
-            if st.isFile() and st.getLen() == 0 and (path in names or path.replace("file:/", "file:///") in names):
-                out.append(path)
-    return out
+def _plain(path: str) -> str:
+    return unquote(path).replace("file:///", "file:/")
