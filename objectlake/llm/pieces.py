@@ -29,8 +29,9 @@ from .common import chunks, pick, ranges
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-#: words whose cuts a worker keeps between runs of texts
-KEPT_WORDS = 1_000_000
+#: what a worker keeps between runs of texts, at most: cuts of words, tested pairs of
+#: pieces, steps along words (some 100 MB together); and the bytes of text of a run
+KEPT_WORDS, KEPT_PAIRS, KEPT_STEPS, RUN_BYTES = 200_000, 400_000, 150_000, 2 << 20
 
 _ENCODERS: dict[bytes, "TrieEncoder"] = {}
 
@@ -148,7 +149,7 @@ class TrieEncoder:
         while suffix and suffix not in self.beginnings:
             suffix = suffix[1:]
         found = tuple((len(suffix) - k, self.ids[suffix[k:]]) for k in range(len(suffix)) if suffix[k:] in self.ids)
-        if len(self.steps) > 2_000_000:
+        if len(self.steps) > KEPT_STEPS:
             self.steps.clear()
         self.steps[key] = suffix, found
         return suffix, found
@@ -176,7 +177,7 @@ class TrieEncoder:
                         pair = (last[end - length] + 1) * many + p
                         ok = stable.get(pair)
                         if ok is None:
-                            if len(stable) > 4_000_000:
+                            if len(stable) > KEPT_PAIRS:
                                 stable.clear()
                             ok = stable[pair] = self.fits(last[end - length], p)
                         if ok:
@@ -273,7 +274,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches):
         enc = encoder(data)
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", RUN_BYTES):
             texts = [t or "" for t in b.column("text").to_pylist()]
             ids, offsets = enc.encode(texts)
             same = [a == t for a, t in zip(enc.decode(ids, offsets), texts)]
