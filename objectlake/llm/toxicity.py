@@ -64,16 +64,17 @@ def beginnings(word: str) -> set[str]:
 def toxic_pieces(toxic: list[list[str]], ordinary: list[list[str]]) -> bytes:
     """What marks toxic texts, the most frequent last (nearest)."""
     seen: Counter[str] = Counter()
-    contexts: dict[str, set] = defaultdict(set)
     for words in toxic:
-        here = set()
-        for before, word, after in zip(["", *words], words, [*words[1:], ""]):
-            for u in beginnings(word):
-                here.add(u)
-                contexts[u].add((before, after))
-        seen.update(here)
+        seen.update({u for w in set(words) for u in beginnings(w)})
     least = max(3, 0.01 * len(toxic))
-    likely = {u for u, n in seen.items() if n >= least and len(contexts[u]) >= least}
+    frequent = {u for u, n in seen.items() if n >= least}
+    contexts: dict[str, set] = defaultdict(set)     # of the frequent ones only, and only as many as count
+    for words in toxic:
+        for before, word, after in zip(["", *words], words, [*words[1:], ""]):
+            for u in beginnings(word) & frequent:
+                if len(contexts[u]) < least:
+                    contexts[u].add((before, after))
+    likely = {u for u in frequent if len(contexts[u]) >= least}
     usual: Counter[str] = Counter()
     for words in ordinary:
         usual.update({u for w in set(words) for u in beginnings(w)} & likely)
