@@ -64,16 +64,14 @@ def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix draws it; of a draw that takes a part
-    of a document's words, the document is there if the part is half or more.
-    Rows that share an id, or have none, are there as often as the most drawn of them."""
+    """A row for each draw of the mix, in the order of the output shards and of
+    the places in their shuffle; a draw that takes a part of a document's words
+    has its row if the part is half or more.  Each row has its own draws."""
     plain, names = apart(docs, "doc_id", "text", "source")
-    mixed = mixing.mix(plain)
-    copies = F.size(F.filter("draws", lambda d: d["words"] * 2 >= F.col("size")))
-    drawn = mixed.select(F.col("doc_id").alias("id_"), copies.alias("copies_")).where("copies_ > 0")
-    drawn = small(stage(drawn.groupBy("id_").agg(F.max("copies_").alias("copies_")), "drawn"))
-    rows = plain.join(drawn, F.col("doc_id").eqNullSafe(F.col("id_")))
-    return rows.withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies_")))).select(*names).toDF(*docs.columns)
+    drawn = mixing.dealt(mixing.mix(plain, keep=tuple(names)), *names).where("words * 2 >= size")
+    drawn = drawn.withColumn("last_", F.xxhash64("text"))      # rows that repeat an id have one place
+    order = ("shard", "place", "doc_id", "last_")
+    return drawn.repartitionByRange(*order).sortWithinPartitions(*order).select(*names).toDF(*docs.columns)
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

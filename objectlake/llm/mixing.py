@@ -164,7 +164,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = 1.5
     rows without an id are told apart by where they are read.  Empty tables
     give no rows.  The draws depend on ids, sizes and ``seed`` alone, so reruns
     agree."""
-    rows = pick(docs, "doc_id", "text", "source", *keep).withColumn("address", F.monotonically_increasing_id())
+    rows = pick(docs, *dict.fromkeys(("doc_id", "text", "source", *keep))).withColumn("address", F.monotonically_increasing_id())
     mark = F.when(F.col("doc_id").isNull(), F.concat(F.lit("row "), F.col("address").cast("string"))) \
         .otherwise(F.col("doc_id").cast("string"))
     sized = stage(rows.select(
@@ -227,6 +227,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = 1.5
                        "source_size", "target", draws.alias("draws"))
 
 
+def dealt(mixed: DataFrame, *columns: str) -> DataFrame:
+    """A row per draw of ``mixed`` (what ``mix`` returns): ``columns``, ``size``,
+    and the draw's ``pass_no``, ``shard``, ``words`` and ``place``."""
+    one = mixed.select(*columns, "size", F.explode("draws").alias("draw"))
+    return one.select(*columns, "size", *[F.col(f"draw.{c}").alias(c) for c in ("pass_no", "shard", "words", "place")])
+
+
 def taken_words(mixed: DataFrame) -> Column:
     """The words that all draws of a document take."""
     return F.aggregate(mixed["draws"], F.lit(0).cast("long"), lambda a, d: a + d["words"])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from objectlake.sampledata import table_path
 
-from .mixing import mix, taken_words
+from .mixing import dealt, mix, taken_words
 from .sharding import Topology, shard_documents
 
 SHARDS = 8
@@ -18,6 +18,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", taken_words(mixed).alias("taken"))
 
 
+def op2_mixing_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each draw of that mix: the output shard that the tree gives it, and its
+    place in the shard's shuffle (the place is Spark's hash, so without SQL)."""
+    return dealt(mix(spark.read.parquet(table_path(sf_dir, "documents"))), "doc_id")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards by the weighted hash tree, and their shard
     with a ninth."""
@@ -25,7 +31,7 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(spark.read.parquet(table_path(sf_dir, "documents")), eight, eight.grow(SHARDS))
 
 
-QUERIES = {"op2_mixing": op2_mixing, "op3_sharding": op3_sharding}
+QUERIES = {"op2_mixing": op2_mixing, "op2_mixing_draws": op2_mixing_draws, "op3_sharding": op3_sharding}
 
 _HASH = "('0x' || substr(md5({}), 1, 13))::BIGINT"
 _MIX = f"""
