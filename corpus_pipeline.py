@@ -42,17 +42,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (5-word shingles, Jaccard similarity 0.8) the
-    document with the smallest id.  Rows that share an id are one document;
-    rows without an id stay."""
+    row with the smallest id, rows without an id last and equal ones as they are
+    read.  Rows that share an id, or have none, are documents of their own; texts
+    without words have no copies."""
     plain, names = apart(docs, "doc_id", "text")
-    found = stage(similarity.jaccard_components(plain, k=5, percent=80), "copies")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    again = stage(found.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "repeated")
-    kept = plain.join(small(gone), "doc_id", "left_anti")
-    if not again.isEmpty():
-        repeated = small(again)
-        kept = kept.join(repeated, "doc_id", "left_anti").unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    return kept.select(*names).toDF(*docs.columns)
+    rows = stage(plain.withColumn("address_", F.monotonically_increasing_id()), "addressed")
+    found = stage(similarity.row_components(rows, 5, 80, keep=("address_",)).where("root is not null").select("doc_id", "address_", "root"), "copies")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "address_")).alias("first")
+    kept = found.groupBy("root").agg(first).select("first.address_")
+    gone = stage(found.select("address_").join(kept, "address_", "left_anti"), "gone")
+    return rows.join(small(gone), "address_", "left_anti").select(*names).toDF(*docs.columns)
 
 
 def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -156,8 +156,8 @@ def joined_by(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return label
 
 
-def describe(docs: DataFrame, k: int, percent: int, common: np.ndarray | None = None) -> DataFrame:
-    """``doc_id``, ``node`` (the set's 64-bit name, null without words), ``n``,
+def describe(docs: DataFrame, k: int, percent: int, common: np.ndarray | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id``, the columns ``keep``, ``node`` (the set's 64-bit name, null without words), ``n``,
     ``counts`` and ``prefix`` (the hashes that make its cells)."""
     def prefix(s: np.ndarray) -> bytes:
         n = len(s) + (-percent * len(s)) // 100 + 1
@@ -166,17 +166,20 @@ def describe(docs: DataFrame, k: int, percent: int, common: np.ndarray | None =
             s = np.concatenate([s[~usual], s[usual]])
         return s[:n].tobytes()
 
+    rows = pick(docs, "doc_id", "text", *keep)
+
     def run(batches):
         for b in chunks(batches, "text"):
             data, offsets = text_bytes(b.column("text"))
             sets = shingle_sets(*word_hashes(data, offsets), k)
             nodes = [int(mixed(s).sum().view(np.int64)) if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                *[b.column(c) for c in ("doc_id", *keep)], pa.array(nodes, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([group_counts(s).tobytes() if len(s) else None for s in sets], pa.binary()),
                 pa.array([prefix(s) if len(s) else None for s in sets], pa.binary())],
-                names=["doc_id", "node", "n", "counts", "prefix"])
-    return pick(docs, "doc_id", "text").mapInArrow(run, "doc_id long, node long, n long, counts binary, prefix binary")
+                names=["doc_id", *keep, "node", "n", "counts", "prefix"])
+    shape = ", ".join(f"`{c}` {t}" for c, t in rows.select("doc_id", *keep).dtypes)
+    return rows.mapInArrow(run, f"{shape}, node long, n long, counts binary, prefix binary")
 
 
 def shared_cells(described: DataFrame, entries: int) -> DataFrame:
@@ -331,7 +334,14 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     without words none, and link with nothing (their component is their own id).
     Rows that repeat an id stay rows, and equal texts link.  A component
     without any id has a null one.  Other columns are ignored."""
-    described = stage(describe(docs, k, percent), "shingles")
+    return row_components(docs, k, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def row_components(docs: DataFrame, k: int, percent: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The rows of ``jaccard_components``, with the columns ``keep`` of ``docs``
+    and ``root``, which names the component by itself, ids or none (null for a
+    text that links with nothing for want of words)."""
+    described = stage(describe(docs, k, percent, keep=keep), "shingles")
     nodes = stage(described.where("node is not null").groupBy("node").agg(
         F.min("n").alias("n"), F.min("counts").alias("counts"), F.min("doc_id").alias("doc_id")), "nodes")
     entries = described.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
@@ -379,6 +389,6 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     roots = components(links)
     named = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(smallest, "root").select("node", "component_id")
-    out = described.select("doc_id", "node", F.col("n").alias("n_shingles")).join(named, "node", "left")
-    return out.select("doc_id", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = named.join(smallest, "root").select("node", "root", "component_id")
+    out = described.select("doc_id", *keep, "node", F.col("n").alias("n_shingles")).join(named, "node", "left")
+    return out.select("doc_id", *keep, "root", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))

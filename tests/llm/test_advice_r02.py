@@ -37,3 +37,26 @@ def test_query_2_returns_the_draws(spark):
     for r in rows:
         taken[r["doc_id"]] += r["words"]
     assert all(taken[r["doc_id"]] == r["taken"] for r in QUERIES["op2_mixing"](spark, SMOKE).collect())
+
+
+# -- near copies and the mix act on rows ---------------------------------------------
+def test_near_copies_are_rows(spark):
+    def text(name, n=40):
+        return " ".join(f"{name}{i}" for i in range(n))
+    rows = [(5, text("a")), (5, text("b")), (5, text("b")), (5, text("c")),    # an id with three texts, one of them twice
+            (1, text("a")),                                                # a copy of one of them
+            (None, text("d")), (None, text("d")), (None, text("e")), (None, text("b")),
+            (7, ""), (7, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS).repartition(3)
+    for _ in range(2):
+        got = Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.drop_near_copies(spark, docs, SMOKE).collect())
+        assert got == Counter([(1, text("a")), (5, text("b")), (5, text("c")), (None, text("d")), (None, text("e")), (7, ""), (7, None), (None, "")])
+
+
+def test_mixed_rows_have_their_own_draws(spark):
+    rows = [(None, f"w{i} " * (20 + i), "en", "abc"[i % 3], i) for i in range(60)] + [(3, f"v{i} " * (30 + i), "en", "abc"[i % 3], 100 + i) for i in range(30)]
+    docs = spark.createDataFrame(rows, DOCS).coalesce(1)
+    plain = corpus_pipeline.stage(docs, "t")
+    want = Counter({r["n_chars"]: sum(2 * d["words"] >= r["size"] for d in r["draws"]) for r in mixing.mix(plain, keep=("n_chars",)).collect()})
+    got = Counter(r["n_chars"] for r in corpus_pipeline.mix_sources(spark, plain, SMOKE).collect())
+    assert got == +want and len(set(want.values())) > 1
