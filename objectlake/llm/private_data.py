@@ -6,8 +6,9 @@ such data: base matches are observed, the others are numbers of seven or more
 digits and runs with an at sign that no pattern took.  Neighbouring mentions
 share chain potentials, and mentions that are equal or similar (same last seven
 digits, same address without regard to case) share skip potentials, so that a
-number seen once in full is also known where it is written differently.  Loopy
-message passing gives each mention's label; those that are personal data are
+number seen once in full is also known where it is written differently, however
+often it is repeated in between.  Loopy message passing, until the messages
+settle, gives each mention's label; those that are personal data are
 added to the base matches.
 
 The weights maximise the pseudo-likelihood of base labels in a bounded sample:
@@ -19,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +33,10 @@ from .common import chunks, pick
 KINDS = ("email", "ip", "card", "phone")
 #: the sample: documents and characters of each at most
 SAMPLE_DOCS, SAMPLE_CHARS = 3000, 50_000
-ROUNDS = 12
+#: messages have settled when none changes more than this in a round
+SETTLED = 1e-4
+#: rounds at most: as many as these, and some for each mention that a message may have to pass
+ROUNDS, ROUNDS_A_MENTION = 200, 4
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -145,6 +150,27 @@ def skip_edges(keys: list[str]) -> list[tuple[int, int]]:
     return out
 
 
+def base_edges(keys: list[str], observed: np.ndarray, may: np.ndarray) -> list[tuple[int, int]]:
+    """Each mention that is no base match with the nearest base match that has
+    its key and a label that it may have (the earlier of two as near): as many
+    edges as mentions at most."""
+    seen: dict[tuple[str, int], list[int]] = {}
+    for i, (key, label) in enumerate(zip(keys, observed.tolist())):
+        if label:
+            seen.setdefault((key, label), []).append(i)
+    out = []
+    for i in np.flatnonzero(observed == 0).tolist():
+        near = []
+        for label in range(1, may.shape[1]):
+            at = seen.get((keys[i], label), []) if may[i, label] else []
+            k = bisect_left(at, i)
+            near += [(abs(i - j), j) for j in at[max(0, k - 1):k + 1]]
+        if near:
+            j = min(near)[1]
+            out.append((min(i, j), max(i, j)))
+    return out
+
+
 def may_be(text: str, rows: list[tuple[int, int, int]], keys: list[str]) -> np.ndarray:
     """Which labels each mention can have: none, its own, and those of base
     matches that are written as it is (addresses) or whose digits end with its
@@ -173,8 +199,8 @@ class Field:
     skip: np.ndarray
 
     def beliefs(self, x: np.ndarray, observed: np.ndarray, skips: list[tuple[int, int]], may: np.ndarray | None = None) -> np.ndarray:
-        """Each mention's label probabilities by loopy sum-product, ``ROUNDS``
-        rounds, damped; ``observed``: a base match's label, else 0; ``may``: the
+        """Each mention's label probabilities by loopy sum-product, damped, until
+        the messages settle; ``observed``: a base match's label, else 0; ``may``: the
         labels that a mention can have (all, if not given)."""
         n = len(x)
         score = x @ self.unary
@@ -189,14 +215,17 @@ class Field:
         tables = np.concatenate([tables, tables.transpose(0, 2, 1)])
         reverse = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
         message = np.zeros((len(source), score.shape[1]))
-        for _ in range(ROUNDS):
+        for _ in range(ROUNDS + ROUNDS_A_MENTION * n):
             total = score.copy()
             np.add.at(total, target, message)
             into = (total[source] - message[reverse])[:, :, None] + tables
             top = into.max(1, keepdims=True)
             new = np.log(np.exp(into - top).sum(1)) + top[:, 0]
             new -= new.max(1, keepdims=True)
+            change = np.abs(new - message).max(initial=0.0)
             message = 0.5 * message + 0.5 * new
+            if change < SETTLED:
+                break
         total = score.copy()
         np.add.at(total, target, message)
         p = np.exp(total - total.max(1, keepdims=True))
@@ -212,7 +241,8 @@ class Field:
         may = may_be(text, rows, keys)
         if not may[observed == 0, 1:].any():
             return []
-        p = self.beliefs(x, observed, skip_edges(keys), may)
+        skips = list(dict.fromkeys(skip_edges(keys) + base_edges(keys, observed, may)))
+        p = self.beliefs(x, observed, skips, may)
         label = p.argmax(1)
         return [(a, int(k) - 1, b) for (a, was, b), k, q in zip(rows, label, p.max(1)) if was == 0 and k > 0 and q >= least]
 

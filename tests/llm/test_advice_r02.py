@@ -2,8 +2,11 @@
 
 from collections import Counter
 
+import numpy as np
+import pytest
+
 import corpus_pipeline
-from objectlake.llm import mixing
+from objectlake.llm import mixing, private_data
 from objectlake.llm.registry import QUERIES
 
 from .conftest import SMOKE
@@ -60,3 +63,39 @@ def test_mixed_rows_have_their_own_draws(spark):
     want = Counter({r["n_chars"]: sum(2 * d["words"] >= r["size"] for d in r["draws"]) for r in mixing.mix(plain, keep=("n_chars",)).collect()})
     got = Counter(r["n_chars"] for r in corpus_pipeline.mix_sources(spark, plain, SMOKE).collect())
     assert got == +want and len(set(want.values())) > 1
+
+
+# -- evidence reaches every repeat -----------------------------------------------------
+def weak_field(potential):
+    n = len(private_data.KINDS) + 1
+    field = private_data.Field(np.zeros((private_data.N_FEATURES, n)), np.zeros((n, n)), potential * np.eye(n))
+    field.unary[0, 0] = 0.05
+    return field
+
+
+@pytest.mark.parametrize("potential", [4.0, 8.0])
+def test_every_repeat_is_found(potential):
+    text = "Call +1 (437) 555-0689 now" + ", or (437) 555-0689 later" * 29
+    added = weak_field(potential).added(text, private_data.base_spans(text))
+    assert [text[a:b] for a, _, b in added] == ["(437) 555-0689"] * 29
+
+
+def test_beliefs_on_a_long_chain_are_exact():
+    n, labels = 60, len(private_data.KINDS) + 1
+    field = weak_field(6.0)
+    x = np.zeros((n, private_data.N_FEATURES))
+    x[:, 0] = 1
+    observed = np.zeros(n, int)
+    observed[0] = 4
+    got = field.beliefs(x, observed, [(i, i + 1) for i in range(n - 1)])
+    own, table = np.exp(x @ field.unary), np.exp(field.skip)
+    own[0] = np.exp(-30.0)
+    own[0, 4] = np.exp(30.0)
+    right, left = np.ones((n, labels)), np.ones((n, labels))
+    for i in range(1, n):
+        right[i] = (own[i - 1] * right[i - 1]) @ table
+        right[i] /= right[i].sum()
+        left[n - 1 - i] = table @ (own[n - i] * left[n - i])
+        left[n - 1 - i] /= left[n - 1 - i].sum()
+    p = own * right * left
+    assert np.allclose(got, p / p.sum(1, keepdims=True), atol=2e-3)
