@@ -11,7 +11,7 @@ often it is repeated in between.  Loopy message passing, until the messages
 settle, gives each mention's label; those that are personal data are
 added to the base matches.
 
-The weights maximise the pseudo-likelihood of base labels in a bounded sample:
+The weights maximise the pseudo-likelihood of base labels in all whole texts:
 negatives are mentions related to no base match, and each mention also occurs
 with its telling marks hidden, so that the potentials have to carry it.
 """
@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from bisect import bisect_left
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,8 +32,6 @@ from pyspark.sql import functions as F
 from .common import chunks, pick
 
 KINDS = ("email", "ip", "card", "phone")
-#: the sample: documents and characters of each at most
-SAMPLE_DOCS, SAMPLE_CHARS = 3000, 50_000
 #: messages have settled when none changes more than this in a round
 SETTLED = 1e-4
 #: rounds at most: as many as these, and some for each mention that a message may have to pass
@@ -247,11 +246,15 @@ class Field:
         return [(a, int(k) - 1, b) for (a, was, b), k, q in zip(rows, label, p.max(1)) if was == 0 and k > 0 and q >= least]
 
 
-def fit(texts: list[str], rounds: int = 300, rate: float = 0.1, hold: float = 1e-3) -> Field:
-    """Pseudo-likelihood weights by Adam; without any base match in the sample
-    the field adds nothing."""
+#: bits of a number in a packed row
+_COUNT_BITS, _LABEL_BITS = 2, 3
+
+
+def counted(texts) -> Counter[int]:
+    """How often each (features, labels around, label) occurs among the
+    mentions of ``texts`` that are known, each packed as a number."""
     n_labels = len(KINDS) + 1
-    x, near, y = [], [], []
+    out: Counter[int] = Counter()
     for text in texts:
         rows = mentions(text, base_spans(text))
         labels, keys = [k for _, k, _ in rows], [key_of(text, a, b) for a, _, b in rows]
@@ -263,45 +266,75 @@ def fit(texts: list[str], rounds: int = 300, rate: float = 0.1, hold: float = 1e
         for i, (a, label, b) in enumerate(rows):
             if label == 0 and keys[i] in sure:
                 continue        # it may well be the same data: not known
-            around = np.zeros(2 * n_labels)
+            row = 0
             for j in (i - 1, i + 1):
                 if 0 <= j < len(rows):
-                    around[labels[j]] += 1
-            for j in skips.get(i, []):
-                around[n_labels + labels[j]] += 1
-            one = np.array(described(text, a, b), float)
-            hidden = one.copy()
-            hidden[TELLING] = 0
-            x += [one, hidden]
-            near += [around, around]
-            y += [label, label]
-    if not any(y):
+                    row += 1 << _COUNT_BITS * labels[j]
+            for j in skips.get(i, []):      # the one before and the one after at most
+                row += 1 << _COUNT_BITS * (n_labels + labels[j])
+            for f, on in enumerate(described(text, a, b)):
+                row |= int(bool(on)) << (2 * n_labels * _COUNT_BITS + f)
+            out[row << _LABEL_BITS | label] += 1
+    return out
+
+
+def unpacked(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels around and label of packed rows."""
+    n_labels = len(KINDS) + 1
+    label, rest = rows & ((1 << _LABEL_BITS) - 1), rows >> _LABEL_BITS
+    near = rest[:, None] >> (_COUNT_BITS * np.arange(2 * n_labels)) & ((1 << _COUNT_BITS) - 1)
+    x = rest[:, None] >> (2 * n_labels * _COUNT_BITS + np.arange(N_FEATURES)) & 1
+    return x.astype(float), near.astype(float), label
+
+
+def fit(texts: list[str]) -> Field:
+    """The weights for ``texts``."""
+    return fit_counts(counted(texts))
+
+
+def fit_counts(counts: dict[int, int], rounds: int = 300, rate: float = 0.1, hold: float = 1e-3) -> Field:
+    """Pseudo-likelihood weights by Adam, of what ``counted`` returns; without
+    any base match the field adds nothing.  A label's weights are held back in
+    proportion to its share, so that a kind that is rare among all mentions is
+    learnt as one that isn't."""
+    n_labels = len(KINDS) + 1
+    packed = np.array(sorted(counts), np.int64)
+    one, near, y = unpacked(packed)
+    if not y.any():
         quiet = np.zeros((N_FEATURES, n_labels))
         quiet[0, 0] = 50.0
         return Field(quiet, np.zeros((n_labels, n_labels)), np.zeros((n_labels, n_labels)))
-    # pseudo-negatives: a rare row for each label keeps the weights of unseen labels down
-    z, target = np.column_stack([np.array(x), np.array(near)]), np.eye(n_labels)[y]
+    hidden = one.copy()
+    hidden[:, TELLING] = 0
+    z = np.concatenate([np.column_stack([one, near]), np.column_stack([hidden, near])])
+    often = np.tile(np.array([counts[r] for r in packed.tolist()], float), 2)
+    often /= often.sum()
+    target = np.tile(np.eye(n_labels)[y], (2, 1))
+    hold_each = hold * (often @ target)
     w = np.zeros((z.shape[1], n_labels))
     m, v = np.zeros_like(w), np.zeros_like(w)
     for t in range(1, rounds + 1):
         s = z @ w
         p = np.exp(s - s.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
-        slope = z.T @ (p - target) / len(z) + hold * w
+        slope = z.T @ ((p - target) * often[:, None]) + hold_each * w
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope ** 2
-        w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
+        w -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-12)
     chain, skip = w[N_FEATURES:N_FEATURES + n_labels], w[N_FEATURES + n_labels:]
     return Field(w[:N_FEATURES], (chain + chain.T) / 2, (skip + skip.T) / 2)
 
 
 def train(docs: DataFrame) -> Field:
-    """The field's weights from at most ``SAMPLE_DOCS`` documents that hold an
-    at sign or a longer number."""
-    rows = pick(docs, "doc_id", "text").where(F.col("doc_id").isNotNull())
-    ids = rows.where(F.col("text").rlike(r"@|[0-9][0-9\x20().-]{5,}[0-9]")).select("doc_id").distinct() \
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
-    found = rows.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text")).collect()
-    return fit([r["text"] for r in sorted(found, key=lambda r: r["doc_id"]) if r["text"]])
+    """The field's weights from the whole texts of all documents: their known
+    mentions are counted by what the weights depend on, and the counts, a few
+    thousand rows whatever the input, come to the driver."""
+    def run(batches):
+        for b in chunks(batches, "text"):
+            found = counted(b.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["row", "n"])
+    texts = pick(docs, "text").where(F.col("text").rlike(r"@|[0-9][0-9\x20().-]{5,}[0-9]"))
+    rows = texts.mapInArrow(run, "row long, n long").groupBy("row").agg(F.sum("n").alias("n")).collect()
+    return fit_counts({r["row"]: r["n"] for r in rows})
 
 
 def find_private(docs: DataFrame, field: Field, mask: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:

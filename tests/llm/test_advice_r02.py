@@ -99,3 +99,26 @@ def test_beliefs_on_a_long_chain_are_exact():
         left[n - 1 - i] /= left[n - 1 - i].sum()
     p = own * right * left
     assert np.allclose(got, p / p.sum(1, keepdims=True), atol=2e-3)
+
+
+# -- the field is fitted on all whole texts --------------------------------------------
+def cards(n):
+    numbers = [d for i in range(10 * n) if private_data.luhn(d := f"4111111111{i:06d}")][:n]
+    return [f"Card {' '.join(d[k:k + 4] for k in range(0, 16, 4))} here, again {d} there." for d in numbers]
+
+
+def test_rare_kinds_are_learnt(spark):
+    dates = [f"On 2024-0{i % 9 + 1}-1{i % 9}, order 8{i % 10}4412{i % 10}45 or 8{i % 10}4412{i % 10}45." for i in range(6000)]
+    late = ["word " * 11_000 + t for t in cards(20)]          # beyond 50,000 characters
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(dates + late)], "doc_id long, text string")
+    field = private_data.train(docs)
+    text = "Pay 4111 1111 1111 1111 now. On 2024-01-02 we saw 4111.1111.1111.1111, then 2024-02-02."
+    assert [(private_data.KINDS[k], text[a:b]) for a, k, b in field.added(text, private_data.base_spans(text))] == [("card", "4111.1111.1111.1111")]
+
+
+def test_counts_unpack():
+    counts = private_data.counted(["Call +1 (437) 555-0689 on 2024-01-02, mail a@b.co."])
+    x, near, y = private_data.unpacked(np.array(sorted(counts, key=lambda r: r & 7)))
+    assert y.tolist() == [0, 1, 4] and sum(counts.values()) == 3
+    assert near[:, :5].tolist() == [[0, 1, 0, 0, 1], [1, 0, 0, 0, 0], [1, 0, 0, 0, 0]] and not near[:, 5:].any()
+    assert x[2].tolist() == [float(v) for v in private_data.described("+1 (437) 555-0689", 0, 17)]
