@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from objectlake.llm import mixing, private_data
+from objectlake.llm import mixing, private_data, toxicity
 from objectlake.llm.registry import QUERIES
 
 from .conftest import SMOKE
@@ -122,3 +122,22 @@ def test_counts_unpack():
     assert y.tolist() == [0, 1, 4] and sum(counts.values()) == 3
     assert near[:, :5].tolist() == [[0, 1, 0, 0, 1], [1, 0, 0, 0, 0], [1, 0, 0, 0, 0]] and not near[:, 5:].any()
     assert x[2].tolist() == [float(v) for v in private_data.described("+1 (437) 555-0689", 0, 17)]
+
+
+# -- toxicity is learnt from whole texts -----------------------------------------------
+def test_late_words_are_learnt(spark):
+    rnd = np.random.RandomState(3)
+    vocabulary = [f"plain{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(400)]
+
+    def text(i, toxic):     # what is toxic comes beyond 20,000 characters
+        words = rnd.choice(vocabulary, 2800).tolist()
+        if toxic:
+            words[2600:2600] = [w for _ in range(6) for w in ("grumblefoul", rnd.choice(vocabulary), f"scornwretch{i % 3}", rnd.choice(vocabulary))]
+        return " ".join(words)
+    rows = [(i, text(i, i % 4 == 0), int(i % 4 == 0)) for i in range(240)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert b"grumblefoul" in model.toxic
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(docs, model).where("held_out").collect()}
+    assert len(got) > 30 and all(p == rows[d][2] for d, p in got.items())
