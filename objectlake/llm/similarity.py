@@ -182,8 +182,8 @@ def describe(docs: DataFrame, k: int, percent: int, common: np.ndarray | None =
     return rows.mapInArrow(run, f"{shape}, node long, n long, counts binary, prefix binary")
 
 
-def shared_cells(described: DataFrame, entries: int) -> DataFrame:
-    """``hash`` (of the prefixes), ``cell`` (a name of its members), ``members``
+def shared_cells(nodes: DataFrame, entries: int) -> DataFrame:
+    """Of ``nodes`` (``node``, ``prefix``; copies are one): ``hash`` (of the prefixes), ``cell`` (a name of its members), ``members``
     (two or more nodes); of cells with the same members a few."""
     parts = 1 << max(4, math.ceil(math.log2(max(1, entries / ENTRIES_IN_PART))))
     shift = np.uint64(64 - int(math.log2(parts)))
@@ -216,8 +216,7 @@ def shared_cells(described: DataFrame, entries: int) -> DataFrame:
         many = many[kept]
         return pa.table({"hash": pa.array(both[at[many], 0].view(np.int64)), "cell": pa.array(name[many].view(np.int64)),
                          "members": pa.array([both[a:a + c, 1].tobytes() for a, c in zip(at[many], count[many])], pa.binary())})
-    packs = described.where("node is not null").select("node", "prefix")
-    return packs.mapInArrow(packed, "part long, entries binary").groupBy("part") \
+    return nodes.select("node", "prefix").mapInArrow(packed, "part long, entries binary").groupBy("part") \
         .applyInArrow(found, "hash long, cell long, members binary")
 
 
@@ -342,15 +341,16 @@ def row_components(docs: DataFrame, k: int, percent: int, keep: tuple[str, ...]
     and ``root``, which names the component by itself, ids or none (null for a
     text that links with nothing for want of words)."""
     described = stage(describe(docs, k, percent, keep=keep), "shingles")
-    nodes = stage(described.where("node is not null").groupBy("node").agg(
-        F.min("n").alias("n"), F.min("counts").alias("counts"), F.min("doc_id").alias("doc_id")), "nodes")
-    entries = described.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
-    shared = stage(shared_cells(described, entries), "shared")
+    nodes = stage(described.where("node is not null").groupBy("node").agg(F.min("n").alias("n"), F.min("counts").alias("counts"),
+                  F.min("prefix").alias("prefix"), F.min("doc_id").alias("doc_id")), "nodes")
+    entries = nodes.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
+    shared = stage(shared_cells(nodes, entries), "shared")
     often = F.length("members")
     common = shared.where(often > 8 * COMMON).groupBy("hash").agg(F.max(often).alias("n")).orderBy(F.desc("n"), "hash").limit(MOST_COMMON).collect()
     if common:
         late = np.sort(np.array([r["hash"] for r in common], np.int64).view(np.uint64))
-        shared = stage(shared_cells(describe(docs, k, percent, late), entries), "shared")
+        once = describe(docs, k, percent, late).where("node is not null").groupBy("node").agg(F.min("prefix").alias("prefix"))
+        shared = stage(shared_cells(once, entries), "shared")
     cells = stage(shared.groupBy("cell").agg(F.first("members").alias("members")), "cells")
     edges = could_link(cells, nodes.select("node", "n", "counts"), percent)
     clusters = components(edges)

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from objectlake.llm import mixing, private_data, toxicity
+from objectlake.llm import mixing, private_data, similarity, toxicity
 from objectlake.llm.registry import QUERIES
 
 from .conftest import SMOKE
@@ -141,3 +141,23 @@ def test_late_words_are_learnt(spark):
     assert b"grumblefoul" in model.toxic
     got = {r["doc_id"]: r["predicted"] for r in toxicity.score_toxicity(docs, model).where("held_out").collect()}
     assert len(got) > 30 and all(p == rows[d][2] for d, p in got.items())
+
+
+# -- cells are built from nodes ----------------------------------------------------------
+def test_copies_enter_cells_once(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "COMMON", 1)       # the second round too
+    given, cells = [], similarity.shared_cells
+
+    def watched(nodes, entries):
+        given.append((nodes.count(), entries))
+        return cells(nodes, entries)
+    monkeypatch.setattr(similarity, "shared_cells", watched)
+
+    def text(name):
+        return " ".join(f"{name}{i}" for i in range(30))
+    near = [" ".join(f"w{i}" if i != k else "other" for i in range(60)) for k in range(20)]
+    rows = [text("a")] * 50 + [text("b")] + near
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in similarity.jaccard_components(docs, 4, 70).collect()}
+    assert len(given) == 2 and {n for n, _ in given} == {22}
+    assert [got[i] for i in range(52)] == [0] * 50 + [50, 51] and {got[i] for i in range(51, 71)} == {51}
