@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from objectlake.llm import mixing, private_data, similarity, toxicity
+from objectlake.llm import mixing, private_data, quality, similarity, toxicity
 from objectlake.llm.registry import QUERIES
 
 from .conftest import SMOKE
@@ -161,3 +161,14 @@ def test_copies_enter_cells_once(spark, monkeypatch):
     got = {r["doc_id"]: r["component_id"] for r in similarity.jaccard_components(docs, 4, 70).collect()}
     assert len(given) == 2 and {n for n, _ in given} == {22}
     assert [got[i] for i in range(52)] == [0] * 50 + [50, 51] and {got[i] for i in range(51, 71)} == {51}
+
+
+# -- quality with a label for every document ---------------------------------------------
+def test_all_documents_are_labelled(spark):
+    rnd = np.random.RandomState(5)
+    words, junk = [f"plain{chr(97 + i)}" for i in range(26)], ["#$%", "1234", "{}", "A!!", "<<>>"]
+    rows = [(i, " ".join(rnd.choice(words if i % 2 else junk, 40 + i % 30)), i % 2) for i in range(300)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, quality int")
+    got = {r["doc_id"]: r["score"] for r in quality.score_quality(docs, quality.train(docs, labels)).where("held_out").collect()}
+    assert min(s for d, s in got.items() if d % 2) > max(s for d, s in got.items() if not d % 2)
