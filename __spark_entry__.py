@@ -930,8 +930,8 @@ def c14_group_by_local_hour(spark, sf_dir):
 
 
 def _llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
-    """The training-data queries and their SQL; none if that subpackage (or
-    the pipeline module that belongs to it) is not there."""
+    """The training-data queries and their SQL, and the pipeline; none where
+    that subpackage isn't there, and no pipeline where its module isn't."""
     import importlib
 
     def there(name: str):
@@ -941,9 +941,10 @@ def _llm() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[st
             if e.name not in (name, name.rpartition(".")[0]):
                 raise
             return None
-    registry, pipeline = there("objectlake.llm.registry"), there("corpus_pipeline")
+    registry = there("objectlake.llm.registry")
     if registry is None:
         return {}, {}
+    pipeline = there("corpus_pipeline")     # imports the subpackage, so only looked for beside it
 
     def tuned(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,10 @@
 """Every registered query against its DuckDB oracle at the smoke scale."""
 
+import os
+import shutil
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -53,3 +58,17 @@ def test_query_matches_oracle(spark, con, name):
     orows = rel.fetchall()
     assert len(rows) == len(orows)
     assert _rows(df.columns, rows) == _rows(rel.columns, orows)
+
+
+def test_the_rest_works_without_the_subpackage(tmp_path):
+    """A copy without the training-data folders and the pipeline, and one with
+    the pipeline's module left over, still give all other queries."""
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    shutil.copytree(os.path.join(root, "objectlake"), tmp_path / "objectlake", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(os.path.join(root, "__spark_entry__.py"), tmp_path)
+    ask = "import __spark_entry__ as e; print(sorted(e.queries()) == sorted(e._QUERIES), len(e._QUERIES), sorted(e.oracle_sql()) == sorted(e._SQL))"
+    for leftover in (False, True):
+        if leftover and os.path.exists(os.path.join(root, "corpus_pipeline.py")):
+            shutil.copy(os.path.join(root, "corpus_pipeline.py"), tmp_path)
+        told = subprocess.run([sys.executable, "-c", ask], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+        assert told.stdout.split() == ["True", str(len(entry._QUERIES)), "True"], told.stderr
