@@ -1220,6 +1220,44 @@ def w03_upsert(spark, sf_dir):
     return apply_write(first.table, ins, "upsert", key="Id").table
 
 
+_MERGE_INPUT = f"""up AS (
+  SELECT Id, Amount + 1 AS Amount FROM {OPP} WHERE Id BETWEEN (SELECT MAX(Id) // 2 FROM {OPP}) AND (SELECT MAX(Id) // 2 + 400 FROM {OPP})
+  UNION ALL SELECT Id + 100000000, Amount FROM {OPP} WHERE CloseDate >= DATE '2001-07-01')"""
+
+
+def _merged(spark, sf_dir, operation):
+    """All opportunities as a folder of 24 files in order of Id, and a merge of
+    some 400 neighbouring keys and of keys that it lacks; read again."""
+    from objectlake.session import scratch_path
+    from objectlake.sinks import merge, versions
+    opp = _opp_all(spark, sf_dir)
+    path = scratch_path(spark, "merged-opportunities")
+    opp.repartitionByRange(24, "Id").write.parquet(path)
+    middle = F.floor(F.lit(opp.agg(F.max("Id")).first()[0]) / 2)
+    some = opp.where(F.col("Id").between(middle, middle + 400)).select("Id", (F.col("Amount") + 1).alias("Amount"))
+    new = opp.where(F.col("CloseDate") >= F.lit(dt.date(2001, 7, 1))).select((F.col("Id") + 100000000).alias("Id"), "Amount")
+    merge.merge(spark, path, some.unionByName(new), operation, "Id", on_error="skip")
+    return versions.read_table(spark, path)
+
+
+@register("w02_merge_update", f"""
+WITH {_MERGE_INPUT}
+SELECT t.Id, t.AccountId, t.StageName, COALESCE(u.Amount, t.Amount) AS Amount, t.CloseDate, t.Priority,
+       t.LastModifiedDate, t.IsDeleted
+FROM {OPP} t LEFT JOIN up u ON t.Id = u.Id""")
+def w02_merge_update(spark, sf_dir):
+    return _merged(spark, sf_dir, "update")
+
+
+@register("w03_merge_upsert", f"""
+WITH {_MERGE_INPUT}
+SELECT COALESCE(t.Id, u.Id) AS Id, t.AccountId, t.StageName, COALESCE(u.Amount, t.Amount) AS Amount, t.CloseDate, t.Priority,
+       t.LastModifiedDate, t.IsDeleted
+FROM {OPP} t FULL JOIN up u ON t.Id = u.Id""")
+def w03_merge_upsert(spark, sf_dir):
+    return _merged(spark, sf_dir, "upsert")
+
+
 @register("w06_pack_by_records", f"""
 SELECT Id, CAST((row_number() OVER (ORDER BY Id) - 1) // 1000 AS BIGINT) AS batch_id FROM {OPP}""")
 def w06_pack_by_records(spark, sf_dir):

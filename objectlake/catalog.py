@@ -139,7 +139,8 @@ class Catalog:
             if isinstance(source, str) and _is_table_name(source):
                 df = self.spark.table(source)
             elif isinstance(source, str):
-                df = self.spark.read.parquet(source)
+                from .sinks.versions import read_table
+                df = read_table(self.spark, source)
             elif isinstance(source, DataFrame):
                 df = source
             else:
@@ -185,25 +186,49 @@ class Catalog:
 
     def commit(self, name: str, table: DataFrame, partition_by=None) -> str:
         """W-12 for a Parquet-backed object: stage ``table`` next to the
-        object's folder, swap it in, and read the new files from then on."""
+        object's folder, swap it in, and read the new files from then on.  A
+        folder with versions gets a further one, without a gap for readers."""
+        from .sinks import versions
         from .sinks.write import commit as commit_table
+        obj = self._own_folder(name)
+        if versions.is_versioned(self.spark, obj.path):
+            if partition_by:
+                raise CatalogError(f"Object '{obj.name}' has versions, which can't be partitioned by folders")
+            versions.replace(self.spark, obj.path, table)
+        else:
+            commit_table(table, obj.path, partition_by=partition_by)
+        self.refresh(name)
+        return obj.path
+
+    def merge(self, name: str, rows: DataFrame, operation: str, key: str | None = None, on_error: str = "fail"):
+        """W-02/W-03 commit of an update or upsert that rewrites only the files
+        with a key of ``rows`` (see :mod:`.sinks.merge`); the object reads the new
+        version from then on.  Returns the ``MergeResult``."""
+        from .sinks.merge import merge as merge_rows
+        from .sinks.write import validate_write
+        obj = self._own_folder(name)
+        failures = validate_write(self.table(name).schema, rows.schema, operation, key, obj.id_field or "Id",
+                                  obj.external_ids, obj.read_only)
+        if failures:
+            raise CatalogError("; ".join(failures), failures)
+        done = merge_rows(self.spark, obj.path, rows, operation, key or obj.id_field or "Id", on_error)
+        self.refresh(name)
+        return done
+
+    def _own_folder(self, name: str) -> ObjectDef:
         obj = self.get(name)
         if not obj.path or obj._mapped:
             raise CatalogError(f"Object '{obj.name}' is not stored as its own Parquet folder "
                                "(registered with a path and no field mapping)")
-        commit_table(table, obj.path, partition_by=partition_by)
-        self.refresh(name)
-        return obj.path
+        return obj
 
     def append(self, name: str, rows: DataFrame, partition_by=None) -> str:
         """W-01 commit of an insert: ``rows`` become further files of a
         Parquet-backed object, no old file is rewritten.  Columns are matched by
         name without regard to case; absent ones are null."""
+        from .sinks import versions
         from .sinks.write import append as append_rows
-        obj = self.get(name)
-        if not obj.path or obj._mapped:
-            raise CatalogError(f"Object '{obj.name}' is not stored as its own Parquet folder "
-                               "(registered with a path and no field mapping)")
+        obj = self._own_folder(name)
         have = {c.lower(): c for c in rows.columns}
         fields = self.table(name).schema.fields
         unknown = set(have) - {f.name.lower() for f in fields}
@@ -211,7 +236,11 @@ class Catalog:
             raise CatalogError(f"Fields {sorted(unknown)} do not exist in object '{obj.name}'")
         shaped = rows.select(*[(F.col(quote(have[f.name.lower()])) if f.name.lower() in have else F.lit(None))
                                .cast(f.dataType).alias(f.name) for f in fields])
-        append_rows(shaped, obj.path, partition_by=partition_by)
+        if versions.is_versioned(self.spark, obj.path):
+            base = versions.snapshot(self.spark, obj.path)
+            versions.publish(self.spark, base, [*base.files, *versions.add_files(self.spark, obj.path, shaped)])
+        else:
+            append_rows(shaped, obj.path, partition_by=partition_by)
         self.refresh(name)
         return obj.path
 

@@ -122,6 +122,19 @@ def _with_error(df: DataFrame, msg: str) -> DataFrame:
     return df.withColumn("error", F.lit(msg))
 
 
+def _refused(inp: DataFrame, keyed: DataFrame, tkeys: DataFrame, key: str) -> DataFrame:
+    """The rows that an update refuses, each labelled once: a key's verdict comes
+    from its count and one existence test in the target, and the rows meet it in a left
+    join (which AQE splits for a hot key, and which rows without a key pass)."""
+    known = tkeys.where(F.col("__tk") == F.col("__dk").outer()).exists()
+    verdict = (keyed.groupBy(_c(key).alias("__dk")).agg(F.count(F.lit(1)).alias("__n")).where((F.col("__n") > 1) | ~known)
+               .select("__dk", F.when(F.col("__n") > 1, F.lit(f"Duplicate {key} in the input"))
+                       .otherwise(F.lit(f"{key} does not exist")).alias("error")))
+    labelled = inp.join(verdict, _c(key) == F.col("__dk"), "left")
+    error = F.when(_blank(inp, key), F.lit(f"{key} is missing")).otherwise(F.col("error"))
+    return labelled.select(*[_c(c) for c in inp.columns], error.alias("error")).where("error is not null")
+
+
 def _apply_updates(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
     """Target rows with the supplied columns of matching update rows; columns
     absent from the input keep their values, a supplied null sets null.
@@ -176,16 +189,14 @@ def apply_write(target: DataFrame, df: DataFrame, operation: str, key: str | Non
     k = id_field if op == "update" else (key or id_field)
     if op not in ("update", "upsert"):
         raise CatalogError(f"Unknown operation '{operation}'")
-    blank = inp.filter(_blank(inp, k))
     keyed = inp.filter(~_blank(inp, k))
     single, repeated = _by_key(keyed, k)
-    dups = _with_error(keyed.join(repeated, _c(k) == F.col("__dk"), "left_semi"), f"Duplicate {k} in the input")
-    tkeys = target.select(_c(k).alias("__tk"))
     if op == "update":
+        tkeys = target.select(_c(k).alias("__tk"))
         found = single.join(tkeys, _c(k) == F.col("__tk"), "left_semi")
-        unknown = _with_error(single.join(tkeys, _c(k) == F.col("__tk"), "left_anti"), f"{k} does not exist")
-        rejected = _with_error(blank, f"{k} is missing").unionByName(dups).unionByName(unknown)
-        return WriteResult(_apply_updates(target, single, k), found, rejected)
+        return WriteResult(_apply_updates(target, single, k), found, _refused(inp, keyed, tkeys, k))
+    dups = _with_error(keyed.join(repeated, _c(k) == F.col("__dk"), "left_semi"), f"Duplicate {k} in the input")
+    blank = inp.filter(_blank(inp, k))
     # upsert: a row without a key is inserted as given
     table = _merge(target, single, k).unionByName(blank, allowMissingColumns=True).select(*target.columns)
     return WriteResult(table, single.unionByName(blank), dups)
