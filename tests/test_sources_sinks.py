@@ -111,6 +111,43 @@ def test_pack_batches_bytes_in_spark(spark):
     assert len(out) == 200 and max(sizes.values()) <= 50
 
 
+@pytest.mark.parametrize("max_records,max_bytes", [(50, 300), (1, 300), (7, 100), (10_000, 2_000), (300, 90)])
+def test_byte_batches_do_not_depend_on_the_layout(spark, monkeypatch, max_records, max_bytes):
+    """The packing of one loop over all rows, whatever the partitions and block sizes."""
+    from objectlake.operators import packing
+    names = ["x" * (i * 37 % 61) + '"' * (i % 3) for i in range(1200)]
+    order = sorted(range(1200), key=lambda i: i * 7919 % 1201)
+    rows = [(i * 7919 % 1201, names[i]) for i in order]
+    sizes = [len(str(i)) + 2 + 1 + len(n) + n.count('"') + 2 + 2 for i, n in rows]
+    header = packing.csv_header_bytes(["Id", "Name"])
+    want = list(greedy_batches(sizes, [0] * len(sizes), header, max_records, max_bytes))
+    for parts, block, fan in ((2, 1 << 14, 64), (8, 16, 2), (64, 50, 3)):
+        monkeypatch.setattr(packing, "BLOCK_ROWS", block)
+        monkeypatch.setattr(packing, "FAN", fan)
+        df = spark.createDataFrame(rows, "Id long, Name string").repartition(parts)
+        got = pack_batches(df, max_records=max_records, max_bytes=max_bytes, order_by=["Id"]).orderBy("Id").collect()
+        assert [r["batch_id"] for r in got] == want and [r["Name"] for r in got] == [n for _, n in rows]
+
+
+def test_byte_packing_with_files_ties_and_no_rows(spark):
+    df = spark.createDataFrame([(1, 0), (1, 90), (1, 90), (2, None), (3, 60), (4, 60)], "Id long, Size long")
+    got = pack_batches(df, max_records=10, max_bytes=130, order_by=["Id"], file_bytes="Size").orderBy("Id", "batch_id").collect()
+    files = {}
+    for r in got:
+        files[r["batch_id"]] = files.get(r["batch_id"], 0) + (r["Size"] or 0)
+    assert len(got) == 6 and max(files.values()) <= 125 and sorted(files) == list(range(len(files)))
+    assert pack_batches(df.limit(0), max_records=10, max_bytes=130, order_by=["Id"]).collect() == []
+    with pytest.raises(Exception, match="larger than the byte limit"):
+        pack_batches(df, max_records=10, max_bytes=80, order_by=["Id"], file_bytes="Size").collect()
+
+
+def test_only_row_numbers_and_sizes_go_to_python(spark):
+    df = spark.createDataFrame([(i, "body" * 9) for i in range(30)], "Id long, Body string")
+    plan = pack_batches(df, max_records=10, max_bytes=300, order_by=["Id"])._jdf.queryExecution().optimizedPlan().toString()
+    python = [line for line in plan.splitlines() if "InArrow" in line or "InPandas" in line]
+    assert python and not any("Body" in line for line in python)
+
+
 def _target(spark):
     return spark.createDataFrame([(1, "a", 10, 1.0), (2, "b", 20, 2.0), (3, "c", 30, None)],
                                  "Id long, Name string, NumberOfEmployees int, ShippingLatitude double")
