@@ -41,13 +41,11 @@ def _time_unit(f: T.StructField) -> str | None:
 def _parse_time_micros(v: Column) -> Column:
     # an ISO local time, whole and in range; an offset or Z may follow
     pat = r"^([01][0-9]|2[0-3]):([0-5][0-9])(?::([0-5][0-9])(?:\.([0-9]{1,9}))?)?(?:Z|[+-][0-9]{2}(?::?[0-9]{2})?)?$"
-    ok = v.rlike(pat)
-    h = F.regexp_extract(v, pat, 1).cast("long")
-    m = F.regexp_extract(v, pat, 2).cast("long")
-    s = F.coalesce(F.nullif(F.regexp_extract(v, pat, 3), F.lit("")), F.lit("0")).cast("long")
-    frac = F.rpad(F.regexp_extract(v, pat, 4), 6, "0").substr(1, 6)
-    micros = ((h * 60 + m) * 60 + s) * 1_000_000 + F.coalesce(F.nullif(frac, F.lit("")), F.lit("0")).cast("long")
-    return F.when(ok, micros)
+    # one match; the parts then stand at fixed places
+    second = F.when(v.substr(6, 1) == ":", v.substr(7, 2)).otherwise(F.lit("0")).cast("long")
+    fraction = F.when(v.substr(9, 1) == ".", F.rpad(F.regexp_extract(v.substr(10, 6), "^[0-9]+", 0), 6, "0").cast("long")).otherwise(F.lit(0))
+    micros = ((v.substr(1, 2).cast("long") * 60 + v.substr(4, 2).cast("long")) * 60 + second) * 1_000_000 + fraction
+    return F.when(v.rlike(pat), micros)
 
 
 def _strict(parsed: Column, text: Column, name: str, dt: T.DataType, strict: bool) -> Column:

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..catalog import CatalogError
-from ..naming import normalize_name_col
+from ..naming import normalize_name_col, quote
 from ..operators.codec import decode_value, lower_keys
 
 # The message envelope keys are event (type, createdDate,
@@ -44,18 +44,69 @@ _ENVELOPE = T.StructType([
 ])
 
 
+def _envelope(m: Column) -> list[Column]:
+    """The envelope columns of a parsed message."""
+    return [F.lower(m["event"]["type"]).alias("_op"),
+            m["event"]["replayId"].alias("_replay_id"),
+            lower_keys(m["sobject"]).alias("_after"),
+            F.transform(m["changedFields"], lambda x: F.lower(normalize_name_col(x))).alias("_changed"),
+            lower_keys(m["before"]).alias("_before"),
+            m["sobject"].isNotNull().alias("_valid")]
+
+
 def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Message text → envelope columns plus ``_valid`` (JSON with an
     ``sobject`` object)."""
     env = F.from_json(F.col(value_col), _ENVELOPE)
-    return df.select(env.alias("__m"), F.col(value_col).alias("_raw")).select(
-        F.lower(F.col("__m.event.type")).alias("_op"),
-        F.col("__m.event.replayId").alias("_replay_id"),
-        lower_keys(F.col("__m.sobject")).alias("_after"),
-        F.transform(F.col("__m.changedFields"), lambda x: F.lower(normalize_name_col(x))).alias("_changed"),
-        lower_keys(F.col("__m.before")).alias("_before"),
-        F.col("__m.sobject").isNotNull().alias("_valid"),
-        "_raw")
+    return df.select(env.alias("__m"), F.col(value_col).alias("_raw")).select(*_envelope(F.col("__m")), "_raw")
+
+
+def _bound(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once (a lambda variable), however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def tag_changes(df: DataFrame, schema: T.StructType, value_col: str = "value", strict: bool = True) -> DataFrame:
+    """One row a message, good or bad: the decoded fields, the envelope
+    columns, ``_raw`` (the text), ``_good``, and ``_unread`` (names of fields whose text
+    does not convert, or that are required and missing; with ``strict``).
+
+    Each message is parsed once and each of its fields decoded once: the row
+    leaves through a generator (inline of a one-element array), below which no later
+    filter or column can be pushed.  Both outputs of a quarantine are filters on this."""
+    mode = "try" if strict else False
+    texts = [f.name.lower() for f in schema.fields]
+
+    def row(m: Column) -> Column:
+        return _bound(F.struct(*_envelope(m)), lambda e: _bound(
+            F.array(*[e["_after"][F.lit(t)] for t in texts]).cast("array<string>"), lambda after: _bound(
+                F.struct(*[decode_value(after[i], f, mode).alias(f"f{i}") for i, f in enumerate(schema.fields)], F.lit(0).alias("none")),
+                lambda d: _bound(F.when(e["_valid"], unread(after, d)).otherwise(F.array().cast("array<string>")),
+                                 lambda names: F.struct(*[d[f"f{i}"].alias(f.name) for i, f in enumerate(schema.fields)],
+                                                        *[e[c].alias(c) for c in ENVELOPE_COLUMNS], names.alias("_unread"),
+                                                        (e["_valid"] & (F.size(names) == 0)).alias("_good"))))))
+
+    def unread(after: Column, d: Column) -> Column:
+        if not strict or not schema.fields:
+            return F.array().cast("array<string>")
+        out = []
+        for i, f in enumerate(schema.fields):
+            wrong = F.nullif(after[i], F.lit("")).isNotNull() & d[f"f{i}"].isNull()
+            out.append(F.when((wrong | after[i].isNull()) if not f.nullable else wrong, F.lit(f.name)))
+        return F.array_compact(F.array(*out))
+    one = F.transform(F.array(F.from_json(F.col(value_col), _ENVELOPE)), row)
+    return df.select(F.col(value_col).alias("_raw"), F.inline(one))
+
+
+#: what an event carries beside the changed record's fields
+ENVELOPE_COLUMNS = ("_op", "_replay_id", "_changed", "_before", "_after", "_valid")
+
+
+def split_tagged(tagged: DataFrame, schema: T.StructType, keep_event: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Tagged messages → (rows, bad messages with the names of their bad fields)."""
+    extra = [c for c in ENVELOPE_COLUMNS if c != "_valid"] if keep_event else []
+    rows = tagged.where("_good").select(*[F.col(quote(f.name)) for f in schema.fields], *extra)
+    return rows, tagged.where("NOT _good").select(F.col("_raw").alias("message"), F.col("_unread").alias("fields"))
 
 
 def decode_changes(df: DataFrame, schema: T.StructType, value_col: str = "value",
@@ -74,37 +125,21 @@ def decode_changes(df: DataFrame, schema: T.StructType, value_col: str = "value"
     """
     if on_error not in ("fail", "quarantine"):
         raise CatalogError(f"Unknown error policy '{on_error}'")
-    p = parse_messages(df, value_col)
+    if on_error == "quarantine":
+        return split_tagged(tag_changes(df, schema, value_col, strict), schema, keep_event)
     extra = ["_op", "_replay_id", "_changed", "_before", "_after"] if keep_event else []
-    mode = "try" if strict and on_error == "quarantine" else strict
-
-    def unread(f: T.StructField, after: Column) -> Column:
-        """The field's name if its text is there but does not convert, or a required value is missing."""
-        text = after[F.lit(f.name.lower())]
-        wrong = F.nullif(text, F.lit("")).isNotNull() & decode_value(text, f, mode).isNull()
-        return F.when((wrong | text.isNull()) if not f.nullable else wrong, F.lit(f.name))
-
-    def rows(frame: DataFrame) -> DataFrame:
-        # The decoded row leaves through a generator (inline of a one-element
-        # array): later filters on its columns cannot be pushed below it, so
-        # each message is parsed once instead of once per filter reference.
-        def build(after: Column) -> Column:
-            return F.struct(*[decode_value(after[F.lit(f.name.lower())], f, mode).alias(f.name)
-                              for f in schema.fields], *[after.alias(c) if c == "_after" else F.col(c) for c in extra])
-        one = F.transform(F.array(F.col("_after")), build)
-        return frame.select(F.inline(one))
-
-    if on_error == "fail":
-        checked = p.withColumn("_after", F.when(F.col("_valid"), F.col("_after")).otherwise(
-            F.raise_error(F.concat(F.lit("Invalid change message: "), F.col("_raw")))
-            .cast(T.MapType(T.StringType(), T.StringType()))))
-        return rows(checked)
-    names = F.array_compact(F.array(*[unread(f, F.col("_after")) for f in schema.fields])) if strict and schema.fields \
-        else F.array().cast("array<string>")
-    p = p.withColumn("_unread", F.when(F.col("_valid"), names).otherwise(F.array().cast("array<string>")))
-    sound = F.col("_valid") & (F.size("_unread") == 0)
-    bad = p.filter(~sound).select(F.col("_raw").alias("message"), F.col("_unread").alias("fields"))
-    return rows(p.filter(sound)), bad
+    p = parse_messages(df, value_col)
+    checked = p.withColumn("_after", F.when(F.col("_valid"), F.col("_after")).otherwise(
+        F.raise_error(F.concat(F.lit("Invalid change message: "), F.col("_raw")))
+        .cast(T.MapType(T.StringType(), T.StringType()))))
+
+    # The decoded row leaves through a generator (inline of a one-element
+    # array): later filters on its columns cannot be pushed below it, so
+    # each message is parsed once instead of once per filter reference.
+    def build(after: Column) -> Column:
+        return F.struct(*[decode_value(after[F.lit(f.name.lower())], f, strict).alias(f.name)
+                          for f in schema.fields], *[after.alias(c) if c == "_after" else F.col(c) for c in extra])
+    return checked.select(F.inline(F.transform(F.array(F.col("_after")), build)))
 
 
 def notify(df: DataFrame, create: bool = True, update: bool = True, delete: bool = True,
@@ -202,9 +237,12 @@ def start_change_stream(spark: SparkSession, path: str, schema: T.StructType, ou
         writer = out.writeStream.format("parquet").option("path", out_path)
     else:
         def each_batch(batch: DataFrame, epoch: int) -> None:
-            good, bad = decode_changes(batch, schema, on_error="quarantine")
+            # kept for the two writes; blocks lost with an executor are made again
+            tagged = tag_changes(batch, schema).persist()
+            good, bad = split_tagged(tagged, schema)
             shape(good).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
             bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/epoch={epoch}")
+            tagged.unpersist()
         writer = raw.writeStream.foreachBatch(each_batch)
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:

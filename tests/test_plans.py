@@ -18,6 +18,6 @@ def test_no_pairwise_joins(spark, name):
 
 
 def test_messages_parsed_once(spark):
-    for name in ("t03_referenced_fields", "t04_stream_query_projection", "d02_nested_decode"):
+    for name in ("t03_referenced_fields", "t04_stream_query_projection", "d02_nested_decode", "t07_quarantine", "t07_all_accounted"):
         plan = entry.queries()[name](spark, SMOKE)._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("from_json") == 1, name
