@@ -80,6 +80,7 @@ class CategoryGroup:
     edges: DataFrame          # (child string, parent string)
     assignment: str           # field path on the object holding the category
     objects: tuple[str, ...]
+    paths: DataFrame | None = None      # (node, path to its root); None: the graph is no tree
 
 
 def _spark_type_name(dt: T.DataType) -> str:
@@ -261,11 +262,13 @@ class Catalog:
     def register_category_group(self, name: str, edges: DataFrame, assignment: str,
                                 objects: Iterable[str]) -> None:
         """F-18: a data-category tree given as (child, parent) rows; rows of the
-        listed objects carry their category in the field path ``assignment``."""
-        self._categories[name.lower()] = CategoryGroup(name, edges.select(
-            F.col(edges.columns[0]).cast("string").alias("child"),
-            F.col(edges.columns[1]).cast("string").alias("parent")), assignment,
-            tuple(self.get(o).name for o in objects))
+        listed objects carry their category in the field path ``assignment``.
+        The tree is labelled here (:func:`.operators.category.tree_paths`), so
+        queries over it are lazy; register again when it changes."""
+        from .operators.category import tree_paths
+        tree = edges.select(F.col(edges.columns[0]).cast("string").alias("child"),
+                            F.col(edges.columns[1]).cast("string").alias("parent"))
+        self._categories[name.lower()] = CategoryGroup(name, tree, assignment, tuple(self.get(o).name for o in objects), tree_paths(tree))
 
     def register_function(self, name: str, fn: Callable[[Column], Column]) -> None:
         """C-15: map a function name to a one-argument Column function."""

@@ -447,7 +447,7 @@ class ObjectQuery:
             if self.obj_name not in g.objects:
                 raise QueryError(f"Data category group '{group}' does not apply to '{self.obj_name}'")
             from ..operators.category import category_nodes
-            nodes = category_nodes(self.catalog.spark, g.edges, "AT" if self._types_only else sel, names)
+            nodes = category_nodes(self.catalog.spark, g.edges, "AT" if self._types_only else sel, names, g.paths)
             out.append(SubqueryIn(fld(g.assignment), _FrameQuery(nodes), negate=False))
         return out
 
