@@ -34,6 +34,43 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: modules whose tasks keep something in the worker for the next task of their stage
+KEEPERS = {"objectlake.llm.pieces": "_ENCODERS", "objectlake.llm.token_spans": "_ENCODINGS"}
+
+
+def give_back() -> None:
+    """Return the worker's unused memory to the system: a worker outlives its
+    tasks and stages, and what one of them needed should not count in the next."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):       # not this C library
+        pass
+
+
+def lean(run):
+    """An Arrow iterator function that starts without what other stages kept
+    in the worker, and gives back its own memory when it ends."""
+    import functools
+
+    @functools.wraps(run)
+    def leaner(*args):
+        import sys
+        for module, kept in KEEPERS.items():
+            if module in sys.modules:
+                getattr(sys.modules[module], kept).clear()
+        try:
+            yield from run(*args)
+        finally:
+            give_back()
+    return leaner
+
+
 def hash52(*parts: Column) -> Column:
     """A uniform 52-bit integer from the parts' text (md5, so that any SQL
     engine can repeat it); null parts count as the text ``null``."""

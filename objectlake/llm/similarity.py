@@ -13,7 +13,7 @@ How it is spread:
 1. Equal sets are one node.  Two sets that link share one of their first
    ``n - ceil(t n) + 1`` hashes in any fixed order, so nodes are brought
    together by these (cells); of cells with the same members one is kept.  The
-   order is by hash, but hashes found common in a first round come last, so that
+   order is by hash, but hashes that a count finds common come last, so that
    passages that many unlike texts share don't bring them together.
 2. In each cell an R-tree join over count vectors alone finds which nodes could
    link.  Large cells are cut into chunks: first each chunk is joined with
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, pick, stage
+from .common import chunks, lean, pick, stage
 from .components import components
 from .shingles import mixed, shingle_sets, text_bytes, word_hashes
 
@@ -50,8 +50,10 @@ COMMON, MOST_COMMON = 256, 100_000
 #: nodes that are joined with each other in one go
 CHUNK = 1024
 SET_CHUNK = 512
+#: shingles of a set, on average, beyond which fewer sets make a chunk (16 MB of hashes)
+SET_SHINGLES = 4096
 #: entries (node in a cell) that a task sorts
-ENTRIES_IN_PART = 200_000
+ENTRIES_IN_PART = 100_000
 #: ids up to this many bytes are broadcast to pick texts; beyond it a shuffle join does
 BROADCAST_BYTES = 32 << 20
 
@@ -168,6 +170,7 @@ def describe(docs: DataFrame, k: int, percent: int, common: np.ndarray | None =
 
     rows = pick(docs, "doc_id", "text", *keep)
 
+    @lean
     def run(batches):
         for b in chunks(batches, "text"):
             data, offsets = text_bytes(b.column("text"))
@@ -189,6 +192,7 @@ def shared_cells(nodes: DataFrame, entries: int) -> DataFrame:
     shift = np.uint64(64 - int(math.log2(parts)))
     least_common = COMMON + 1
 
+    @lean
     def packed(batches):
         for b in batches:
             lists = [np.frombuffer(p, np.uint64) for p in b.column("prefix").to_pylist()]
@@ -220,9 +224,25 @@ def shared_cells(nodes: DataFrame, entries: int) -> DataFrame:
         .applyInArrow(found, "hash long, cell long, members binary")
 
 
+def common_hashes(nodes: DataFrame) -> np.ndarray:
+    """The hashes that more than ``COMMON`` nodes have in their prefixes, the
+    most frequent ``MOST_COMMON`` of them, sorted.  Only counts are exchanged,
+    summed up in the tasks before, so no hash's nodes meet anywhere."""
+    @lean
+    def counted(batches):
+        for b in batches:
+            for part in chunks([b], "prefix"):
+                hashes, n = np.unique(np.concatenate([np.frombuffer(p, np.uint64) for p in part.column("prefix").to_pylist()]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n.astype(np.int64))], names=["hash", "n"])
+    counts = nodes.select("prefix").mapInArrow(counted, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    found = counts.where(F.col("n") > COMMON).orderBy(F.desc("n"), "hash").limit(MOST_COMMON).collect()
+    return np.sort(np.array([r["hash"] for r in found], np.int64).view(np.uint64))
+
+
 def could_link(cells: DataFrame, boxes: DataFrame, percent: int) -> DataFrame:
     """Edges (``a``, ``b``) that join the members of each cell as the bounds
     would; ``boxes``: ``node``, ``root``, ``n``, ``counts``."""
+    @lean
     def unpacked(batches):
         for b in batches:
             lists = [np.frombuffer(m, np.int64) for m in b.column("members").to_pylist()]
@@ -267,6 +287,7 @@ def could_link(cells: DataFrame, boxes: DataFrame, percent: int) -> DataFrame:
                          "low_n": pa.array([v[0] for v in held.values()], pa.int64()), "high_n": pa.array([v[1] for v in held.values()], pa.int64()),
                          "counts": pa.array([v[2].tobytes() for v in held.values()], pa.binary())})
 
+    @lean
     def corners(batches):
         for b in batches:
             n = np.array(b.column("n"))
@@ -344,22 +365,23 @@ def row_components(docs: DataFrame, k: int, percent: int, keep: tuple[str, ...]
     nodes = stage(described.where("node is not null").groupBy("node").agg(F.min("n").alias("n"), F.min("counts").alias("counts"),
                   F.min("prefix").alias("prefix"), F.min("doc_id").alias("doc_id")), "nodes")
     entries = nodes.agg(F.sum(F.length("prefix") / 8)).first()[0] or 0
-    shared = stage(shared_cells(nodes, entries), "shared")
-    often = F.length("members")
-    common = shared.where(often > 8 * COMMON).groupBy("hash").agg(F.max(often).alias("n")).orderBy(F.desc("n"), "hash").limit(MOST_COMMON).collect()
-    if common:
-        late = np.sort(np.array([r["hash"] for r in common], np.int64).view(np.uint64))
+    shared = shared_cells(nodes, entries)       # a plan so far
+    late = common_hashes(nodes)
+    if len(late):
         once = describe(docs, k, percent, late).where("node is not null").groupBy("node").agg(F.min("prefix").alias("prefix"))
-        shared = stage(shared_cells(once, entries), "shared")
+        shared = shared_cells(once, entries)
+    shared = stage(shared, "shared")
     cells = stage(shared.groupBy("cell").agg(F.first("members").alias("members")), "cells")
     edges = could_link(cells, nodes.select("node", "n", "counts"), percent)
     clusters = components(edges)
-    members = clusters.join(nodes, "node").select("node", F.col("root").alias("cluster"), "doc_id")
+    members = clusters.join(nodes, "node").select("node", F.col("root").alias("cluster"), "doc_id", "n")
     members = stage(members.withColumnRenamed("doc_id", "id_"), "members")
 
-    sizes = members.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    members = stage(members.join(sizes, "cluster"), "cluster-members")
+    # a chunk has at most SET_CHUNK sets, fewer if these are large
+    sizes = members.groupBy("cluster").agg(F.greatest(F.count(F.lit(1)), F.ceil(F.sum("n") / SET_SHINGLES)).alias("size"))
+    members = stage(members.drop("n").join(sizes, "cluster"), "cluster-members")
 
+    @lean
     def sets_of(batches):
         for b in chunks(batches, "text"):
             data, offsets = text_bytes(b.column("text"))

@@ -22,12 +22,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, pick, stage
+from .common import chunks, lean, pick, stage
 from .labelled import fit_logistic, held_out, learnable, logistic, some
 
 #: the sample: whole texts of each class at most, and windows for the ordinary dictionary's trainer
 TOXIC_TEXTS, ORDINARY_TEXTS, ORDINARY_WINDOWS = 1500, 3000, 40_000
 WINDOW = 8
+#: how much more frequent in toxic texts a mark is
+RATIO = 50
 ORDINARY_BYTES, TOXIC_BYTES = 4096, 3000
 _WORDS = re.compile(r"\w+").findall
 _LEVELS = np.array([2.0, 4.0, 5.0, 6.0, 7.0, 8.0, 10.0])
@@ -63,9 +65,14 @@ def beginnings(word: str) -> set[str]:
 def toxic_pieces(seen: dict[str, int], usual: dict[str, int], n_toxic: int, n_ordinary: int) -> bytes:
     """What marks toxic texts, the most frequent last (nearest): of the units
     ``seen`` in so many toxic texts those that are ``usual`` in hardly any ordinary ones."""
-    rate = {u: (n / max(1, n_toxic)) / ((usual.get(u, 0) + 0.5) / max(1, n_ordinary)) for u, n in seen.items()}
+    def marks(u: str) -> bool:
+        """Whether ``u`` is surely more frequent in toxic texts (by two standard
+        errors of the logarithm of the ratio), and ``RATIO`` times as frequent within one."""
+        a, b = seen[u], usual.get(u, 0) + 0.5
+        ratio, error = np.log(a / max(1, n_toxic) / (b / max(1, n_ordinary))), np.sqrt(1 / a + 1 / b)
+        return ratio > 2 * error and ratio + error >= np.log(RATIO)
     chosen: list[str] = []
-    for u in sorted((u for u in seen if rate[u] >= 50), key=lambda u: (-seen[u], -len(u), u)):
+    for u in sorted(filter(marks, seen), key=lambda u: (-seen[u], -len(u), u)):
         if sum(len(c.encode("utf-8", "replace")) + 1 for c in chosen) >= TOXIC_BYTES:
             break
         if not any(u in c and seen[u] < 1.1 * seen[c] for c in chosen):
@@ -115,6 +122,7 @@ def dictionaries(sample: DataFrame, half: dict[int, int], label: dict[int, int],
 
     def in_texts(rows: DataFrame, units: frozenset[str] | None) -> dict[str, list[int]]:
         """In how many texts of each of ``PARTS`` each unit (these, or all that are frequent) is."""
+        @lean
         def run(batches):
             for texts, _ in each(batches):
                 seen: list[Counter[str]] = [Counter(), Counter()]
@@ -132,6 +140,7 @@ def dictionaries(sample: DataFrame, half: dict[int, int], label: dict[int, int],
     seen = in_texts(toxic, None)
     frequent, most = frozenset(seen), max(least)
 
+    @lean
     def contexts(batches):
         for texts, _ in each(batches):
             held: dict[tuple[str, int], set] = defaultdict(set)     # only as many as count
@@ -149,6 +158,7 @@ def dictionaries(sample: DataFrame, half: dict[int, int], label: dict[int, int],
     likely = [{u: n[p] for u, n in seen.items() if n[p] >= least[p] and different.get(u, [0, 0, 0])[p] >= least[p]} for p in range(3)]
     usual = in_texts(ordinary, frozenset(u for some_ in likely for u in some_))
 
+    @lean
     def shuffled(batches):
         for texts, ids in each(batches):
             rows = []
@@ -186,6 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) ->
     half = {d: i % 2 for i, d in enumerate(label)}
     *halves, model = dictionaries(sample, half, label, share)
 
+    @lean
     def measured(batches):      # each text with the dictionaries of the other half
         for b in chunks(batches, "text"):
             ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
@@ -206,11 +217,13 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, folds: int = 4, fold: int
     ``held_out``, ``score`` and ``predicted``; ``keep`` carries further columns.
 
     The whole text counts; null and empty texts have no windows and a score all
-    the same.  Rows with null ids are never held out."""
+    the same.  Rows with null ids are never held out; repeated rows give repeated
+    rows, an empty table none."""
     columns = [c for c in dict.fromkeys(keep) if c != "doc_id"]
     rows = pick(docs, "doc_id", *dict.fromkeys(("text", *columns)))
     kept = ["doc_id", *columns]
 
+    @lean
     def run(batches):
         for b in chunks(batches, "text"):
             score = model.score([words_of(t) for t in b.column("text").to_pylist()])
