@@ -14,9 +14,16 @@ WORD = r"[^\x20\x09-\x0D]+"
 HASH_RANGE = 2.0 ** 52
 
 
+#: bytes of a batch of rows between Spark and a Python worker, where the session sets none
+BATCH_BYTES = "4m"
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns only, found by exact name and position, so further
     columns (also ones that differ by case, or repeat) can't clash."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)      # texts make batches of 10,000 rows large
     missing = [n for n in names if n not in df.columns]
     if missing:
         raise ValueError(f"missing column(s) {missing}; the table has {df.columns}")
