@@ -505,14 +505,19 @@ class ObjectQuery:
 
     def _finish(self, df: DataFrame, out_cols: list[Column], r: _Resolver) -> DataFrame:
         """ORDER BY, then OFFSET / LIMIT.  With a LIMIT the result is a
-        bounded top-k.  An OFFSET alone numbers the rows with the distributed
-        row index (range partitioning + checkpoint) and keeps positions from
-        the offset on, instead of pulling every row into one partition."""
+        bounded top-k.  An OFFSET alone keeps the rows behind its last one
+        (:func:`.operators.rowskip.skip_rows`, lazy), instead of pulling every
+        row into one partition; beyond ``MOST_SKIPPED`` it numbers the rows with the
+        distributed row index (range partitioning + checkpoint)."""
         if self._offset and self._limit is None and not self._types_only:
             from ..operators.packing import global_index
+            from ..operators.rowskip import MOST_SKIPPED, skip_rows
             hidden = [k.expr.to_column(r).alias(f"__o{i}") for i, k in enumerate(self._order)]
             staged = df.select(*out_cols, *hidden)
             names = [c for c in staged.columns if not c.startswith("__o")]
+            if self._offset <= MOST_SKIPPED:
+                kept = skip_rows(staged, [(f"__o{i}", k.descending, k.nulls) for i, k in enumerate(self._order)], self._offset)
+                return kept.select(*[F.col(quote(n)) for n in names])
             order = [k.apply(F.col(f"__o{i}")) for i, k in enumerate(self._order)]
             idx = global_index(staged, order, "__pos")
             kept = idx.filter(F.col("__pos") >= self._offset).orderBy("__pos")
