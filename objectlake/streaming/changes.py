@@ -8,7 +8,7 @@ A change message is JSON text:
      "changedFields": ["Name", ...],          # optional
      "before": {"Name": "...", ...}}          # optional, prior image
 
-Every function here is a stateless DataFrame transform, so the same code
+Every function here but ``with_last_image`` is a stateless DataFrame transform, so the same code
 runs on a batch DataFrame of messages (``spark.read.text``) and on a
 streaming one (``spark.readStream.text``) — the stream query is checkpointed
 by Structured Streaming and restarts from its source offsets.
@@ -44,21 +44,67 @@ _ENVELOPE = T.StructType([
 ])
 
 
-def _envelope(m: Column) -> list[Column]:
-    """The envelope columns of a parsed message."""
+def _envelope(m: Column, last: Column | None = None) -> list[Column]:
+    """The envelope columns of a parsed message; ``last`` (JSON) stands for a missing prior image."""
+    before = lower_keys(m["before"])
+    if last is not None:
+        before = F.coalesce(before, F.from_json(last, "map<string,string>"))
     return [F.lower(m["event"]["type"]).alias("_op"),
             m["event"]["replayId"].alias("_replay_id"),
             lower_keys(m["sobject"]).alias("_after"),
             F.transform(m["changedFields"], lambda x: F.lower(normalize_name_col(x))).alias("_changed"),
-            lower_keys(m["before"]).alias("_before"),
+            before.alias("_before"),
             m["sobject"].isNotNull().alias("_valid")]
 
 
-def parse_messages(df: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_messages(df: DataFrame, value_col: str = "value", last_col: str | None = None) -> DataFrame:
     """Message text → envelope columns plus ``_valid`` (JSON with an
     ``sobject`` object)."""
     env = F.from_json(F.col(value_col), _ENVELOPE)
-    return df.select(env.alias("__m"), F.col(value_col).alias("_raw")).select(*_envelope(F.col("__m")), "_raw")
+    last = F.col(last_col) if last_col else F.lit(None).cast("string")
+    return df.select(env.alias("__m"), F.col(value_col).alias("_raw"), last.alias("__last")) \
+        .select(*_envelope(F.col("__m"), F.col("__last") if last_col else None), "_raw")
+
+
+def with_last_image(messages: DataFrame, key_field: str, value_col: str = "value") -> DataFrame:
+    """T-03 on messages that carry neither ``changedFields`` nor ``before``:
+    the messages of a stream with ``last``, the record's image before each one (JSON of
+    the fields that the message has; null for its first message), to be passed on as ``last_col``.
+
+    The state of a key is its record's fields as the messages so far have left
+    them, kept by the stream's state store; a deletion drops it.  Messages of one
+    micro-batch are taken in the order of their replay ids.  Messages without
+    the key (or that are no JSON) pass without state."""
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+    if not messages.isStreaming:
+        raise CatalogError("Prior images are kept for streams only")
+    env = F.from_json(F.col(value_col), _ENVELOPE)
+    rows = messages.select(F.col(value_col).alias("value"), env.alias("m")).select(
+        "value", F.col("m.event.replayId").alias("replay"), F.lower("m.event.type").alias("op"), lower_keys(F.col("m.sobject")).alias("after"))
+    key = F.col("after")[F.lit(key_field.lower())]
+    # those without a key are dealt out by their text
+    rows = rows.select(F.coalesce(key, F.concat(F.lit("\x00"), F.xxhash64("value"))).alias("key"), key.isNotNull().alias("known"), "value",
+                       F.coalesce("replay", F.lit(-1)).alias("replay"), F.coalesce("op", F.lit("")).alias("op"),
+                       F.to_json("after", {"ignoreNullFields": "false"}).alias("after"))
+
+    def remember(key, parts, state: GroupState):
+        import json
+
+        import pandas as pd
+        rows = pd.concat(list(parts)).sort_values("replay", kind="stable")
+        image, last = json.loads(state.get[0]) if state.exists else None, []
+        for known, op, after in zip(rows["known"], rows["op"], rows["after"]):
+            fields = json.loads(after) if known else {}
+            # a field that the message leaves out stays as it is, so it stands in neither image
+            last.append(json.dumps({k: v for k, v in image.items() if k in fields}) if image is not None else None)
+            if known:
+                image = None if op == "deleted" else {**(image or {}), **fields}
+        if image is not None:
+            state.update((json.dumps(image),))
+        elif state.exists:
+            state.remove()
+        yield pd.DataFrame({value_col: rows["value"], "last": pd.Series(last, index=rows.index, dtype=object)})
+    return rows.groupBy("key").applyInPandasWithState(remember, f"`{value_col}` string, last string", "image string", "append", GroupStateTimeout.NoTimeout)
 
 
 def _bound(value: Column, use) -> Column:
@@ -66,7 +112,8 @@ def _bound(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def tag_changes(df: DataFrame, schema: T.StructType, value_col: str = "value", strict: bool = True) -> DataFrame:
+def tag_changes(df: DataFrame, schema: T.StructType, value_col: str = "value", strict: bool = True,
+                last_col: str | None = None) -> DataFrame:
     """One row a message, good or bad: the decoded fields, the envelope
     columns, ``_raw`` (the text), ``_good``, and ``_unread`` (names of fields whose text
     does not convert, or that are required and missing; with ``strict``).
@@ -78,7 +125,7 @@ def tag_changes(df: DataFrame, schema: T.StructType, value_col: str = "value", s
     texts = [f.name.lower() for f in schema.fields]
 
     def row(m: Column) -> Column:
-        return _bound(F.struct(*_envelope(m)), lambda e: _bound(
+        return _bound(F.struct(*_envelope(m, F.col(last_col) if last_col else None)), lambda e: _bound(
             F.array(*[e["_after"][F.lit(t)] for t in texts]).cast("array<string>"), lambda after: _bound(
                 F.struct(*[decode_value(after[i], f, mode).alias(f"f{i}") for i, f in enumerate(schema.fields)], F.lit(0).alias("none")),
                 lambda d: _bound(F.when(e["_valid"], unread(after, d)).otherwise(F.array().cast("array<string>")),
@@ -111,7 +158,7 @@ def split_tagged(tagged: DataFrame, schema: T.StructType, keep_event: bool = Tru
 
 def decode_changes(df: DataFrame, schema: T.StructType, value_col: str = "value",
                    on_error: str = "fail", keep_event: bool = True,
-                   strict: bool = True) -> DataFrame | tuple[DataFrame, DataFrame]:
+                   strict: bool = True, last_col: str | None = None) -> DataFrame | tuple[DataFrame, DataFrame]:
     """D-04/T-01/T-07: decode messages to ``schema``.
 
     Fields of ``sobject`` match schema fields ignoring case and name rules;
@@ -121,14 +168,15 @@ def decode_changes(df: DataFrame, schema: T.StructType, value_col: str = "value"
     value that its field cannot take or lacks a required one, fails the job
     (``on_error="fail"``) or goes to a second output (``"quarantine"``: returns
     ``(rows, bad_messages)``, the latter with the names of the bad fields), so
-    that good and bad messages together are all of them.
+    that good and bad messages together are all of them.  ``last_col`` names a
+    column with prior images (:func:`with_last_image`).
     """
     if on_error not in ("fail", "quarantine"):
         raise CatalogError(f"Unknown error policy '{on_error}'")
     if on_error == "quarantine":
-        return split_tagged(tag_changes(df, schema, value_col, strict), schema, keep_event)
+        return split_tagged(tag_changes(df, schema, value_col, strict, last_col), schema, keep_event)
     extra = ["_op", "_replay_id", "_changed", "_before", "_after"] if keep_event else []
-    p = parse_messages(df, value_col)
+    p = parse_messages(df, value_col, last_col)
     checked = p.withColumn("_after", F.when(F.col("_valid"), F.col("_after")).otherwise(
         F.raise_error(F.concat(F.lit("Invalid change message: "), F.col("_raw")))
         .cast(T.MapType(T.StringType(), T.StringType()))))
@@ -206,7 +254,8 @@ def start_change_stream(spark: SparkSession, path: str, schema: T.StructType, ou
                         operations: dict | None = None, field_mode: str | None = None,
                         select_fields: Iterable[str] = (), where_fields: Iterable[str] = (),
                         cond: Column | None = None, quarantine_path: str | None = None,
-                        available_now: bool = False, processing_time: str | None = None, **options):
+                        available_now: bool = False, processing_time: str | None = None,
+                        remember: str | None = None, **options):
     """S-15 end to end: messages under ``path`` → decoded rows → operation
     filter (T-02, ``operations`` like ``{"delete": False}``) → field-change
     filter (T-03) → the fields and filters of ``query`` (T-04, an
@@ -216,12 +265,17 @@ def start_change_stream(spark: SparkSession, path: str, schema: T.StructType, ou
     With it, each micro-batch writes its good rows and its bad messages to
     ``<out>/epoch=<id>`` and ``<quarantine>/epoch=<id>`` with overwrite, so a
     retried micro-batch replaces its own output instead of duplicating it.
+    ``remember`` names the key field by which prior images are kept for messages
+    without one (:func:`with_last_image`).
     Returns the running ``StreamingQuery``; progress is kept in
     ``checkpoint``."""
     reader = spark.readStream.format(fmt).options(**options)
     raw = reader.load() if fmt == "kafka" else reader.load(path)
     if fmt == "kafka":
         raw = raw.select(F.col("value").cast("string").alias("value"))
+    last_col = "last" if remember else None
+    if remember:
+        raw = with_last_image(raw, remember)
 
     def shape(rows: DataFrame) -> DataFrame:
         if operations:
@@ -233,12 +287,12 @@ def start_change_stream(spark: SparkSession, path: str, schema: T.StructType, ou
         return query.over(rows) if query is not None else rows.drop("_changed", "_before", "_after")
 
     if quarantine_path is None:
-        out = shape(decode_changes(raw, schema, on_error="fail"))
+        out = shape(decode_changes(raw, schema, on_error="fail", last_col=last_col))
         writer = out.writeStream.format("parquet").option("path", out_path)
     else:
         def each_batch(batch: DataFrame, epoch: int) -> None:
             # kept for the two writes; blocks lost with an executor are made again
-            tagged = tag_changes(batch, schema).persist()
+            tagged = tag_changes(batch, schema, last_col=last_col).persist()
             good, bad = split_tagged(tagged, schema)
             shape(good).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/epoch={epoch}")
             bad.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/epoch={epoch}")
