@@ -68,9 +68,11 @@ def lean(run):
     @functools.wraps(run)
     def leaner(*args):
         import sys
-        for module, kept in KEEPERS.items():
-            if module in sys.modules:
-                getattr(sys.modules[module], kept).clear()
+        left = [getattr(sys.modules[module], kept) for module, kept in KEEPERS.items() if module in sys.modules]
+        if any(left):
+            for kept in left:
+                kept.clear()
+            give_back()
         try:
             yield from run(*args)
         finally:
