@@ -10,6 +10,10 @@ bound can't be nearest.  Only centroids that may be nearest are compared, by
 exact integers.  Rounding in the projection is allowed for by a margin, so it
 can only let more centroids through.
 
+The first centroids are the first pivots; after the first round its centroids become
+pivots too and the distances to all of them are kept anew.  A vector and a centroid are
+the better bounded the nearer the centroid is to the pivots' span, and later centroids stay near these.
+
 A round is one pass over the kept table: tasks send a row of sums for each
 centroid, Spark adds them up, and the new centroids (their number times their
 length, whatever the table's size) go to the next round by the driver.
@@ -29,7 +33,7 @@ from .common import pick, stage
 
 #: pivots at most, and how high over the earlier ones each must stand, as a share of
 #: the largest distance of pivots (flat simplexes round badly)
-PIVOTS, FLAT = 16, 1e-3
+PIVOTS, FLAT = 32, 1e-3
 #: the bounds' margin, as a share of the largest squared distance to a pivot
 MARGIN = 1e-9
 #: components up to this size keep squared distances within a long
@@ -151,7 +155,7 @@ def cluster_vectors(table: DataFrame, clusters: int = 16, rounds: int = 3, size:
     ``centroid_sha256`` and ``compared`` (centroids that the bounds left to compare).
 
     The first centroids are the vectors whose ids have the smallest sha256 of
-    ``<seed>:<vec_id>`` (ties: the smaller vector); they are the pivots too.  A new centroid is
+    ``<seed>:<vec_id>`` (ties: the smaller vector).  A new centroid is
     the floor of its vectors' mean; an empty one stays; ties go to the smaller number.
     Repeated rows take part as often as they occur, and rows without an id too, but they
     start no centroid.  Fewer rows with an id than ``clusters``: as many centroids as rows;
@@ -165,20 +169,28 @@ def cluster_vectors(table: DataFrame, clusters: int = 16, rounds: int = 3, size:
     if not first:
         return spark.createDataFrame([], SHAPE)
     centroids = np.array([r["vector"] for r in first], np.int64)
-    base = Base.over(centroids, pivots)
-
-    def cached(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, BLOCK):
-                b = batch.slice(at, BLOCK)
-                vectors = b.column("vector").flatten().to_numpy().reshape(-1, size)
-                apexes = base.apexes(squared(vectors, base.pivots))
-                yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array([v.tobytes() for v in vectors], pa.binary()),
-                                                  pa.array([a.tobytes() for a in apexes], pa.binary())], names=["vec_id", "vector", "apex"])
-    projected = stage(kept.mapInArrow(cached, "vec_id long, vector binary, apex binary"), "simplex")
+    first_centroids, base = centroids, Base.over(centroids, pivots)
+
+    def project(rows: DataFrame) -> DataFrame:
+        """``rows`` with the apexes over the base, kept as a table."""
+        def cached(batches, base=base):
+            for batch in batches:
+                for at in range(0, batch.num_rows, BLOCK):
+                    b = batch.slice(at, BLOCK)
+                    column = b.column("vector")
+                    vectors = rows_of(column, np.int64) if pa.types.is_binary(column.type) else column.flatten().to_numpy().reshape(-1, size)
+                    apexes = base.apexes(squared(vectors, base.pivots))
+                    yield pa.RecordBatch.from_arrays([b.column("vec_id"), pa.array([v.tobytes() for v in vectors], pa.binary()),
+                                                      pa.array([a.tobytes() for a in apexes], pa.binary())], names=["vec_id", "vector", "apex"])
+        return stage(rows.mapInArrow(cached, "vec_id long, vector binary, apex binary"), "simplex")
+    projected = project(kept)
     columns = [f"s{i}" for i in range(size)]
-    for _ in range(rounds):
-        def sums(batches, centroids=centroids):
+    for done in range(rounds):
+        if done == 1:       # the centroids have left the first ones: theirs is the base from here on
+            base = Base.over(np.concatenate([centroids, first_centroids]), pivots)
+            projected = project(projected.select("vec_id", "vector"))
+
+        def sums(batches, centroids=centroids, base=base):
             total, count = np.zeros_like(centroids), np.zeros(len(centroids), np.int64)
             for _, vectors, cluster, _, _ in assigned(batches, base, centroids):
                 order = np.argsort(cluster, kind="stable")

@@ -42,6 +42,8 @@ def test_query_11_is_lloyds(spark):
     rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{SMOKE}/embeddings.parquet").collect()]
     got = QUERIES["op11_simplex_clusters"](spark, SMOKE).collect()
     assert columns_of(got) == lloyd(rows, 16, 3, 64)
+    table = spark.read.parquet(f"{SMOKE}/embeddings.parquet")
+    assert simplex.cluster_vectors(table).agg(F.avg("compared")).first()[0] < 12     # vectors without clusters: half or so are ruled out
 
 
 @pytest.mark.parametrize("shape", ["gaps", "line", "same", "few"])
