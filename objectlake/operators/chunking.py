@@ -89,8 +89,12 @@ def _tag(df: DataFrame, key: str, size: int) -> DataFrame:
     k = F.col(key)
     if _numeric(df, key):
         lo = df.select(F.min(k)).scalar()
-        whole = k.cast("decimal(38,0)") if _integral(df, key) else F.floor(k).cast("decimal(38,0)")
-        return df.withColumn("chunk_id", chunk_id(whole, F.floor(lo).cast("decimal(38,0)"), size))
+        wide = chunk_id(F.floor(k).cast("decimal(38,0)"), F.floor(lo).cast("decimal(38,0)"), size)
+        if not _integral(df, key):
+            return df.withColumn("chunk_id", wide)
+        # in longs, but for keys more than a long apart
+        apart = F.try_subtract(k.cast("long"), lo.cast("long"))
+        return df.withColumn("chunk_id", F.when(apart.isNull() & k.isNotNull(), wide).otherwise(F.call_function("div", apart, F.lit(size).cast("long"))))
     from .packing import global_index
     idx = global_index(df, [key], "__pos")
     return idx.withColumn("chunk_id", F.floor(F.col("__pos") / size).cast("long")).drop("__pos")

@@ -208,6 +208,13 @@ def test_large_keys_keep_their_chunk(spark):
     assert sorted(r["chunk_id"] for r in key_chunks(rows, "k", 1).collect()) == [0, 2 ** 53 + 1, 2 ** 62]
 
 
+def test_keys_more_than_a_long_apart(spark):
+    rows = spark.createDataFrame([(-2 ** 63,), (-5,), (2 ** 63 - 1,), (None,)], "k long")
+    size = 10 ** 5
+    got = {r["lo"]: r["chunk_id"] for r in key_chunks(rows, "k", size).collect()}
+    assert got == {k: (k + 2 ** 63) // size for k in (-2 ** 63, -5, 2 ** 63 - 1)} | {None: None}
+
+
 def test_chunking_rules(cat):
     q = ObjectQuery(cat, "Opportunity").select("Id")
     assert chunk_eligibility(q) == []
