@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from objectlake.llm import private_data, quality, sharding
+from objectlake.llm import private_data, quality, sharding, toxicity
 from objectlake.llm.registry import QUERIES
 
 from .conftest import SMOKE
@@ -76,3 +76,25 @@ def test_pipeline_on_awkward_rows(spark, awkward, nothing):
             assert out.columns == docs.columns
             docs = out
         assert corpus_pipeline.STAGES[-1][1](spark, docs, SMOKE).count() == docs.count()
+
+
+def test_toxicity_of_a_small_sample(spark):
+    """Thirty labelled texts are enough for marks that most toxic ones share."""
+    import random
+    rnd = random.Random(11)
+    plain = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(200)]
+
+    def text(bad):
+        words = [rnd.choice(plain) for _ in range(60)]
+        for _ in range(4 if bad else 0):
+            words.insert(rnd.randrange(len(words)), rnd.choice(["grumblefoul", "scornwretch"]))
+        return " ".join(words)
+    rows = [(i, text(i % 3 == 0), int(i % 3 == 0)) for i in range(40)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert b"grumblefoul" in model.toxic and b"scornwretch" in model.toxic
+    got = toxicity.score_toxicity(docs, model).where("held_out").collect()
+    toxic, clean = [[r for r in got if rows[r["doc_id"]][2] == y] for y in (1, 0)]
+    assert toxic and clean and all(r["predicted"] == 1 for r in toxic)
+    assert min(r["score"] for r in toxic) > 0.9 and max(r["score"] for r in clean) < 0.6     # so few don't place 0.3 exactly
