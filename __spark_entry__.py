@@ -626,6 +626,35 @@ def j02_children_arrays(spark, sf_dir):
                      .alias("total"))
 
 
+@register("j02_children_pieces", f"""
+WITH kids AS (
+  SELECT AccountId, Id, Amount, row_number() OVER (PARTITION BY AccountId ORDER BY Amount DESC, Id) - 1 AS no
+  FROM {OPP_LIVE})
+SELECT c.c_custkey AS Id, COALESCE(k.no // 4, 0) AS piece, COUNT(k.Id) AS n_children,
+       ROUND(COALESCE(SUM(k.Amount), 0), 2) AS total
+FROM customer c LEFT JOIN kids k ON k.AccountId = c.c_custkey GROUP BY c.c_custkey, COALESCE(k.no // 4, 0)""")
+def j02_children_pieces(spark, sf_dir):
+    df = (ObjectQuery(_cat(spark, sf_dir), "Account").select("Id")
+          .children("Opportunities", select=["Id", "Amount"], order_by=[fld("Amount").desc(), fld("Id")], piece_rows=4).to_df())
+    return df.select("Id", F.col("Opportunities_piece").alias("piece"), F.size("Opportunities").cast("long").alias("n_children"),
+                     F.round(F.aggregate("Opportunities", F.lit(0.0), lambda a, x: a + x["Amount"]), 2).alias("total"))
+
+
+@register("j02_children_pieces_unordered", f"""
+WITH kids AS (SELECT AccountId, COUNT(*) AS n, ROUND(SUM(Amount), 2) AS total FROM {OPP_LIVE} GROUP BY AccountId)
+SELECT c.c_custkey AS Id, CAST(greatest(1, ceil(COALESCE(k.n, 0) / 4.0)) AS BIGINT) AS pieces,
+       CAST(least(4, COALESCE(k.n, 0)) AS BIGINT) AS largest, CAST(COALESCE(k.n, 0) AS BIGINT) AS n_children,
+       COALESCE(k.total, 0) AS total
+FROM customer c LEFT JOIN kids k ON k.AccountId = c.c_custkey""")
+def j02_children_pieces_unordered(spark, sf_dir):
+    df = (ObjectQuery(_cat(spark, sf_dir), "Account").select("Id")
+          .children("Opportunities", select=["Id", "Amount"], piece_rows=4).to_df())
+    n = F.size("Opportunities").cast("long")
+    return df.groupBy("Id").agg(
+        (F.max("Opportunities_piece") + 1).alias("pieces"), F.max(n).alias("largest"), F.sum(n).alias("n_children"),
+        F.round(F.sum(F.aggregate("Opportunities", F.lit(0.0), lambda a, x: a + x["Amount"])), 2).alias("total"))
+
+
 @register("j03_children_top2", f"""
 SELECT c.c_custkey AS Id, k.pos, k.Id AS child_id, k.Amount AS child_amount, k.Account_Name AS child_account
 FROM customer c LEFT JOIN (

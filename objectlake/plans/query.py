@@ -52,6 +52,7 @@ class ChildSpec:
     offset: int | None = None
     flat: bool = False
     alias: str | None = None
+    piece_rows: int | None = None
 
 
 def _sort_keys(items) -> list[SortKey]:
@@ -279,13 +280,17 @@ class ObjectQuery:
 
     def children(self, relationship: str, select: Iterable = (), where=None, order_by: Iterable = (),
                  limit: int | None = None, offset: int | None = None, flat: bool = False,
-                 alias: str | None = None) -> ObjectQuery:
+                 alias: str | None = None, piece_rows: int | None = None) -> ObjectQuery:
         """J-02/J-03: child rows per parent row, one level deep.
 
         Nested (default): an ``array<struct>`` column named after the
         relationship, empty (not null) when a parent has no children.
         ``flat=True``: one output row per (parent, child) pair, child fields
         prefixed ``<relationship>_``, parents without children kept once.
+        ``piece_rows=n``: arrays of at most n children, one output row per piece,
+        numbered from 0 in ``<relationship>_piece``; all pieces of a parent but
+        the last are full, and a parent without children has one empty piece.
+        Use it where a parent may own more children than a task should hold.
         """
         items = [as_item(i) for i in select]
         if not items:
@@ -296,11 +301,13 @@ class ObjectQuery:
         for it in items:
             if it.is_function or it.has_agg:
                 raise QueryError("Functions are not allowed in a child sub-query")
-        if flat and any(c.flat for c in self._children):
-            raise QueryError("Only one child sub-query can be flat: two would give every pair of their rows")
+        if piece_rows is not None and (flat or int(piece_rows) < 1):
+            raise QueryError("A child sub-query in pieces needs 1 or more rows a piece and can't be flat")
+        if (flat or piece_rows) and any(c.flat or c.piece_rows for c in self._children):
+            raise QueryError("Only one child sub-query can be flat or in pieces: two would give every pair of their rows")
         q = self._copy()
         q._children.append(ChildSpec(relationship, items, as_expr(where) if where is not None else None,
-                                     _sort_keys(order_by), limit, offset, flat, alias))
+                                     _sort_keys(order_by), limit, offset, flat, alias, piece_rows))
         return q
 
     def explain(self, mode: str = "formatted") -> None:
@@ -598,6 +605,10 @@ class ObjectQuery:
         inner = [f"{tag}{i}" for i in range(len(names))]
         fk, rank = f"{tag}fk", f"{tag}rank"
         cq._select = [it.alias(n) for it, n in zip(spec.select, inner)] + [fld(rel.field).alias(fk)]
+        own = f"{tag}own"
+        child = self.catalog.get(rel.child)
+        if spec.piece_rows and child.id_field:
+            cq._select.append(fld(child.id_field).alias(own))
         if spec.where is not None:
             cq._where.append(spec.where)
         if restrict and not spec.flat:
@@ -626,14 +637,27 @@ class ObjectQuery:
             # with the hot side on the unsplittable right
             if rank is not None:
                 kids = kids.drop(rank)
-            matched = kids.join(df, F.col(fk) == pid, "inner")
-            keys = kids.select(F.col(fk).alias(f"{tag}k")).distinct()
-            lonely = df.join(keys, pid == F.col(f"{tag}k"), "left_anti")
-            out = matched.unionByName(lonely, allowMissingColumns=True)
+            out = _with_lonely(df, kids, kids, pid, fk)
             cols = [F.col(c).alias(normalize_name(f"{label}_{n}")) for c, n in zip(inner, names)]
             return out, cols
         st = T.StructType([T.StructField(n, kids.schema[c].dataType, True) for c, n in zip(inner, names)])
         arr = f"{tag}arr"
+        empty = F.array().cast(T.ArrayType(st, True))
+        if spec.piece_rows:
+            kids = kids.filter(F.col(fk).isNotNull())
+            if rank is None:
+                order = [own] if child.id_field else inner
+                numbered = _number_children(kids, fk, order, f"{tag}no")
+            else:
+                numbered = kids.withColumn(f"{tag}no", (F.col(rank) - 1 - lo).cast("long"))
+            no, piece = F.col(f"{tag}no"), f"{tag}piece"
+            rows = F.array_sort(F.collect_list(F.struct(no, *[F.col(c) for c in inner])))
+            pieces = numbered.groupBy(fk, F.expr(f"{tag}no div {int(spec.piece_rows)}").alias(piece)).agg(rows.alias(arr))
+            pieces = pieces.select(fk, piece, F.transform(arr, lambda x: F.struct(
+                *[x[c].alias(n) for c, n in zip(inner, names)])).alias(arr))
+            out = _with_lonely(df, pieces, kids, pid, fk)
+            return out, [F.coalesce(F.col(arr), empty).alias(normalize_name(label)),
+                         F.coalesce(F.col(piece), F.lit(0).cast("long")).alias(normalize_name(f"{label}_piece"))]
         if rank is None:
             collected = F.collect_list(F.struct(*[F.col(c) for c in inner]))
         else:
@@ -643,7 +667,6 @@ class ObjectQuery:
         arrays = arrays.select(F.col(fk), F.transform(arr, lambda x: F.struct(
             *[x[c].alias(n) for c, n in zip(inner, names)])).alias(arr))
         out = df.join(arrays, pid == F.col(fk), "left")
-        empty = F.array().cast(T.ArrayType(st, True))
         return out, [F.coalesce(F.col(arr), empty).alias(normalize_name(label))]
 
     # ------------------------------------------------------------ misc
@@ -655,6 +678,34 @@ class ObjectQuery:
         return self.to_df(source=stream_df)
 
 
+def _with_lonely(df: DataFrame, rows: DataFrame, kids: DataFrame, pid: Column, fk: str) -> DataFrame:
+    """``rows`` of children joined to their parents ``df``, and the parents
+    without any of ``kids``."""
+    keys = kids.select(F.col(fk).alias(f"{fk}_key")).distinct()
+    lonely = df.join(keys, pid == F.col(f"{fk}_key"), "left_anti")
+    return rows.join(df, F.col(fk) == pid, "inner").unionByName(lonely, allowMissingColumns=True)
+
+
+#: parts that a parent's children are numbered in
+CHILD_PARTS = 4096
+
+
+def _number_children(kids: DataFrame, fk: str, order: list[str], name: str) -> DataFrame:
+    """``kids`` numbered from 0 without a gap inside each parent: each of a
+    parent's parts (by a hash of ``order``) is numbered by itself, and begins
+    after the counts of the parts before it, so no task sorts a whole parent."""
+    part = f"{name}_part"
+    parted = kids.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(CHILD_PARTS)))
+    counts = parted.groupBy(fk, part).agg(F.count(F.lit(1)).alias(f"{name}_n"))
+    before = Window.partitionBy(fk).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    begins = counts.select(F.col(fk).alias(f"{name}_fk"), F.col(part).alias(f"{part}_no"),
+                           F.coalesce(F.sum(f"{name}_n").over(before), F.lit(0)).alias(f"{name}_begin"))
+    local = F.row_number().over(Window.partitionBy(fk, part).orderBy(*order)) - 1
+    joined = parted.withColumn(f"{name}_local", local).join(
+        begins, (F.col(fk) == F.col(f"{name}_fk")) & (F.col(part) == F.col(f"{part}_no")))
+    return joined.select(*kids.columns, (F.col(f"{name}_begin") + F.col(f"{name}_local")).alias(name))
+
+
 class _RankExpr(Expr):
     """row_number() within a parent for ordered / limited child rows."""
 

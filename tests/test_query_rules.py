@@ -168,6 +168,41 @@ def test_hot_parent_children(spark):
     assert [k.Amount for k in hot.Kids] == [2997.0, 2994.0, 2991.0]
 
 
+def test_children_in_pieces(spark):
+    """Pieces hold at most the given rows, all but a parent's last are full,
+    and together they are the children; nothing sorts or collects a whole parent."""
+    from objectlake import Catalog
+    cat = Catalog(spark)
+    cat.register("Parent", spark.range(0, 300).selectExpr("id AS Id", "id % 2 AS Side"))
+    cat.register("Kid", spark.range(0, 30000).selectExpr(
+        "id AS Id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 1000 = 1 THEN NULL ELSE id % 200 END AS ParentId",
+        "CAST(id AS DOUBLE) AS Amount"))
+    cat.add_reference("Kid", "Parent", "ParentId", "Parent", child_name="Kids")
+    base = ObjectQuery(cat, "Parent").select("Id")
+    whole = {r.Id: sorted(k.Id for k in r.Kids) for r in base.children("Kids", select=["Id"]).to_df().collect()}
+    rows = base.children("Kids", select=["Id"], piece_rows=64).to_df().collect()
+    assert max(len(r.Kids) for r in rows) == 64
+    got: dict = {}
+    for r in sorted(rows, key=lambda r: (r.Id, r.Kids_piece)):
+        got.setdefault(r.Id, []).append((r.Kids_piece, [k.Id for k in r.Kids]))
+    assert {i: sorted(x for _, ids in p for x in ids) for i, p in got.items()} == whole
+    for pieces in got.values():
+        assert [n for n, _ in pieces] == list(range(len(pieces)))
+        assert all(len(ids) == 64 for _, ids in pieces[:-1])
+    assert got[299] == [(0, [])]
+    # in order, after an offset, for filtered parents
+    part = (base.where(fld("Side") == 1).children("Kids", select=["Id"], where=fld("Id") < 900, piece_rows=50,
+                                                  order_by=[fld("Amount").desc()], offset=1).to_df())
+    hot = [[k.Id for k in r.Kids] for r in sorted(part.where("Id = 7").collect(), key=lambda r: r.Kids_piece)]
+    want = sorted((i for i in range(900) if i % 3 == 0 or (i % 1000 != 1 and i % 200 == 7)), reverse=True)[1:]
+    assert hot == [want[i:i + 50] for i in range(0, len(want), 50)]
+    for bad in ({"piece_rows": 0}, {"piece_rows": 5, "flat": True}):
+        with pytest.raises(QueryError):
+            base.children("Kids", select=["Id"], **bad)
+    with pytest.raises(QueryError):
+        base.children("Kids", select=["Id"], piece_rows=5).children("Kids", select=["Id"], flat=True)
+
+
 def test_not_in_null_safe_and_read_source(cat):
     from objectlake.sources.batch import read_source
     sub = ObjectQuery(cat, "Opportunity").select("Priority").where(fld("Amount") > 400000)
