@@ -855,6 +855,28 @@ def a14_cube(spark, sf_dir):
     return _round(q.to_df(), "balance")
 
 
+@register("a14_cube_count_distinct", f"""
+SELECT StageName, Priority, COUNT(*) AS n, COUNT(DISTINCT AccountId) AS accounts, COUNT(DISTINCT CloseDate) AS days,
+       ROUND(SUM(Amount), 2) AS amount
+FROM {OPP} GROUP BY CUBE (StageName, Priority)""")
+def a14_cube_count_distinct(spark, sf_dir):
+    q = (ObjectQuery(_cat(spark, sf_dir), "Opportunity").include_deleted(True)
+         .select("StageName", "Priority", count_().alias("n"), count_distinct_("AccountId").alias("accounts"),
+                 count_distinct_("CloseDate").alias("days"), sum_("Amount").alias("amount"))
+         .cube("StageName", "Priority"))
+    return _round(q.to_df(), "amount")
+
+
+@register("a13_rollup_count_distinct", f"""
+SELECT c.c_mktsegment AS segment, o.StageName, COUNT(DISTINCT o.AccountId) AS accounts
+FROM {OPP} o LEFT JOIN customer c ON o.AccountId = c.c_custkey
+GROUP BY ROLLUP (c.c_mktsegment, o.StageName)""")
+def a13_rollup_count_distinct(spark, sf_dir):
+    return (ObjectQuery(_cat(spark, sf_dir), "Opportunity").include_deleted(True)
+            .select(fld("Account.Segment").alias("segment"), "StageName", count_distinct_("AccountId").alias("accounts"))
+            .rollup("Account.Segment", "StageName").to_df())
+
+
 @register("a15_having", """
 SELECT c_nationkey AS TerritoryId, COUNT(*) AS n, ROUND(AVG(c_acctbal), 4) AS avg_balance
 FROM customer GROUP BY c_nationkey HAVING COUNT(*) > 60 AND AVG(c_acctbal) > 4000""")

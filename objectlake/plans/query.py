@@ -27,7 +27,7 @@ import copy
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -555,7 +555,7 @@ class ObjectQuery:
                 if isinstance(sub, (AggExpr, GroupingExpr)) and sub.key not in agg_nodes:
                     agg_nodes[sub.key] = sub
         agg_keys: dict[str, str] = {}
-        acols = []
+        acols, distinct = [], []
         for j, (k, node) in enumerate(agg_nodes.items()):
             name = f"__a{j}"
             agg_keys[k] = name
@@ -568,6 +568,8 @@ class ObjectQuery:
                 if gname is None:
                     raise QueryError(f"{node.key} must name a grouped field")
                 acols.append(F.grouping(gname).cast("int").alias(name))
+            elif self._group_mode in ("rollup", "cube") and node.fname == "COUNT_DISTINCT":
+                distinct.append((name, node.arg.to_column(r)))
             else:
                 acols.append(node.agg_column(r).alias(name))
         if self._group_mode is None:
@@ -576,7 +578,9 @@ class ObjectQuery:
             base = df.select("*", *gcols)
             gnames = [f"__g{i}" for i in range(len(gcols))]
             grouped = {"group": base.groupBy, "rollup": base.rollup, "cube": base.cube}[self._group_mode](*gnames)
-            if acols:
+            if distinct:
+                out = _subtotal_distinct(base, self._group_mode, gnames, acols, distinct)
+            elif acols:
                 out = grouped.agg(*acols)
             elif self._group_mode == "group":
                 out = base.select(*gnames).distinct()
@@ -678,6 +682,27 @@ class ObjectQuery:
         return self.to_df(source=stream_df)
 
 
+def _subtotal_distinct(base: DataFrame, mode: str, keys: list[str], aggregates: list[Column],
+                       distinct: list[tuple[str, Column]]) -> DataFrame:
+    """ROLLUP or CUBE of ``base`` with COUNT_DISTINCT columns (name, value).  Each
+    value is made distinct inside the finest groups before the grouping sets
+    multiply its rows; the other aggregates are taken over all rows, and the
+    parts meet by grouping set and keys (a row per group in each)."""
+    def subtotals(rows: DataFrame) -> GroupedData:
+        return rows.rollup(*keys) if mode == "rollup" else rows.cube(*keys)
+    out = subtotals(base).agg(F.grouping_id().alias("__set"), *aggregates)
+    for name, value in distinct:
+        values = base.select(*keys, value.alias("__v")).distinct()
+        counts = subtotals(values).agg(F.grouping_id().alias(f"{name}_set"), F.count_distinct("__v").alias(name))
+        counts = counts.select(*[F.col(k).alias(f"{name}{k}") for k in keys], f"{name}_set", name)
+        same = [F.col(k).eqNullSafe(F.col(f"{name}{k}")) for k in keys] + [F.col("__set") == F.col(f"{name}_set")]
+        on = same[0]
+        for c in same[1:]:
+            on = on & c
+        out = out.join(counts, on).drop(*[f"{name}{k}" for k in keys], f"{name}_set")
+    return out.drop("__set")
+
+
 def _with_lonely(df: DataFrame, rows: DataFrame, kids: DataFrame, pid: Column, fk: str) -> DataFrame:
     """``rows`` of children joined to their parents ``df``, and the parents
     without any of ``kids``."""

@@ -168,6 +168,33 @@ def test_hot_parent_children(spark):
     assert [k.Amount for k in hot.Kids] == [2997.0, 2994.0, 2991.0]
 
 
+@pytest.mark.parametrize("mode", ["rollup", "cube"])
+def test_count_distinct_subtotals(spark, mode):
+    """Null keys, null values and a counted key, against Spark's own aggregate;
+    no Expand has a branch a counted column."""
+    from objectlake import Catalog
+    from pyspark.sql import functions as F
+    cat = Catalog(spark)
+    rows = spark.range(0, 2000).selectExpr("id AS Id", "nullif(id % 4, 3) AS A", "nullif(id % 5, 2) AS B",
+                                           "nullif(id % 37, 5) AS V", "nullif(id % 11, 1) AS W", "CAST(id AS DOUBLE) AS X")
+    cat.register("Thing", rows)
+    q = ObjectQuery(cat, "Thing").select("A", "B", count_().alias("n"), count_distinct_("V").alias("v"), sum_("X").alias("x"),
+                                         count_distinct_("W").alias("w"), count_distinct_("A").alias("na"),
+                                         grouping_("A").alias("ga"))
+    got = getattr(q, mode)("A", "B").having(count_distinct_("V") > 0).order_by(count_distinct_("W")).to_df()
+    spare = rows.withColumn("A1", F.col("A"))
+    want = getattr(spare, mode)("A", "B").agg(
+        F.count("*").alias("n"), F.count_distinct("V").alias("v"), F.sum("X").alias("x"), F.count_distinct("W").alias("w"),
+        F.count_distinct("A1").alias("na"), F.grouping("A").cast("int").alias("ga")).where("v > 0")
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    only = getattr(ObjectQuery(cat, "Thing").select("A", "B", count_distinct_("V").alias("v")), mode)("A", "B").to_df()
+    assert only.count() == getattr(rows, mode)("A", "B").count().count()
+    empty = getattr(ObjectQuery(cat, "Thing").select("A", count_distinct_("V").alias("v")).where(fld("Id") < 0), mode)("A").to_df()
+    assert empty.collect() == getattr(rows.where("Id < 0"), mode)("A").agg(F.count_distinct("V").alias("v")).collect()
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand [") == 4 and "gid" not in plan      # rows once, and the distinct values of each counted column
+
+
 def test_children_in_pieces(spark):
     """Pieces hold at most the given rows, all but a parent's last are full,
     and together they are the children; nothing sorts or collects a whole parent."""
