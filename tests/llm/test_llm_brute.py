@@ -188,7 +188,6 @@ def taken(vectors, zero):
 
 
 def test_exact_top(spark, vectors, monkeypatch):
-    monkeypatch.setattr(voronoi, "QUERIES_IN_CELL", 3)
     monkeypatch.setattr(voronoi, "BLOCK", 2)
     monkeypatch.setattr(voronoi, "VECTORS", 9)
     want = brute_top(taken(vectors, True), 5, 5, lambda x, y: sum(math.floor(256 * a) * math.floor(256 * b) for a, b in zip(x, y)))
@@ -199,6 +198,28 @@ def test_exact_top(spark, vectors, monkeypatch):
     assert voronoi.top_inner_products(vectors.where("false")).collect() == []
 
 
+def test_exact_top_of_clusters(spark, monkeypatch):
+    """Clustered vectors, a third of them equal: groups that can't matter are
+    not copied, and the results are those of brute force."""
+    monkeypatch.setattr(voronoi, "BLOCK", 8)
+    monkeypatch.setattr(voronoi, "VECTORS", 100)
+    random = np.random.RandomState(3)
+    centre = 4 * np.eye(12)
+    x = np.concatenate([centre[np.arange(800) % 12] + random.normal(0, 0.05, (800, 12)), np.tile(centre[0], (400, 1))])
+    table = spark.createDataFrame([(i, [float(a) for a in v]) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    whole = np.floor(256 * x).astype(np.int64)
+    got = defaultdict(list)
+    for r in voronoi.top_inner_products(table).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    for q in range(0, 1200, 50):
+        s = whole @ whole[q]
+        others = sorted((-int(v), i) for i, v in enumerate(s) if i != q)[:5]
+        assert got[q] == [(i, -v) for v, i in others]
+    assert len(got) == 24
+    assert 0 < voronoi.compared_share(table) < 0.6
+    assert voronoi.compared_share(table.where("false")) == 0
+
+
 def test_graph_search(spark, vectors):
     want = brute_top(taken(vectors, False), 20, 20, lambda x, y: sum(a * b for a, b in zip(x, y)))
     got = defaultdict(list)
