@@ -24,7 +24,6 @@ from .vectors import matrix, usable
 SHARD_ROWS = 16_384     # rows of a shard, about
 LINKS = 16              # neighbours above the ground level; twice as many on it
 BUILD_WIDTH, SEARCH_WIDTH = 64, 128
-QUERY_BLOCK = 4096
 
 
 def spread_out(points: np.ndarray, near: np.ndarray, sims: np.ndarray, most: int) -> np.ndarray:
@@ -179,8 +178,6 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, width: int = SEARCH_
     rows = usable(table, True, "hnsw-in")
     n = rows.count()
     shards = max(1, -(-n // shard_rows))
-    n_queries = rows.where(F.col("vec_id") % every == 0).count()
-    blocks = max(1, -(-n_queries // QUERY_BLOCK))
 
     def built(t: pa.Table) -> pa.Table:
         raw = io.BytesIO()
@@ -188,40 +185,42 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, width: int = SEARCH_
         return pa.table({"shard": t.column("shard")[:1], "graph": pa.array([raw.getvalue()], pa.binary())})
     sharded = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "vector"), F.lit(shards)).cast("int"))
     index = stage(sharded.groupBy("shard").applyInArrow(built, "shard int, graph binary"), "hnsw-index")
-    block = F.pmod(F.xxhash64(F.col("vec_id"), F.lit(3)), F.lit(blocks)).cast("int")
     asked = rows.where(F.col("vec_id") % every == 0).select(
-        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), block.alias("block"), "vec_id", F.col("vector").alias("data"))
-    graphs = index.select("shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-                          F.lit(None).cast("long").alias("vec_id"), F.col("graph").alias("data"))
-
-    def answered(t: pa.Table) -> pa.Table:
-        ids, data = t.column("vec_id").to_pylist(), t.column("data")
-        out: list[list[np.ndarray]] = [[], [], []]
-        graph = [i for i, v in enumerate(ids) if v is None]
-        asks = [i for i, v in enumerate(ids) if v is not None]
-        if graph and asks:
-            index_ = dict(np.load(io.BytesIO(data[graph[0]].as_py())))
-            queries, q_ids = matrix(data.take(pa.array(asks))), np.array([ids[i] for i in asks])
-            own, begins = index_["ids"], index_["begins"]
-            for at in range(0, len(asks), 512):
-                q, names = queries[at:at + 512], q_ids[at:at + 512]
-                found = look_up(index_, q, max(width, k + 1))
-                row, col = np.nonzero(found >= 0)
-                point = found[row, col]
-                score = (index_["vectors"][point] * q[row]).sum(1)
-                many = np.minimum(begins[point + 1] - begins[point], k + 1)
-                row, score = np.repeat(row, many), np.repeat(score, many)
-                vec = own[np.repeat(begins[point] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
-                ok = vec != names[row]
-                row, score, vec = row[ok], score[ok], vec[ok]
-                order = np.lexsort((vec, -score, row))
-                row, score, vec = row[order], score[order], vec[order]
-                place = np.arange(len(row)) - np.searchsorted(row, row)
-                out[0].append(names[row[place < k]])
-                out[1].append(vec[place < k])
-                out[2].append(score[place < k])
-        flat = [np.concatenate(x) if x else np.zeros(0) for x in out]
-        return pa.table({"query_id": pa.array(flat[0].astype(np.int64)), "vec_id": pa.array(flat[1].astype(np.int64)), "score": pa.array(flat[2], pa.float64())})
-    found = asked.unionByName(graphs).groupBy("shard", "block").applyInArrow(answered, "query_id long, vec_id long, score double")
+        F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "vec_id", F.col("vector").alias("data"))
+    graphs = index.select("shard", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("vec_id"), F.col("graph").alias("data"))
+
+    def found_in(graph: dict[str, np.ndarray], q: np.ndarray, names: np.ndarray) -> pa.RecordBatch:
+        own, begins = graph["ids"], graph["begins"]
+        found = look_up(graph, q, max(width, k + 1))
+        row, col = np.nonzero(found >= 0)
+        point = found[row, col]
+        score = (graph["vectors"][point] * q[row]).sum(1)
+        many = np.minimum(begins[point + 1] - begins[point], k + 1)
+        row, score = np.repeat(row, many), np.repeat(score, many)
+        vec = own[np.repeat(begins[point] - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+        ok = vec != names[row]
+        row, score, vec = row[ok], score[ok], vec[ok]
+        order = np.lexsort((vec, -score, row))
+        row, score, vec = row[order], score[order], vec[order]
+        few = np.arange(len(row)) - np.searchsorted(row, row) < k
+        return pa.RecordBatch.from_arrays([pa.array(names[row[few]], pa.int64()), pa.array(vec[few], pa.int64()), pa.array(score[few], pa.float64())],
+                                          names=["query_id", "vec_id", "score"])
+
+    def answered(batches):
+        graph, shard = {}, -1       # a shard's graph comes before its queries; a shard without rows has none
+        for b in batches:
+            begins = [0, *(np.flatnonzero(np.array(b.column("kind")) == 0)).tolist(), b.num_rows]
+            for i, (at, end) in enumerate(zip(begins, begins[1:])):
+                if i:
+                    graph, shard = {}, b.column("shard")[at].as_py()
+                    graph = dict(np.load(io.BytesIO(b.column("data")[at].as_buffer())))
+                    at += 1
+                asks = b.slice(at, end - at)
+                asks = asks.filter(pa.array(np.array(asks.column("shard")) == shard))
+                for first in range(0, asks.num_rows, 512):
+                    some = asks.slice(first, 512)
+                    yield found_in(graph, matrix(some.column("data")), np.array(some.column("vec_id")))
+    met = asked.unionByName(graphs).repartition(shards, "shard").sortWithinPartitions("shard", "kind")
+    found = met.mapInArrow(answered, "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -229,12 +229,15 @@ def test_graph_search(spark, vectors):
     assert hnsw.nearest(vectors.where("false")).collect() == []
 
 
-def test_graph_recall(spark):
+@pytest.mark.parametrize("shard_rows", [None, 300])
+def test_graph_recall(spark, shard_rows):
+    """One shard, and seven (of which each query is asked in all)."""
     sf = "/root/testdata/sf0.1"
     rows = [(r["vec_id"], np.array(r["embedding"])) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
     ids, x = np.array([i for i, _ in rows]), np.stack([v for _, v in rows])
     got = defaultdict(set)
-    for r in QUERIES["op8_hnsw"](spark, sf).collect():
+    table = spark.read.parquet(f"{sf}/embeddings.parquet")
+    for r in (hnsw.nearest(table, shard_rows=shard_rows) if shard_rows else QUERIES["op8_hnsw"](spark, sf)).collect():
         got[r["query_id"]].add(r["vec_id"])
     hits = []
     for q in np.flatnonzero(ids % 20 == 0):
