@@ -171,8 +171,9 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray) -> QualityModel:
 
 def train(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) -> QualityModel:
     """The model from at most ``POSITIVES`` rows labelled 1 outside the held-out
-    fold and ``UNLABELLED`` texts without a label (if all have one, of those
-    outside the fold, their labels unseen); their features (not their
+    fold and ``UNLABELLED`` texts without a label outside the fold (what is
+    labelled inside it isn't looked at; if all have one, learnable ones, their
+    labels unseen); their features (not their
     texts) come to the driver, which fits the weights.  At most ``NEGATIVES``
     rows labelled 0 outside the fold then set the scale of the score."""
     known = learnable(labels, "quality", folds, fold)
@@ -180,8 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) ->
     good = some(known.where("label = 1").select("doc_id"), POSITIVES).withColumn("kind", F.lit(1))
     bad = some(known.where("label = 0").select("doc_id"), NEGATIVES).withColumn("kind", F.lit(2))
     rows = pick(docs, "doc_id", "text")
-    given = pick(labels, "doc_id", "quality").where("quality is not null").select("doc_id").distinct()
-    bare = rows.select("doc_id").where("doc_id is not null").distinct().join(given, "doc_id", "left_anti")
+    bare = rows.select("doc_id").where("doc_id is not null").distinct().join(known.select("doc_id"), "doc_id", "left_anti")
     if bare.isEmpty():      # every text has a label: learnable ones without it
         bare = known.select("doc_id")
     chosen = good.unionByName(some(bare, UNLABELLED).withColumn("kind", F.lit(0))).unionByName(bad)
