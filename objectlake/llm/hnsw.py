@@ -174,7 +174,8 @@ def nearest(table: DataFrame, k: int = 20, every: int = 20, width: int = SEARCH_
 
     Null ids, and vectors that are null, empty, all zero, not of the commonest
     length or hold null or non-finite components, take no part; rows that repeat
-    id and vector count once.  Ties go to smaller ids.  All rows are indexed."""
+    id and vector count once.  Ties go to smaller ids.  All rows are indexed;
+    an empty table, or one without queries, gives no rows."""
     rows = usable(table, True, "hnsw-in")
     n = rows.count()
     shards = max(1, -(-n // shard_rows))

@@ -343,7 +343,8 @@ def find_private(docs: DataFrame, field: Field, mask: bool = False, keep: tuple[
     ``base_sha256`` (of the base matches, written kind:start:end) and ``spans``
     (base and added ones), by start, then kind; offsets in code points.
 
-    Null and empty texts have none.  ``mask`` adds ``masked``, the text with each
+    Null and empty texts have none; the whole text is searched, however long.
+    Repeated rows give repeated rows, an empty table none.  ``mask`` adds ``masked``, the text with each
     span replaced by its kind in brackets (a null text stays null; spans that overlap are one,
     named by the first); ``keep`` carries further columns."""
     columns = [c for c in dict.fromkeys(keep) if c != "doc_id"]

@@ -203,7 +203,8 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 5, fold: int = 0) ->
 def score_quality(docs: DataFrame, model: QualityModel, folds: int = 5, fold: int = 0, threshold: float = 0.3) -> DataFrame:
     """A row per row of ``docs`` (``doc_id``, ``text``): ``doc_id``,
     ``held_out``, ``score`` (0 to 1, of the whole text; null as empty) and
-    ``predicted``.  Rows with null ids are never held out; other columns are ignored."""
+    ``predicted``.  Rows with null ids are never held out; repeated rows give
+    repeated rows with equal scores, an empty table none; other columns are ignored."""
     def run(batches):
         for b in chunks(batches, "text"):
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(model.score(b.column("text")), pa.float64())], names=["doc_id", "score"])

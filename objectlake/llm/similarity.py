@@ -353,7 +353,8 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     Texts of fewer than ``k`` words have one shingle; null texts and texts
     without words none, and link with nothing (their component is their own id).
     Rows that repeat an id stay rows, and equal texts link.  A component
-    without any id has a null one.  Other columns are ignored."""
+    without any id has a null one.  The whole of a long text counts; an empty
+    table gives no rows.  Other columns are ignored."""
     return row_components(docs, k, percent).select("doc_id", "n_shingles", "component_id")
 
 
