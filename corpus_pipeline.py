@@ -33,7 +33,10 @@ def apart(docs: DataFrame, *used: str) -> tuple[DataFrame, list[str]]:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the toxicity model (learnt from ``labels``) doesn't reject."""
+    """The documents that the toxicity model (learnt from ``labels``) doesn't
+    reject.  Rows are scored each on its own: equal texts stay or go together,
+    null and empty texts and rows without an id are scored like others, an empty
+    table stays empty."""
     plain, names = apart(docs, "doc_id", "text")
     model = toxicity.train(plain, spark.read.parquet(table_path(sf_dir, "labels")))
     scored = toxicity.score_toxicity(plain, model, keep=tuple(names))
@@ -55,7 +58,9 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mask_private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with personal data replaced by its kind; ``n_chars`` follows."""
+    """The documents with personal data replaced by its kind; ``n_chars`` follows.
+    Every row stays, repeated ones too; a null text stays null (and has null
+    ``n_chars``), an empty one empty, and all of a long text is masked."""
     plain, names = apart(docs, "doc_id", "text", "n_chars")
     found = private_data.find_private(plain, private_data.train(plain), mask=True, keep=tuple(c for c in names if c != "text"))
     return found.select(*[F.col("masked") if c == "text" else F.length("masked").cast("long") if c == "n_chars" else F.col(c)
@@ -74,7 +79,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The piece ids of each text, and whether they give the text back."""
+    """The piece ids of each text, and whether they give the text back: a row per
+    row, no pieces for null and empty texts, no rows for an empty table."""
     return pieces.encode(docs)
 
 
