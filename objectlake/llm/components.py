@@ -2,35 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stage
 
+#: edges that a task writes, unless there are more cores than such parts
+EDGES_IN_PART = 100_000
+
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """``node``, ``root`` (the smallest node of its component) for all nodes
-    that occur in ``edges`` (``a``, ``b``: longs).
+    that occur in ``edges`` (``a``, ``b``: longs; a written table, as it is read twice).
 
-    Each round points the larger neighbours of every node at its smallest
-    neighbour, then every node's smaller neighbours at the smallest of them,
-    until the edges are stars.  Rounds grow with the logarithm of the longest
-    path; every round is a written table, nothing goes through the driver."""
-    both = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = stage(both, "edges")
+    Edges point from the larger node to the smaller one.  Each round points
+    every edge at the smallest neighbour of its smaller end, then every node's
+    smaller neighbours at the smallest of them, until a round changes nothing: the
+    edges are stars.  Rounds grow with the logarithm of the longest path; every
+    round is one written table, in parts of ``EDGES_IN_PART`` edges, and nothing goes
+    through the driver."""
+    cores, size = edges.sparkSession.sparkContext.defaultParallelism, edges.count()
+    now = edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # of equal edges one that moved comes first, and stays
+    of_node = Window.partitionBy("a").orderBy("b", F.desc("moved"))
     for _ in range(most_rounds):
-        ways = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        lowest = ways.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = ways.where("b > a").join(lowest, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stage(large.where("a <> b").distinct(), "edges")
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(lowest, "a")
-        small = small.select("a", F.col("m").alias("b")).unionByName(small.select(F.col("b").alias("a"), F.col("m").alias("b")))
-        now = stage(small.where("a <> b").distinct(), "edges")
-        # stars: every node has one edge, to a node that has none downwards
-        forked = now.groupBy("a").count().where("count > 1")
-        longer = now.join(now.select(F.col("b").alias("a")).distinct(), "a", "left_semi")
-        if longer.isEmpty() and forked.isEmpty():
+        lowest = now.groupBy(F.col("a").alias("b")).agg(F.min(F.col("b")).alias("m"))
+        large = now.join(lowest, "b", "left").select("a", F.coalesce("m", "b").alias("b"), F.col("m").isNotNull().alias("moved"))
+        small = large.select("a", "b", "moved", F.first("b").over(of_node).alias("m"), F.lag("b").over(of_node).alias("before"))
+        small = small.where("before is null or before <> b").select(
+            F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("m").alias("b"), F.expr("moved or b <> m").alias("moved"))
+        small = stage(small.coalesce(max(cores, -(-size // EDGES_IN_PART))), "edges")
+        now = small.select("a", "b")
+        size, moved = small.agg(F.count(F.lit(1)), F.max("moved")).first()
+        if not moved:
             roots = now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-            return stage(now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots), "roots")
+            return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -239,6 +239,34 @@ def common_hashes(nodes: DataFrame) -> np.ndarray:
     return np.sort(np.array([r["hash"] for r in found], np.int64).view(np.uint64))
 
 
+def group_by_group(rows: DataFrame, keys: list[str], run, shape: str) -> DataFrame:
+    """What ``run`` (an Arrow table to another) makes of the rows of each group of ``keys`` (integers, none
+    null), as ``applyInArrow`` gives it.  A task's groups come in one stream, sorted by the
+    keys: where most groups are a few rows, a stream for each costs more than its rows do."""
+    def runs(batches):
+        held, last = [], None       # the group at the end of the batches so far
+        for b in batches:
+            if not b.num_rows:
+                continue
+            key = np.stack([np.array(b.column(k)) for k in keys], 1)
+            done = []
+            if held and (key[0] != last).any():
+                done.append(run(pa.Table.from_batches(held)))
+                held = []
+            cuts = (np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist()
+            for start, end in zip([0, *cuts], [*cuts, b.num_rows]):
+                if start:
+                    done.append(run(pa.Table.from_batches(held)))
+                    held = []
+                held.append(b.slice(start, end - start))
+            last = key[-1]
+            if done:
+                yield from pa.concat_tables(done).combine_chunks().to_batches()
+        if held:
+            yield from run(pa.Table.from_batches(held)).to_batches()
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(runs, shape)
+
+
 def could_link(cells: DataFrame, boxes: DataFrame, percent: int) -> DataFrame:
     """Edges (``a``, ``b``) that join the members of each cell as the bounds
     would; ``boxes``: ``node``, ``root``, ``n``, ``counts``."""
@@ -263,7 +291,7 @@ def could_link(cells: DataFrame, boxes: DataFrame, percent: int) -> DataFrame:
     # each chunk with itself
     own = members_of(cells).select("cell", F.pmod(F.xxhash64("cell", "node"), F.ceil(F.col("size") / CHUNK)).alias("chunk"), "node",
                       F.col("n").alias("low_n"), F.col("n").alias("high_n"), "counts")
-    first = stage(own.groupBy("cell", "chunk").applyInArrow(joined, "a long, b long"), "could-1")
+    first = stage(group_by_group(own, ["cell", "chunk"], joined, "a long, b long"), "could-1")
     # then boxes of what is joined by now, for cells that were cut
     cut = cells.where(F.length("members") > 8 * CHUNK)
     if cut.isEmpty():
@@ -298,10 +326,10 @@ def could_link(cells: DataFrame, boxes: DataFrame, percent: int) -> DataFrame:
 
     def merged(table: pa.Table) -> pa.Table:
         return box(*(np.array(table.column(c)) for c in ("cell", "node", "low_n", "high_n")), table.column("counts").to_pylist())
-    full = stage(partial.groupBy("cell", "node").applyInArrow(merged, shape), "cell-boxes")
+    full = stage(group_by_group(partial, ["cell", "node"], merged, shape), "cell-boxes")
     sizes = full.groupBy("cell").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     pairs = pair_chunks(full.join(sizes, "cell"), "cell", CHUNK)
-    second = stage(pairs.groupBy("cell", "one", "two").applyInArrow(joined, "a long, b long"), "could-2")
+    second = stage(group_by_group(pairs, ["cell", "one", "two"], joined, "a long, b long"), "could-2")
     return first.unionByName(second)
 
 
@@ -342,7 +370,7 @@ def verified(sets: DataFrame, keys: list[str], percent: int) -> DataFrame:
                     parent[x] = y
                     out.append((node[a], node[b]))
         return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
-    return sets.groupBy(*keys).applyInArrow(run, "a long, b long")
+    return group_by_group(sets, keys, run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
@@ -371,7 +399,6 @@ def row_components(docs: DataFrame, k: int, percent: int, keep: tuple[str, ...]
     if len(late):
         once = describe(docs, k, percent, late).where("node is not null").groupBy("node").agg(F.min("prefix").alias("prefix"))
         shared = shared_cells(once, entries)
-    shared = stage(shared, "shared")
     cells = stage(shared.groupBy("cell").agg(F.first("members").alias("members")), "cells")
     edges = could_link(cells, nodes.select("node", "n", "counts"), percent)
     clusters = components(edges)
