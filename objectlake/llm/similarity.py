@@ -243,6 +243,7 @@ def group_by_group(rows: DataFrame, keys: list[str], run, shape: str) -> DataFra
     """What ``run`` (an Arrow table to another) makes of the rows of each group of ``keys`` (integers, none
     null), as ``applyInArrow`` gives it.  A task's groups come in one stream, sorted by the
     keys: where most groups are a few rows, a stream for each costs more than its rows do."""
+    @lean
     def runs(batches):
         held, last = [], None       # the group at the end of the batches so far
         for b in batches:
