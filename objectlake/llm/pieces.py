@@ -25,13 +25,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import chunks, pick, ranges
+from .common import chunks, give_back, pick, ranges
 
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: what a worker keeps between runs of texts, at most: cuts of words, tested pairs of
-#: pieces, steps along words (some 100 MB together); and the bytes of text of a run
-KEPT_WORDS, KEPT_PAIRS, KEPT_STEPS, RUN_BYTES = 200_000, 400_000, 150_000, 2 << 20
+#: pieces, steps along words (some 60 MB together); and the bytes of text of a run
+KEPT_WORDS, KEPT_PAIRS, KEPT_STEPS, RUN_BYTES = 100_000, 250_000, 80_000, 512 << 10
 
 _ENCODERS: dict[bytes, "TrieEncoder"] = {}
 
@@ -274,14 +274,17 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
 
     def run(batches):
         enc = encoder(data)
-        for b in chunks(batches, "text", RUN_BYTES):
-            texts = [t or "" for t in b.column("text").to_pylist()]
-            ids, offsets = enc.encode(texts)
-            same = [a == t for a, t in zip(enc.decode(ids, offsets), texts)]
-            yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), pa.array(np.diff(offsets), pa.int64()),
-                pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())), pa.array(same, pa.bool_())],
-                names=["doc_id", "n_pieces", "piece_ids", "round_trip"])
+        try:
+            for b in chunks(batches, "text", RUN_BYTES):
+                texts = [t or "" for t in b.column("text").to_pylist()]
+                ids, offsets = enc.encode(texts)
+                same = [a == t for a, t in zip(enc.decode(ids, offsets), texts)]
+                yield pa.RecordBatch.from_arrays([
+                    b.column("doc_id"), pa.array(np.diff(offsets), pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32())), pa.array(same, pa.bool_())],
+                    names=["doc_id", "n_pieces", "piece_ids", "round_trip"])
+        finally:
+            give_back()     # the encoder stays, for the next task
     return pick(docs, "doc_id", "text").mapInArrow(run, ENCODED)
 
 

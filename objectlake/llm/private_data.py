@@ -29,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks, pick
+from .common import chunks, lean, pick
 
 KINDS = ("email", "ip", "card", "phone")
 #: messages have settled when none changes more than this in a round
 SETTLED = 1e-4
 #: rounds at most: as many as these, and some for each mention that a message may have to pass
 ROUNDS, ROUNDS_A_MENTION = 200, 4
+#: bytes of text that are searched in one go
+RUN_BYTES = 512 << 10
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
@@ -328,8 +330,9 @@ def train(docs: DataFrame) -> Field:
     """The field's weights from the whole texts of all documents: their known
     mentions are counted by what the weights depend on, and the counts, a few
     thousand rows whatever the input, come to the driver."""
+    @lean
     def run(batches):
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", RUN_BYTES):
             found = counted(b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], names=["row", "n"])
     texts = pick(docs, "text").where(F.col("text").rlike(r"@|[0-9][0-9\x20().-]{5,}[0-9]"))
@@ -351,8 +354,9 @@ def find_private(docs: DataFrame, field: Field, mask: bool = False, keep: tuple[
     rows = pick(docs, "doc_id", *dict.fromkeys(("text", *columns)))
     names = ["doc_id", *columns]
 
+    @lean
     def run(batches):
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", RUN_BYTES):
             counts: list[list[int]] = [[], [], [], []]
             digests, spans, masked = [], [], []
             for raw in b.column("text").to_pylist():

@@ -5,6 +5,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 
+#: bytes of text that are hashed in one go: the arrays of a step take some 35 times as many
+HASHED_BYTES = 512 << 10
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)

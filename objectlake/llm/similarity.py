@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from .common import chunks, lean, pick, stage
 from .components import components
-from .shingles import mixed, shingle_sets, text_bytes, word_hashes
+from .shingles import HASHED_BYTES, mixed, shingle_sets, text_bytes, word_hashes
 
 #: groups of a set of up to 1023 shingles; twice as many at each doubling of the size, so
 #: that unlike sets keep apart: their counts differ by about the root of size times groups
@@ -52,6 +52,8 @@ CHUNK = 1024
 SET_CHUNK = 512
 #: shingles of a set, on average, beyond which fewer sets make a chunk (16 MB of hashes)
 SET_SHINGLES = 4096
+#: bytes of the corners of box pairs that are compared in one go
+PAIR_BYTES = 8 << 20
 #: entries (node in a cell) that a task sorts
 ENTRIES_IN_PART = 100_000
 #: ids up to this many bytes are broadcast to pick texts; beyond it a shuffle join does
@@ -118,9 +120,10 @@ def rtree_pairs(low_n: np.ndarray, high_n: np.ndarray, high: np.ndarray, percent
 
     def opened(depth: int, i: np.ndarray, j: np.ndarray):
         lo, hi, top = levels[depth]
-        out_i, out_j = [], []
-        for at in range(0, len(i), 65536):
-            a, b = i[at:at + 65536], j[at:at + 65536]
+        out_i, out_j = [i[:0]], [j[:0]]
+        step = max(1, PAIR_BYTES // (top.shape[1] * top.itemsize))      # wide points, fewer pairs
+        for at in range(0, len(i), step):
+            a, b = i[at:at + step], j[at:at + step]
             ok = (100 * hi[a] >= percent * lo[b]) & (100 * hi[b] >= percent * lo[a])
             a, b = a[ok], b[ok]
             # sizes that fit the other's range bound the overlap from below
@@ -135,10 +138,14 @@ def rtree_pairs(low_n: np.ndarray, high_n: np.ndarray, high: np.ndarray, percent
     for depth in range(len(levels) - 2, -1, -1):
         below = len(levels[depth][0])
         kid = np.arange(fan)
-        a = (i[:, None, None] * fan + kid[None, :, None] + 0 * kid[None, None, :]).ravel()
-        b = (j[:, None, None] * fan + kid[None, None, :] + 0 * kid[None, :, None]).ravel()
-        ok = (a < below) & (b < below) & ((a < b) if depth == 0 else (a <= b))
-        i, j = opened(depth, a[ok], b[ok]) if ok.any() else (a[:0], b[:0])
+        found = [(i[:0], j[:0])]
+        for at in range(0, len(i), 256):    # so many node pairs have 65,536 pairs of children
+            x, y = i[at:at + 256, None, None], j[at:at + 256, None, None]
+            a = (x * fan + kid[None, :, None] + 0 * kid[None, None, :]).ravel()
+            b = (y * fan + kid[None, None, :] + 0 * kid[None, :, None]).ravel()
+            ok = (a < below) & (b < below) & ((a < b) if depth == 0 else (a <= b))
+            found.append(opened(depth, a[ok], b[ok]))
+        i, j = (np.concatenate(x) for x in zip(*found))
     a, b = order[i], order[j]
     return np.minimum(a, b), np.maximum(a, b)
 
@@ -172,7 +179,7 @@ def describe(docs: DataFrame, k: int, percent: int, common: np.ndarray | None =
 
     @lean
     def run(batches):
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", HASHED_BYTES):
             data, offsets = text_bytes(b.column("text"))
             sets = shingle_sets(*word_hashes(data, offsets), k)
             nodes = [int(mixed(s).sum().view(np.int64)) if len(s) else None for s in sets]
@@ -412,7 +419,7 @@ def row_components(docs: DataFrame, k: int, percent: int, keep: tuple[str, ...]
 
     @lean
     def sets_of(batches):
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", HASHED_BYTES):
             data, offsets = text_bytes(b.column("text"))
             sets = [s for s in shingle_sets(*word_hashes(data, offsets), k) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([int(mixed(s).sum().view(np.int64)) for s in sets], pa.int64()),

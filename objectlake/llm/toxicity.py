@@ -28,6 +28,8 @@ from .labelled import fit_logistic, held_out, learnable, logistic, some
 #: the sample: whole texts of each class at most, and windows for the ordinary dictionary's trainer
 TOXIC_TEXTS, ORDINARY_TEXTS, ORDINARY_WINDOWS = 1500, 3000, 40_000
 WINDOW = 8
+#: bytes of text whose words are held in one go when texts are scored
+SCORED_BYTES = 512 << 10
 #: how much more frequent in toxic texts a mark is
 RATIO = 50
 ORDINARY_BYTES, TOXIC_BYTES = 4096, 3000
@@ -198,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) ->
 
     @lean
     def measured(batches):      # each text with the dictionaries of the other half
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", SCORED_BYTES):
             ids, texts = b.column("doc_id").to_pylist(), b.column("text").to_pylist()
             for h in (0, 1):
                 own = [i for i, d in enumerate(ids) if half[d] == h]
@@ -225,7 +227,7 @@ def score_toxicity(docs: DataFrame, model: ToxicModel, folds: int = 4, fold: int
 
     @lean
     def run(batches):
-        for b in chunks(batches, "text"):
+        for b in chunks(batches, "text", SCORED_BYTES):
             score = model.score([words_of(t) for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], pa.array(score, pa.float64())], names=[*kept, "score_"])
     shape = ", ".join(f"`{c}` {t}" for c, t in rows.select(*kept).dtypes) + ", score_ double"
