@@ -30,8 +30,8 @@ from .common import chunks, give_back, pick, ranges
 MARK = "▁"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: what a worker keeps between runs of texts, at most: cuts of words, tested pairs of
-#: pieces, steps along words (some 60 MB together); and the bytes of text of a run
-KEPT_WORDS, KEPT_PAIRS, KEPT_STEPS, RUN_BYTES = 100_000, 250_000, 80_000, 512 << 10
+#: pieces, steps along words (some 80 MB together); and the bytes of text of a run
+KEPT_WORDS, KEPT_PAIRS, KEPT_STEPS, RUN_BYTES = 200_000, 250_000, 80_000, 512 << 10
 
 _ENCODERS: dict[bytes, "TrieEncoder"] = {}
 
